@@ -214,3 +214,74 @@ LOG_SQL = """log AS (
          ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT)) AS end_at,
          CAST(value AS FLOAT) AS time
   FROM events)"""
+
+
+# ------------------------------------------------------------ SCD oracle SQL
+def scd2_sql(prefix: str, source: str, columns: list[str], keys: list[str], seq: str,
+             tracked: list[str], tie: list[str]) -> str:
+    """CTEs ``{prefix}_h`` = the SCD2 history of ``source`` in DuckDB SQL
+    (dedup by tie-break, NULL-safe change flags, running version, per-version
+    aggregate, join back to the version's latest row, lead for the end)."""
+    k = ", ".join(keys)
+    tie_order = ", ".join(f"{c} DESC NULLS LAST" for c in tie) or seq
+    w = f"PARTITION BY {k} ORDER BY {seq}"
+    chg = " OR ".join([f"row_number() OVER ({w}) = 1"] +
+                      [f"{t} IS DISTINCT FROM lag({t}) OVER ({w})" for t in tracked])
+    on = " AND ".join([f"g.{c} IS NOT DISTINCT FROM v.{c}" for c in keys] +
+                      ["g._ver = v._ver", f"v.{seq} = g._last"])
+    cols = ", ".join(f"v.{c}" for c in columns)
+    return f"""{prefix}_d AS (
+  SELECT * EXCLUDE (_rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY {k}, {seq} ORDER BY {tie_order}) AS _rn
+    FROM {source} WHERE {seq} IS NOT NULL) WHERE _rn = 1),
+{prefix}_c AS (SELECT *, CASE WHEN {chg} THEN 1 ELSE 0 END AS _chg FROM {prefix}_d),
+{prefix}_v AS (SELECT *, sum(_chg) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _ver
+  FROM {prefix}_c),
+{prefix}_g AS (SELECT {k}, _ver, min({seq}) AS __START_AT, max({seq}) AS _last FROM {prefix}_v
+  GROUP BY {k}, _ver),
+{prefix}_h AS (SELECT {cols}, g.__START_AT,
+  lead(g.__START_AT) OVER (PARTITION BY {", ".join("g." + c for c in keys)} ORDER BY g.__START_AT)
+    AS __END_AT
+  FROM {prefix}_g g JOIN {prefix}_v v ON {on})"""
+
+
+ORDERS_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                  "o_orderpriority"]
+ORDERS_KEYS = ["o_custkey", "o_orderpriority"]
+ORDERS_SCD_SQL = scd2_sql("oh", "orders", ORDERS_COLUMNS, ORDERS_KEYS, "o_orderdate",
+                          ["o_orderstatus"], ["o_orderkey"])
+
+BRONZE_COLUMNS = ["nombre", "apellido", "cedula", "cargo", "salario", "gasto", "estado",
+                  "fecha_de_inicio", "fecha_actualizacion", "fecha_consulta", "archivo",
+                  "institucion", "source_row", "composite_key", "antiguedad"]
+PAY_SCD_SQL = scd2_sql("ph", "bronze", BRONZE_COLUMNS,
+                       ["cedula", "nombre", "apellido", "cargo", "estado"], "fecha_consulta",
+                       ["salario", "gasto", "fecha_de_inicio"], ["source_row"])
+
+
+def orders_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from histlake.operators.scd import scd2
+    return scd2(table(spark, sf_dir, "orders"), ORDERS_KEYS, "o_orderdate",
+                track=["o_orderstatus"], tie_break=["o_orderkey"])
+
+
+def pay_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from histlake.operators.scd import scd2
+    from histlake.schemas import PAYROLL_KEYS, PAYROLL_SEQUENCE, PAYROLL_TRACKED
+    return scd2(bronze(spark, sf_dir), PAYROLL_KEYS, PAYROLL_SEQUENCE, track=PAYROLL_TRACKED,
+                tie_break=["source_row"])
+
+
+INACTIVE_SQL = f"""inactive AS (
+  SELECT h.cedula, h.nombre, h.apellido, h.cargo, h.estado, h.institucion, h.salario, h.gasto,
+         h.fecha_de_inicio, h.__START_AT AS last_active_date,
+         TIMESTAMP '{DETECTED_AT}' AS detected_at
+  FROM ph_h h
+  WHERE h.__END_AT IS NULL AND NOT EXISTS (
+    SELECT 1 FROM snapshot s WHERE s.id_number = h.cedula AND s.first_name = h.nombre
+      AND s.last_name = h.apellido AND s.position_sp = h.cargo AND s.status_sp = h.estado))"""
+
+
+def inactive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from histlake.operators.snapshot import inactive as inactive_op
+    return inactive_op(pay_history(spark, sf_dir), snapshot(spark, sf_dir), detected_at=DETECTED_AT)

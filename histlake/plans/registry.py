@@ -153,3 +153,92 @@ SELECT status_en, count(*) AS employee_count,
 FROM snapshot GROUP BY status_en ORDER BY employee_count DESC"""))
 def status_distribution(spark, sf):
     return summaries.status_distribution(A.snapshot(spark, sf))
+
+
+# ======================================================================== SCD
+ORD_SCD = A.ORDERS_SCD_SQL
+
+
+@query("scd2_history", with_ctes(ORD_SCD, body="SELECT * FROM oh_h"))
+def scd2_history(spark, sf):
+    return A.orders_history(spark, sf)
+
+
+@query("scd2_current", with_ctes(ORD_SCD, body="SELECT * FROM oh_h WHERE __END_AT IS NULL"))
+def scd2_current(spark, sf):
+    return scd.current(A.orders_history(spark, sf))
+
+
+@query("scd2_as_of", with_ctes(ORD_SCD, body="""
+SELECT * FROM oh_h WHERE __START_AT <= TIMESTAMP '1998-01-01 00:00:00'
+  AND (__END_AT IS NULL OR __END_AT > TIMESTAMP '1998-01-01 00:00:00')"""))
+def scd2_as_of(spark, sf):
+    return scd.as_of(A.orders_history(spark, sf), F.lit("1998-01-01 00:00:00").cast("timestamp_ntz"))
+
+
+@query("scd2_history_point", with_ctes(ORD_SCD, body=f"""
+SELECT o_custkey, o_orderpriority, o_orderstatus, o_totalprice, __START_AT AS valid_from,
+       coalesce(__END_AT, TIMESTAMP '{A.DETECTED_AT}') AS valid_to,
+       CASE WHEN __START_AT = min(__START_AT) OVER (PARTITION BY o_custkey, o_orderpriority)
+            THEN 'INSERT' ELSE 'UPDATE' END AS change_type
+FROM oh_h ORDER BY __START_AT DESC"""))
+def scd2_history_point(spark, sf):
+    h = A.orders_history(spark, sf)
+    return scd.key_history(h, None, F.lit(A.DETECTED_AT).cast("timestamp_ntz"),
+                           ["o_custkey", "o_orderpriority", "o_orderstatus", "o_totalprice"],
+                           change_type="change_type", keys=A.ORDERS_KEYS) \
+        .orderBy(F.col("valid_from").desc())
+
+
+@query("scd2_change_type", with_ctes(ORD_SCD, body="""
+SELECT *, CASE WHEN __START_AT = min(__START_AT) OVER (PARTITION BY o_custkey, o_orderpriority)
+               THEN 'INSERT' ELSE 'UPDATE' END AS change_type FROM oh_h"""))
+def scd2_change_type(spark, sf):
+    return scd.with_change_type(A.orders_history(spark, sf), A.ORDERS_KEYS)
+
+
+@query("scd2_payroll_history", with_ctes(A.PAY_SQL, A.BRONZE_SQL, A.PAY_SCD_SQL,
+                                         body="SELECT * FROM ph_h"))
+def scd2_payroll_history(spark, sf):
+    return A.pay_history(spark, sf)
+
+
+@query("scd1_latest_log", with_ctes(A.LOG_SQL, body="""
+SELECT * EXCLUDE (_rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY institution_name_spanish, status_name_spanish
+    ORDER BY checked_at DESC, run_status DESC NULLS LAST, source_update DESC NULLS LAST,
+             start_at DESC NULLS LAST, end_at DESC NULLS LAST, time DESC NULLS LAST) AS _rn
+  FROM log WHERE checked_at IS NOT NULL) WHERE _rn = 1"""))
+def scd1_latest_log(spark, sf):
+    return scd.scd1(A.log(spark, sf), audit.PAIR, "checked_at")
+
+
+# =================================================================== inactive
+INACTIVE_CTES = ",\n".join([SNAP, A.PAY_SCD_SQL, A.INACTIVE_SQL])
+
+
+@query("inactive_keys", with_ctes(INACTIVE_CTES, body="SELECT * FROM inactive"))
+def inactive_keys(spark, sf):
+    return A.inactive(spark, sf)
+
+
+@query("inactive_listing", with_ctes(INACTIVE_CTES, body="""
+SELECT cedula, concat(nombre, ' ', apellido) AS full_name, institucion, cargo, estado, salario,
+       last_active_date AS became_active_on
+FROM inactive
+ORDER BY last_active_date DESC NULLS LAST, cedula, nombre, apellido, cargo, estado LIMIT 100"""))
+def inactive_listing(spark, sf):
+    return summaries.inactive_listing(A.inactive(spark, sf))
+
+
+@query("inactive_count", with_ctes(INACTIVE_CTES, body="SELECT count(*) AS inactive_count FROM inactive"))
+def inactive_count(spark, sf):
+    return summaries.inactive_count(A.inactive(spark, sf))
+
+
+@query("reconcile_counts", with_ctes(SNAP, A.PAY_SCD_SQL, body="""
+SELECT 'SCD Active Records' AS source, count(*) AS count FROM ph_h WHERE __END_AT IS NULL
+UNION ALL
+SELECT 'Latest Snapshot' AS source, count(*) AS count FROM snapshot"""))
+def reconcile_counts(spark, sf):
+    return summaries.reconcile_counts(A.pay_history(spark, sf), A.snapshot(spark, sf))
