@@ -242,3 +242,167 @@ UNION ALL
 SELECT 'Latest Snapshot' AS source, count(*) AS count FROM snapshot"""))
 def reconcile_counts(spark, sf):
     return summaries.reconcile_counts(A.pay_history(spark, sf), A.snapshot(spark, sf))
+
+
+# ================================================================== audit log
+LOG = A.LOG_SQL
+LAST_RUN_SQL = """last_run AS (
+  SELECT *, concat(institution_name_spanish, ' - ', status_name_spanish) AS report,
+         CASE WHEN run_status = 'OK' THEN 1 ELSE 0 END AS OK,
+         CASE WHEN run_status <> 'OK' THEN 1 ELSE 0 END AS ERROR,
+         max(checked_at) OVER (PARTITION BY institution_name_spanish, status_name_spanish) AS last_run
+  FROM log QUALIFY last_run = checked_at)"""
+
+
+def _last_run(spark, sf):
+    return audit.last_run(A.log(spark, sf))
+
+
+@query("log_last_run", with_ctes(LOG, LAST_RUN_SQL, body="SELECT * FROM last_run"))
+def log_last_run(spark, sf):
+    return _last_run(spark, sf)
+
+
+@query("log_labelled", with_ctes(LOG, body="""
+SELECT *, concat(institution_name_spanish, ' - ', status_name_spanish) AS report FROM log"""))
+def log_labelled(spark, sf):
+    return audit.labelled(A.log(spark, sf))
+
+
+@query("log_recent", with_ctes(LOG, body=f"""
+SELECT institution_name_spanish, status_name_spanish, run_status, source_update, checked_at,
+       time AS execution_time_seconds
+FROM log WHERE checked_at >= DATE '{A.AS_OF_DATE}' - INTERVAL 7 DAY ORDER BY checked_at DESC"""))
+def log_recent(spark, sf):
+    return audit.recent(A.log(spark, sf), A.AS_OF_DATE, days=7)
+
+
+@query("log_status_table", with_ctes(LOG, LAST_RUN_SQL, body="""
+SELECT date_trunc('second', start_at) AS start_second, report, run_status,
+       date_trunc('day', source_update) AS source_day, round(avg(time), 6) AS avg_time,
+       sum(OK) AS ok_count, sum(ERROR) AS error_count
+FROM last_run GROUP BY ALL"""))
+def log_status_table(spark, sf):
+    t = audit.status_table(_last_run(spark, sf))
+    return t.withColumn("avg_time", F.round("avg_time", 6))
+
+
+@query("log_daily_time", with_ctes(LOG, body="""
+SELECT date_trunc('day', start_at) AS day, round(avg(time), 6) AS avg_time, count(*) AS runs
+FROM log GROUP BY ALL"""))
+def log_daily_time(spark, sf):
+    return audit.daily_time(A.log(spark, sf)).withColumn("avg_time", F.round("avg_time", 6))
+
+
+@query("log_freshness", with_ctes(LOG, LAST_RUN_SQL, body="""
+SELECT max(source_update) AS last_source_update, max(checked_at) AS last_checked_at FROM last_run"""))
+def log_freshness(spark, sf):
+    return audit.freshness(_last_run(spark, sf))
+
+
+@query("log_ok_ratio", with_ctes(LOG, LAST_RUN_SQL, body="""
+SELECT count(DISTINCT report) AS reports, sum(OK) AS files_downloaded, sum(ERROR) AS errors,
+       round(sum(OK) / CAST(nullif(count(DISTINCT report), 0) AS DOUBLE), 6) AS downloaded_ratio,
+       round(sum(ERROR) / CAST(nullif(count(DISTINCT report), 0) AS DOUBLE), 6) AS error_ratio
+FROM last_run"""))
+def log_ok_ratio(spark, sf):
+    r = audit.ok_ratio(_last_run(spark, sf))
+    return r.select("reports", "files_downloaded", "errors", rnd("downloaded_ratio", 6),
+                    rnd("error_ratio", 6))
+
+
+WORK_BASE_URL = "https://example.org/report"
+
+
+@query("work_list", with_ctes(LOG, body=f"""
+SELECT i.institution_name_spanish, s.status_name_spanish,
+       '{WORK_BASE_URL}' || '?&Ne=' || replace(url_encode(i.institution_name_spanish), '%2F', '/')
+         || '&N=&A=&C=&E=' || replace(url_encode(s.status_name_spanish), '%2F', '/') AS url
+FROM (SELECT DISTINCT institution_name_spanish FROM log) i,
+     (SELECT DISTINCT status_name_spanish FROM log) s
+WHERE NOT EXISTS (
+  SELECT 1 FROM log l WHERE l.run_status = 'OK' AND l.source_update >= TIMESTAMP '{A.AS_OF_DATE} 00:00:00'
+    AND l.institution_name_spanish = i.institution_name_spanish
+    AND l.status_name_spanish = s.status_name_spanish)"""))
+def work_list(spark, sf):
+    log = A.log(spark, sf)
+    return audit.work_list(log.select("institution_name_spanish"), log.select("status_name_spanish"),
+                           log, F.lit(f"{A.AS_OF_DATE} 00:00:00").cast("timestamp_ntz"),
+                           base_url=WORK_BASE_URL)
+
+
+@query("audit_rows", with_ctes(LOG, body=f"""
+SELECT institution_name_spanish, status_name_spanish, run_status, source_update,
+       TIMESTAMP '{A.DETECTED_AT}' AS checked_at, start_at, end_at,
+       CAST(date_diff('microsecond', start_at, end_at) / 1000000.0 AS FLOAT) AS time,
+       sum(CASE WHEN run_status = 'OK' THEN 1 ELSE 0 END) OVER () AS updates
+FROM log"""))
+def audit_rows(spark, sf):
+    """Attempts -> typed audit rows appended to a table, read back."""
+    from histlake.schemas import AUDIT_LOG_SCHEMA
+    from histlake.session import scratch_dir
+    from histlake.sources.writers import append_typed
+    attempts = A.log(spark, sf).drop("checked_at", "time")
+    rows = audit.audit_rows(attempts, F.lit(A.DETECTED_AT).cast("timestamp"))
+    path = append_typed(rows, scratch_dir(spark, "audit_log"), AUDIT_LOG_SCHEMA)
+    stored = spark.read.schema(AUDIT_LOG_SCHEMA).parquet(path)
+    updates = audit.updates_count(stored).scalar()
+    return stored.withColumn("updates", updates)
+
+
+# =========================================================== reference tables
+def _dict_sql(name, pairs):
+    return A.dictionary_sql(name, pairs)
+
+
+# user ids have no translation: an empty dictionary keeps every name as is
+EMPTY_DICT_SQL = "inst_dict(source, target) AS (SELECT NULL::VARCHAR, NULL::VARCHAR WHERE false)"
+
+
+@query("reference_institutions", with_ctes(LOG, EMPTY_DICT_SQL,
+                                           A._ref_sql("r", "institution_name_spanish",
+                                                      "institution_name_english", "inst_dict", "log"),
+                                           body="SELECT * FROM r"))
+def reference_institutions(spark, sf):
+    empty = spark.createDataFrame([], "source string, target string")
+    return reference.reference_names(A.log(spark, sf), "institution_name_spanish",
+                                     "institution_name_english", empty)
+
+
+@query("reference_statuses", with_ctes(LOG, _dict_sql("ev_dict", A.EVENT_TYPE_DICTIONARY),
+                                       A._ref_sql("r", "status_name_spanish", "status_name_english",
+                                                  "ev_dict", "log"),
+                                       body="SELECT * FROM r"))
+def reference_statuses(spark, sf):
+    return reference.reference_names(A.log(spark, sf), "status_name_spanish", "status_name_english",
+                                     A.dictionary(spark, A.EVENT_TYPE_DICTIONARY))
+
+
+@query("reference_positions", with_ctes(A.PAY_SQL, A.PAYLOG_SQL, A.REFERENCE_SQL,
+                                        body="SELECT * FROM pos_ref"))
+def reference_positions(spark, sf):
+    return A.reference_tables(spark, sf)[2]
+
+
+@query("new_positions_only", with_ctes(A.PAY_SQL, A.PAYLOG_SQL, A.REFERENCE_SQL, body="""
+SELECT c.position_name_spanish, c.last_seen_at,
+       coalesce(d.target, c.position_name_spanish) AS position_name_english
+FROM (SELECT cargo AS position_name_spanish, min(fecha_actualizacion) AS last_seen_at
+      FROM pay WHERE cargo IS NOT NULL GROUP BY cargo) c
+LEFT JOIN (SELECT source, min(target) AS target FROM prio_dict GROUP BY source) d
+  ON c.position_name_spanish = d.source
+WHERE NOT EXISTS (SELECT 1 FROM pos_ref p WHERE p.position_name_spanish = c.position_name_spanish)"""))
+def new_positions_only(spark, sf):
+    existing = A.reference_tables(spark, sf)[2]
+    return reference.position_reference(A.pay(spark, sf), A.dictionary(spark, A.PRIORITY_DICTIONARY),
+                                        existing=existing)
+
+
+@query("translate_lookup", with_ctes(_dict_sql("lang_dict", A.LANGUAGE_DICTIONARY), body="""
+SELECT d.doc_id, d.lang, coalesce(l.target, d.lang) AS lang_label, l.target IS NOT NULL AS translated
+FROM documents d LEFT JOIN (SELECT source, min(target) AS target FROM lang_dict GROUP BY source) l
+  ON d.lang = l.source"""))
+def translate_lookup(spark, sf):
+    docs = A.table(spark, sf, "documents").select("doc_id", "lang")
+    return reference.translate(docs, "lang", A.dictionary(spark, A.LANGUAGE_DICTIONARY),
+                               "lang_label", flag_col="translated")
