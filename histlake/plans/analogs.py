@@ -285,3 +285,100 @@ INACTIVE_SQL = f"""inactive AS (
 def inactive(spark: SparkSession, sf_dir: str) -> DataFrame:
     from histlake.operators.snapshot import inactive as inactive_op
     return inactive_op(pay_history(spark, sf_dir), snapshot(spark, sf_dir), detected_at=DETECTED_AT)
+
+
+# ------------------------------------------------------------- text analogs
+# Fixed values of the sheet analog: two column layouts (the second used by
+# the sheets named below) and the update text in cell E3.
+SHEET_LAYOUT_A = ["Nombre", "Apellido", " Cédula ", "Cargo", "Salario", "Gasto", "Estado",
+                  "Fecha de Inicio"]
+SHEET_LAYOUT_B = ["Cargo", "Salario", "Nombre", "Apellido", "CEDULA", "Gasto", "Fecha de Inicio",
+                  "Estado"]
+SHEETS_WITH_LAYOUT_B = ["SMALL", "STANDARD"]
+SHEET_UPDATE_TEXT = "Fecha de actualización: 05/01/2025 01:30:00 PM"
+SITE_UPDATE = "2025-01-15 00:00:00"
+
+
+def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded sheet rows built from ``part``: one file per brand, one sheet
+    per type family, a header row (5), an update row (3) and one data row
+    per part (row 6 + part key)."""
+    p = table(spark, sf_dir, "part")
+    sheet = F.split_part(F.col("p_type"), F.lit(" "), F.lit(1))
+    layout_b = sheet.isin(SHEETS_WITH_LAYOUT_B)
+    nombre, apellido = F.col("p_name"), F.col("p_brand")
+    cedula, cargo = F.col("p_partkey").cast("string"), F.col("p_type")
+    salario = F.col("p_retailprice").cast("string")
+    gasto = F.when(F.col("p_size") > 45, F.lit("n/a")).otherwise(F.col("p_size").cast("string"))
+    estado = F.when(F.col("p_size") > 25, F.lit("PERMANENTE")).otherwise(F.lit("EVENTUAL"))
+    fecha = F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), F.col("p_size")), "dd/MM/yyyy")
+    cells = F.when(layout_b, F.array(cargo, salario, nombre, apellido, cedula, gasto, fecha, estado)) \
+             .otherwise(F.array(nombre, apellido, cedula, cargo, salario, gasto, estado, fecha))
+    data = p.select(F.col("p_brand").alias("file"), sheet.alias("sheet"),
+                    (F.col("p_partkey") + 6).cast("long").alias("row_no"), cells.alias("cells"))
+    sheets = data.select("file", "sheet").distinct()
+    header = sheets.select("file", "sheet", F.lit(5).cast("long").alias("row_no"),
+                           F.when(F.col("sheet").isin(SHEETS_WITH_LAYOUT_B),
+                                  F.array(*[F.lit(x) for x in SHEET_LAYOUT_B]))
+                            .otherwise(F.array(*[F.lit(x) for x in SHEET_LAYOUT_A])).alias("cells"))
+    update = sheets.select("file", "sheet", F.lit(3).cast("long").alias("row_no"),
+                           F.array(F.lit(""), F.lit(""), F.lit(""), F.lit(""),
+                                   F.lit(SHEET_UPDATE_TEXT)).alias("cells"))
+    out = data.unionByName(header).unionByName(update)
+    return out.withColumns({"institution": F.concat(F.lit("INST "), F.col("file")),
+                            "site_update": F.lit(SITE_UPDATE).cast("timestamp")})
+
+
+def _sql_list(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+RAW_CELLS_SQL = f"""raw_cells AS (
+  SELECT p_brand AS file, split_part(p_type, ' ', 1) AS sheet, p_partkey + 6 AS row_no,
+    CASE WHEN split_part(p_type, ' ', 1) IN ({", ".join("'" + s + "'" for s in SHEETS_WITH_LAYOUT_B)})
+      THEN [p_type, CAST(p_retailprice AS VARCHAR), p_name, p_brand, CAST(p_partkey AS VARCHAR),
+            CASE WHEN p_size > 45 THEN 'n/a' ELSE CAST(p_size AS VARCHAR) END,
+            strftime(DATE '2000-01-01' + p_size, '%d/%m/%Y'),
+            CASE WHEN p_size > 25 THEN 'PERMANENTE' ELSE 'EVENTUAL' END]
+      ELSE [p_name, p_brand, CAST(p_partkey AS VARCHAR), p_type, CAST(p_retailprice AS VARCHAR),
+            CASE WHEN p_size > 45 THEN 'n/a' ELSE CAST(p_size AS VARCHAR) END,
+            CASE WHEN p_size > 25 THEN 'PERMANENTE' ELSE 'EVENTUAL' END,
+            strftime(DATE '2000-01-01' + p_size, '%d/%m/%Y')] END AS cells
+  FROM part
+  UNION ALL
+  SELECT DISTINCT p_brand, split_part(p_type, ' ', 1), 5,
+    CASE WHEN split_part(p_type, ' ', 1) IN ({", ".join("'" + s + "'" for s in SHEETS_WITH_LAYOUT_B)})
+      THEN {_sql_list(SHEET_LAYOUT_B)} ELSE {_sql_list(SHEET_LAYOUT_A)} END
+  FROM part
+  UNION ALL
+  SELECT DISTINCT p_brand, split_part(p_type, ' ', 1), 3, ['', '', '', '', '{SHEET_UPDATE_TEXT}']
+  FROM part)"""
+
+
+def _cell_sql(name: str) -> str:
+    return (f"CASE WHEN list_position(h.names, '{name}') > 0 "
+            f"THEN d.cells[list_position(h.names, '{name}')] END")
+
+
+SHEET_CLEAN_SQL = f"""sheet_headers AS (
+  SELECT file, sheet, list_transform(cells, lambda x:
+           CASE WHEN lower(replace(trim(x), ' ', '_')) = 'cédula' THEN 'cedula'
+                ELSE lower(replace(trim(x), ' ', '_')) END) AS names
+  FROM raw_cells WHERE row_no = 5),
+sheet_updates AS (
+  SELECT file, arg_min(cells[5], sheet) AS update_text FROM raw_cells WHERE row_no = 3 GROUP BY file),
+sheet_clean AS (
+  SELECT {_cell_sql('nombre')} AS nombre, {_cell_sql('apellido')} AS apellido,
+         {_cell_sql('cedula')} AS cedula, {_cell_sql('cargo')} AS cargo,
+         TRY_CAST({_cell_sql('salario')} AS DOUBLE) AS salario,
+         TRY_CAST({_cell_sql('gasto')} AS DOUBLE) AS gasto,
+         {_cell_sql('estado')} AS estado,
+         CAST(try_strptime({_cell_sql('fecha_de_inicio')}, '%d/%m/%Y') AS DATE) AS fecha_de_inicio,
+         try_strptime(regexp_replace(regexp_extract(u.update_text,
+             '.*?:\\s+(\\d{{2}}/\\d{{2}}/\\d{{4}}\\s+\\d{{1,2}}:\\d{{1,2}}:\\d{{1,2}}\\s+\\w{{2}})', 1),
+             '\\s+\\w+$', ''), '%d/%m/%Y %H:%M:%S') AS fecha_actualizacion,
+         TIMESTAMP '{SITE_UPDATE}' AS fecha_consulta, d.file AS archivo,
+         'INST ' || d.file AS institucion
+  FROM raw_cells d JOIN sheet_headers h ON d.file = h.file AND d.sheet = h.sheet
+  LEFT JOIN sheet_updates u ON d.file = u.file
+  WHERE d.row_no >= 6)"""

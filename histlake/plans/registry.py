@@ -406,3 +406,137 @@ def translate_lookup(spark, sf):
     docs = A.table(spark, sf, "documents").select("doc_id", "lang")
     return reference.translate(docs, "lang", A.dictionary(spark, A.LANGUAGE_DICTIONARY),
                                "lang_label", flag_col="translated")
+
+
+# ======================================================================= text
+@query("html_list_items", r"""
+SELECT page_id, position, item FROM (
+  SELECT page_id, generate_subscripts(items, 1) AS position, unnest(items) AS item
+  FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1) AS items
+        FROM pages))
+WHERE trim(item) <> '' AND NOT contains(trim(item), 'Seleccione')""")
+def html_list_items(spark, sf):
+    from histlake.functions.text import list_items
+    return list_items(A.table(spark, sf, "pages"), "html", "page_id")
+
+
+PAGE_TEXT_PREFIX = "Fecha de actualización de los datos: "
+
+
+@query("page_date_extract", f"""
+WITH t AS (
+  SELECT event_id, '{PAGE_TEXT_PREFIX}' || strftime(ts, '%d/%m/%Y %I:%M:%S %p') || ' (hora local)' AS text,
+         CASE WHEN event_type = 'error' THEN NULL
+              ELSE 'attachment; filename="planilla_' || event_type || '.xlsx"' END AS header
+  FROM events),
+m AS (SELECT *, nullif(regexp_extract(text,
+  'Fecha de actualización de los datos:\\s+(\\d{{1,2}}/\\d{{1,2}}/\\d+\\s+\\d{{1,2}}:\\d{{1,2}}:\\d{{1,2}}\\s+\\w+)', 1), '') AS s
+  FROM t)
+SELECT event_id,
+       try_strptime(regexp_replace(s, '\\s+\\w+$', ''), '%d/%m/%Y %H:%M:%S') AS update_compat,
+       try_strptime(s, '%d/%m/%Y %I:%M:%S %p') AS update_strict,
+       CASE WHEN regexp_extract(coalesce(header, ''), 'filename="(.*?).xlsx"', 1) = '' THEN 'reporte'
+            ELSE regexp_extract(coalesce(header, ''), 'filename="(.*?).xlsx"', 1) END AS file_name
+FROM m""")
+def page_date_extract(spark, sf):
+    from histlake.functions.text import extract_update_date, file_name_from_header
+    e = A.table(spark, sf, "events")
+    t = e.select("event_id",
+                 F.concat(F.lit(PAGE_TEXT_PREFIX), F.date_format("ts", "dd/MM/yyyy hh:mm:ss a"),
+                          F.lit(" (hora local)")).alias("text"),
+                 F.when(F.col("event_type") == "error", F.lit(None).cast("string"))
+                  .otherwise(F.concat(F.lit('attachment; filename="planilla_'), F.col("event_type"),
+                                      F.lit('.xlsx"'))).alias("header"))
+    return t.select("event_id",
+                    extract_update_date(F.col("text")).alias("update_compat"),
+                    extract_update_date(F.col("text"), strict=True).alias("update_strict"),
+                    file_name_from_header(F.col("header")).alias("file_name"))
+
+
+@query("sheet_clean", with_ctes(A.RAW_CELLS_SQL, A.SHEET_CLEAN_SQL, body="SELECT * FROM sheet_clean"))
+def sheet_clean(spark, sf):
+    from histlake.functions.text import clean_sheets
+    return clean_sheets(A.raw_cells(spark, sf))
+
+
+@query("union_missing_columns", """
+SELECT p_partkey, p_name, p_brand FROM part WHERE p_size <= 25
+UNION ALL BY NAME
+SELECT p_partkey, p_type, p_size FROM part WHERE p_size > 25""")
+def union_missing_columns(spark, sf):
+    p = A.table(spark, sf, "part")
+    a = p.where(F.col("p_size") <= 25).select("p_partkey", "p_name", "p_brand")
+    b = p.where(F.col("p_size") > 25).select("p_partkey", "p_type", "p_size")
+    return a.unionByName(b, allowMissingColumns=True)
+
+
+# ==================================================================== profile
+COMP_SQL = "comp AS (SELECT salario + gasto AS total_compensation FROM pay)"
+
+
+def _compensation(spark, sf):
+    return A.pay(spark, sf).select((F.col("salario") + F.col("gasto")).alias("total_compensation"))
+
+
+@query("profile_summary", with_ctes(A.PAY_SQL, COMP_SQL, body="""
+SELECT count(total_compensation) AS count, round(avg(total_compensation), 6) AS mean,
+       round(stddev_samp(total_compensation), 6) AS stddev, min(total_compensation) AS min,
+       quantile_disc(total_compensation, 0.25) AS p25, quantile_disc(total_compensation, 0.5) AS p50,
+       quantile_disc(total_compensation, 0.75) AS p75, max(total_compensation) AS max
+FROM comp"""))
+def profile_summary(spark, sf):
+    d = profile.describe(_compensation(spark, sf), "total_compensation")
+    return d.select("count", rnd("mean", 6), rnd("stddev", 6), "min", "p25", "p50", "p75", "max")
+
+
+@query("profile_skew", with_ctes(A.PAY_SQL, COMP_SQL, body="""
+SELECT round(avg(power(x - m, 3)) / power(var_pop(x), 1.5), 6) AS skew_original,
+       round(avg(power(lx - lm, 3)) / power(var_pop(lx), 1.5), 6) AS skew_log
+FROM (SELECT total_compensation AS x, avg(total_compensation) OVER () AS m,
+             ln(1 + total_compensation) AS lx, avg(ln(1 + total_compensation)) OVER () AS lm FROM comp)"""))
+def profile_skew(spark, sf):
+    s = profile.skewness_raw_and_log(_compensation(spark, sf), "total_compensation")
+    return s.select(rnd("skew_original", 6), rnd("skew_log", 6))
+
+
+HIST_BIN = "CAST(CASE WHEN b.w > 0 THEN least(floor((v.x - b.lo) / b.w), 99) ELSE 0 END AS INTEGER)"
+
+
+@query("profile_histogram", with_ctes(
+    A.PAY_SQL, COMP_SQL,
+    "v AS (SELECT ln(1 + total_compensation) AS x FROM comp)",
+    "b AS (SELECT min(x) AS lo, max(x) AS hi, (max(x) - min(x)) / 100.0 AS w FROM v)",
+    body=f"""
+SELECT {HIST_BIN} AS bin,
+       round(any_value(b.lo) + {HIST_BIN} * any_value(b.w), 6) AS bin_start,
+       round(any_value(b.lo) + ({HIST_BIN} + 1) * any_value(b.w), 6) AS bin_end,
+       count(*) AS count
+FROM v, b WHERE v.x IS NOT NULL GROUP BY 1"""))
+def profile_histogram(spark, sf):
+    c = _compensation(spark, sf).select(F.log1p("total_compensation").alias("log_compensation"))
+    h = profile.histogram(c, "log_compensation", bins=100)
+    return h.select("bin", rnd("bin_start", 6), rnd("bin_end", 6), "count")
+
+
+@query("quality_report", """
+SELECT 'not_null' AS "check", c AS "column", n AS violations FROM (
+  SELECT 'o_orderkey' AS c, count(*) - count(o_orderkey) AS n FROM orders UNION ALL
+  SELECT 'o_custkey', count(*) - count(o_custkey) FROM orders UNION ALL
+  SELECT 'o_orderstatus', count(*) - count(o_orderstatus) FROM orders UNION ALL
+  SELECT 'o_totalprice', count(*) - count(o_totalprice) FROM orders UNION ALL
+  SELECT 'o_orderdate', count(*) - count(o_orderdate) FROM orders)
+UNION ALL
+SELECT 'domain', 'o_orderstatus', count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O', 'P')) FROM orders
+UNION ALL
+SELECT 'domain', 'o_orderpriority',
+       count(*) FILTER (WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')) FROM orders
+UNION ALL
+SELECT 'unique', 'o_custkey,o_orderdate', coalesce(sum(n), 0) FROM (
+  SELECT count(*) AS n FROM orders GROUP BY o_custkey, o_orderdate HAVING count(*) > 1)""")
+def quality_report(spark, sf):
+    o = A.table(spark, sf, "orders")
+    return profile.quality_report(
+        o, not_null=["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"],
+        unique=["o_custkey", "o_orderdate"],
+        domains={"o_orderstatus": ["F", "O", "P"],
+                 "o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM"]})
