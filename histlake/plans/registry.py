@@ -540,3 +540,118 @@ def quality_report(spark, sf):
         unique=["o_custkey", "o_orderdate"],
         domains={"o_orderstatus": ["F", "O", "P"],
                  "o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM"]})
+
+
+# =================================================================== layout
+@query("clustered_write_readback", "SELECT * FROM lineitem")
+def clustered_write_readback(spark, sf):
+    """lineitem written range-clustered by ship date and partitioned by
+    return flag, then read back (partition column restored by discovery)."""
+    from histlake.session import scratch_dir
+    from histlake.sources.writers import write_clustered
+    li = A.table(spark, sf, "lineitem")
+    path = write_clustered(li, scratch_dir(spark, "lineitem_clustered"), cluster_by=["l_shipdate"],
+                           partition_by=["l_returnflag"])
+    return spark.read.parquet(path).select(*li.columns)
+
+
+# ================================================================ streaming
+def _scratch(spark, name):
+    from histlake.session import scratch_dir
+    return scratch_dir(spark, name)
+
+
+def _staged(spark, df, name, files=4, order_by=None):
+    from histlake.streaming.ingest import stage_files
+    path = stage_files(df, _scratch(spark, f"{name}_staging"), files, order_by)
+    return path, df.schema
+
+
+@query("stream_ingest", ORACLES["bronze_keys_tenure"])
+def stream_ingest(spark, sf):
+    """Staged payroll files -> streaming bronze (key + tenure) -> read back."""
+    from histlake.operators.keys import with_key_and_tenure
+    from histlake.streaming.ingest import ingest_stream
+    path, schema = _staged(spark, A.pay(spark, sf), "pay", files=4, order_by="fecha_consulta")
+    sink = ingest_stream(spark, path, schema, _scratch(spark, "bronze"), _scratch(spark, "ckpt"),
+                         transform=with_key_and_tenure, max_files_per_trigger=1)
+    return spark.read.parquet(sink).select("source_row", "cedula", "composite_key",
+                                           "fecha_consulta", "fecha_de_inicio", "antiguedad")
+
+
+@query("stream_grouped_max", ORACLES["reference_statuses"])
+def stream_grouped_max(spark, sf):
+    """Streaming status reference table (complete-mode aggregate + translation)."""
+    from histlake.sources.readers import read_stream
+    from histlake.streaming.reference import grouped_max_stream
+    path, schema = _staged(spark, A.log(spark, sf), "log", files=4)
+    d = A.dictionary(spark, A.EVENT_TYPE_DICTIONARY)
+    target = grouped_max_stream(
+        read_stream(spark, path, schema, max_files_per_trigger=1), "status_name_spanish",
+        _scratch(spark, "statuses"), _scratch(spark, "ckpt"),
+        enrich=lambda b: reference.translate(b, "status_name_spanish", d, "status_name_english"))
+    return spark.read.parquet(target).select("status_name_spanish", "last_source_update",
+                                             "last_checked_at", "status_name_english")
+
+
+@query("stream_distinct", with_ctes(A.PAY_SQL, body="""
+SELECT DISTINCT cargo AS position_name_spanish FROM pay WHERE cargo IS NOT NULL"""))
+def stream_distinct(spark, sf):
+    """Streaming dropDuplicates on position (first row seen per key kept)."""
+    from histlake.sources.readers import read_stream
+    from histlake.streaming.reference import distinct_stream
+    src_df = A.pay(spark, sf).select(F.col("cargo").alias("position_name_spanish"),
+                                     F.col("fecha_actualizacion").alias("last_seen_at"))
+    path, schema = _staged(spark, src_df, "positions", files=4)
+    target = distinct_stream(read_stream(spark, path, schema, max_files_per_trigger=1),
+                             "position_name_spanish", _scratch(spark, "positions"),
+                             _scratch(spark, "ckpt"))
+    return spark.read.parquet(target).select("position_name_spanish")
+
+
+@query("stream_new_keys", with_ctes(A.PAY_SQL, A.dictionary_sql("prio_dict", A.PRIORITY_DICTIONARY),
+                                    body="""
+SELECT c.cargo AS position_name_spanish, coalesce(d.target, c.cargo) AS position_name_english
+FROM (SELECT DISTINCT cargo FROM pay WHERE cargo IS NOT NULL) c
+LEFT JOIN (SELECT source, min(target) AS target FROM prio_dict GROUP BY source) d ON c.cargo = d.source"""))
+def stream_new_keys(spark, sf):
+    """Only-new-positions maintenance over several micro-batches."""
+    from histlake.sources.readers import read_stream
+    from histlake.streaming.reference import new_keys_stream
+    src_df = A.pay(spark, sf).select(F.col("cargo").alias("position_name_spanish"),
+                                     F.col("fecha_actualizacion").alias("last_seen_at"))
+    path, schema = _staged(spark, src_df, "positions", files=4)
+    d = A.dictionary(spark, A.PRIORITY_DICTIONARY)
+    target = new_keys_stream(
+        spark, read_stream(spark, path, schema, max_files_per_trigger=1), "position_name_spanish",
+        "last_seen_at", _scratch(spark, "positions"), _scratch(spark, "ckpt"),
+        enrich=lambda b: reference.translate(b, "position_name_spanish", d, "position_name_english"))
+    return spark.read.parquet(target).select("position_name_spanish", "position_name_english")
+
+
+@query("stream_scd1", ORACLES["scd1_latest_log"])
+def stream_scd1(spark, sf):
+    """SCD1 of the audit log maintained over out-of-order micro-batches."""
+    from histlake.sources.readers import read_stream
+    from histlake.streaming.cdc import scd_stream
+    log = A.log(spark, sf)
+    path, schema = _staged(spark, log, "log", files=4)
+    target = scd_stream(spark, read_stream(spark, path, schema, max_files_per_trigger=1),
+                        audit.PAIR, "checked_at", _scratch(spark, "bronze"), _scratch(spark, "scd1"),
+                        _scratch(spark, "ckpt"), scd_type=1, buckets=16)
+    return spark.read.parquet(target).select(*log.columns)
+
+
+@query("stream_scd2", ORACLES["scd2_history"])
+def stream_scd2(spark, sf):
+    """SCD2 of orders maintained over out-of-order micro-batches (late rows
+    split versions exactly as in the batch result)."""
+    from histlake.sources.readers import read_stream
+    from histlake.streaming.cdc import scd_stream
+    orders = A.table(spark, sf, "orders")
+    path, schema = _staged(spark, orders, "orders", files=4)
+    target = scd_stream(spark, read_stream(spark, path, schema, max_files_per_trigger=1),
+                        A.ORDERS_KEYS, "o_orderdate", _scratch(spark, "bronze"),
+                        _scratch(spark, "scd2"), _scratch(spark, "ckpt"), scd_type=2,
+                        track=["o_orderstatus"], tie_break=["o_orderkey"], buckets=16)
+    return spark.read.parquet(target).select(*orders.columns, "__START_AT", "__END_AT")
