@@ -11,12 +11,26 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 500_000
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                       known_rows: int | None = None, materialize: bool = True) -> DataFrame:
     """Return ``dim`` with a broadcast hint iff it has at most ``max_rows`` rows.
 
-    The check is a bounded count (``limit(max_rows + 1)``), so it stops as soon
-    as the bound is exceeded.  Beyond the bound the join falls back to a
-    shuffle join that scales with the data.
+    * ``known_rows``: an upper bound the caller already holds (e.g. a literal
+      dictionary) - no job is run.
+    * otherwise the dimension is first materialised with a reliable
+      ``checkpoint()`` (into ``spark.checkpoint.dir``, shared storage on a
+      cluster), so computing it for the check is not repeated by the join and
+      a lost executor re-reads it instead of re-aggregating the source; then a
+      bounded count (``limit(max_rows + 1)``) decides.
+
+    Beyond the bound the join falls back to a shuffle join that scales with
+    the data.
     """
+    if known_rows is not None and known_rows <= max_rows:
+        return F.broadcast(dim)
+    if materialize:
+        from histlake.session import checkpoint_root
+        checkpoint_root(dim.sparkSession)
+        dim = dim.checkpoint(eager=True)
     n = dim.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim

@@ -20,16 +20,18 @@ from histlake.operators.joins import broadcast_if_small
 
 def translate(df: DataFrame, col: str, dictionary: DataFrame, out_col: str,
               source: str = "source", target: str = "target",
-              flag_col: str | None = None, keep_missing: bool = True) -> DataFrame:
+              flag_col: str | None = None, keep_missing: bool = True,
+              dictionary_rows: int | None = None) -> DataFrame:
     """Left-join ``df[col]`` to a dictionary; ``out_col`` is the target text,
     or the original when the word is missing (``keep_missing``).
 
     The dictionary is reduced to one target per source (deterministic
-    ``min``) and broadcast when its size is checked small.
+    ``min``) and broadcast when its size is checked small
+    (``dictionary_rows``: a known upper bound, e.g. for a literal list).
     """
     d = (dictionary.groupBy(F.col(source).alias("_src"))
          .agg(F.min(F.col(target)).alias("_tgt")))
-    d = broadcast_if_small(d)
+    d = broadcast_if_small(d, known_rows=dictionary_rows)
     j = df.join(d, df[col] == d["_src"], "left")
     out = F.coalesce(F.col("_tgt"), F.col(col)) if keep_missing else F.col("_tgt")
     j = j.withColumn(out_col, out)
@@ -64,17 +66,19 @@ def latest_ok_by(log: DataFrame, name_col: str, status_col: str = "run_status",
 
 
 def reference_names(log: DataFrame, name_col: str, english_col: str,
-                    dictionary: DataFrame, **kw) -> DataFrame:
+                    dictionary: DataFrame, dictionary_rows: int | None = None, **kw) -> DataFrame:
     """Institution / status reference table (C8, C9): latest OK source update
     and check per name, plus the translated name."""
     stats = latest_ok_by(log, name_col, **kw)
-    return translate(stats, name_col, dictionary, english_col).select(
+    return translate(stats, name_col, dictionary, english_col,
+                     dictionary_rows=dictionary_rows).select(
         name_col, "last_source_update", "last_checked_at", english_col)
 
 
 def position_reference(bronze: DataFrame, dictionary: DataFrame,
                        position_col: str = "cargo", seen_col: str = "fecha_actualizacion",
-                       existing: DataFrame | None = None) -> DataFrame:
+                       existing: DataFrame | None = None,
+                       dictionary_rows: int | None = None) -> DataFrame:
     """Position reference (C10, batch form): one row per non-NULL position
     with the earliest time it was seen (deterministic stand-in for 'first row
     seen'), minus positions already in ``existing`` (J5), translated."""
@@ -84,7 +88,7 @@ def position_reference(bronze: DataFrame, dictionary: DataFrame,
     if existing is not None:
         positions = new_keys_only(positions, existing, ["position_name_spanish"])
     return translate(positions, "position_name_spanish", dictionary,
-                     "position_name_english").select(
+                     "position_name_english", dictionary_rows=dictionary_rows).select(
         "position_name_spanish", "last_seen_at", "position_name_english")
 
 

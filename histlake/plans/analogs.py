@@ -48,6 +48,13 @@ def dictionary(spark: SparkSession, pairs) -> DataFrame:
     return spark.createDataFrame(pairs, "source string, target string")
 
 
+def translated(df: DataFrame, col: str, pairs, out_col: str, **kw) -> DataFrame:
+    """Dictionary translation with a literal (size-known) dictionary."""
+    from histlake.operators.reference import translate
+    return translate(df, col, dictionary(df.sparkSession, pairs), out_col,
+                     dictionary_rows=len(pairs), **kw)
+
+
 def dictionary_sql(name: str, pairs) -> str:
     rows = ", ".join("('{}', '{}')".format(a.replace("'", "''"), b.replace("'", "''")) for a, b in pairs)
     return f"{name}(source, target) AS (VALUES {rows})"
@@ -133,13 +140,27 @@ PAYLOG_SQL = f"""paylog AS (
 
 
 def reference_tables(spark: SparkSession, sf_dir: str):
-    log = paylog(spark, sf_dir)
+    """The three reference tables of the snapshot.  Maxima and minima are
+    decomposable, so one grouped pre-aggregate per (institution, status,
+    position), materialised once, feeds all three exactly - one pass over
+    the log instead of three."""
+    from histlake.session import checkpoint_root
+    checkpoint_root(spark)
+    log = (paylog(spark, sf_dir)
+           .groupBy("institution_name_spanish", "status_name_spanish", "run_status", "cargo")
+           .agg(F.max("source_update").alias("source_update"),
+                F.max("checked_at").alias("checked_at"),
+                F.min("checked_at").alias("first_checked_at"))
+           .checkpoint(eager=True))
     inst = reference_names(log, "institution_name_spanish", "institution_name_english",
-                           dictionary(spark, SEGMENT_DICTIONARY))
+                           dictionary(spark, SEGMENT_DICTIONARY),
+                           dictionary_rows=len(SEGMENT_DICTIONARY))
     stat = reference_names(log, "status_name_spanish", "status_name_english",
-                           dictionary(spark, ORDER_STATUS_DICTIONARY))
+                           dictionary(spark, ORDER_STATUS_DICTIONARY),
+                           dictionary_rows=len(ORDER_STATUS_DICTIONARY))
     pos = position_reference(log, dictionary(spark, PRIORITY_DICTIONARY),
-                             position_col="cargo", seen_col="checked_at")
+                             position_col="cargo", seen_col="first_checked_at",
+                             dictionary_rows=len(PRIORITY_DICTIONARY))
     return inst, stat, pos
 
 

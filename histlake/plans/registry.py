@@ -366,7 +366,7 @@ EMPTY_DICT_SQL = "inst_dict(source, target) AS (SELECT NULL::VARCHAR, NULL::VARC
 def reference_institutions(spark, sf):
     empty = spark.createDataFrame([], "source string, target string")
     return reference.reference_names(A.log(spark, sf), "institution_name_spanish",
-                                     "institution_name_english", empty)
+                                     "institution_name_english", empty, dictionary_rows=0)
 
 
 @query("reference_statuses", with_ctes(LOG, _dict_sql("ev_dict", A.EVENT_TYPE_DICTIONARY),
@@ -375,7 +375,8 @@ def reference_institutions(spark, sf):
                                        body="SELECT * FROM r"))
 def reference_statuses(spark, sf):
     return reference.reference_names(A.log(spark, sf), "status_name_spanish", "status_name_english",
-                                     A.dictionary(spark, A.EVENT_TYPE_DICTIONARY))
+                                     A.dictionary(spark, A.EVENT_TYPE_DICTIONARY),
+                                     dictionary_rows=len(A.EVENT_TYPE_DICTIONARY))
 
 
 @query("reference_positions", with_ctes(A.PAY_SQL, A.PAYLOG_SQL, A.REFERENCE_SQL,
@@ -395,7 +396,8 @@ WHERE NOT EXISTS (SELECT 1 FROM pos_ref p WHERE p.position_name_spanish = c.posi
 def new_positions_only(spark, sf):
     existing = A.reference_tables(spark, sf)[2]
     return reference.position_reference(A.pay(spark, sf), A.dictionary(spark, A.PRIORITY_DICTIONARY),
-                                        existing=existing)
+                                        existing=existing,
+                                        dictionary_rows=len(A.PRIORITY_DICTIONARY))
 
 
 @query("translate_lookup", with_ctes(_dict_sql("lang_dict", A.LANGUAGE_DICTIONARY), body="""
@@ -404,8 +406,7 @@ FROM documents d LEFT JOIN (SELECT source, min(target) AS target FROM lang_dict
   ON d.lang = l.source"""))
 def translate_lookup(spark, sf):
     docs = A.table(spark, sf, "documents").select("doc_id", "lang")
-    return reference.translate(docs, "lang", A.dictionary(spark, A.LANGUAGE_DICTIONARY),
-                               "lang_label", flag_col="translated")
+    return A.translated(docs, "lang", A.LANGUAGE_DICTIONARY, "lang_label", flag_col="translated")
 
 
 # ======================================================================= text
@@ -585,11 +586,11 @@ def stream_grouped_max(spark, sf):
     from histlake.sources.readers import read_stream
     from histlake.streaming.reference import grouped_max_stream
     path, schema = _staged(spark, A.log(spark, sf), "log", files=4)
-    d = A.dictionary(spark, A.EVENT_TYPE_DICTIONARY)
     target = grouped_max_stream(
         read_stream(spark, path, schema, max_files_per_trigger=1), "status_name_spanish",
         _scratch(spark, "statuses"), _scratch(spark, "ckpt"),
-        enrich=lambda b: reference.translate(b, "status_name_spanish", d, "status_name_english"))
+        enrich=lambda b: A.translated(b, "status_name_spanish", A.EVENT_TYPE_DICTIONARY,
+                                      "status_name_english"))
     return spark.read.parquet(target).select("status_name_spanish", "last_source_update",
                                              "last_checked_at", "status_name_english")
 
@@ -621,11 +622,11 @@ def stream_new_keys(spark, sf):
     src_df = A.pay(spark, sf).select(F.col("cargo").alias("position_name_spanish"),
                                      F.col("fecha_actualizacion").alias("last_seen_at"))
     path, schema = _staged(spark, src_df, "positions", files=4)
-    d = A.dictionary(spark, A.PRIORITY_DICTIONARY)
     target = new_keys_stream(
         spark, read_stream(spark, path, schema, max_files_per_trigger=1), "position_name_spanish",
         "last_seen_at", _scratch(spark, "positions"), _scratch(spark, "ckpt"),
-        enrich=lambda b: reference.translate(b, "position_name_spanish", d, "position_name_english"))
+        enrich=lambda b: A.translated(b, "position_name_spanish", A.PRIORITY_DICTIONARY,
+                                      "position_name_english"))
     return spark.read.parquet(target).select("position_name_spanish", "position_name_english")
 
 
