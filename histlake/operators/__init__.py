@@ -1,4 +1,3 @@
-"""DataFrame -> DataFrame operators."""
-
-from histlake.operators import (audit, joins, keys, profile, reference, scd,  # noqa: F401
-                                snapshot, summaries)
+"""DataFrame -> DataFrame operators: ``keys``, ``scd``, ``snapshot``,
+``summaries``, ``audit``, ``reference``, ``profile`` and ``joins``
+(import the sub-modules directly)."""
