@@ -12,11 +12,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType
+from pyspark.sql.types import ArrayType, DateType, MapType, TimestampNTZType, TimestampType
+
+from histlake.operators.joins import broadcast_if_small
 
 START_AT = "__START_AT"
 END_AT = "__END_AT"
 
+# A key with more rows than this is "hot": its history is split into
+# sequence-range chunks of about ``DEFAULT_CHUNK_ROWS`` rows that are
+# processed in parallel and stitched together exactly.
+DEFAULT_HOT_KEY_ROWS = 2_000_000
+DEFAULT_CHUNK_ROWS = 1_000_000
+MAX_CHUNKS_PER_KEY = 4096
+
 
 def _orderable(df: DataFrame, cols: Sequence[str]) -> list[str]:
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -55,7 +64,9 @@ def scd1(df: DataFrame, keys: Sequence[str], sequence_by: str,
 
 def scd2(df: DataFrame, keys: Sequence[str], sequence_by: str,
          track: Sequence[str] | None = None, tie_break: Sequence[str] | None = None,
-         start_col: str = START_AT, end_col: str = END_AT) -> DataFrame:
+         start_col: str = START_AT, end_col: str = END_AT,
+         hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
+         chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """SCD type 2 with a tracked column list.
 
     A new version starts at the first row of a key and whenever a tracked
@@ -65,9 +76,12 @@ def scd2(df: DataFrame, keys: Sequence[str], sequence_by: str,
     of the latest row inside the version.  There is no delete rule: a key
     that disappears stays open.
 
-    Plan: one hash exchange on ``keys``; the per-(keys, sequence) dedup, the
-    change flags, the running version number, the per-version aggregate and
-    the closing ``lead`` all reuse that partitioning.
+    Plan.  A first, cheap aggregate counts rows per key (``hot_key_rows``;
+    ``None`` skips the check).  Without hot keys: one hash exchange on
+    ``keys``; the per-(keys, sequence) dedup, the change flags, the running
+    version number, the per-version aggregate and the closing ``lead`` all
+    reuse that partitioning.  With hot keys, see ``_scd2_chunked``: no key
+    is ever processed by a single task.
     """
     keys = list(keys)
     seq = sequence_by
@@ -76,6 +90,11 @@ def scd2(df: DataFrame, keys: Sequence[str], sequence_by: str,
     untracked = [c for c in non_key if c not in track]
     tie = _tie_cols(df, keys, seq, tie_break)
 
+    if hot_key_rows is not None:
+        hot = _hot_keys(df, keys, seq, hot_key_rows, chunk_rows)
+        if hot is not None:
+            return _scd2_chunked(df, keys, seq, track, untracked, tie, hot, start_col, end_col)
+
     base = df.where(F.col(seq).isNotNull()).repartition(*[F.col(k) for k in keys])
 
     # 1. one row per (keys, sequence): the largest tie-break wins
@@ -107,6 +126,121 @@ def scd2(df: DataFrame, keys: Sequence[str], sequence_by: str,
     return out.select(*df.columns, start_col, end_col)
 
 
+def _seq_number(df: DataFrame, seq: str) -> Column:
+    """Order-preserving numeric image of the sequence column."""
+    dtype = df.schema[seq].dataType
+    c = F.col(seq)
+    if isinstance(dtype, DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(dtype, TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c) \
+            .cast("double")
+    if isinstance(dtype, TimestampType):
+        return F.unix_micros(c).cast("double")
+    return c.cast("double")
+
+
+def _key_struct(keys: Sequence[str]) -> Column:
+    # one non-NULL struct column: NULL key parts compare equal inside it, so
+    # it can be a plain equi-join / partitioning key
+    return F.struct(*[F.col(k) for k in keys])
+
+
+def _hot_keys(df: DataFrame, keys: Sequence[str], seq: str, hot_key_rows: int,
+              chunk_rows: int) -> DataFrame | None:
+    """Keys with more than ``hot_key_rows`` rows, with their chunking plan
+    (sequence range split into ``_m`` equal-width chunks), materialised and
+    broadcast-ready; ``None`` when there is no hot key.  One partial +
+    final aggregate over the key and sequence columns only."""
+    x = _seq_number(df, seq)
+    stats = (df.where(F.col(seq).isNotNull())
+             .groupBy(_key_struct(keys).alias("_k"))
+             .agg(F.count(F.lit(1)).alias("_cnt"), F.min(x).alias("_lo"), F.max(x).alias("_hi"))
+             .where(F.col("_cnt") > F.lit(hot_key_rows)))
+    m = F.least(F.ceil(F.col("_cnt") / F.lit(float(chunk_rows))), F.lit(MAX_CHUNKS_PER_KEY)).cast("int")
+    hot = stats.select("_k", "_lo", m.alias("_m"),
+                       ((F.col("_hi") - F.col("_lo")) / m).alias("_w"))
+    hot = broadcast_if_small(hot)           # bounded: at most rows / hot_key_rows keys
+    return hot if hot.limit(1).count() > 0 else None
+
+
+def _scd2_chunked(df: DataFrame, keys: list[str], seq: str, track: list[str],
+                  untracked: list[str], tie: list[str], hot: DataFrame,
+                  start_col: str, end_col: str) -> DataFrame:
+    """SCD2 with hot keys split into sequence-range chunks.
+
+    1. rows get ``_chunk`` (0 for ordinary keys; for hot keys the equal-width
+       range of their sequence) by a broadcast join with the hot-key plan;
+    2. (keys, sequence) dedup as a grouped ``max_by`` - map-side combined, so
+       even a hot (key, sequence) pair is reduced before the shuffle;
+    3. change flags, local version numbers and next-row values by windows
+       per (key, chunk) - bounded groups;
+    4. for hot keys only, a per-chunk summary (first/last tracked value,
+       local version count, first sequence) is stitched across chunks by a
+       window over at most ``MAX_CHUNKS_PER_KEY`` rows per key and
+       broadcast back: it fixes the first row's change flag, offsets the
+       local version numbers and supplies the end of a chunk's last version;
+    5. one row per global version by a partial + final aggregate.
+    The result equals the single-exchange plan row for row.
+    """
+    payload = track + untracked
+    x = _seq_number(df, seq)
+    rows = (df.where(F.col(seq).isNotNull())
+            .withColumn("_k", _key_struct(keys))
+            .join(hot, "_k", "left"))
+    chunk = F.when(F.col("_m").isNull() | (F.col("_w") <= 0), F.lit(0)) \
+             .otherwise(F.least(F.floor((x - F.col("_lo")) / F.col("_w")), F.col("_m") - 1)).cast("int")
+    rows = rows.select("_k", seq, *payload, chunk.alias("_chunk"),
+                       F.col("_m").isNotNull().alias("_hot"))
+    order = F.struct(*[F.col(c) for c in tie]) if tie else F.lit(0)
+    dedup = (rows.groupBy("_k", "_chunk", "_hot", seq)
+             .agg(F.max_by(F.struct(*[F.col(c) for c in payload]), order).alias("_r"))
+             .select("_k", "_chunk", "_hot", seq, *[F.col(f"_r.{c}").alias(c) for c in payload]))
+
+    wc = Window.partitionBy("_k", "_chunk", "_hot").orderBy(seq)
+    tracked = F.struct(*[F.col(c) for c in track]) if track else F.lit(0)
+    local = (dedup.repartition("_k", "_chunk")
+             .withColumn("_t", tracked)
+             .withColumn("_lchg", F.when(F.row_number().over(wc) == 1, 1)
+                         .when(~F.col("_t").eqNullSafe(F.lag("_t").over(wc)), 1).otherwise(0))
+             .withColumn("_lver", F.sum("_lchg").over(wc.rowsBetween(Window.unboundedPreceding,
+                                                                      Window.currentRow)))
+             .withColumn("_nseq", F.lead(seq).over(wc))
+             .withColumn("_nchg", F.lead("_lchg").over(wc)))
+
+    # per-chunk summary of hot keys (the filter on a window partition column
+    # is pushed below the windows, so only hot rows take this branch)
+    ws = Window.partitionBy("_k").orderBy("_chunk")
+    summary = (local.where(F.col("_hot"))
+               .groupBy("_k", "_chunk")
+               .agg(F.min(seq).alias("_fseq"), F.min_by("_t", F.col(seq)).alias("_ft"),
+                    F.max_by("_t", F.col(seq)).alias("_lt"), F.max("_lver").alias("_n"))
+               .withColumn("_fchg", F.when(F.row_number().over(ws) == 1, 1)
+                           .when(~F.col("_ft").eqNullSafe(F.lag("_lt").over(ws)), 1).otherwise(0)))
+    summary = (summary
+               .withColumn("_off", F.coalesce(
+                   F.sum(F.col("_n") - 1 + F.col("_fchg")).over(ws.rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)))
+               .withColumn("_nfseq", F.lead("_fseq").over(ws))
+               .withColumn("_nfchg", F.lead("_fchg").over(ws))
+               .select("_k", "_chunk", "_fchg", "_off", "_nfseq", "_nfchg"))
+    summary = broadcast_if_small(summary)   # bounded: hot keys x chunks
+
+    j = local.join(summary, ["_k", "_chunk"], "left")
+    fchg = F.coalesce(F.col("_fchg"), F.lit(1))
+    gver = F.coalesce(F.col("_off"), F.lit(0)) + F.col("_lver") - 1 + fchg
+    cend = F.when(F.col("_nseq").isNotNull(), F.when(F.col("_nchg") == 1, F.col("_nseq"))) \
+            .otherwise(F.when(F.col("_nfchg") == 1, F.col("_nfseq")))
+    versions = (j.groupBy("_k", gver.alias("_gver"))
+                .agg(F.min(seq).alias(start_col),
+                     F.max_by(F.struct(*[F.col(c) for c in [seq] + payload], cend.alias("_cend")),
+                              F.col(seq)).alias("_v")))
+    out = versions.select(*[F.col("_k")[k].alias(k) for k in keys],
+                          *[F.col(f"_v.{c}").alias(c) for c in [seq] + payload],
+                          start_col, F.col("_v._cend").alias(end_col))
+    return out.select(*df.columns, start_col, end_col)
+
+
 def current(history: DataFrame, end_col: str = END_AT) -> DataFrame:
     """Current versions only (SC3): ``end IS NULL``."""
     return history.where(F.col(end_col).isNull())

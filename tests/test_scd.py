@@ -103,3 +103,19 @@ def test_scd2_properties(spark, events):
         for (s1, e1, v1), (s2, e2, v2) in zip(vs, vs[1:]):
             assert e1 == s2 and s1 < s2                                     # contiguous, disjoint
             assert v1 != v2                                                 # adjacent differ
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 40),
+                          st.sampled_from([1, 2, None])), min_size=1, max_size=40),
+       st.integers(1, 4))
+def test_hot_key_chunked_plan_equals_plain_plan(spark, events, chunk_rows):
+    """Hot keys split into sequence chunks give exactly the plain result."""
+    data = [(k, D(2024, 1, 1) + __import__("datetime").timedelta(days=d), v, str(i % 3))
+            for i, (k, d, v) in enumerate(events)]
+    df = spark.createDataFrame(data, SCHEMA)
+    plain = scd.scd2(df, ["k"], "seq", track=["v"], tie_break=["note"], hot_key_rows=None)
+    split = scd.scd2(df, ["k"], "seq", track=["v"], tie_break=["note"], hot_key_rows=2,
+                     chunk_rows=chunk_rows)
+    cols = ("k", "seq", "v", "note", "__START_AT", "__END_AT")
+    assert rows(split, *cols) == rows(plain, *cols)
