@@ -66,7 +66,8 @@ def scd2(df: DataFrame, keys: Sequence[str], sequence_by: str,
          track: Sequence[str] | None = None, tie_break: Sequence[str] | None = None,
          start_col: str = START_AT, end_col: str = END_AT,
          hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
-         chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+         chunk_rows: int = DEFAULT_CHUNK_ROWS,
+         change_type_col: str | None = None) -> DataFrame:
     """SCD type 2 with a tracked column list.
 
     A new version starts at the first row of a key and whenever a tracked
@@ -76,6 +77,9 @@ def scd2(df: DataFrame, keys: Sequence[str], sequence_by: str,
     of the latest row inside the version.  There is no delete rule: a key
     that disappears stays open.
 
+    ``change_type_col`` adds X3's label from the version number
+    (``INSERT`` for a key's first version, ``UPDATE`` after) at no cost.
+
     Plan.  A first, cheap aggregate counts rows per key (``hot_key_rows``;
     ``None`` skips the check).  Without hot keys: one hash exchange on
     ``keys``; the per-(keys, sequence) dedup, the change flags, the running
@@ -93,7 +97,8 @@ def scd2(df: DataFrame, keys: Sequence[str], sequence_by: str,
     if hot_key_rows is not None:
         hot = _hot_keys(df, keys, seq, hot_key_rows, chunk_rows)
         if hot is not None:
-            return _scd2_chunked(df, keys, seq, track, untracked, tie, hot, start_col, end_col)
+            return _scd2_chunked(df, keys, seq, track, untracked, tie, hot, start_col, end_col,
+                                 change_type_col)
 
     base = df.where(F.col(seq).isNotNull()).repartition(*[F.col(k) for k in keys])
 
@@ -122,8 +127,17 @@ def scd2(df: DataFrame, keys: Sequence[str], sequence_by: str,
     # 5. close each version at the next version's start
     w_ver = Window.partitionBy(*keys).orderBy(start_col)
     out = grouped.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in payload],
-                         start_col, F.lead(start_col).over(w_ver).alias(end_col))
-    return out.select(*df.columns, start_col, end_col)
+                         start_col, F.lead(start_col).over(w_ver).alias(end_col), "_ver")
+    return _finish(out, df.columns, start_col, end_col, change_type_col)
+
+
+def _finish(out: DataFrame, columns: list[str], start_col: str, end_col: str,
+            change_type_col: str | None) -> DataFrame:
+    cols = [F.col(c) for c in columns] + [F.col(start_col), F.col(end_col)]
+    if change_type_col:
+        cols.append(F.when(F.col("_ver") == 1, F.lit("INSERT")).otherwise(F.lit("UPDATE"))
+                    .alias(change_type_col))
+    return out.select(*cols)
 
 
 def _seq_number(df: DataFrame, seq: str) -> Column:
@@ -166,7 +180,7 @@ def _hot_keys(df: DataFrame, keys: Sequence[str], seq: str, hot_key_rows: int,
 
 def _scd2_chunked(df: DataFrame, keys: list[str], seq: str, track: list[str],
                   untracked: list[str], tie: list[str], hot: DataFrame,
-                  start_col: str, end_col: str) -> DataFrame:
+                  start_col: str, end_col: str, change_type_col: str | None = None) -> DataFrame:
     """SCD2 with hot keys split into sequence-range chunks.
 
     1. rows get ``_chunk`` (0 for ordinary keys; for hot keys the equal-width
@@ -237,8 +251,8 @@ def _scd2_chunked(df: DataFrame, keys: list[str], seq: str, track: list[str],
                               F.col(seq)).alias("_v")))
     out = versions.select(*[F.col("_k")[k].alias(k) for k in keys],
                           *[F.col(f"_v.{c}").alias(c) for c in [seq] + payload],
-                          start_col, F.col("_v._cend").alias(end_col))
-    return out.select(*df.columns, start_col, end_col)
+                          start_col, F.col("_v._cend").alias(end_col), F.col("_gver").alias("_ver"))
+    return _finish(out, df.columns, start_col, end_col, change_type_col)
 
 
 def current(history: DataFrame, end_col: str = END_AT) -> DataFrame:
@@ -255,11 +269,17 @@ def as_of(history: DataFrame, ts, start_col: str = START_AT, end_col: str = END_
 
 def with_change_type(history: DataFrame, keys: Sequence[str], start_col: str = START_AT,
                      name: str = "change_type") -> DataFrame:
-    """``INSERT`` for a key's first version, ``UPDATE`` for later ones."""
-    w = Window.partitionBy(*keys)
-    return history.withColumn(
-        name, F.when(F.col(start_col) == F.min(start_col).over(w), F.lit("INSERT"))
-               .otherwise(F.lit("UPDATE")))
+    """X3 on a stored history: ``INSERT`` for a key's first version,
+    ``UPDATE`` for later ones.  Each key's first start comes from a partial
+    + final aggregate joined back on the key (AQE splits a skewed key on the
+    history side), not from a per-key window.  When building the history,
+    prefer ``scd2(..., change_type_col=...)``, which needs no extra pass."""
+    firsts = history.groupBy(_key_struct(keys).alias("_k")).agg(F.min(start_col).alias("_first"))
+    h = history.withColumn("_k", _key_struct(keys))
+    return (h.join(firsts, "_k", "left")
+            .withColumn(name, F.when(F.col(start_col) == F.col("_first"), F.lit("INSERT"))
+                        .otherwise(F.lit("UPDATE")))
+            .select(*history.columns, name))
 
 
 def key_history(history: DataFrame, predicate: Column | None, now,

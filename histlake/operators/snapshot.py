@@ -18,25 +18,28 @@ def latest_snapshot(bronze: DataFrame, institutions: DataFrame, statuses: DataFr
                     positions: DataFrame, *, institution_col: str = "institucion",
                     status_col: str = "estado", position_col: str = "cargo",
                     sequence_col: str = "fecha_consulta",
-                    columns: Sequence[tuple[str, str]] = SNAPSHOT_COLUMNS) -> DataFrame:
+                    columns: Sequence[tuple[str, str]] = SNAPSHOT_COLUMNS,
+                    dimension_rows: int | None = None) -> DataFrame:
     """Rows whose sequence date equals the latest OK source update of their
     institution **and** of their status (two equality joins), enriched with
     the translated names; the position join is a left join (Q3, Q4).
 
     The three dimensions hold one row per name; each is broadcast after a
-    size check, so the fact side is never shuffled.
+    size check (``dimension_rows``: a proven upper bound the caller holds,
+    e.g. the row count of the pre-aggregate they derive from), so the fact
+    side is never shuffled.
     """
     inst = broadcast_if_small(institutions.select(
         F.col("institution_name_spanish").alias("_i_name"),
         F.col("last_source_update").alias("_i_date"),
-        F.col("institution_name_english")))
+        F.col("institution_name_english")), known_rows=dimension_rows)
     stat = broadcast_if_small(statuses.select(
         F.col("status_name_spanish").alias("_s_name"),
         F.col("last_source_update").alias("_s_date"),
-        F.col("status_name_english")))
+        F.col("status_name_english")), known_rows=dimension_rows)
     pos = broadcast_if_small(positions.select(
         F.col("position_name_spanish").alias("_p_name"),
-        F.col("position_name_english")))
+        F.col("position_name_english")), known_rows=dimension_rows)
     seq = F.col(sequence_col)
     joined = (bronze
               .join(inst, (F.col(institution_col) == F.col("_i_name")) & (seq == F.col("_i_date")), "inner")

@@ -152,6 +152,8 @@ def reference_tables(spark: SparkSession, sf_dir: str):
                 F.max("checked_at").alias("checked_at"),
                 F.min("checked_at").alias("first_checked_at"))
            .checkpoint(eager=True))
+    # every reference table has at most as many rows as this pre-aggregate
+    bound = log.count()
     inst = reference_names(log, "institution_name_spanish", "institution_name_english",
                            dictionary(spark, SEGMENT_DICTIONARY),
                            dictionary_rows=len(SEGMENT_DICTIONARY))
@@ -161,7 +163,7 @@ def reference_tables(spark: SparkSession, sf_dir: str):
     pos = position_reference(log, dictionary(spark, PRIORITY_DICTIONARY),
                              position_col="cargo", seen_col="first_checked_at",
                              dictionary_rows=len(PRIORITY_DICTIONARY))
-    return inst, stat, pos
+    return inst, stat, pos, bound
 
 
 def _ref_sql(name: str, col: str, english: str, dict_name: str, source: str = "paylog") -> str:
@@ -190,8 +192,8 @@ REFERENCE_SQL = ",\n".join([
 
 
 def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inst, stat, pos = reference_tables(spark, sf_dir)
-    return latest_snapshot(bronze(spark, sf_dir), inst, stat, pos)
+    inst, stat, pos, bound = reference_tables(spark, sf_dir)
+    return latest_snapshot(bronze(spark, sf_dir), inst, stat, pos, dimension_rows=bound)
 
 
 SNAPSHOT_SQL = """snapshot AS (
@@ -280,10 +282,10 @@ PAY_SCD_SQL = scd2_sql("ph", "bronze", BRONZE_COLUMNS,
                        ["salario", "gasto", "fecha_de_inicio"], ["source_row"])
 
 
-def orders_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_history(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     from histlake.operators.scd import scd2
     return scd2(table(spark, sf_dir, "orders"), ORDERS_KEYS, "o_orderdate",
-                track=["o_orderstatus"], tie_break=["o_orderkey"])
+                track=["o_orderstatus"], tie_break=["o_orderkey"], **kw)
 
 
 def pay_history(spark: SparkSession, sf_dir: str) -> DataFrame:

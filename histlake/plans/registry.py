@@ -194,7 +194,7 @@ def scd2_history_point(spark, sf):
 SELECT *, CASE WHEN __START_AT = min(__START_AT) OVER (PARTITION BY o_custkey, o_orderpriority)
                THEN 'INSERT' ELSE 'UPDATE' END AS change_type FROM oh_h"""))
 def scd2_change_type(spark, sf):
-    return scd.with_change_type(A.orders_history(spark, sf), A.ORDERS_KEYS)
+    return A.orders_history(spark, sf, change_type_col="change_type")
 
 
 @query("scd2_payroll_history", with_ctes(A.PAY_SQL, A.BRONZE_SQL, A.PAY_SCD_SQL,
@@ -382,7 +382,7 @@ def reference_statuses(spark, sf):
 @query("reference_positions", with_ctes(A.PAY_SQL, A.PAYLOG_SQL, A.REFERENCE_SQL,
                                         body="SELECT * FROM pos_ref"))
 def reference_positions(spark, sf):
-    return A.reference_tables(spark, sf)[2]
+    return A.reference_tables(spark, sf)[2]  # positions
 
 
 @query("new_positions_only", with_ctes(A.PAY_SQL, A.PAYLOG_SQL, A.REFERENCE_SQL, body="""

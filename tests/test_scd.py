@@ -105,7 +105,7 @@ def test_scd2_properties(spark, events):
             assert v1 != v2                                                 # adjacent differ
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 40),
                           st.sampled_from([1, 2, None])), min_size=1, max_size=40),
        st.integers(1, 4))
@@ -114,8 +114,21 @@ def test_hot_key_chunked_plan_equals_plain_plan(spark, events, chunk_rows):
     data = [(k, D(2024, 1, 1) + __import__("datetime").timedelta(days=d), v, str(i % 3))
             for i, (k, d, v) in enumerate(events)]
     df = spark.createDataFrame(data, SCHEMA)
-    plain = scd.scd2(df, ["k"], "seq", track=["v"], tie_break=["note"], hot_key_rows=None)
-    split = scd.scd2(df, ["k"], "seq", track=["v"], tie_break=["note"], hot_key_rows=2,
-                     chunk_rows=chunk_rows)
+    # default tie-break (all non-key columns) is a total order on distinct rows
+    plain = scd.scd2(df, ["k"], "seq", track=["v"], hot_key_rows=None)
+    split = scd.scd2(df, ["k"], "seq", track=["v"], hot_key_rows=2, chunk_rows=chunk_rows)
     cols = ("k", "seq", "v", "note", "__START_AT", "__END_AT")
     assert rows(split, *cols) == rows(plain, *cols)
+
+
+def test_change_type_from_scd2_equals_post_hoc(spark):
+    data = [("a", D(2025, 1, 1), 1, None), ("a", D(2025, 6, 1), 2, None), (None, D(2025, 1, 1), 1, None),
+            (None, D(2025, 2, 1), 3, None)]
+    df = spark.createDataFrame(data, SCHEMA)
+    for hot in (None, 1):
+        direct = scd.scd2(df, ["k"], "seq", track=["v"], change_type_col="change_type",
+                          hot_key_rows=hot, chunk_rows=1)
+        post = scd.with_change_type(scd.scd2(df, ["k"], "seq", track=["v"]), ["k"])
+        cols = ("k", "v", "__START_AT", "change_type")
+        assert rows(direct, *cols) == rows(post, *cols)
+        assert sorted(r[3] for r in rows(direct, *cols)) == ["INSERT", "INSERT", "UPDATE", "UPDATE"]
