@@ -37,3 +37,14 @@ def test_last_run_is_aggregate_join_not_window(spark):
 def test_group_summary_partial_aggregation(spark):
     p = plan(QUERIES["group_summary"](spark, SF))
     assert "partial_sum" in p or "partial_" in p
+
+
+def test_plain_scd2_single_exchange(spark):
+    h = A.orders_history(spark, SF, change_type_col="change_type")
+    p = plan(h)
+    assert p.count("Exchange hashpartitioning") == 1, p
+
+
+def test_scd1_is_partial_aggregate(spark):
+    p = plan(QUERIES["scd1_latest_log"](spark, SF))
+    assert "partial_max_by" in p and "Window" not in p
