@@ -54,6 +54,13 @@ def last_run(log: DataFrame) -> DataFrame:
         F.col("last_run"))
 
 
+def register_view(df: DataFrame, name: str) -> str:
+    """Expose a derived DataFrame (e.g. ``last_run``) to SQL users as a
+    session view (S9); dashboards then query it with ``spark.sql``."""
+    df.createOrReplaceTempView(name)
+    return name
+
+
 def recent(log: DataFrame, as_of_date, days: int = 7) -> DataFrame:
     """Runs checked in the last ``days`` days before ``as_of_date``, newest
     first (C18, P11, O3).  The date bound is a literal, so it is pushed to

@@ -311,6 +311,21 @@ def log_ok_ratio(spark, sf):
                     rnd("error_ratio", 6))
 
 
+@query("log_view_counters", with_ctes(LOG, LAST_RUN_SQL, body="""
+SELECT count(DISTINCT report) AS reports, sum(OK) AS files_downloaded, sum(ERROR) AS errors,
+       max(source_update) AS last_source_update, max(checked_at) AS last_checked_at
+FROM last_run"""))
+def log_view_counters(spark, sf):
+    """The last-run view registered for SQL users (S9) and the dashboard's
+    counter widgets run on it through ``spark.sql``."""
+    import uuid
+    name = audit.register_view(_last_run(spark, sf), f"v_last_run_{uuid.uuid4().hex[:8]}")
+    return spark.sql(f"""
+        SELECT count(DISTINCT report) AS reports, sum(OK) AS files_downloaded, sum(ERROR) AS errors,
+               max(source_update) AS last_source_update, max(checked_at) AS last_checked_at
+        FROM {name}""")
+
+
 WORK_BASE_URL = "https://example.org/report"
 
 
@@ -656,3 +671,21 @@ def stream_scd2(spark, sf):
                         _scratch(spark, "scd2"), _scratch(spark, "ckpt"), scd_type=2,
                         track=["o_orderstatus"], tie_break=["o_orderkey"], buckets=16)
     return spark.read.parquet(target).select(*orders.columns, "__START_AT", "__END_AT")
+
+
+# ==================================================== materialised refresh
+@query("refresh_gold_groups", GROUP_SQL)
+def refresh_gold_groups(spark, sf):
+    """All derived tables recomputed and stored in dependency order; the
+    stored gold group table is read back."""
+    from histlake.plans.refresh import refresh
+    from histlake.session import scratch_dir
+    inst, stat, pos, bound = A.reference_tables(spark, sf)
+    paths = refresh(spark, A.bronze(spark, sf), A.pay_history(spark, sf), inst, stat, pos,
+                    scratch_dir(spark, "tables"), detected_at=A.DETECTED_AT, dimension_rows=bound)
+    g = spark.read.parquet(paths["gold_groups"])
+    return g.select(*summaries.GROUP_COLUMNS, rnd("total_salary", 4), rnd("avg_salary", 6),
+                    rnd("total_allowance", 4), rnd("avg_allowance", 6),
+                    rnd("total_compensation", 4), "employee_count", "unique_employee_count",
+                    "first_start_date", "last_start_date", rnd("avg_years_of_service", 6),
+                    "min_years_of_service", "max_years_of_service")

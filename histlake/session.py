@@ -63,8 +63,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster's shared storage).  Only
-    when it is unset - local runs and tests - a fresh local folder is created
-    and registered on the session, so every later call agrees.
+    when it is unset *and* the master is local - local runs and tests - a
+    fresh local folder is created and registered on the session, so every
+    later call agrees.  On a cluster an unset value is an error: a folder on
+    the driver's disk is not visible to executors.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -77,6 +79,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         existing = sc.getCheckpointDir()
         if existing:
             return existing
+        if not (sc.master or "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) "
+                               "for checkpoints and intermediate tables")
         root = tempfile.mkdtemp(prefix="histlake-ckpt-")
         sc.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
