@@ -30,9 +30,18 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def nudge(n: int) -> float:
+    """Offset added before display rounding to ``n`` places, in Spark and in
+    the SQL alike: far above double-precision noise (~1e-11 here), far below
+    the displayed precision.  A value lying exactly on a decimal tie (common
+    for averages of money) then rounds the same way in both engines, although
+    one rounds the decimal text and the other the binary value."""
+    return 10.0 ** -(n + 3)
+
+
 def rnd(c: str | Column, n: int, alias: str | None = None) -> Column:
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(col, n).alias(alias or (c if isinstance(c, str) else None))
+    return F.round(col + F.lit(nudge(n)), n).alias(alias or (c if isinstance(c, str) else None))
 
 
 def with_ctes(*ctes: str, body: str) -> str:
@@ -67,8 +76,8 @@ def snapshot_per_group_latest(spark, sf):
 @query("employee_summary", with_ctes(SNAP, body="""
 SELECT id_number,
        CASE WHEN count(DISTINCT first_name) + count(DISTINCT last_name) > 2 THEN 1 ELSE 0 END AS multiple_names,
-       round(sum(salary), 4) AS total_salary, round(sum(allowance), 4) AS total_allowance,
-       round(sum(salary) + sum(allowance), 4) AS total_compensation,
+       round((sum(salary)) + 1e-07, 4) AS total_salary, round((sum(allowance)) + 1e-07, 4) AS total_allowance,
+       round((sum(salary) + sum(allowance)) + 1e-07, 4) AS total_compensation,
        count(DISTINCT position_sp) AS distinct_position_count,
        min(start_date) AS first_start_date, max(start_date) AS last_start_date,
        max(years_of_service) AS total_years_of_service,
@@ -97,12 +106,12 @@ def employee_positions_json(spark, sf):
 
 GROUP_SQL = with_ctes(SNAP, body="""
 SELECT institution_sp, institution_en, status_sp, status_en, position_sp, position_en,
-       round(sum(salary), 4) AS total_salary, round(avg(salary), 6) AS avg_salary,
-       round(sum(allowance), 4) AS total_allowance, round(avg(allowance), 6) AS avg_allowance,
-       round(sum(salary + allowance), 4) AS total_compensation,
+       round((sum(salary)) + 1e-07, 4) AS total_salary, round((avg(salary)) + 1e-09, 6) AS avg_salary,
+       round((sum(allowance)) + 1e-07, 4) AS total_allowance, round((avg(allowance)) + 1e-09, 6) AS avg_allowance,
+       round((sum(salary + allowance)) + 1e-07, 4) AS total_compensation,
        count(*) AS employee_count, count(DISTINCT id_number) AS unique_employee_count,
        min(start_date) AS first_start_date, max(start_date) AS last_start_date,
-       round(avg(years_of_service), 6) AS avg_years_of_service,
+       round((avg(years_of_service)) + 1e-09, 6) AS avg_years_of_service,
        min(years_of_service) AS min_years_of_service, max(years_of_service) AS max_years_of_service
 FROM snapshot
 GROUP BY institution_sp, institution_en, status_sp, status_en, position_sp, position_en""")
@@ -119,8 +128,8 @@ def group_summary(spark, sf):
 
 
 @query("by_institution", with_ctes(SNAP, body="""
-SELECT institution_en, count(*) AS total_employees, round(sum(salary), 4) AS total_salary_budget,
-       round(sum(allowance), 4) AS total_allowance_budget, round(avg(salary), 6) AS avg_salary,
+SELECT institution_en, count(*) AS total_employees, round((sum(salary)) + 1e-07, 4) AS total_salary_budget,
+       round((sum(allowance)) + 1e-07, 4) AS total_allowance_budget, round((avg(salary)) + 1e-09, 6) AS avg_salary,
        max(salary) AS max_salary
 FROM snapshot GROUP BY institution_en ORDER BY total_employees DESC"""))
 def by_institution(spark, sf):
@@ -130,7 +139,7 @@ def by_institution(spark, sf):
 
 
 @query("tenure_by_institution", with_ctes(SNAP, body="""
-SELECT institution_en, round(avg(years_of_service), 6) AS avg_years_service,
+SELECT institution_en, round((avg(years_of_service)) + 1e-09, 6) AS avg_years_service,
        min(years_of_service) AS min_years, max(years_of_service) AS max_years
 FROM snapshot GROUP BY institution_en ORDER BY avg_years_service DESC"""))
 def tenure_by_institution(spark, sf):
@@ -140,11 +149,11 @@ def tenure_by_institution(spark, sf):
 
 @query("top_100_compensation", with_ctes(SNAP, body="""
 SELECT id_number, concat(first_name, ' ', last_name) AS full_name, institution_en, position_en,
-       salary, allowance, round(salary + allowance, 4) AS total_compensation
+       salary, allowance, round((salary + allowance) + 1e-07, 4) AS total_compensation
 FROM snapshot ORDER BY salary + allowance DESC NULLS LAST, id_number, composite_key LIMIT 100"""))
 def top_100_compensation(spark, sf):
     t = summaries.top_compensation(A.snapshot(spark, sf), k=100)
-    return t.withColumn("total_compensation", F.round("total_compensation", 4))
+    return t.withColumn("total_compensation", rnd("total_compensation", 4))
 
 
 @query("status_distribution", with_ctes(SNAP, body="""
@@ -279,19 +288,19 @@ def log_recent(spark, sf):
 
 @query("log_status_table", with_ctes(LOG, LAST_RUN_SQL, body="""
 SELECT date_trunc('second', start_at) AS start_second, report, run_status,
-       date_trunc('day', source_update) AS source_day, round(avg(time), 6) AS avg_time,
+       date_trunc('day', source_update) AS source_day, round((avg(time)) + 1e-09, 6) AS avg_time,
        sum(OK) AS ok_count, sum(ERROR) AS error_count
 FROM last_run GROUP BY ALL"""))
 def log_status_table(spark, sf):
     t = audit.status_table(_last_run(spark, sf))
-    return t.withColumn("avg_time", F.round("avg_time", 6))
+    return t.withColumn("avg_time", rnd("avg_time", 6))
 
 
 @query("log_daily_time", with_ctes(LOG, body="""
-SELECT date_trunc('day', start_at) AS day, round(avg(time), 6) AS avg_time, count(*) AS runs
+SELECT date_trunc('day', start_at) AS day, round((avg(time)) + 1e-09, 6) AS avg_time, count(*) AS runs
 FROM log GROUP BY ALL"""))
 def log_daily_time(spark, sf):
-    return audit.daily_time(A.log(spark, sf)).withColumn("avg_time", F.round("avg_time", 6))
+    return audit.daily_time(A.log(spark, sf)).withColumn("avg_time", rnd("avg_time", 6))
 
 
 @query("log_freshness", with_ctes(LOG, LAST_RUN_SQL, body="""
@@ -302,8 +311,8 @@ def log_freshness(spark, sf):
 
 @query("log_ok_ratio", with_ctes(LOG, LAST_RUN_SQL, body="""
 SELECT count(DISTINCT report) AS reports, sum(OK) AS files_downloaded, sum(ERROR) AS errors,
-       round(sum(OK) / CAST(nullif(count(DISTINCT report), 0) AS DOUBLE), 6) AS downloaded_ratio,
-       round(sum(ERROR) / CAST(nullif(count(DISTINCT report), 0) AS DOUBLE), 6) AS error_ratio
+       round((sum(OK) / CAST(nullif(count(DISTINCT report), 0) AS DOUBLE)) + 1e-09, 6) AS downloaded_ratio,
+       round((sum(ERROR) / CAST(nullif(count(DISTINCT report), 0) AS DOUBLE)) + 1e-09, 6) AS error_ratio
 FROM last_run"""))
 def log_ok_ratio(spark, sf):
     r = audit.ok_ratio(_last_run(spark, sf))
@@ -495,8 +504,8 @@ def _compensation(spark, sf):
 
 
 @query("profile_summary", with_ctes(A.PAY_SQL, COMP_SQL, body="""
-SELECT count(total_compensation) AS count, round(avg(total_compensation), 6) AS mean,
-       round(stddev_samp(total_compensation), 6) AS stddev, min(total_compensation) AS min,
+SELECT count(total_compensation) AS count, round((avg(total_compensation)) + 1e-09, 6) AS mean,
+       round((stddev_samp(total_compensation)) + 1e-09, 6) AS stddev, min(total_compensation) AS min,
        quantile_disc(total_compensation, 0.25) AS p25, quantile_disc(total_compensation, 0.5) AS p50,
        quantile_disc(total_compensation, 0.75) AS p75, max(total_compensation) AS max
 FROM comp"""))
@@ -506,8 +515,8 @@ def profile_summary(spark, sf):
 
 
 @query("profile_skew", with_ctes(A.PAY_SQL, COMP_SQL, body="""
-SELECT round(avg(power(x - m, 3)) / power(var_pop(x), 1.5), 6) AS skew_original,
-       round(avg(power(lx - lm, 3)) / power(var_pop(lx), 1.5), 6) AS skew_log
+SELECT round((avg(power(x - m, 3)) / power(var_pop(x), 1.5)) + 1e-09, 6) AS skew_original,
+       round((avg(power(lx - lm, 3)) / power(var_pop(lx), 1.5)) + 1e-09, 6) AS skew_log
 FROM (SELECT total_compensation AS x, avg(total_compensation) OVER () AS m,
              ln(1 + total_compensation) AS lx, avg(ln(1 + total_compensation)) OVER () AS lm FROM comp)"""))
 def profile_skew(spark, sf):
@@ -524,8 +533,8 @@ HIST_BIN = "CAST(CASE WHEN b.w > 0 THEN least(floor((v.x - b.lo) / b.w), 99) ELS
     "b AS (SELECT min(x) AS lo, max(x) AS hi, (max(x) - min(x)) / 100.0 AS w FROM v)",
     body=f"""
 SELECT {HIST_BIN} AS bin,
-       round(any_value(b.lo) + {HIST_BIN} * any_value(b.w), 6) AS bin_start,
-       round(any_value(b.lo) + ({HIST_BIN} + 1) * any_value(b.w), 6) AS bin_end,
+       round((any_value(b.lo) + {HIST_BIN} * any_value(b.w)) + 1e-09, 6) AS bin_start,
+       round((any_value(b.lo) + ({HIST_BIN} + 1) * any_value(b.w)) + 1e-09, 6) AS bin_end,
        count(*) AS count
 FROM v, b WHERE v.x IS NOT NULL GROUP BY 1"""))
 def profile_histogram(spark, sf):
