@@ -166,6 +166,8 @@ def _hot_keys(df: DataFrame, keys: Sequence[str], seq: str, hot_key_rows: int,
     (sequence range split into ``_m`` equal-width chunks), materialised and
     broadcast-ready; ``None`` when there is no hot key.  One partial +
     final aggregate over the key and sequence columns only."""
+    from histlake.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
     x = _seq_number(df, seq)
     stats = (df.where(F.col(seq).isNotNull())
              .groupBy(_key_struct(keys).alias("_k"))
@@ -174,8 +176,12 @@ def _hot_keys(df: DataFrame, keys: Sequence[str], seq: str, hot_key_rows: int,
     m = F.least(F.ceil(F.col("_cnt") / F.lit(float(chunk_rows))), F.lit(MAX_CHUNKS_PER_KEY)).cast("int")
     hot = stats.select("_k", "_lo", m.alias("_m"),
                        ((F.col("_hi") - F.col("_lo")) / m).alias("_w"))
-    hot = broadcast_if_small(hot)           # bounded: at most rows / hot_key_rows keys
-    return hot if hot.limit(1).count() > 0 else None
+    # materialised once (reliable checkpoint); at most rows / hot_key_rows keys
+    hot = hot.checkpoint(eager=True)
+    n = hot.count()
+    if n == 0:
+        return None
+    return broadcast_if_small(hot, known_rows=n, materialize=False)
 
 
 def _scd2_chunked(df: DataFrame, keys: list[str], seq: str, track: list[str],

@@ -7,13 +7,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def read_batch(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_batch(spark: SparkSession, path: str, schema: StructType | None = None,
+               file_name_col: str | None = None) -> DataFrame:
     """Batch Parquet scan.  With ``schema`` the files are read against it:
-    extra source columns are dropped and missing ones come back NULL (S2)."""
+    extra source columns are dropped and missing ones come back NULL (S2).
+    ``file_name_col`` adds each row's source file name from the hidden
+    ``_metadata`` column (file provenance, F21) - no extra pass."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(path)
+    df = reader.parquet(path)
+    return with_file_name(df, file_name_col) if file_name_col else df
+
+
+def with_file_name(df: DataFrame, name: str) -> DataFrame:
+    """Add the source file name of every row (batch or streaming file scans)."""
+    return df.select("*", F.col("_metadata.file_name").alias(name))
 
 
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:

@@ -40,13 +40,26 @@ def cluster(df: DataFrame, cols: Sequence[str], partitions: int | None = None) -
 
 def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str],
                     partition_by: Sequence[str] | None = None,
-                    mode: str = "overwrite", partitions: int | None = None) -> str:
+                    mode: str = "overwrite", partitions: int | None = None,
+                    timestamp_type: str | None = None) -> str:
     """Clustered Parquet write (S8, S12).  ``partition_by`` adds directory
-    partitioning on low-cardinality columns (e.g. a status)."""
+    partitioning on low-cardinality columns (e.g. a status);
+    ``timestamp_type`` (``INT96``, ``TIMESTAMP_MICROS``, ``TIMESTAMP_MILLIS``)
+    pins the physical timestamp encoding for this write only."""
     w = cluster(df, cluster_by, partitions).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    if timestamp_type:
+        spark = df.sparkSession
+        key = "spark.sql.parquet.outputTimestampType"
+        old = spark.conf.get(key)
+        spark.conf.set(key, timestamp_type)
+        try:
+            w.parquet(path)
+        finally:
+            spark.conf.set(key, old)
+    else:
+        w.parquet(path)
     return path
 
 

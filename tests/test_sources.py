@@ -67,3 +67,14 @@ def test_translate_dictionary_and_distinct_hook(spark):
         return s.str.lower()
     u = rows(translate_distinct(df, "name", upper, "en"), "name", "en")
     assert u == [("CORTE", "corte"), ("TRIBUNAL", "tribunal"), ("TRIBUNAL", "tribunal"), (None, None)]
+
+
+def test_file_name_provenance_and_int96(spark):
+    path = scratch_dir(spark, "t_prov")
+    df = spark.createDataFrame([(1, T(2025, 1, 1, 13, 30))], "id int, ts timestamp")
+    before = spark.conf.get("spark.sql.parquet.outputTimestampType")
+    write_clustered(df, path, cluster_by=["id"], timestamp_type="TIMESTAMP_MICROS")
+    back = read_batch(spark, path, file_name_col="archivo")
+    r = back.collect()[0]
+    assert r["ts"] == T(2025, 1, 1, 13, 30) and r["archivo"].endswith(".parquet")
+    assert spark.conf.get("spark.sql.parquet.outputTimestampType") == before
