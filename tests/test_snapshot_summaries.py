@@ -114,3 +114,16 @@ def test_status_distribution_and_counts(spark):
     h = scd.scd2(b, PAYROLL_KEYS, "fecha_consulta", track=PAYROLL_TRACKED)
     rc = dict(rows(summaries.reconcile_counts(h, s), "source", "count"))
     assert rc == {"SCD Active Records": 7, "Latest Snapshot": 5}
+
+
+def test_promotion_opens_new_key_and_old_key_stays_open(spark):
+    """Q9: the key includes the position; a promotion opens a new history
+    and the old one is never closed, so it shows up as inactive."""
+    common = dict(nombre="ANA", apellido="PEREZ", cedula="9-9", estado="PERMANENTE",
+                  institucion="TE", salario=1.0, gasto=1.0, fecha_de_inicio=D(2020, 1, 1))
+    b = staging(spark, [dict(cargo="ANALISTA", fecha_consulta=T(2025, 1, 1), **common),
+                        dict(cargo="JEFE", fecha_consulta=T(2025, 2, 1), **common)])
+    h = scd.scd2(b, PAYROLL_KEYS, "fecha_consulta", track=PAYROLL_TRACKED)
+    assert rows(h, "cargo", "__END_AT") == [("ANALISTA", None), ("JEFE", None)]
+    s = snapshot.latest_snapshot(b, *refs(spark))
+    assert rows(snapshot.inactive(h, s), "cargo") == [("ANALISTA",)]
