@@ -33,29 +33,43 @@ def key_bucket(keys: Sequence[str], buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
+def apply_batch(spark: SparkSession, batch: DataFrame, keys: Sequence[str], sequence_by: str,
+                bronze_store: str, target: str, scd_type: int = 2,
+                track: Sequence[str] | None = None, tie_break: Sequence[str] | None = None,
+                buckets: int = 64) -> list[int]:
+    """Fold one micro-batch into the target; returns the touched buckets.
+    Safe to run twice for the same batch (a replay after a failure between
+    the write and the checkpoint commit): the target comes out the same."""
+    keys = list(keys)
+    columns = list(batch.columns)
+    staged = batch.withColumn(BUCKET, key_bucket(keys, buckets))
+    staged.write.mode("append").partitionBy(BUCKET).parquet(bronze_store)
+    touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())  # <= buckets ints
+    if not touched:
+        return touched
+    # declared schema: no footer reads for inference; the bucket filter
+    # prunes bronze down to the touched partition folders
+    rows = (spark.read.schema(staged.schema).parquet(bronze_store)
+            .where(F.col(BUCKET).isin(touched))
+            .select(*columns))
+    if scd_type == 1:
+        out = scd1(rows, keys, sequence_by, tie_break)
+    else:
+        out = scd2(rows, keys, sequence_by, track=track, tie_break=tie_break)
+    (out.withColumn(BUCKET, key_bucket(keys, buckets))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET).parquet(target))
+    return touched
+
+
 def scd_stream(spark: SparkSession, src: DataFrame, keys: Sequence[str], sequence_by: str,
                bronze_store: str, target: str, checkpoint: str, scd_type: int = 2,
                track: Sequence[str] | None = None, tie_break: Sequence[str] | None = None,
                buckets: int = 64) -> str:
-    keys = list(keys)
-    columns = list(src.columns)
-
+    """Run the SCD maintenance over every file of ``src`` available now."""
     def write(batch: DataFrame, epoch: int) -> None:
-        staged = batch.withColumn(BUCKET, key_bucket(keys, buckets))
-        staged.write.mode("append").partitionBy(BUCKET).parquet(bronze_store)
-        touched = [r[0] for r in staged.select(BUCKET).distinct().collect()]  # <= buckets ints
-        if not touched:
-            return
-        rows = (spark.read.parquet(bronze_store)
-                .where(F.col(BUCKET).isin(touched))
-                .select(*columns, BUCKET))
-        if scd_type == 1:
-            out = scd1(rows.drop(BUCKET), keys, sequence_by, tie_break)
-        else:
-            out = scd2(rows.drop(BUCKET), keys, sequence_by, track=track, tie_break=tie_break)
-        (out.withColumn(BUCKET, key_bucket(keys, buckets))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET).parquet(target))
+        apply_batch(spark, batch, keys, sequence_by, bronze_store, target, scd_type,
+                    track, tie_break, buckets)
 
     run_to_completion(src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
     return target
