@@ -109,7 +109,7 @@ def ok_ratio(last_run_df: DataFrame) -> DataFrame:
 
 
 def work_list(institutions: DataFrame, statuses: DataFrame, log: DataFrame, current_update,
-              base_url: str | None = None, max_list: int = 100_000) -> DataFrame:
+              base_url: str | None = None, max_list: int = 10_000) -> DataFrame:
     """Pairs (institution x status) still to extract.
 
     A pair is skipped iff an ``OK`` row exists with ``source_update >=
@@ -117,7 +117,9 @@ def work_list(institutions: DataFrame, statuses: DataFrame, log: DataFrame, curr
     without a join: the shorter list (size-checked against ``max_list``) is
     a scalar-subquery array exploded beside each row of the longer one, then
     the up-to-date pairs are removed with one anti join - one plan in
-    place of one job per pair.
+    place of one job per pair.  The exploded array is a name list (a few
+    statuses in practice), bounded by ``max_list``; the product itself is
+    the requested output.
     """
     inst = institutions.select(F.col(institutions.columns[0]).alias(INST)).distinct()
     stat = statuses.select(F.col(statuses.columns[0]).alias(STAT)).distinct()
