@@ -30,11 +30,19 @@ def skewness_raw_and_log(df: DataFrame, col: str) -> DataFrame:
                   F.skewness(F.log1p(F.col(col))).alias("skew_log"))
 
 
-def histogram(df: DataFrame, col: str, bins: int = 100) -> DataFrame:
+def histogram(df: DataFrame, col: str, bins: int = 100, materialize: bool = False) -> DataFrame:
     """Equal-width histogram (A19): bin = least(floor((x - min) / width),
     bins - 1).  Min and max come from one scalar subquery; the counts are a
     partial + final aggregate, so the result has at most ``bins`` rows
-    whatever the input size.  Empty bins are not emitted."""
+    whatever the input size.  Empty bins are not emitted.
+
+    The two passes read ``df`` twice; when ``df`` is an expensive derived
+    relation (joins), ``materialize=True`` stores its single value column
+    once (reliable checkpoint) and both passes read that."""
+    if materialize:
+        from histlake.session import checkpoint_root
+        checkpoint_root(df.sparkSession)
+        df = df.select(col).where(F.col(col).isNotNull()).checkpoint(eager=True)
     x = F.col(col)
     bounds = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
     lo, hi = bounds.getField("lo"), bounds.getField("hi")

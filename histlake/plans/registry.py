@@ -539,7 +539,7 @@ SELECT {HIST_BIN} AS bin,
 FROM v, b WHERE v.x IS NOT NULL GROUP BY 1"""))
 def profile_histogram(spark, sf):
     c = _compensation(spark, sf).select(F.log1p("total_compensation").alias("log_compensation"))
-    h = profile.histogram(c, "log_compensation", bins=100)
+    h = profile.histogram(c, "log_compensation", bins=100, materialize=True)
     return h.select("bin", rnd("bin_start", 6), rnd("bin_end", 6), "count")
 
 

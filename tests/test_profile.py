@@ -13,6 +13,7 @@ def test_describe_skew_histogram(spark):
     assert s["skew_original"] > s["skew_log"] > 0
     h = rows(profile.histogram(df, "x", bins=4), "bin", "count")
     assert h == [(0, 4), (3, 1)]
+    assert rows(profile.histogram(df, "x", bins=4, materialize=True), "bin", "count") == h
     const = spark.createDataFrame([(2.0,), (2.0,)], "x double")
     assert rows(profile.histogram(const, "x", bins=10), "bin", "count") == [(0, 2)]
 
