@@ -46,7 +46,10 @@ def translate_distinct(df: DataFrame, col: str, fn: Callable[[pd.Series], pd.Ser
     distinct values of ``col`` only, as an Arrow-batched pandas UDF, then
     join the result back.  The expensive call runs once per distinct name,
     distributed over executors, never once per row."""
-    udf = F.pandas_udf(fn, StringType())
+    def _apply(names: pd.Series) -> pd.Series:   # type hints select the Series -> Series UDF
+        return fn(names)
+
+    udf = F.pandas_udf(_apply, StringType())
     names = df.select(F.col(col).alias("_name")).where(F.col("_name").isNotNull()).distinct()
     translated = names.withColumn("_out", udf(F.col("_name")))
     j = df.join(translated, df[col] == translated["_name"], "left")

@@ -166,7 +166,7 @@ def reference_tables(spark: SparkSession, sf_dir: str):
     return inst, stat, pos, bound
 
 
-def _ref_sql(name: str, col: str, english: str, dict_name: str, source: str = "paylog") -> str:
+def reference_sql(name: str, col: str, english: str, dict_name: str, source: str = "paylog") -> str:
     return f"""{name} AS (
   SELECT r.{col}, r.last_source_update, r.last_checked_at,
          coalesce(d.target, r.{col}) AS {english}
@@ -180,8 +180,8 @@ REFERENCE_SQL = ",\n".join([
     dictionary_sql("seg_dict", SEGMENT_DICTIONARY),
     dictionary_sql("ostat_dict", ORDER_STATUS_DICTIONARY),
     dictionary_sql("prio_dict", PRIORITY_DICTIONARY),
-    _ref_sql("inst_ref", "institution_name_spanish", "institution_name_english", "seg_dict"),
-    _ref_sql("stat_ref", "status_name_spanish", "status_name_english", "ostat_dict"),
+    reference_sql("inst_ref", "institution_name_spanish", "institution_name_english", "seg_dict"),
+    reference_sql("stat_ref", "status_name_spanish", "status_name_english", "ostat_dict"),
     """pos_ref AS (
   SELECT r.position_name_spanish, r.last_seen_at,
          coalesce(d.target, r.position_name_spanish) AS position_name_english

@@ -384,7 +384,7 @@ EMPTY_DICT_SQL = "inst_dict(source, target) AS (SELECT NULL::VARCHAR, NULL::VARC
 
 
 @query("reference_institutions", with_ctes(LOG, EMPTY_DICT_SQL,
-                                           A._ref_sql("r", "institution_name_spanish",
+                                           A.reference_sql("r", "institution_name_spanish",
                                                       "institution_name_english", "inst_dict", "log"),
                                            body="SELECT * FROM r"))
 def reference_institutions(spark, sf):
@@ -394,7 +394,7 @@ def reference_institutions(spark, sf):
 
 
 @query("reference_statuses", with_ctes(LOG, _dict_sql("ev_dict", A.EVENT_TYPE_DICTIONARY),
-                                       A._ref_sql("r", "status_name_spanish", "status_name_english",
+                                       A.reference_sql("r", "status_name_spanish", "status_name_english",
                                                   "ev_dict", "log"),
                                        body="SELECT * FROM r"))
 def reference_statuses(spark, sf):

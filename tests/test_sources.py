@@ -2,7 +2,6 @@
 
 import os
 
-import pandas as pd
 from helpers import T, rows
 from pyspark.sql import functions as F
 
@@ -63,9 +62,7 @@ def test_translate_dictionary_and_distinct_hook(spark):
     assert t == [("CORTE", "CORTE", False), ("TRIBUNAL", "COURT", True), ("TRIBUNAL", "COURT", True),
                  (None, None, False)]
 
-    def upper(s: pd.Series) -> pd.Series:
-        return s.str.lower()
-    u = rows(translate_distinct(df, "name", upper, "en"), "name", "en")
+    u = rows(translate_distinct(df, "name", lambda s: s.str.lower(), "en"), "name", "en")
     assert u == [("CORTE", "corte"), ("TRIBUNAL", "tribunal"), ("TRIBUNAL", "tribunal"), (None, None)]
 
 
