@@ -46,3 +46,14 @@ def test_tenure_months_between_branches(spark):
     months_c = round(1 + ((20 - 5) * 86400 + 12 * 3600) / (31 * 86400.0), 8)
     assert abs(got["c"] - months_c / 12) < 1e-12
     assert got["d"] is None
+
+
+def test_bronze_adds_exactly_two_columns_and_session_is_utc(spark):
+    """Q27: bronze = input + composite_key + antiguedad.  Q6: one time zone."""
+    from histlake.session import apply_defaults
+    df = _staging(spark, [dict(cedula="1")])
+    out = with_key_and_tenure(df)
+    assert out.columns == df.columns + ["composite_key", "antiguedad"]
+    spark.conf.set("spark.sql.session.timeZone", "America/Panama")
+    apply_defaults(spark)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"

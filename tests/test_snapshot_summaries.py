@@ -92,6 +92,9 @@ def test_employee_summary_flags_totals_and_json(spark):
     assert one["total_salary"] == 300.0 and one["total_allowance"] == 10.0
     assert one["total_compensation"] == 310.0              # sum + sum
     assert one["distinct_position_count"] == 2
+    # Q15: years of service is the maximum over positions, not a sum
+    assert one["total_years_of_service"] == max(d["years_of_service"] for d in
+                                                json.loads(one["positions_details_json"]))
     details = json.loads(one["positions_details_json"])
     assert [d["first_name"] for d in details] == ["ANA", "ANNA"]   # sorted
     assert "allowance" not in details[1]                    # NULL fields omitted
