@@ -76,7 +76,7 @@ def list_items(df: DataFrame, html_col: str, id_col: str,
     position is assigned."""
     items = df.select(F.col(id_col),
                       F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(pattern), 1)))
-    return (items.select(F.col(id_col), (F.col("pos") + 1).alias("position"),
+    return (items.select(F.col(id_col), (F.col("pos") + 1).cast("long").alias("position"),
                          F.col("col").alias("item"))
             .where((F.trim("item") != F.lit("")) & ~F.contains(F.trim("item"), F.lit(placeholder))))
 

@@ -289,7 +289,7 @@ def log_recent(spark, sf):
 @query("log_status_table", with_ctes(LOG, LAST_RUN_SQL, body="""
 SELECT date_trunc('second', start_at) AS start_second, report, run_status,
        date_trunc('day', source_update) AS source_day, round((avg(time)) + 1e-09, 6) AS avg_time,
-       sum(OK) AS ok_count, sum(ERROR) AS error_count
+       CAST(sum(OK) AS BIGINT) AS ok_count, CAST(sum(ERROR) AS BIGINT) AS error_count
 FROM last_run GROUP BY ALL"""))
 def log_status_table(spark, sf):
     t = audit.status_table(_last_run(spark, sf))
@@ -310,7 +310,8 @@ def log_freshness(spark, sf):
 
 
 @query("log_ok_ratio", with_ctes(LOG, LAST_RUN_SQL, body="""
-SELECT count(DISTINCT report) AS reports, sum(OK) AS files_downloaded, sum(ERROR) AS errors,
+SELECT count(DISTINCT report) AS reports, CAST(sum(OK) AS BIGINT) AS files_downloaded,
+       CAST(sum(ERROR) AS BIGINT) AS errors,
        round((sum(OK) / CAST(nullif(count(DISTINCT report), 0) AS DOUBLE)) + 1e-09, 6) AS downloaded_ratio,
        round((sum(ERROR) / CAST(nullif(count(DISTINCT report), 0) AS DOUBLE)) + 1e-09, 6) AS error_ratio
 FROM last_run"""))
@@ -321,7 +322,8 @@ def log_ok_ratio(spark, sf):
 
 
 @query("log_view_counters", with_ctes(LOG, LAST_RUN_SQL, body="""
-SELECT count(DISTINCT report) AS reports, sum(OK) AS files_downloaded, sum(ERROR) AS errors,
+SELECT count(DISTINCT report) AS reports, CAST(sum(OK) AS BIGINT) AS files_downloaded,
+       CAST(sum(ERROR) AS BIGINT) AS errors,
        max(source_update) AS last_source_update, max(checked_at) AS last_checked_at
 FROM last_run"""))
 def log_view_counters(spark, sf):
@@ -359,7 +361,7 @@ def work_list(spark, sf):
 SELECT institution_name_spanish, status_name_spanish, run_status, source_update,
        TIMESTAMP '{A.DETECTED_AT}' AS checked_at, start_at, end_at,
        CAST(date_diff('microsecond', start_at, end_at) / 1000000.0 AS FLOAT) AS time,
-       sum(CASE WHEN run_status = 'OK' THEN 1 ELSE 0 END) OVER () AS updates
+       CAST(sum(CASE WHEN run_status = 'OK' THEN 1 ELSE 0 END) OVER () AS BIGINT) AS updates
 FROM log"""))
 def audit_rows(spark, sf):
     """Attempts -> typed audit rows appended to a table, read back."""
@@ -435,7 +437,7 @@ def translate_lookup(spark, sf):
 
 # ======================================================================= text
 @query("html_list_items", r"""
-SELECT page_id, position, item FROM (
+SELECT page_id, CAST(position AS BIGINT) AS position, item FROM (
   SELECT page_id, generate_subscripts(items, 1) AS position, unnest(items) AS item
   FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1) AS items
         FROM pages))
@@ -556,7 +558,7 @@ UNION ALL
 SELECT 'domain', 'o_orderpriority',
        count(*) FILTER (WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')) FROM orders
 UNION ALL
-SELECT 'unique', 'o_custkey,o_orderdate', coalesce(sum(n), 0) FROM (
+SELECT 'unique', 'o_custkey,o_orderdate', CAST(coalesce(sum(n), 0) AS BIGINT) FROM (
   SELECT count(*) AS n FROM orders GROUP BY o_custkey, o_orderdate HAVING count(*) > 1)""")
 def quality_report(spark, sf):
     o = A.table(spark, sf, "orders")
