@@ -51,7 +51,11 @@ def main() -> None:
         run_once(spark, name, sf_dir)  # warm-up (JIT, file listing, metadata)
         times = [run_once(spark, name, sf_dir) for _ in range(repeat)]
         results[name] = round(statistics.median(times), 3)
-    sf = os.path.basename(sf_dir).replace("sf", "")
+    sf_text = os.path.basename(sf_dir).replace("sf", "")
+    try:
+        sf = float(sf_text)
+    except ValueError:
+        sf = sf_text
     print(json.dumps({"metric": "sum_of_median_query_seconds", "value": round(sum(results.values()), 3),
                       "unit": "sec", "queries": results, "sf": sf}))
     spark.stop()
