@@ -132,3 +132,20 @@ def test_change_type_from_scd2_equals_post_hoc(spark):
         cols = ("k", "v", "__START_AT", "change_type")
         assert rows(direct, *cols) == rows(post, *cols)
         assert sorted(r[3] for r in rows(direct, *cols)) == ["INSERT", "INSERT", "UPDATE", "UPDATE"]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["x", None]), st.sampled_from([1, 2]),
+                          st.integers(0, 30), st.sampled_from(["p", "q", None]),
+                          st.sampled_from([0.5, 1.5])), min_size=1, max_size=45),
+       st.integers(1, 5))
+def test_hot_key_chunking_multi_column_keys_and_timestamps(spark, events, chunk_rows):
+    import datetime as dt
+    data = [(a, b, dt.datetime(2024, 1, 1) + dt.timedelta(hours=7 * h), t1, t2, i)
+            for i, (a, b, h, t1, t2) in enumerate(events)]
+    df = spark.createDataFrame(data, "a string, b int, ts timestamp, t1 string, t2 double, i long")
+    kw = dict(track=["t1", "t2"], change_type_col="ct")
+    plain = scd.scd2(df, ["a", "b"], "ts", hot_key_rows=None, **kw)
+    split = scd.scd2(df, ["a", "b"], "ts", hot_key_rows=1, chunk_rows=chunk_rows, **kw)
+    cols = ("a", "b", "ts", "t1", "t2", "i", "__START_AT", "__END_AT", "ct")
+    assert rows(split, *cols) == rows(plain, *cols)
