@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +14,12 @@ from histlake.streaming.ingest import run_to_completion
 
 def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     """The target table if it exists, else an empty DataFrame *with* the
-    schema - no eager count, no bare except around the plan."""
+    schema - no eager count, and only a missing path is treated as empty
+    (any other error propagates)."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER" in str(e):
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
         raise
 
