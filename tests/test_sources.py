@@ -75,3 +75,13 @@ def test_file_name_provenance_and_int96(spark):
     r = back.collect()[0]
     assert r["ts"] == T(2025, 1, 1, 13, 30) and r["archivo"].endswith(".parquet")
     assert spark.conf.get("spark.sql.parquet.outputTimestampType") == before
+
+
+def test_read_table_by_path_and_by_catalog_name(spark):
+    from histlake.sources import read_table
+    path = scratch_dir(spark, "t_tbl")
+    df = spark.createDataFrame([(1, None), (2, T(2025, 1, 1))], "id int, __END_AT timestamp")
+    df.write.parquet(path)
+    assert read_table(spark, path).where("__END_AT IS NULL").count() == 1   # SQL-string predicate
+    df.write.mode("overwrite").saveAsTable("histlake_t_tbl")
+    assert read_table(spark, "histlake_t_tbl").count() == 2
