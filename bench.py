@@ -13,6 +13,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -44,7 +45,8 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = build_session(f"local[{cpus}]", app="histlake-bench", shuffle_partitions=cpus * 2,
-                          conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                          conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                                "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="histlake-wh-")})
     spark.sparkContext.setLogLevel("ERROR")
     results = {}
     for name in (only or QUERIES):

@@ -67,7 +67,8 @@ def scd2(df: DataFrame, keys: Sequence[str], sequence_by: str,
          start_col: str = START_AT, end_col: str = END_AT,
          hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
          chunk_rows: int = DEFAULT_CHUNK_ROWS,
-         change_type_col: str | None = None) -> DataFrame:
+         change_type_col: str | None = None,
+         partitioned_by_keys: bool = False) -> DataFrame:
     """SCD type 2 with a tracked column list.
 
     A new version starts at the first row of a key and whenever a tracked
@@ -84,8 +85,11 @@ def scd2(df: DataFrame, keys: Sequence[str], sequence_by: str,
     ``None`` skips the check).  Without hot keys: one hash exchange on
     ``keys``; the per-(keys, sequence) dedup, the change flags, the running
     version number, the per-version aggregate and the closing ``lead`` all
-    reuse that partitioning.  With hot keys, see ``_scd2_chunked``: no key
-    is ever processed by a single task.
+    reuse that partitioning.  ``partitioned_by_keys=True`` states that the
+    input already arrives hash-partitioned by exactly ``keys`` (e.g. a table
+    written with ``sources.writers.write_bucketed``): the explicit
+    repartition is dropped and the plan has no exchange at all.  With hot
+    keys, see ``_scd2_chunked``: no key is ever processed by a single task.
     """
     keys = list(keys)
     seq = sequence_by
@@ -100,7 +104,9 @@ def scd2(df: DataFrame, keys: Sequence[str], sequence_by: str,
             return _scd2_chunked(df, keys, seq, track, untracked, tie, hot, start_col, end_col,
                                  change_type_col)
 
-    base = df.where(F.col(seq).isNotNull()).repartition(*[F.col(k) for k in keys])
+    base = df.where(F.col(seq).isNotNull())
+    if not partitioned_by_keys:
+        base = base.repartition(*[F.col(k) for k in keys])
 
     # 1. one row per (keys, sequence): the largest tie-break wins
     w_dup = Window.partitionBy(*keys, seq).orderBy(*[F.col(c).desc() for c in tie])

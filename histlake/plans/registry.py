@@ -173,6 +173,20 @@ def scd2_history(spark, sf):
     return A.orders_history(spark, sf)
 
 
+@query("scd2_history_bucketed", with_ctes(ORD_SCD, body="SELECT * FROM oh_h"))
+def scd2_history_bucketed(spark, sf):
+    """SCD2 over orders stored bucketed by the SCD keys: the history is
+    computed without any exchange (the scan already hash-partitions it)."""
+    import uuid
+    from histlake.session import scratch_dir
+    from histlake.sources.writers import write_bucketed
+    name = f"histlake_orders_{uuid.uuid4().hex[:8]}"
+    write_bucketed(A.table(spark, sf, "orders"), name, A.ORDERS_KEYS, 16,
+                   sort_by=A.ORDERS_KEYS + ["o_orderdate"], path=scratch_dir(spark, name))
+    return scd.scd2(spark.read.table(name), A.ORDERS_KEYS, "o_orderdate", track=["o_orderstatus"],
+                    tie_break=["o_orderkey"], partitioned_by_keys=True)
+
+
 @query("scd2_current", with_ctes(ORD_SCD, body="SELECT * FROM oh_h WHERE __END_AT IS NULL"))
 def scd2_current(spark, sf):
     return scd.current(A.orders_history(spark, sf))

@@ -80,3 +80,24 @@ def append_typed(df: DataFrame, path: str, schema: StructType,
         cols.append(c.cast(field.dataType).alias(field.name))
     df.select(*cols).write.mode("append").parquet(path)
     return path
+
+
+def write_bucketed(df: DataFrame, table: str, bucket_by: Sequence[str], buckets: int,
+                   sort_by: Sequence[str] | None = None, mode: str = "overwrite",
+                   path: str | None = None) -> str:
+    """Store ``df`` as a catalog table bucketed (and sorted) by ``bucket_by``.
+
+    Readers that group, window or join on those columns get the hash
+    partitioning from the scan itself, so Spark plans no exchange for them -
+    e.g. ``scd2(..., partitioned_by_keys=True)`` over bronze bucketed by the
+    SCD keys reads the history without shuffling it.  ``path`` keeps the
+    files there (an external table, e.g. in the shared folder) instead of
+    the warehouse directory.
+    """
+    w = df.write.mode(mode).format("parquet").bucketBy(buckets, *bucket_by)
+    if sort_by:
+        w = w.sortBy(*sort_by)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)
+    return table

@@ -48,3 +48,19 @@ def test_plain_scd2_single_exchange(spark):
 def test_scd1_is_partial_aggregate(spark):
     p = plan(QUERIES["scd1_latest_log"](spark, SF))
     assert "partial_max_by" in p and "Window" not in p
+
+
+def test_scd2_over_bucketed_bronze_needs_no_exchange(spark):
+    from helpers import rows
+
+    from histlake.operators import scd
+    from histlake.sources import write_bucketed
+    orders = A.table(spark, SF, "orders")
+    write_bucketed(orders, "histlake_orders_bucketed", A.ORDERS_KEYS, 8,
+                   sort_by=A.ORDERS_KEYS + ["o_orderdate"])
+    bucketed = spark.read.table("histlake_orders_bucketed")
+    kw = dict(track=["o_orderstatus"], tie_break=["o_orderkey"], hot_key_rows=None)
+    h = scd.scd2(bucketed, A.ORDERS_KEYS, "o_orderdate", partitioned_by_keys=True, **kw)
+    p = plan(h)
+    assert "Exchange" not in p, p
+    assert rows(h) == rows(scd.scd2(orders, A.ORDERS_KEYS, "o_orderdate", **kw))
