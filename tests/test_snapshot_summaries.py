@@ -130,3 +130,9 @@ def test_promotion_opens_new_key_and_old_key_stays_open(spark):
     assert rows(h, "cargo", "__END_AT") == [("ANALISTA", None), ("JEFE", None)]
     s = snapshot.latest_snapshot(b, *refs(spark))
     assert rows(snapshot.inactive(h, s), "cargo") == [("ANALISTA",)]
+
+
+def test_details_group_sizes(spark):
+    s = snapshot.latest_snapshot(payroll(spark), *refs(spark))
+    r = summaries.details_group_sizes(s, threshold=1).collect()[0]
+    assert (r["max_positions"], r["persons"], r["persons_over_threshold"]) == (2, 3, 2)
