@@ -179,15 +179,17 @@ def _hot_keys(df: DataFrame, keys: Sequence[str], seq: str, hot_key_rows: int,
              .groupBy(_key_struct(keys).alias("_k"))
              .agg(F.count(F.lit(1)).alias("_cnt"), F.min(x).alias("_lo"), F.max(x).alias("_hi"))
              .where(F.col("_cnt") > F.lit(hot_key_rows)))
+    # the common case - no hot key - is answered by this one aggregate job
+    if stats.limit(1).count() == 0:
+        return None
     m = F.least(F.ceil(F.col("_cnt") / F.lit(float(chunk_rows))), F.lit(MAX_CHUNKS_PER_KEY)).cast("int")
     hot = stats.select("_k", "_lo", m.alias("_m"),
                        ((F.col("_hi") - F.col("_lo")) / m).alias("_w"))
     # materialised once (reliable checkpoint); at most rows / hot_key_rows keys
+    from histlake.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
     hot = hot.checkpoint(eager=True)
-    n = hot.count()
-    if n == 0:
-        return None
-    return broadcast_if_small(hot, known_rows=n, materialize=False)
+    return broadcast_if_small(hot, known_rows=hot.count(), materialize=False)
 
 
 def _scd2_chunked(df: DataFrame, keys: list[str], seq: str, track: list[str],
