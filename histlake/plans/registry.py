@@ -173,6 +173,14 @@ def scd2_history(spark, sf):
     return A.orders_history(spark, sf)
 
 
+@query("scd2_history_split_keys", with_ctes(ORD_SCD, body="SELECT * FROM oh_h"))
+def scd2_history_split_keys(spark, sf):
+    """SCD2 with the hot-key path forced: every key with more than 4 rows is
+    split into sequence chunks of about 2 rows and stitched back - must equal
+    the plain history exactly."""
+    return A.orders_history(spark, sf, hot_key_rows=4, chunk_rows=2)
+
+
 @query("scd2_history_bucketed", with_ctes(ORD_SCD, body="SELECT * FROM oh_h"))
 def scd2_history_bucketed(spark, sf):
     """SCD2 over orders stored bucketed by the SCD keys: the history is
