@@ -25,6 +25,9 @@ END_AT = "__END_AT"
 DEFAULT_HOT_KEY_ROWS = 2_000_000
 DEFAULT_CHUNK_ROWS = 1_000_000
 MAX_CHUNKS_PER_KEY = 4096
+# at most this many quantile cut points in total (hot keys x cuts) are
+# broadcast; beyond it hot keys get equal-width chunks instead
+MAX_CUT_VALUES = 5_000_000
 
 
 def _orderable(df: DataFrame, cols: Sequence[str]) -> list[str]:
@@ -168,28 +171,60 @@ def _key_struct(keys: Sequence[str]) -> Column:
 
 def _hot_keys(df: DataFrame, keys: Sequence[str], seq: str, hot_key_rows: int,
               chunk_rows: int) -> DataFrame | None:
-    """Keys with more than ``hot_key_rows`` rows, with their chunking plan
-    (sequence range split into ``_m`` equal-width chunks), materialised and
-    broadcast-ready; ``None`` when there is no hot key.  One partial +
-    final aggregate over the key and sequence columns only."""
-    from histlake.session import checkpoint_root
-    checkpoint_root(df.sparkSession)
+    """Hot keys (more than ``hot_key_rows`` rows) and their chunking plan, or
+    ``None`` when there is none (the common case: one aggregate job over the
+    key and sequence columns only).
+
+    Per hot key: its sequence range, chunk count ``_m`` (about
+    ``chunk_rows`` rows each), the equal-width chunk width ``_w`` and
+    ``_cuts``, the sequence quantiles that split the key into chunks of equal
+    row count (``percentile_approx`` over the hot keys' rows, so chunks stay
+    balanced when a key's rows bunch in time).  ``_cuts`` is NULL - and
+    equal-width chunks are used - when all cut points together would exceed
+    ``MAX_CUT_VALUES``.  Materialised once and bounded: at most
+    rows / hot_key_rows keys.
+    """
     x = _seq_number(df, seq)
     stats = (df.where(F.col(seq).isNotNull())
              .groupBy(_key_struct(keys).alias("_k"))
              .agg(F.count(F.lit(1)).alias("_cnt"), F.min(x).alias("_lo"), F.max(x).alias("_hi"))
              .where(F.col("_cnt") > F.lit(hot_key_rows)))
-    # the common case - no hot key - is answered by this one aggregate job
     if stats.limit(1).count() == 0:
         return None
-    m = F.least(F.ceil(F.col("_cnt") / F.lit(float(chunk_rows))), F.lit(MAX_CHUNKS_PER_KEY)).cast("int")
-    hot = stats.select("_k", "_lo", m.alias("_m"),
-                       ((F.col("_hi") - F.col("_lo")) / m).alias("_w"))
-    # materialised once (reliable checkpoint); at most rows / hot_key_rows keys
     from histlake.session import checkpoint_root
     checkpoint_root(df.sparkSession)
-    hot = hot.checkpoint(eager=True)
-    return broadcast_if_small(hot, known_rows=hot.count(), materialize=False)
+    m = F.least(F.ceil(F.col("_cnt") / F.lit(float(chunk_rows))), F.lit(MAX_CHUNKS_PER_KEY)).cast("int")
+    hot = stats.select("_k", "_lo", m.alias("_m"),
+                       ((F.col("_hi") - F.col("_lo")) / m).alias("_w")).checkpoint(eager=True)
+    size = hot.agg(F.count(F.lit(1)).alias("n"), F.max("_m").alias("m")).first()
+    n_hot, m_max = size["n"], size["m"]
+    if m_max > 1 and n_hot * (m_max - 1) <= MAX_CUT_VALUES:
+        # one fraction list for all hot keys (percentages must be constant);
+        # keys needing fewer chunks just get finer ones
+        fractions = [i / m_max for i in range(1, m_max)]
+        cuts = (df.where(F.col(seq).isNotNull())
+                .withColumn("_k", _key_struct(keys))
+                .join(F.broadcast(hot.select("_k")), "_k", "inner")
+                .groupBy("_k").agg(F.percentile_approx(x, fractions, 10_000).alias("_cuts")))
+        hot = hot.join(cuts, "_k", "left").checkpoint(eager=True)
+    else:
+        hot = hot.withColumn("_cuts", F.lit(None).cast("array<double>"))
+    return broadcast_if_small(hot, known_rows=n_hot, materialize=False)
+
+
+def _quantile_chunk(x: Column, cuts: Column, max_cuts: int = MAX_CHUNKS_PER_KEY) -> Column:
+    """Number of cut points <= x (cuts ascending): a binary search by
+    powers of two, so each hot row costs O(log chunks), JVM-side."""
+    steps = []
+    step = 1
+    while step * 2 <= max_cuts:
+        step *= 2
+    while step >= 1:
+        steps.append(step)
+        step //= 2
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]), F.lit(0),
+        lambda pos, st: F.when(F.try_element_at(cuts, pos + st) <= x, pos + st).otherwise(pos))
 
 
 def _scd2_chunked(df: DataFrame, keys: list[str], seq: str, track: list[str],
@@ -197,8 +232,10 @@ def _scd2_chunked(df: DataFrame, keys: list[str], seq: str, track: list[str],
                   start_col: str, end_col: str, change_type_col: str | None = None) -> DataFrame:
     """SCD2 with hot keys split into sequence-range chunks.
 
-    1. rows get ``_chunk`` (0 for ordinary keys; for hot keys the equal-width
-       range of their sequence) by a broadcast join with the hot-key plan;
+    1. rows get ``_chunk`` (0 for ordinary keys; for hot keys the quantile
+       range of their sequence - about ``chunk_rows`` rows each - or an
+       equal-width range when the cut points are too many to ship) by a
+       broadcast join with the hot-key plan;
     2. (keys, sequence) dedup as a grouped ``max_by`` - map-side combined, so
        even a hot (key, sequence) pair is reduced before the shuffle;
     3. change flags, local version numbers and next-row values by windows
@@ -216,8 +253,11 @@ def _scd2_chunked(df: DataFrame, keys: list[str], seq: str, track: list[str],
     rows = (df.where(F.col(seq).isNotNull())
             .withColumn("_k", _key_struct(keys))
             .join(hot, "_k", "left"))
-    chunk = F.when(F.col("_m").isNull() | (F.col("_w") <= 0), F.lit(0)) \
-             .otherwise(F.least(F.floor((x - F.col("_lo")) / F.col("_w")), F.col("_m") - 1)).cast("int")
+    equal_width = F.when(F.col("_w") <= 0, F.lit(0)) \
+                   .otherwise(F.least(F.floor((x - F.col("_lo")) / F.col("_w")), F.col("_m") - 1))
+    chunk = F.when(F.col("_m").isNull(), F.lit(0)) \
+             .when(F.col("_cuts").isNotNull(), _quantile_chunk(x, F.col("_cuts"))) \
+             .otherwise(equal_width).cast("int")
     rows = rows.select("_k", seq, *payload, chunk.alias("_chunk"),
                        F.col("_m").isNotNull().alias("_hot"))
     order = F.struct(*[F.col(c) for c in tie]) if tie else F.lit(0)

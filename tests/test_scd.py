@@ -149,3 +149,27 @@ def test_hot_key_chunking_multi_column_keys_and_timestamps(spark, events, chunk_
     split = scd.scd2(df, ["a", "b"], "ts", hot_key_rows=1, chunk_rows=chunk_rows, **kw)
     cols = ("a", "b", "ts", "t1", "t2", "i", "__START_AT", "__END_AT", "ct")
     assert rows(split, *cols) == rows(plain, *cols)
+
+
+def test_hot_key_chunks_are_row_balanced_even_when_rows_bunch(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+    base = dt.datetime(2024, 1, 1)
+    data = [("h", base + dt.timedelta(seconds=i), i % 3) for i in range(900)] + \
+           [("h", base + dt.timedelta(days=3 * i + 2), i % 3) for i in range(100)] + [("n", base, 1)]
+    df = spark.createDataFrame(data, "k string, ts timestamp, v int")
+    hot = scd._hot_keys(df, ["k"], "ts", 50, 100)
+    x = scd._seq_number(df, "ts")
+    sizes = [r[1] for r in df.withColumn("_k", scd._key_struct(["k"])).join(hot, "_k")
+             .groupBy(scd._quantile_chunk(x, F.col("_cuts"))).count().collect()]
+    assert len(sizes) == 10 and max(sizes) <= 110
+
+
+def test_equal_width_fallback_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(scd, "MAX_CUT_VALUES", 0)
+    data = [("a", D(2024, 1, 1 + i % 28), i % 2, str(i)) for i in range(40)] + [("b", D(2024, 2, 1), 1, "x")]
+    df = spark.createDataFrame(data, SCHEMA)
+    plain = scd.scd2(df, ["k"], "seq", track=["v"], hot_key_rows=None)
+    split = scd.scd2(df, ["k"], "seq", track=["v"], hot_key_rows=5, chunk_rows=4)
+    assert rows(split) == rows(plain)
