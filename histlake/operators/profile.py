@@ -100,3 +100,26 @@ def not_null_violations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     for c in cols:
         cond = cond | F.col(c).isNull()
     return df.where(cond)
+
+
+def observe_quality(df: DataFrame, not_null: Sequence[str] = (),
+                    domains: Mapping[str, Sequence[str]] | None = None, name: str | None = None):
+    """Attach quality counters to ``df`` as Spark ``Observation`` metrics
+    (X4): they are computed by whatever action runs next - typically the
+    write of the table - with no extra pass over the data.
+
+    Returns ``(observed_df, observation)``; after the action,
+    ``observation.get`` is a dict: ``rows``, ``null_<col>`` per NOT NULL
+    column and ``bad_<col>`` per domain-checked column.  Attach it above any
+    ``repartitionByRange`` (e.g. after ``sources.writers.cluster``): the range
+    sampling pass re-runs the plan below the exchange and would count twice.
+    """
+    from pyspark.sql import Observation
+    import uuid
+    domains = dict(domains or {})
+    obs = Observation(name or f"quality_{uuid.uuid4().hex[:8]}")
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    metrics += [F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(f"null_{c}") for c in not_null]
+    metrics += [F.sum(F.when(F.col(c).isNotNull() & ~F.col(c).isin(list(v)), 1).otherwise(0))
+                .alias(f"bad_{c}") for c, v in domains.items()]
+    return df.observe(obs, *metrics), obs

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from histlake.operators import snapshot as snap
 from histlake.operators import summaries
-from histlake.sources.writers import materialize
+from histlake.operators.profile import observe_quality
+from histlake.sources.writers import cluster, materialize
 
 LAYOUT = {
     "snapshot": ["institution_sp", "status_sp"],
@@ -25,15 +26,20 @@ LAYOUT = {
 
 def refresh(spark: SparkSession, bronze: DataFrame, history: DataFrame, institutions: DataFrame,
             statuses: DataFrame, positions: DataFrame, base_path: str,
-            detected_at=None, dimension_rows: int | None = None) -> dict[str, str]:
+            detected_at=None, dimension_rows: int | None = None) -> dict:
     """Recompute and replace every derived table under ``base_path``;
-    returns ``name -> path``."""
+    returns ``name -> path`` plus ``snapshot_quality``: row and NULL-key
+    counts observed while the snapshot was written (no extra pass)."""
     base = base_path.rstrip("/")
-    paths = {name: f"{base}/{name}" for name in LAYOUT}
-    materialize(snap.latest_snapshot(bronze, institutions, statuses, positions,
-                                     dimension_rows=dimension_rows),
-                paths["snapshot"], cluster_by=LAYOUT["snapshot"],
-                comment="latest snapshot with translated names")
+    paths: dict = {name: f"{base}/{name}" for name in LAYOUT}
+    # observe above the clustering exchange: the range sampling pass runs the
+    # plan below it once more and would count rows twice
+    latest, quality = observe_quality(
+        cluster(snap.latest_snapshot(bronze, institutions, statuses, positions,
+                                     dimension_rows=dimension_rows), LAYOUT["snapshot"]),
+        not_null=["id_number", "first_name", "last_name", "position_sp", "status_sp"])
+    materialize(latest, paths["snapshot"], comment="latest snapshot with translated names")
+    paths["snapshot_quality"] = quality.get
     stored = spark.read.parquet(paths["snapshot"])
     materialize(snap.inactive(history, stored, detected_at=detected_at), paths["inactive"],
                 cluster_by=LAYOUT["inactive"], comment="current versions missing from the snapshot")

@@ -27,3 +27,11 @@ def test_quality_report(spark):
     assert r == [("domain", "status", 1), ("not_null", "k", 1), ("not_null", "n", 1),
                  ("unique", "k", 2)]
     assert profile.not_null_violations(df, ["k", "n"]).count() == 2
+
+
+def test_observe_quality_counts_during_the_write(spark):
+    df = spark.createDataFrame([("a", "OK"), (None, "BAD"), ("c", None)], "k string, status string")
+    observed, obs = profile.observe_quality(df, not_null=["k", "status"],
+                                            domains={"status": ["OK", "FAIL", "No Update"]})
+    observed.write.format("noop").mode("overwrite").save()
+    assert obs.get == {"rows": 3, "null_k": 1, "null_status": 1, "bad_status": 1}

@@ -85,3 +85,15 @@ def test_read_table_by_path_and_by_catalog_name(spark):
     assert read_table(spark, path).where("__END_AT IS NULL").count() == 1   # SQL-string predicate
     df.write.mode("overwrite").saveAsTable("histlake_t_tbl")
     assert read_table(spark, "histlake_t_tbl").count() == 2
+
+
+def test_refresh_observes_snapshot_quality_once(spark):
+    from histlake.plans import analogs as A
+    from histlake.plans.refresh import refresh
+    sf = "/root/testdata/sf0.001"
+    inst, stat, pos, bound = A.reference_tables(spark, sf)
+    paths = refresh(spark, A.bronze(spark, sf), A.pay_history(spark, sf), inst, stat, pos,
+                    scratch_dir(spark, "t_refresh"), dimension_rows=bound)
+    stored = spark.read.parquet(paths["snapshot"]).count()
+    assert paths["snapshot_quality"]["rows"] == stored
+    assert paths["snapshot_quality"]["null_id_number"] == 0
