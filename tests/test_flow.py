@@ -1,0 +1,45 @@
+"""The triggered flow end to end, over two arrivals of staging files."""
+
+from helpers import D, T, rows
+
+from histlake.schemas import AUDIT_LOG_SCHEMA, STAGING_SCHEMA
+from histlake.session import scratch_dir
+from histlake.streaming.flow import run_triggered_flow
+
+
+def staging_rows(date, salary_b):
+    common = dict(estado="PERMANENTE", institucion="TRIBUNAL", fecha_de_inicio=D(2020, 1, 15),
+                  fecha_actualizacion=date, fecha_consulta=date, archivo="f", gasto=10.0)
+    out = []
+    for d in [dict(nombre="ANA", apellido="PEREZ", cedula="1-1", cargo="ANALISTA", salario=100.0),
+              dict(nombre="LUIS", apellido="DIAZ", cedula="2-2", cargo="JEFE", salario=salary_b)]:
+        d = {**common, **d}
+        out.append(tuple(d.get(f.name) for f in STAGING_SCHEMA.fields))
+    return out
+
+
+def test_triggered_flow_two_arrivals(spark):
+    staging, log_dir, base = (scratch_dir(spark, n) for n in ("f_staging", "f_log", "f_base"))
+    words = spark.createDataFrame([("TRIBUNAL", "COURT"), ("ANALISTA", "ANALYST")],
+                                  "source string, target string")
+
+    def arrive(date, salary_b):
+        spark.createDataFrame(staging_rows(date, salary_b), STAGING_SCHEMA).write.mode("append").parquet(staging)
+        spark.createDataFrame([("TRIBUNAL", "PERMANENTE", "OK", date, date, date, date, 1.0)],
+                              AUDIT_LOG_SCHEMA).write.mode("append").parquet(log_dir)
+
+    arrive(T(2025, 1, 1), 200.0)
+    p = run_triggered_flow(spark, staging, log_dir, words, base)
+    assert spark.read.parquet(p["snapshot"]).count() == 2
+
+    arrive(T(2025, 2, 1), 250.0)          # LUIS gets a raise: a new SCD2 version
+    p = run_triggered_flow(spark, staging, log_dir, words, base)
+    snap = spark.read.parquet(p["snapshot"])
+    assert rows(snap, "id_number", "salary", "institution_en", "position_en") == [
+        ("1-1", 100.0, "COURT", "ANALYST"), ("2-2", 250.0, "COURT", "JEFE")]
+    hist = spark.read.parquet(p["scd2"])
+    assert rows(hist.where("cedula = '2-2'"), "salario", "__END_AT") == [(200.0, T(2025, 2, 1)),
+                                                                       (250.0, None)]
+    assert spark.read.parquet(p["inactive"]).count() == 0
+    assert spark.read.parquet(p["bronze"]).count() == 4          # each file ingested once
+    assert spark.read.parquet(p["positions"]).count() == 2
