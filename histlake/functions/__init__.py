@@ -2,4 +2,4 @@
 
 from histlake.functions.text import (extract_update_date, file_name_from_header,  # noqa: F401
                                      list_items, normalise_name, select_options,
-                                     url_quote)
+                                     unescape_html, url_quote)

@@ -7,6 +7,8 @@ whole texts - no Python per row.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,10 @@ HEADER_ROW = 5
 FIRST_DATA_ROW = 6
 UPDATE_ROW = 3
 UPDATE_CELL = 5
+# HTML character references decoded in extracted element text (name, char);
+# "&amp;" is decoded last so "&amp;lt;" becomes "&lt;", not "<":
+HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
+                 ("&nbsp;", "\u00a0"), ("&amp;", "&")]
 # Day-first date formats of the source:
 START_DATE_FORMAT = "d/M/yyyy"
 COMPAT_TS_FORMAT = "d/M/yyyy H:m:s"      # hour read as 0-23, AM/PM marker ignored
@@ -52,6 +58,14 @@ def normalise_name(c: Column) -> Column:
     return F.when(s == F.lit("cédula"), F.lit("cedula")).otherwise(s)
 
 
+def unescape_html(c: Column) -> Column:
+    """Decode the common HTML character references of element text, as an
+    HTML parser's text accessor does."""
+    for entity, char in HTML_ENTITIES:
+        c = F.replace(c, F.lit(entity), F.lit(char))
+    return c
+
+
 def drop_blank_and_placeholder(items: Column, placeholder: str = PLACEHOLDER) -> Column:
     """remove blank entries and entries containing the placeholder."""
     return F.filter(items, lambda x: (F.trim(x) != F.lit("")) &
@@ -61,9 +75,9 @@ def drop_blank_and_placeholder(items: Column, placeholder: str = PLACEHOLDER) ->
 def select_options(html: Column, select_id: str, placeholder: str = PLACEHOLDER) -> Column:
     """Option texts of ``<select id=select_id>`` (T3) as an array; an absent
     element gives an empty array."""
-    block = F.regexp_extract(html, r'(?s)<select[^>]*id="' + select_id + r'"[^>]*>(.*?)</select>', 1)
+    block = F.regexp_extract(html, r'(?s)<select[^>]*id="' + re.escape(select_id) + r'"[^>]*>(.*?)</select>', 1)
     items = F.regexp_extract_all(block, F.lit(r"<option[^>]*>([^<]*)</option>"), 1)
-    return drop_blank_and_placeholder(items, placeholder)
+    return drop_blank_and_placeholder(F.transform(items, unescape_html), placeholder)
 
 
 LIST_ITEM_PATTERN = r'<li><a href="[^"]*">([^<]*)</a></li>'
@@ -77,7 +91,7 @@ def list_items(df: DataFrame, html_col: str, id_col: str,
     items = df.select(F.col(id_col),
                       F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(pattern), 1)))
     return (items.select(F.col(id_col), (F.col("pos") + 1).cast("long").alias("position"),
-                         F.col("col").alias("item"))
+                         unescape_html(F.col("col")).alias("item"))
             .where((F.trim("item") != F.lit("")) & ~F.contains(F.trim("item"), F.lit(placeholder))))
 
 

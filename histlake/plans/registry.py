@@ -458,11 +458,19 @@ def translate_lookup(spark, sf):
 
 
 # ======================================================================= text
+def _unescape_sql(expr: str) -> str:
+    from histlake.functions.text import HTML_ENTITIES
+    for entity, char in HTML_ENTITIES:
+        expr = f"replace({expr}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
+    return expr
+
+
 @query("html_list_items", r"""
 SELECT page_id, CAST(position AS BIGINT) AS position, item FROM (
-  SELECT page_id, generate_subscripts(items, 1) AS position, unnest(items) AS item
-  FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1) AS items
-        FROM pages))
+  SELECT page_id, position, """ + _unescape_sql("raw") + r""" AS item FROM (
+    SELECT page_id, generate_subscripts(items, 1) AS position, unnest(items) AS raw
+    FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1) AS items
+          FROM pages)))
 WHERE trim(item) <> '' AND NOT contains(trim(item), 'Seleccione')""")
 def html_list_items(spark, sf):
     from histlake.functions.text import list_items

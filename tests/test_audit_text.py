@@ -114,3 +114,11 @@ def test_clean_sheets_header_rows_and_casts(spark):
                     "TRIBUNAL", "f1"),
                    ("LUIS", "DIAZ", "1-1", 99.0, 10.0, dt.date(2019, 12, 31), T(2025, 1, 5, 1, 30),
                     "TRIBUNAL", "f1")]
+
+
+def test_html_entities_decoded_like_a_parser(spark):
+    html = ('<select id="s.1"><option>A &amp; B</option><option>&lt;x&gt; &quot;q&quot;</option>'
+            '<option>&amp;lt;</option></select>')
+    df = spark.createDataFrame([(html,)], "h string")
+    got = df.select(text.select_options(F.col("h"), "s.1")).collect()[0][0]
+    assert got == ["A & B", '<x> "q"', "&lt;"]
