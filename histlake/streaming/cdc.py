@@ -56,7 +56,10 @@ def apply_batch(spark: SparkSession, batch: DataFrame, keys: Sequence[str], sequ
         out = scd1(rows, keys, sequence_by, tie_break)
     else:
         out = scd2(rows, keys, sequence_by, track=track, tie_break=tie_break)
+    # sorted by key inside each bucket file: point lookups on the history
+    # (e.g. one id's versions) skip row groups by their min/max statistics
     (out.withColumn(BUCKET, key_bucket(keys, buckets))
+     .sortWithinPartitions(BUCKET, *keys)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET).parquet(target))
     return touched

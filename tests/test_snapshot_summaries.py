@@ -136,3 +136,15 @@ def test_details_group_sizes(spark):
     s = snapshot.latest_snapshot(payroll(spark), *refs(spark))
     r = summaries.details_group_sizes(s, threshold=1).collect()[0]
     assert (r["max_positions"], r["persons"], r["persons_over_threshold"]) == (2, 3, 2)
+
+
+def test_employee_summary_without_details(spark):
+    s = snapshot.latest_snapshot(payroll(spark), *refs(spark))
+    full = {r["id_number"]: r for r in summaries.employee_summary(s).collect()}
+    lean = {r["id_number"]: r for r in summaries.employee_summary(s, details=False).collect()}
+    assert set(full) == set(lean)
+    for k in full:
+        assert lean[k]["positions_details_json"] is None
+        assert lean[k]["total_salary"] == full[k]["total_salary"]
+    p = summaries.employee_summary(s, details=False)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in p
