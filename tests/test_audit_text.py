@@ -83,11 +83,11 @@ def test_update_date_compat_vs_strict(spark):
 
 
 def test_select_options_and_file_names(spark):
-    html = ('<select id="MainContent_ddlEstado"><option value="">Seleccione un estado</option>'
+    html = ('<select id="status_list"><option value="">Seleccione un estado</option>'
             '<option> </option><option>PERMANENTE</option><option>EVENTUAL</option></select>'
             '<select id="other"><option>NO</option></select>')
     df = spark.createDataFrame([(html,), ("<p>nothing</p>",)], "h string")
-    got = [r[0] for r in df.select(text.select_options(F.col("h"), "MainContent_ddlEstado")).collect()]
+    got = [r[0] for r in df.select(text.select_options(F.col("h"), "status_list")).collect()]
     assert got == [["PERMANENTE", "EVENTUAL"], []]
     hdr = spark.createDataFrame([('attachment; filename="Planilla_01.xlsx"',), ("inline",), (None,)], "h string")
     assert [r[0] for r in hdr.select(text.file_name_from_header(F.col("h"))).collect()] == \

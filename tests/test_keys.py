@@ -54,6 +54,6 @@ def test_bronze_adds_exactly_two_columns_and_session_is_utc(spark):
     df = _staging(spark, [dict(cedula="1")])
     out = with_key_and_tenure(df)
     assert out.columns == df.columns + ["composite_key", "antiguedad"]
-    spark.conf.set("spark.sql.session.timeZone", "America/Panama")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     apply_defaults(spark)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
