@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql.types import (DateType, DoubleType, FloatType, StringType,
                                StructField, StructType, TimestampType)
 
+# ---------------------------------------------------------------------------
+# Everything in this module must equal the source data's and
+# the documented tables' names - column names and order, key / tracked
+# column lists, run statuses and the snapshot's output names.
+# ---------------------------------------------------------------------------
+
 # Staging / bronze input: twelve nullable columns, applied with ``.schema()``.
 STAGING_SCHEMA = StructType([
     StructField("nombre", StringType(), True),
