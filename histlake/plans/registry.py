@@ -117,6 +117,15 @@ FROM snapshot
 GROUP BY institution_sp, institution_en, status_sp, status_en, position_sp, position_en""")
 
 
+@query("employee_detail_sizes", with_ctes(SNAP, body="""
+SELECT max(n) AS max_positions, count(*) AS persons,
+       CAST(sum(CASE WHEN n > 1 THEN 1 ELSE 0 END) AS BIGINT) AS persons_over_threshold
+FROM (SELECT id_number, count(*) AS n FROM snapshot GROUP BY id_number)"""))
+def employee_detail_sizes(spark, sf):
+    """Size report of the per-person detail lists (skew check before the JSON)."""
+    return summaries.details_group_sizes(A.snapshot(spark, sf), threshold=1)
+
+
 @query("group_summary", GROUP_SQL)
 def group_summary(spark, sf):
     g = summaries.group_summary(A.snapshot(spark, sf))
@@ -228,6 +237,12 @@ def scd2_change_type(spark, sf):
     return A.orders_history(spark, sf, change_type_col="change_type")
 
 
+@query("scd2_change_type_post_hoc", ORACLES["scd2_change_type"])
+def scd2_change_type_post_hoc(spark, sf):
+    """X3 added to a stored history: first start per key by aggregate, joined back."""
+    return scd.with_change_type(A.orders_history(spark, sf), A.ORDERS_KEYS)
+
+
 @query("scd2_payroll_history", with_ctes(A.PAY_SQL, A.BRONZE_SQL, A.PAY_SCD_SQL,
                                          body="SELECT * FROM ph_h"))
 def scd2_payroll_history(spark, sf):
@@ -448,6 +463,20 @@ def new_positions_only(spark, sf):
                                         dictionary_rows=len(A.PRIORITY_DICTIONARY))
 
 
+@query("translate_lookup_udf", with_ctes(_dict_sql("lang_dict", A.LANGUAGE_DICTIONARY), body="""
+SELECT d.doc_id, d.lang, coalesce(l.target, d.lang) AS lang_label
+FROM documents d LEFT JOIN lang_dict l ON d.lang = l.source"""))
+def translate_lookup_udf(spark, sf):
+    """Translation through a vectorised function (pandas UDF) applied to the
+    distinct languages only, joined back to every document."""
+    table = dict(A.LANGUAGE_DICTIONARY)
+
+    def to_label(names):
+        return names.map(table).fillna(names)
+    docs = A.table(spark, sf, "documents").select("doc_id", "lang")
+    return reference.translate_distinct(docs, "lang", to_label, "lang_label")
+
+
 @query("translate_lookup", with_ctes(_dict_sql("lang_dict", A.LANGUAGE_DICTIONARY), body="""
 SELECT d.doc_id, d.lang, coalesce(l.target, d.lang) AS lang_label, l.target IS NOT NULL AS translated
 FROM documents d LEFT JOIN (SELECT source, min(target) AS target FROM lang_dict GROUP BY source) l
