@@ -545,6 +545,20 @@ def sheet_clean(spark, sf):
     return clean_sheets(A.raw_cells(spark, sf))
 
 
+@query("sheet_clean_staged", ORACLES["sheet_clean"])
+def sheet_clean_staged(spark, sf):
+    """Cleaned sheet rows written as staging Parquet - partitioned by status,
+    clustered by institution - and read back with the declared schema."""
+    from histlake.functions.text import clean_sheets
+    from histlake.schemas import STAGING_SCHEMA
+    from histlake.session import scratch_dir
+    from histlake.sources.readers import read_batch
+    from histlake.sources.writers import write_clustered
+    path = write_clustered(clean_sheets(A.raw_cells(spark, sf)), scratch_dir(spark, "staging"),
+                           cluster_by=["institucion", "cedula"], partition_by=["estado"])
+    return read_batch(spark, path, STAGING_SCHEMA)
+
+
 @query("union_missing_columns", """
 SELECT p_partkey, p_name, p_brand FROM part WHERE p_size <= 25
 UNION ALL BY NAME
