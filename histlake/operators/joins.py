@@ -11,6 +11,20 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 500_000
 
 
+def size_checked(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                 known_rows: int | None = None, materialize: bool = True) -> tuple[DataFrame, bool]:
+    """``(dim, is_small)``: like ``broadcast_if_small`` but also says whether
+    the bound held, for callers that derive more from a small dimension."""
+    if known_rows is not None and known_rows <= max_rows:
+        return F.broadcast(dim), True
+    if materialize:
+        from histlake.session import checkpoint_root
+        checkpoint_root(dim.sparkSession)
+        dim = dim.checkpoint(eager=True)
+    small = dim.limit(max_rows + 1).count() <= max_rows
+    return (F.broadcast(dim) if small else dim), small
+
+
 def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                        known_rows: int | None = None, materialize: bool = True) -> DataFrame:
     """Return ``dim`` with a broadcast hint iff it has at most ``max_rows`` rows.
@@ -26,11 +40,4 @@ def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROW
     Beyond the bound the join falls back to a shuffle join that scales with
     the data.
     """
-    if known_rows is not None and known_rows <= max_rows:
-        return F.broadcast(dim)
-    if materialize:
-        from histlake.session import checkpoint_root
-        checkpoint_root(dim.sparkSession)
-        dim = dim.checkpoint(eager=True)
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    return size_checked(dim, max_rows, known_rows, materialize)[0]

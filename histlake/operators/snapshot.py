@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from histlake.operators.joins import broadcast_if_small
+from histlake.operators.joins import broadcast_if_small, size_checked
 from histlake.operators.scd import END_AT, START_AT
 from histlake.schemas import PAYROLL_KEYS, SNAPSHOT_COLUMNS
 
@@ -19,7 +19,7 @@ def latest_snapshot(bronze: DataFrame, institutions: DataFrame, statuses: DataFr
                     status_col: str = "estado", position_col: str = "cargo",
                     sequence_col: str = "fecha_consulta",
                     columns: Sequence[tuple[str, str]] = SNAPSHOT_COLUMNS,
-                    dimension_rows: int | None = None) -> DataFrame:
+                    dimension_rows: int | None = None, prefilter: bool = True) -> DataFrame:
     """Rows whose sequence date equals the latest OK source update of their
     institution **and** of their status (two equality joins), enriched with
     the translated names; the position join is a left join (Q3, Q4).
@@ -28,15 +28,28 @@ def latest_snapshot(bronze: DataFrame, institutions: DataFrame, statuses: DataFr
     size check (``dimension_rows``: a proven upper bound the caller holds,
     e.g. the row count of the pre-aggregate they derive from), so the fact
     side is never shuffled.
+
+    ``prefilter``: when both dated dimensions are proven small, the dates a
+    row can match (in both of them) are few; they are added as a literal
+    ``IN`` filter on the sequence column.  It changes no result - the inner
+    joins imply it - but it reaches the Parquet scan, so on a bronze table
+    clustered by date every older row group is skipped: the snapshot reads
+    the latest data, not the whole history.
     """
-    inst = broadcast_if_small(institutions.select(
+    inst, inst_small = size_checked(institutions.select(
         F.col("institution_name_spanish").alias("_i_name"),
         F.col("last_source_update").alias("_i_date"),
         F.col("institution_name_english")), known_rows=dimension_rows)
-    stat = broadcast_if_small(statuses.select(
+    stat, stat_small = size_checked(statuses.select(
         F.col("status_name_spanish").alias("_s_name"),
         F.col("last_source_update").alias("_s_date"),
         F.col("status_name_english")), known_rows=dimension_rows)
+    if prefilter and inst_small and stat_small:
+        dates = ({r[0] for r in inst.select("_i_date").distinct().collect()}
+                 & {r[0] for r in stat.select("_s_date").distinct().collect()})
+        dtype = bronze.schema[sequence_col].dataType
+        bronze = bronze.where(F.col(sequence_col).isin(
+            [F.lit(d).cast(dtype) for d in sorted(dates) if d is not None]))
     pos = broadcast_if_small(positions.select(
         F.col("position_name_spanish").alias("_p_name"),
         F.col("position_name_english")), known_rows=dimension_rows)

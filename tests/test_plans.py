@@ -64,3 +64,21 @@ def test_scd2_over_bucketed_bronze_needs_no_exchange(spark):
     p = plan(h)
     assert "Exchange" not in p, p
     assert rows(h) == rows(scd.scd2(orders, A.ORDERS_KEYS, "o_orderdate", **kw))
+
+
+def test_snapshot_date_filter_reaches_the_bronze_scan(spark):
+    """On a stored bronze table the latest-date filter is pushed to Parquet,
+    so older row groups are skipped instead of joined and dropped."""
+    from histlake.operators.snapshot import latest_snapshot
+    from histlake.session import scratch_dir
+    from histlake.sources.writers import write_clustered
+    path = write_clustered(A.bronze(spark, SF), scratch_dir(spark, "bronze"),
+                           cluster_by=["fecha_consulta"])
+    stored = spark.read.parquet(path)
+    inst, stat, pos, bound = A.reference_tables(spark, SF)
+    snap = latest_snapshot(stored, inst, stat, pos, dimension_rows=bound)
+    formatted = spark._jvm.PythonSQLUtils.explainString(snap._jdf.queryExecution(), "formatted")
+    pushed = [line for line in formatted.split("\n") if line.startswith("PushedFilters")]
+    # one allowed date becomes an equality, several an IN list
+    assert any("EqualTo(fecha_consulta" in line or "In(fecha_consulta" in line for line in pushed), pushed
+    assert snap.count() == A.snapshot(spark, SF).count()
