@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histlake.functions.text import url_quote
-from histlake.operators.joins import broadcast_if_small
+from histlake.operators.joins import size_checked
 
 INST = "institution_name_spanish"
 STAT = "status_name_spanish"
@@ -40,11 +40,18 @@ def last_run(log: DataFrame) -> DataFrame:
     filter, but a hot pair never lands in a single task.
     """
     maxima = log.groupBy(*PAIR).agg(F.max("checked_at").alias("last_run"))
-    maxima = broadcast_if_small(maxima.select(F.col(INST).alias("_mi"), F.col(STAT).alias("_ms"),
-                                              "last_run"))
+    maxima, small = size_checked(maxima.select(F.col(INST).alias("_mi"), F.col(STAT).alias("_ms"),
+                                               "last_run"))
     cond = (F.col(INST).eqNullSafe(F.col("_mi")) & F.col(STAT).eqNullSafe(F.col("_ms"))
             & (F.col("checked_at") == F.col("last_run")))
-    joined = log.join(maxima, cond, "inner")
+    rows = log
+    if small:
+        # kept rows sit at their pair's latest check, so at or after the
+        # earliest of those: a literal bound the scan can use
+        lowest = maxima.agg(F.min("last_run")).first()[0]
+        if lowest is not None:
+            rows = log.where(F.col("checked_at") >= F.lit(lowest).cast(log.schema["checked_at"].dataType))
+    joined = rows.join(maxima, cond, "inner")
     ok = F.col("run_status") == F.lit("OK")
     return joined.select(
         *[F.col(c) for c in log.columns],

@@ -47,9 +47,7 @@ def latest_snapshot(bronze: DataFrame, institutions: DataFrame, statuses: DataFr
     if prefilter and inst_small and stat_small:
         dates = ({r[0] for r in inst.select("_i_date").distinct().collect()}
                  & {r[0] for r in stat.select("_s_date").distinct().collect()})
-        dtype = bronze.schema[sequence_col].dataType
-        bronze = bronze.where(F.col(sequence_col).isin(
-            [F.lit(d).cast(dtype) for d in sorted(dates) if d is not None]))
+        bronze = bronze.where(matchable(bronze, sequence_col, dates))
     pos = broadcast_if_small(positions.select(
         F.col("position_name_spanish").alias("_p_name"),
         F.col("position_name_english")), known_rows=dimension_rows)
@@ -61,6 +59,21 @@ def latest_snapshot(bronze: DataFrame, institutions: DataFrame, statuses: DataFr
     return joined.select(*[F.col(src).alias(dst) for src, dst in columns])
 
 
+MAX_IN_LIST = 1000
+
+
+def matchable(df: DataFrame, col: str, values) -> Column:
+    """Predicate ``col IN values`` for a few values, else the range they span -
+    either way a literal the Parquet scan can use to skip row groups."""
+    dtype = df.schema[col].dataType
+    vals = sorted(v for v in values if v is not None)
+    if not vals:
+        return F.lit(False)
+    if len(vals) <= MAX_IN_LIST:
+        return F.col(col).isin([F.lit(v).cast(dtype) for v in vals])
+    return F.col(col).between(F.lit(vals[0]).cast(dtype), F.lit(vals[-1]).cast(dtype))
+
+
 def per_group_latest(bronze: DataFrame, groups: Sequence[str] = ("institucion", "estado"),
                      sequence_col: str = "fecha_consulta") -> DataFrame:
     """X1 (opt-in variant, never substituted for ``latest_snapshot``): rows at
@@ -72,11 +85,18 @@ def per_group_latest(bronze: DataFrame, groups: Sequence[str] = ("institucion",
     """
     groups = list(groups)
     maxima = bronze.groupBy(*groups).agg(F.max(sequence_col).alias("_latest"))
-    maxima = broadcast_if_small(maxima.select(*[F.col(g).alias(f"_g_{g}") for g in groups], "_latest"))
+    maxima, small = size_checked(maxima.select(*[F.col(g).alias(f"_g_{g}") for g in groups], "_latest"))
     cond = F.col(sequence_col) == F.col("_latest")
     for g in groups:
         cond = cond & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    return bronze.join(maxima, cond, "inner").select(*bronze.columns)
+    rows = bronze
+    if small:
+        # every kept row is at its group's maximum, so at or after the smallest
+        # maximum: a literal bound the scan can use to skip older row groups
+        lowest = maxima.agg(F.min("_latest")).first()[0]
+        if lowest is not None:
+            rows = bronze.where(F.col(sequence_col) >= F.lit(lowest).cast(bronze.schema[sequence_col].dataType))
+    return rows.join(maxima, cond, "inner").select(*bronze.columns)
 
 
 def inactive(history: DataFrame, snapshot: DataFrame, detected_at: Column | str | None = None,
