@@ -45,8 +45,9 @@ def latest_snapshot(bronze: DataFrame, institutions: DataFrame, statuses: DataFr
         F.col("last_source_update").alias("_s_date"),
         F.col("status_name_english")), known_rows=dimension_rows)
     if prefilter and inst_small and stat_small:
-        dates = ({r[0] for r in inst.select("_i_date").distinct().collect()}
-                 & {r[0] for r in stat.select("_s_date").distinct().collect()})
+        # one small job: the dates present in both (bounded) dimensions
+        dates = [r[0] for r in inst.select(F.col("_i_date").alias("d"))
+                 .intersect(stat.select(F.col("_s_date").alias("d"))).collect()]
         bronze = bronze.where(matchable(bronze, sequence_col, dates))
     pos = broadcast_if_small(positions.select(
         F.col("position_name_spanish").alias("_p_name"),
