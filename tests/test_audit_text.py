@@ -122,3 +122,12 @@ def test_html_entities_decoded_like_a_parser(spark):
     df = spark.createDataFrame([(html,)], "h string")
     got = df.select(text.select_options(F.col("h"), "s.1")).collect()[0][0]
     assert got == ["A & B", '<x> "q"', "&lt;"]
+
+
+def test_work_list_explodes_the_shorter_list_either_way(spark):
+    lg = log(spark)
+    inst = spark.createDataFrame([("TRIBUNAL",)], "n string")
+    stat = spark.createDataFrame([("PERMANENTE",), ("EVENTUAL",), ("TEMPORAL",)], "n string")
+    got = rows(audit.work_list(inst, stat, lg, T(2025, 1, 1)),
+               "institution_name_spanish", "status_name_spanish")
+    assert got == [("TRIBUNAL", "TEMPORAL")]

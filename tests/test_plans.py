@@ -1,5 +1,7 @@
 """Plan-shape checks: the physical plans we want at scale."""
 
+from pyspark.sql import functions as F
+
 from histlake.plans import analogs as A
 from histlake.plans.registry import QUERIES
 
@@ -82,3 +84,36 @@ def test_snapshot_date_filter_reaches_the_bronze_scan(spark):
     # one allowed date becomes an equality, several an IN list
     assert any("EqualTo(fecha_consulta" in line or "In(fecha_consulta" in line for line in pushed), pushed
     assert snap.count() == A.snapshot(spark, SF).count()
+
+
+def test_broadcast_only_within_the_bound(spark):
+    """Over the bound there is no hint, and (with Spark's own size-based
+    broadcast switched off) the join is a shuffle join; within it, a
+    broadcast hash join."""
+    from histlake.operators.joins import broadcast_if_small, size_checked
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    facts = spark.range(5000).withColumn("k", F.col("id") % 1000)
+    _, small = size_checked(big, max_rows=100)
+    assert not small
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        p = plan(facts.join(broadcast_if_small(big, max_rows=100), "k"))
+        assert "BroadcastHashJoin" not in p and ("SortMergeJoin" in p or "ShuffledHashJoin" in p)
+        p2 = plan(facts.join(broadcast_if_small(big, max_rows=5000), "k"))
+        assert "BroadcastHashJoin" in p2
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_point_lookup_on_stored_history_is_pushed_down(spark):
+    from histlake.operators import scd
+    from histlake.session import scratch_dir
+    path = scratch_dir(spark, "hist")
+    A.orders_history(spark, SF).write.parquet(path)
+    h = scd.key_history(spark.read.parquet(path), F.col("o_custkey") == 7, "2030-01-01",
+                        ["o_custkey", "o_orderpriority", "o_orderstatus"])
+    formatted = spark._jvm.PythonSQLUtils.explainString(h._jdf.queryExecution(), "formatted")
+    assert any("EqualTo(o_custkey,7)" in line for line in formatted.split("\n")
+               if line.startswith("PushedFilters"))
