@@ -173,3 +173,19 @@ def test_equal_width_fallback_is_exact(spark, monkeypatch):
     plain = scd.scd2(df, ["k"], "seq", track=["v"], hot_key_rows=None)
     split = scd.scd2(df, ["k"], "seq", track=["v"], hot_key_rows=5, chunk_rows=4)
     assert rows(split) == rows(plain)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 5),
+                          st.sampled_from([1, 2, None])), min_size=1, max_size=30))
+def test_scd1_equals_brute_force_latest_row(spark, events):
+    """SCD1 = per key, the row with the largest sequence, ties broken by the
+    largest remaining columns (NULLs lowest), rows with NULL sequence dropped."""
+    data = [(k, D(2024, 1, 1 + d), v, str(i)) for i, (k, d, v) in enumerate(events)]
+    got = rows(scd.scd1(spark.createDataFrame(data, SCHEMA), ["k"], "seq"))
+    best = {}
+    for r in data:
+        rank = (r[1], (r[2] is not None, r[2] or 0), r[3])
+        if r[0] not in best or rank > best[r[0]][0]:
+            best[r[0]] = (rank, r)
+    assert got == sorted((r for _, r in best.values()), key=lambda t: tuple((x is None, str(x)) for x in t))
