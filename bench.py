@@ -48,18 +48,26 @@ def main() -> None:
                           conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
                                 "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="histlake-wh-")})
     spark.sparkContext.setLogLevel("ERROR")
-    results = {}
+    results, errors = {}, {}
     for name in (only or QUERIES):
-        run_once(spark, name, sf_dir)  # warm-up (JIT, file listing, metadata)
-        times = [run_once(spark, name, sf_dir) for _ in range(repeat)]
-        results[name] = round(statistics.median(times), 3)
+        try:
+            run_once(spark, name, sf_dir)  # warm-up (JIT, file listing, metadata)
+            times = [run_once(spark, name, sf_dir) for _ in range(repeat)]
+            results[name] = round(statistics.median(times), 3)
+        except Exception as e:  # noqa: BLE001 - one failing query must not hide the others
+            results[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     sf_text = os.path.basename(sf_dir).replace("sf", "")
     try:
         sf = float(sf_text)
     except ValueError:
         sf = sf_text
-    print(json.dumps({"metric": "sum_of_median_query_seconds", "value": round(sum(results.values()), 3),
-                      "unit": "sec", "queries": results, "sf": sf}))
+    out = {"metric": "sum_of_median_query_seconds",
+           "value": round(sum(v for v in results.values() if v is not None), 3),
+           "unit": "sec", "queries": results, "sf": sf}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
