@@ -39,13 +39,22 @@ def run_once(spark, name, sf_dir) -> float:
     return time.perf_counter() - t
 
 
+def default_driver_memory() -> str:
+    """16g, or 60% of physical memory on a smaller machine."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        return f"{max(1, min(16, int(total * 0.6 / 2**30)))}g"
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = build_session(f"local[{cpus}]", app="histlake-bench", shuffle_partitions=cpus * 2,
-                          conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                          conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", default_driver_memory()),
                                 "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="histlake-wh-")})
     spark.sparkContext.setLogLevel("ERROR")
     results, errors = {}, {}
