@@ -45,9 +45,14 @@ def latest_snapshot(bronze: DataFrame, institutions: DataFrame, statuses: DataFr
         F.col("last_source_update").alias("_s_date"),
         F.col("status_name_english")), known_rows=dimension_rows)
     if prefilter and inst_small and stat_small:
-        # one small job: the dates present in both (bounded) dimensions
-        dates = [r[0] for r in inst.select(F.col("_i_date").alias("d"))
-                 .intersect(stat.select(F.col("_s_date").alias("d"))).collect()]
+        # the dimensions are proven small: read both date lists in one job and
+        # keep the dates present in both
+        tagged = (inst.select(F.col("_i_date").alias("d"), F.lit(1).alias("t"))
+                  .unionByName(stat.select(F.col("_s_date").alias("d"), F.lit(2).alias("t"))))
+        seen: dict = {}
+        for r in tagged.collect():
+            seen.setdefault(r["d"], set()).add(r["t"])
+        dates = {d for d, tags in seen.items() if tags == {1, 2}}
         bronze = bronze.where(matchable(bronze, sequence_col, dates))
     pos = broadcast_if_small(positions.select(
         F.col("position_name_spanish").alias("_p_name"),
