@@ -148,3 +148,13 @@ def test_employee_summary_without_details(spark):
         assert lean[k]["total_salary"] == full[k]["total_salary"]
     p = summaries.employee_summary(s, details=False)._jdf.queryExecution().executedPlan().toString()
     assert "collect_list" not in p
+
+
+def test_matchable_dates_in_list_or_range(spark, monkeypatch):
+    df = spark.createDataFrame([(T(2025, 1, d),) for d in range(1, 11)], "ts timestamp")
+    few = snapshot.matchable(df, "ts", {T(2025, 1, 2), T(2025, 1, 5)})
+    assert rows(df.where(few)) == [(T(2025, 1, 2),), (T(2025, 1, 5),)]
+    monkeypatch.setattr(snapshot, "MAX_IN_LIST", 1)
+    span = snapshot.matchable(df, "ts", {T(2025, 1, 2), T(2025, 1, 5)})   # becomes the range
+    assert len(rows(df.where(span))) == 4
+    assert df.where(snapshot.matchable(df, "ts", set())).count() == 0
