@@ -1,8 +1,9 @@
 """The whole triggered flow, in dependency order (section 3 of the survey):
 
-staging files -> bronze (key + tenure) -> SCD2 history; audit log ->
-institution / status reference tables; bronze -> new positions; then the
-materialised views (snapshot, inactive, gold) via ``plans.refresh``.
+staging files -> bronze (key + tenure) -> SCD2 history; audit log -> latest
+attempt per (institution, status) (SCD1) and the institution / status
+reference tables; bronze -> new positions; then the materialised views
+(snapshot, inactive, gold) via ``plans.refresh``.
 
 Every streaming stage runs ``availableNow`` over its own checkpoint, so a
 run processes exactly the files that arrived since the previous run, and a
@@ -31,7 +32,8 @@ def run_triggered_flow(spark: SparkSession, staging: str, audit_log: str, dictio
     (and the snapshot quality counters from ``refresh``)."""
     base = base_path.rstrip("/")
     p = {name: f"{base}/{name}" for name in
-         ["bronze", "scd2_store", "scd2", "institutions", "statuses", "positions", "tables"]}
+         ["bronze", "scd2_store", "scd2", "log_store", "log_latest", "institutions", "statuses",
+          "positions", "tables"]}
 
     def ckpt(name: str) -> str:
         return f"{base}/_checkpoints/{name}"
@@ -45,6 +47,10 @@ def run_triggered_flow(spark: SparkSession, staging: str, audit_log: str, dictio
     scd_stream(spark, read_stream(spark, p["bronze"], bronze_schema), PAYROLL_KEYS,
                PAYROLL_SEQUENCE, p["scd2_store"], p["scd2"], ckpt("scd2"), scd_type=2,
                track=PAYROLL_TRACKED, buckets=buckets)
+    # latest attempt per (institution, status): SCD1 on the audit log
+    scd_stream(spark, read_stream(spark, audit_log, AUDIT_LOG_SCHEMA),
+               ["institution_name_spanish", "status_name_spanish"], "checked_at", p["log_store"],
+               p["log_latest"], ckpt("log_latest"), scd_type=1, buckets=buckets)
     grouped_max_stream(read_stream(spark, audit_log, AUDIT_LOG_SCHEMA), "institution_name_spanish",
                        p["institutions"], ckpt("institutions"),
                        enrich=words("institution_name_spanish", "institution_name_english"))

@@ -43,3 +43,5 @@ def test_triggered_flow_two_arrivals(spark):
     assert spark.read.parquet(p["inactive"]).count() == 0
     assert spark.read.parquet(p["bronze"]).count() == 4          # each file ingested once
     assert spark.read.parquet(p["positions"]).count() == 2
+    latest = spark.read.parquet(p["log_latest"]).drop("_bucket")
+    assert rows(latest, "institution_name_spanish", "checked_at") == [("TRIBUNAL", T(2025, 2, 1))]
