@@ -773,3 +773,40 @@ def refresh_gold_groups(spark, sf):
                     rnd("total_compensation", 4), "employee_count", "unique_employee_count",
                     "first_start_date", "last_start_date", rnd("avg_years_of_service", 6),
                     "min_years_of_service", "max_years_of_service")
+
+
+# ========================================================== end-to-end flow
+FLOW_DICTIONARY = A.SEGMENT_DICTIONARY + A.ORDER_STATUS_DICTIONARY + A.PRIORITY_DICTIONARY
+
+
+@query("flow_snapshot", with_ctes(
+    A.PAY_SQL, A.BRONZE_SQL, A.PAYLOG_SQL, A.dictionary_sql("flow_dict", FLOW_DICTIONARY),
+    A.reference_sql("inst_ref", "institution_name_spanish", "institution_name_english", "flow_dict"),
+    A.reference_sql("stat_ref", "status_name_spanish", "status_name_english", "flow_dict"),
+    """pos_ref AS (
+  SELECT DISTINCT b.cargo AS position_name_spanish,
+         coalesce(d.target, b.cargo) AS position_name_english
+  FROM bronze b LEFT JOIN (SELECT source, min(target) AS target FROM flow_dict GROUP BY source) d
+    ON b.cargo = d.source
+  WHERE b.cargo IS NOT NULL)""",
+    A.SNAPSHOT_SQL, body="SELECT * FROM snapshot"))
+def flow_snapshot(spark, sf):
+    """The triggered flow end to end: payroll rows staged as files and the OK
+    log as the audit log -> bronze, SCD2, latest log, reference tables,
+    positions, refresh; the stored snapshot is returned."""
+    from histlake.schemas import AUDIT_LOG_SCHEMA
+    from histlake.session import scratch_dir
+    from histlake.streaming.flow import run_triggered_flow
+    from histlake.streaming.ingest import stage_files
+    staging = stage_files(A.pay(spark, sf).drop("source_row"), scratch_dir(spark, "flow_staging"), 4,
+                          order_by="fecha_consulta")
+    log = A.paylog(spark, sf).select(
+        "institution_name_spanish", "status_name_spanish", "run_status", "source_update",
+        "checked_at", F.col("checked_at").alias("start_at"), F.col("checked_at").alias("end_at"),
+        F.lit(0.0).cast("float").alias("time"))
+    audit_log = scratch_dir(spark, "flow_log")
+    log.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in AUDIT_LOG_SCHEMA.fields]) \
+       .write.parquet(audit_log)
+    paths = run_triggered_flow(spark, staging, audit_log, A.dictionary(spark, FLOW_DICTIONARY),
+                               scratch_dir(spark, "flow"), buckets=16)
+    return spark.read.parquet(paths["snapshot"])
