@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histlake.llm import lang_id, license_scan, mixing, quality
+from histlake.llm import lang_id, license_scan, mixing, order_minhash, quality
 from histlake.llm.common import cut, held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,19 @@ def op9_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = lang_id.fit(docs.filter(~held_out()))
     return lang_id.predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_id.*")
+
+
+@query
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = order_minhash.with_fingerprint(docs, "text", "fingerprint")
+    docs = order_minhash.with_next(docs, "doc_id", {"text": "next_text", "fingerprint": "next_fingerprint"},
+                                   int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = F.length("text")
+    cut_off = F.floor(n / 4).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n - cut_off), F.substring("next_text", F.lit(1), cut_off))
+    docs = order_minhash.with_fingerprint(docs.withColumn("edited", edited), "edited", "edited_fingerprint")
+    return docs.select(
+        "doc_id", n.cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", order_minhash.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
+        order_minhash.likeness("fingerprint", "next_fingerprint").alias("near_next"))
