@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histlake.llm import lang_id, license_scan, mixing, order_minhash, quality
+from histlake.llm import decontaminate, jaccard_join, lang_id, license_scan, mixing, order_minhash, quality
 from histlake.llm.common import cut, held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,17 @@ def query(fn):
     return fn
 
 
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "start", "n_words", "similarity", "distance")
+
+
+@query
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("key")
+
+
 @query
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digest(license_scan.license_scan(table(spark, sf_dir, "documents")))
