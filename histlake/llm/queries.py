@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histlake.llm import decontaminate, jaccard_join, lang_id, license_scan, mixing, order_minhash, quality
+from histlake.llm import chat, decontaminate, jaccard_join, lang_id, license_scan, mixing, order_minhash, quality, token_counts, warc
 from histlake.llm.common import cut, held_out, table
+from histlake.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,6 +21,28 @@ def query(fn):
     return fn
 
 
+@query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents are inserted; then toxic ones are deleted and those of low
+    quality revised to single blanks; the first batch, sent again, changes nothing."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "source", "lang")
+    labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    ledger = token_counts.Ledger(spark, scratch_dir(spark, "token-ledger"))
+    inserts = docs.withColumns({"seq": F.lit(0), "op": F.lit("insert")})
+    ledger.commit("0001-load", inserts)
+    marked = docs.join(labels.filter("toxic = 1 or quality = 0"), "id")
+    ledger.commit("0002-corrections", marked.select(
+        "id", F.lit(1).alias("seq"), F.when(F.col("toxic") == 1, "delete").otherwise("revise").alias("op"),
+        F.regexp_replace("text", r"\s+", " ").alias("text"), "source", "lang"))
+    ledger.commit("0001-load", inserts)
+    return ledger.totals()
+
+
+@query
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -45,6 +68,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages"))).withColumnRenamed("key", "page_id")
+
+
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -73,3 +101,6 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", n.cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         "fingerprint", "edited_fingerprint", order_minhash.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
         order_minhash.likeness("fingerprint", "next_fingerprint").alias("near_next"))
+
+
+ORACLES["op2_chat_format"] = chat.ORACLE
