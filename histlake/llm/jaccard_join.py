@@ -60,15 +60,21 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_set(text: str | None, cache: dict[str, int]) -> np.ndarray:
-    """Sorted distinct shingle hashes of a whole text; ``cache``: words' hashes."""
+class WordHashes(dict):
+    """Hashes of the words met lately."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        self[word] = h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return h
+
+
+def shingle_set(text: str | None, cache: WordHashes) -> np.ndarray:
+    """Sorted distinct shingle hashes of a whole text."""
     words = _WORD.findall((text or "").lower())
     if not words:
         return np.zeros(0, np.uint64)
-    if len(cache) > 200_000:
-        cache.clear()
-    for w in set(words) - cache.keys():
-        cache[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
     h = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
     n = max(1, len(h) - SHINGLE + 1)
     k = min(SHINGLE, len(h))
@@ -104,7 +110,7 @@ def embedded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, int] = {}
+        cache = WordHashes()
         for b in batches:
             names, hashes = [], []
             for t in b.column(2):
@@ -337,7 +343,7 @@ def whole_sets(docs: DataFrame, members: DataFrame, n_members: int, id_col: str,
     held = joined(rows, members, "key", "inner", n_members, 96).select("comp", "c", "copies", "chunks", "chunk", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, int] = {}
+        cache = WordHashes()
         for b in batches:
             sets = pa.array([shingle_set(t.as_py(), cache).tobytes() for t in b.column(5)], pa.binary())
             yield pa.record_batch([*b.columns[:5], sets], names=["comp", "c", "copies", "chunks", "chunk", "s"])
