@@ -17,6 +17,7 @@ nothing to learn from, every text is ``und`` and rejected.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from histlake.llm.common import cut
-
 #: Dimensions of the hashed n-gram space, centroids per language, rounds of
 #: k-means, and rows per language of the sample that the centroids are fitted on.
 DIMS, CENTROIDS, ROUNDS, SAMPLE = 4096, 3, 8, 1000
 
+#: Samples' worth of rows that a hash picks before the sample is taken by order.
+OVERSAMPLE = 2
+
 #: A centroid rejects what is less similar to it than this share of the least
 #: similar of its own sample's texts (at their 1 % quantile).  Few n-grams say
 #: little about distance: below ``FULL`` of them the threshold falls in proportion.
@@ -62,28 +64,29 @@ def vectors(counts: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
-def document_frequencies(rows: DataFrame) -> tuple[int, np.ndarray]:
-    """Number of texts with a letter, and of those with each n-gram; over all rows."""
+def document_frequencies(rows: DataFrame) -> tuple[dict[str, int], np.ndarray]:
+    """Texts with a letter per language, and texts with each n-gram; over all rows
+    of (text, lang)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n = np.zeros(DIMS, np.int64), 0
+        df, langs = np.zeros(DIMS, np.int64), Counter()
         for b in batches:
-            for t in b.column(0):
+            for t, lang in zip(b.column(0), b.column(1).to_pylist()):
                 c = counts_of(t.as_py())
                 if c is not None:
                     df += c > 0
-                    n += 1
+                    langs[lang] += 1
         dims = np.flatnonzero(df)
-        yield pa.record_batch([pa.array(np.append(dims, -1), pa.int64()), pa.array(np.append(df[dims], n), pa.int64())],
-                              names=["dim", "n"])
+        yield pa.record_batch([pa.array([*dims, *[-1] * len(langs)], pa.int64()), pa.array([*[None] * len(dims), *langs], pa.string()),
+                               pa.array([*df[dims], *langs.values()], pa.int64())], names=["dim", "lang", "n"])
 
-    out = np.zeros(DIMS, np.int64)
-    n = 0
-    for r in rows.mapInArrow(run, "dim long, n long").groupBy("dim").agg(F.sum("n").alias("n")).collect():  # DIMS + 1 rows
+    out, counts = np.zeros(DIMS, np.int64), {}
+    # DIMS rows, and one per language
+    for r in rows.mapInArrow(run, "dim long, lang string, n long").groupBy("dim", "lang").agg(F.sum("n").alias("n")).collect():
         if r.dim < 0:
-            n = r.n
+            counts[r.lang] = r.n
         else:
             out[r.dim] = r.n
-    return n, out
+    return counts, out
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int) -> np.ndarray:
@@ -132,12 +135,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Model from the given rows; the caller leaves out what must not be learned from."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")) \
         .filter("lang is not null and text is not null")
-    n, df = document_frequencies(rows.select("text"))
-    if not n:
+    counts, df = document_frequencies(rows.select("text", "lang"))
+    if not counts:
         return Model(np.ones(DIMS, np.float32), [], np.zeros((0, DIMS), np.float32), np.zeros(0))
-    idf = np.log((1 + n) / (1 + df)).astype(np.float32) + 1
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id", "text"), "id")
-    taken = rows.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= sample)
+    idf = np.log((1 + sum(counts.values())) / (1 + df)).astype(np.float32) + 1
+    # a hashed share of each language's rows, several samples large at any size, then the sample
+    share = docs.sparkSession.createDataFrame([(k, min(1.0, OVERSAMPLE * sample / n)) for k, n in sorted(counts.items())], "lang string, share double")
+    place = F.xxhash64("id", "text")
+    some = rows.join(F.broadcast(share), "lang").filter(F.pmod(place, F.lit(1 << 32)) < F.col("share") * 2.0**32)
+    taken = some.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(place, "id"))).filter(F.col("nth") <= sample)
 
     def centers(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:  # SAMPLE rows at most
         counts = [c for t in part["text"] if (c := counts_of(t.as_py())) is not None]
