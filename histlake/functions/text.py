@@ -31,8 +31,12 @@ UPDATE_ROW = 3
 UPDATE_CELL = 5
 # HTML character references decoded in extracted element text (name, char);
 # "&amp;" is decoded last so "&amp;lt;" becomes "&lt;", not "<":
-HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                 ("&nbsp;", "\u00a0"), ("&amp;", "&")]
+HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
+                 ("&aacute;", "á"), ("&eacute;", "é"), ("&iacute;", "í"), ("&oacute;", "ó"),
+                 ("&uacute;", "ú"), ("&uuml;", "ü"), ("&ntilde;", "ñ"), ("&Aacute;", "Á"),
+                 ("&Eacute;", "É"), ("&Iacute;", "Í"), ("&Oacute;", "Ó"), ("&Uacute;", "Ú"),
+                 ("&Uuml;", "Ü"), ("&Ntilde;", "Ñ"), ("&iexcl;", "¡"), ("&iquest;", "¿"),
+                 ("&ordf;", "ª"), ("&ordm;", "º"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]
 # Day-first date formats of the source:
 START_DATE_FORMAT = "d/M/yyyy"
 COMPAT_TS_FORMAT = "d/M/yyyy H:m:s"      # hour read as 0-23, AM/PM marker ignored
@@ -59,13 +63,25 @@ def normalise_name(c: Column) -> Column:
 
 
 def unescape_html(c: Column) -> Column:
-    """Decode the common HTML character references of element text, as an
-    HTML parser's text accessor does."""
+    """Decode HTML character references of element text, as an HTML parser's
+    text accessor does: numeric ones (decimal and hexadecimal) and the named
+    ones of ``HTML_ENTITIES``; ``&amp;`` last, so that ``&amp;lt;`` is ``&lt;``."""
+    for pattern, base in ((r"&#(\d{1,6});", 10), (r"&#[xX]([0-9A-Fa-f]{1,5});", 16)):
+        prefix = "&#" if base == 10 else "&#x"
+        c = F.aggregate(F.array_distinct(F.regexp_extract_all(c, F.lit(pattern), 1)), F.replace(c, F.lit("&#X"), F.lit("&#x")),
+                        lambda s, n: F.replace(s, F.concat(F.lit(prefix), n, F.lit(";")), _code_point(F.conv(n, base, 16))))
     for entity, char in HTML_ENTITIES:
         c = F.replace(c, F.lit(entity), F.lit(char))
     return c
 
 
+def _code_point(hexadecimal: Column) -> Column:
+    """The character of a code point; U+FFFD where there is none."""
+    n = F.conv(hexadecimal, 16, 10).cast("int")
+    valid = (n > 0) & (n < 0x110000) & ~n.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.when(valid, hexadecimal).otherwise("20"), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+
 def drop_blank_and_placeholder(items: Column, placeholder: str = PLACEHOLDER) -> Column:
     """remove blank entries and entries containing the placeholder."""
     return F.filter(items, lambda x: (F.trim(x) != F.lit("")) &
@@ -127,7 +143,8 @@ def clean_sheets(raw_cells: DataFrame, institution: Column | None = None,
     ``raw_cells``: ``file, sheet, row_no (1-based), cells ARRAY<STRING>`` and
     optional ``institution`` / ``site_update`` provenance columns.  Row 5 of
     each sheet is the header (normalised), rows >= 6 are data, cell 5 of
-    row 3 of the file's first sheet holds the update text.  Columns are
+    row 3 of the file's first sheet holds the update text; the first sheet is
+    the lowest ``sheet_no`` (the workbook's order), or name without that column.  Columns are
     matched by name, so sheets with different column orders union
     correctly; numbers that do not parse become NULL.
     """
@@ -136,7 +153,8 @@ def clean_sheets(raw_cells: DataFrame, institution: Column | None = None,
                        F.transform("cells", normalise_name).alias("_names")))
     updates = (raw_cells.where(F.col("row_no") == UPDATE_ROW)
                .groupBy("file")
-               .agg(F.min_by(F.try_element_at("cells", F.lit(UPDATE_CELL)), F.col("sheet"))
+               .agg(F.min_by(F.try_element_at("cells", F.lit(UPDATE_CELL)),
+                             F.col("sheet_no" if "sheet_no" in raw_cells.columns else "sheet"))
                     .alias("_update_text")))
     data = raw_cells.where(F.col("row_no") >= FIRST_DATA_ROW)
     j = (data.join(broadcast_if_small(headers), ["file", "sheet"], "inner")

@@ -9,11 +9,10 @@ stored table or on a stream's batch.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histlake.functions.text import url_quote
-from histlake.operators.joins import size_checked
 
 INST = "institution_name_spanish"
 STAT = "status_name_spanish"
@@ -40,18 +39,10 @@ def last_run(log: DataFrame) -> DataFrame:
     filter, but a hot pair never lands in a single task.
     """
     maxima = log.groupBy(*PAIR).agg(F.max("checked_at").alias("last_run"))
-    maxima, small = size_checked(maxima.select(F.col(INST).alias("_mi"), F.col(STAT).alias("_ms"),
-                                               "last_run"))
+    maxima = maxima.select(F.col(INST).alias("_mi"), F.col(STAT).alias("_ms"), "last_run")
     cond = (F.col(INST).eqNullSafe(F.col("_mi")) & F.col(STAT).eqNullSafe(F.col("_ms"))
             & (F.col("checked_at") == F.col("last_run")))
-    rows = log
-    if small:
-        # kept rows sit at their pair's latest check, so at or after the
-        # earliest of those: a literal bound the scan can use
-        lowest = maxima.agg(F.min("last_run")).first()[0]
-        if lowest is not None:
-            rows = log.where(F.col("checked_at") >= F.lit(lowest).cast(log.schema["checked_at"].dataType))
-    joined = rows.join(maxima, cond, "inner")
+    joined = log.join(maxima, cond, "inner")
     ok = F.col("run_status") == F.lit("OK")
     return joined.select(
         *[F.col(c) for c in log.columns],
@@ -61,10 +52,20 @@ def last_run(log: DataFrame) -> DataFrame:
         F.col("last_run"))
 
 
-def register_view(df: DataFrame, name: str) -> str:
-    """Expose a derived DataFrame (e.g. ``last_run``) to SQL users as a
-    session view (S9); dashboards then query it with ``spark.sql``."""
-    df.createOrReplaceTempView(name)
+LAST_RUN_SQL = """
+SELECT l.*, concat(l.institution_name_spanish, ' - ', l.status_name_spanish) AS report,
+       CASE WHEN l.run_status = 'OK' THEN 1 ELSE 0 END AS OK,
+       CASE WHEN l.run_status <> 'OK' THEN 1 ELSE 0 END AS ERROR, m.last_run
+FROM {log} l JOIN (SELECT institution_name_spanish AS mi, status_name_spanish AS ms, max(checked_at) AS last_run
+                   FROM {log} GROUP BY institution_name_spanish, status_name_spanish) m
+  ON l.institution_name_spanish <=> m.mi AND l.status_name_spanish <=> m.ms AND l.checked_at = m.last_run
+"""
+
+
+def create_last_run_view(spark: SparkSession, log_table: str, name: str) -> str:
+    """The last-run view in the catalog (S9, C11): ``last_run`` as SQL over the
+    log table, evaluated at every query, so it shows rows appended later."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {LAST_RUN_SQL.format(log=log_table)}")
     return name
 
 
@@ -116,31 +117,20 @@ def ok_ratio(last_run_df: DataFrame) -> DataFrame:
 
 
 def work_list(institutions: DataFrame, statuses: DataFrame, log: DataFrame, current_update,
-              base_url: str | None = None, max_list: int = 10_000) -> DataFrame:
+              base_url: str | None = None) -> DataFrame:
     """Pairs (institution x status) still to extract.
 
     A pair is skipped iff an ``OK`` row exists with ``source_update >=
-    current_update``; ``FAIL`` pairs are retried.  The pair list is built
-    without a join: the shorter list (size-checked against ``max_list``) is
-    a scalar-subquery array exploded beside each row of the longer one, then
-    the up-to-date pairs are removed with one anti join - one plan in
-    place of one job per pair.  The exploded array is a name list (a few
-    statuses in practice), bounded by ``max_list``; the product itself is
-    the requested output.
+    current_update``; ``FAIL`` pairs are retried.  The status names, a short
+    list, are a scalar-subquery array exploded beside each institution; the
+    up-to-date pairs go by one anti join.  One lazy plan; the product itself
+    is the requested output.  A NULL name is a name of either list, and a
+    pair with one is never up to date.
     """
     inst = institutions.select(F.col(institutions.columns[0]).alias(INST)).distinct()
     stat = statuses.select(F.col(statuses.columns[0]).alias(STAT)).distinct()
-    n_inst = inst.limit(max_list + 1).count()
-    n_stat = stat.limit(max_list + 1).count()
-    if min(n_inst, n_stat) > max_list:
-        raise ValueError(f"both name lists exceed {max_list} entries; the work list "
-                         "would be their full product")
-    if n_stat <= n_inst:
-        arr = stat.agg(F.sort_array(F.collect_list(STAT))).scalar()
-        pairs = inst.select(INST, F.explode(arr).alias(STAT))
-    else:
-        arr = inst.agg(F.sort_array(F.collect_list(INST))).scalar()
-        pairs = stat.select(F.explode(arr).alias(INST), STAT)
+    names = stat.agg(F.sort_array(F.collect_list(F.struct(STAT)))).scalar()
+    pairs = inst.select(INST, F.inline(names))
     done = (log.where((F.col("run_status") == F.lit("OK")) &
                       (F.col("source_update") >= _ts(current_update)))
             .select(*PAIR).distinct())

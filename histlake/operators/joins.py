@@ -1,43 +1,26 @@
-"""Join helpers: broadcast only behind a checked size bound."""
+"""Join helper: a broadcast hint only behind a proven bound."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (rows) shipped to every executor.  Reference tables hold
-# one row per distinct name, so they stay far below this; anything larger is
-# left to the planner (sort-merge join, or AQE's runtime broadcast switch).
-DEFAULT_MAX_BROADCAST_ROWS = 500_000
-
-
-def size_checked(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                 known_rows: int | None = None, materialize: bool = True) -> tuple[DataFrame, bool]:
-    """``(dim, is_small)``: like ``broadcast_if_small`` but also says whether
-    the bound held, for callers that derive more from a small dimension."""
-    if known_rows is not None and known_rows <= max_rows:
-        return F.broadcast(dim), True
-    if materialize:
-        from histlake.session import checkpoint_root
-        checkpoint_root(dim.sparkSession)
-        dim = dim.checkpoint(eager=True)
-    small = dim.limit(max_rows + 1).count() <= max_rows
-    return (F.broadcast(dim) if small else dim), small
-
-
-def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                       known_rows: int | None = None, materialize: bool = True) -> DataFrame:
-    """Return ``dim`` with a broadcast hint iff it has at most ``max_rows`` rows.
-
-    * ``known_rows``: an upper bound the caller already holds (e.g. a literal
-      dictionary) - no job is run.
-    * otherwise the dimension is first materialised with a reliable
-      ``checkpoint()`` (into ``spark.checkpoint.dir``, shared storage on a
-      cluster), so computing it for the check is not repeated by the join and
-      a lost executor re-reads it instead of re-aggregating the source; then a
-      bounded count (``limit(max_rows + 1)``) decides.
-
-    Beyond the bound the join falls back to a shuffle join that scales with
-    the data.
+# Most rows that are hinted.  Reference tables hold one row per name; at a
+# kilobyte each this many stay within Spark's own 10 MB broadcast threshold.
+MAX_HINTED_ROWS = 10_000
+
+
+def broadcast_if_small(dim: DataFrame, known_rows: int | None = None,
+                       max_rows: int = MAX_HINTED_ROWS) -> DataFrame:
+    """``dim`` with a broadcast hint iff ``known_rows``, an upper bound that
+    the caller holds, is at most ``max_rows``.
+
+    Without a bound there is no hint and no job: Spark compares the side's
+    size in bytes with ``spark.sql.autoBroadcastJoinThreshold`` from file
+    statistics, and again from the measured shuffle output (AQE).  Either
+    way only the join's type depends on the size, never its result.
     """
-    return size_checked(dim, max_rows, known_rows, materialize)[0]
+    return F.broadcast(dim) if known_rows is not None and known_rows <= max_rows else dim
+
+
+__all__ = ["broadcast_if_small", "MAX_HINTED_ROWS"]

@@ -14,7 +14,7 @@ def composite_key(parts: Sequence[str], strip_dashes: Sequence[str] = ("cedula",
                   sep: str = "-") -> Column:
     """``concat_ws`` of the parts: NULL parts are skipped, empty strings kept.
     Parts named in ``strip_dashes`` lose every ``-`` first.  Never NULL, and
-    not guaranteed unique (see ``operators.quality.duplicate_keys``)."""
+    not guaranteed unique (see ``operators.profile.quality_report``)."""
     cols = [F.regexp_replace(F.col(p), "-", "") if p in strip_dashes else F.col(p)
             for p in parts]
     return F.concat_ws(sep, *cols)

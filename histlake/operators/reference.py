@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from histlake.operators.joins import broadcast_if_small
+from histlake.session import checkpoint_root
 
 
 def translate(df: DataFrame, col: str, dictionary: DataFrame, out_col: str,
@@ -45,13 +46,17 @@ def translate_distinct(df: DataFrame, col: str, fn: Callable[[pd.Series], pd.Ser
     """Apply ``fn`` (pandas Series -> Series, e.g. a model client) to the
     distinct values of ``col`` only, as an Arrow-batched pandas UDF, then
     join the result back.  The expensive call runs once per distinct name,
-    distributed over executors, never once per row."""
+    distributed over executors, never once per row: the names' results are
+    checkpointed, which also tells how many there are, so a short list is
+    broadcast and the rows stay where they are."""
     def _apply(names: pd.Series) -> pd.Series:   # type hints select the Series -> Series UDF
         return fn(names)
 
     udf = F.pandas_udf(_apply, StringType())
     names = df.select(F.col(col).alias("_name")).where(F.col("_name").isNotNull()).distinct()
-    translated = names.withColumn("_out", udf(F.col("_name")))
+    checkpoint_root(df.sparkSession)
+    translated = names.withColumn("_out", udf(F.col("_name"))).checkpoint()
+    translated = broadcast_if_small(translated, known_rows=translated.count())
     j = df.join(translated, df[col] == translated["_name"], "left")
     return j.withColumn(out_col, F.col("_out")).drop("_name", "_out")
 

@@ -84,15 +84,15 @@ def scd2(df: DataFrame, keys: Sequence[str], sequence_by: str,
     ``change_type_col`` adds X3's label from the version number
     (``INSERT`` for a key's first version, ``UPDATE`` after) at no cost.
 
-    Plan.  A first, cheap aggregate counts rows per key (``hot_key_rows``;
-    ``None`` skips the check).  Without hot keys: one hash exchange on
-    ``keys``; the per-(keys, sequence) dedup, the change flags, the running
-    version number, the per-version aggregate and the closing ``lead`` all
-    reuse that partitioning.  ``partitioned_by_keys=True`` states that the
-    input already arrives hash-partitioned by exactly ``keys`` (e.g. a table
-    written with ``sources.writers.write_bucketed``): the explicit
-    repartition is dropped and the plan has no exchange at all.  With hot
-    keys, see ``_scd2_chunked``: no key is ever processed by a single task.
+    Plan.  A first aggregate counts rows per key (``hot_key_rows``; ``None``
+    skips the check).  Ordinary keys: one hash exchange on ``keys`` and one
+    sort by (keys, sequence, tie-break), which the dedup, the change flags and
+    the version bounds all reuse; a version is its last row, so nothing is
+    aggregated.  ``partitioned_by_keys=True`` states that the input already
+    arrives hash-partitioned by exactly ``keys`` (e.g. a table written with
+    ``sources.writers.write_bucketed``): then there is no exchange at all.
+    Rows of hot keys are taken out and go through ``_scd2_chunked``, where no
+    key is ever processed by a single task; both results are put together.
     """
     keys = list(keys)
     seq = sequence_by
@@ -101,43 +101,34 @@ def scd2(df: DataFrame, keys: Sequence[str], sequence_by: str,
     untracked = [c for c in non_key if c not in track]
     tie = _tie_cols(df, keys, seq, tie_break)
 
-    if hot_key_rows is not None:
-        hot = _hot_keys(df, keys, seq, hot_key_rows, chunk_rows)
-        if hot is not None:
-            return _scd2_chunked(df, keys, seq, track, untracked, tie, hot, start_col, end_col,
-                                 change_type_col)
+    hot = _hot_keys(df, keys, seq, hot_key_rows, chunk_rows) if hot_key_rows is not None else None
+    if hot is None:
+        return _scd2_plain(df, keys, seq, track, tie, start_col, end_col, change_type_col, partitioned_by_keys)
+    rest = df.withColumn("_k", _key_struct(keys)).join(hot.select("_k"), "_k", "left_anti").drop("_k")
+    return _scd2_plain(rest, keys, seq, track, tie, start_col, end_col, change_type_col, partitioned_by_keys) \
+        .unionByName(_scd2_chunked(df, keys, seq, track, untracked, tie, hot, start_col, end_col, change_type_col))
 
+
+def _scd2_plain(df: DataFrame, keys: list[str], seq: str, track: list[str], tie: list[str], start_col: str,
+                end_col: str, change_type_col: str | None, partitioned_by_keys: bool) -> DataFrame:
     base = df.where(F.col(seq).isNotNull())
     if not partitioned_by_keys:
         base = base.repartition(*[F.col(k) for k in keys])
-
-    # 1. one row per (keys, sequence): the largest tie-break wins
-    w_dup = Window.partitionBy(*keys, seq).orderBy(*[F.col(c).desc() for c in tie])
-    dedup = (base.withColumn("_rn", F.row_number().over(w_dup))
-             .where(F.col("_rn") == 1).drop("_rn"))
-
-    # 2./3. change flag and running version number in sequence order
-    w_key = Window.partitionBy(*keys).orderBy(seq)
+    w = Window.partitionBy(*keys).orderBy(F.col(seq), *[F.col(c).desc() for c in tie])
+    # one row per (keys, sequence): the largest tie-break comes first
+    rows = base.withColumn("_before", F.lag(seq).over(w)) \
+        .where(F.col("_before").isNull() | (F.col("_before") != F.col(seq))).drop("_before")
     tracked = F.struct(*[F.col(c) for c in track]) if track else F.lit(0)
-    flagged = dedup.withColumn("_t", tracked).withColumn(
-        "_chg",
-        F.when(F.row_number().over(w_key) == 1, 1)
-         .when(~F.col("_t").eqNullSafe(F.lag("_t").over(w_key)), 1)
-         .otherwise(0))
-    versioned = flagged.withColumn(
-        "_ver", F.sum("_chg").over(w_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-
-    # 4. one row per version; untracked values from the version's latest row
-    payload = [seq] + untracked + track
-    grouped = versioned.groupBy(*keys, "_ver").agg(
-        F.min(seq).alias(start_col),
-        F.max_by(F.struct(*[F.col(c) for c in payload]), F.col(seq)).alias("_v"))
-
-    # 5. close each version at the next version's start
-    w_ver = Window.partitionBy(*keys).orderBy(start_col)
-    out = grouped.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in payload],
-                         start_col, F.lead(start_col).over(w_ver).alias(end_col), "_ver")
-    return _finish(out, df.columns, start_col, end_col, change_type_col)
+    rows = rows.withColumn("_t", tracked)
+    rows = rows.withColumns({"_n": F.row_number().over(w), "_p": F.lag("_t").over(w)}) \
+        .withColumn("_chg", (F.col("_n") == 1) | ~F.col("_t").eqNullSafe(F.col("_p"))).drop("_t", "_p")
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumns({
+        start_col: F.last(F.when(F.col("_chg"), F.col(seq)), ignorenulls=True).over(so_far),
+        end_col: F.lead(seq).over(w), "_next": F.lead("_chg").over(w),
+        "_ver": F.sum(F.col("_chg").cast("int")).over(so_far)})
+    # the last row of each version: its successor starts another, or there is none
+    return _finish(rows.where(F.coalesce(F.col("_next"), F.lit(True))), df.columns, start_col, end_col, change_type_col)
 
 
 def _finish(out: DataFrame, columns: list[str], start_col: str, end_col: str,
@@ -185,14 +176,16 @@ def _hot_keys(df: DataFrame, keys: Sequence[str], seq: str, hot_key_rows: int,
     rows / hot_key_rows keys.
     """
     x = _seq_number(df, seq)
+    from histlake.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
+    # plain key columns: a bucketed table's own partitioning serves the aggregate
     stats = (df.where(F.col(seq).isNotNull())
-             .groupBy(_key_struct(keys).alias("_k"))
+             .groupBy(*keys)
              .agg(F.count(F.lit(1)).alias("_cnt"), F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-             .where(F.col("_cnt") > F.lit(hot_key_rows)))
-    if stats.limit(1).count() == 0:
+             .where(F.col("_cnt") > F.lit(hot_key_rows))
+             .select(_key_struct(keys).alias("_k"), "_cnt", "_lo", "_hi")).checkpoint()
+    if stats.isEmpty():
         return None
-    from histlake.session import checkpoint_root
-    checkpoint_root(df.sparkSession)
     m = F.least(F.ceil(F.col("_cnt") / F.lit(float(chunk_rows))), F.lit(MAX_CHUNKS_PER_KEY)).cast("int")
     hot = stats.select("_k", "_lo", m.alias("_m"),
                        ((F.col("_hi") - F.col("_lo")) / m).alias("_w")).checkpoint(eager=True)
@@ -209,7 +202,7 @@ def _hot_keys(df: DataFrame, keys: Sequence[str], seq: str, hot_key_rows: int,
         hot = hot.join(cuts, "_k", "left").checkpoint(eager=True)
     else:
         hot = hot.withColumn("_cuts", F.lit(None).cast("array<double>"))
-    return broadcast_if_small(hot, known_rows=n_hot, materialize=False)
+    return broadcast_if_small(hot, known_rows=n_hot)
 
 
 def _quantile_chunk(x: Column, cuts: Column, max_cuts: int = MAX_CHUNKS_PER_KEY) -> Column:
@@ -232,10 +225,9 @@ def _scd2_chunked(df: DataFrame, keys: list[str], seq: str, track: list[str],
                   start_col: str, end_col: str, change_type_col: str | None = None) -> DataFrame:
     """SCD2 with hot keys split into sequence-range chunks.
 
-    1. rows get ``_chunk`` (0 for ordinary keys; for hot keys the quantile
-       range of their sequence - about ``chunk_rows`` rows each - or an
-       equal-width range when the cut points are too many to ship) by a
-       broadcast join with the hot-key plan;
+    1. the hot keys' rows get ``_chunk``, the quantile range of their sequence
+       - about ``chunk_rows`` rows each - or an equal-width range when the cut
+       points are too many to ship, by a broadcast join with the hot-key plan;
     2. (keys, sequence) dedup as a grouped ``max_by`` - map-side combined, so
        even a hot (key, sequence) pair is reduced before the shuffle;
     3. change flags, local version numbers and next-row values by windows
@@ -252,20 +244,18 @@ def _scd2_chunked(df: DataFrame, keys: list[str], seq: str, track: list[str],
     x = _seq_number(df, seq)
     rows = (df.where(F.col(seq).isNotNull())
             .withColumn("_k", _key_struct(keys))
-            .join(hot, "_k", "left"))
+            .join(hot, "_k"))
     equal_width = F.when(F.col("_w") <= 0, F.lit(0)) \
                    .otherwise(F.least(F.floor((x - F.col("_lo")) / F.col("_w")), F.col("_m") - 1))
-    chunk = F.when(F.col("_m").isNull(), F.lit(0)) \
-             .when(F.col("_cuts").isNotNull(), _quantile_chunk(x, F.col("_cuts"))) \
+    chunk = F.when(F.col("_cuts").isNotNull(), _quantile_chunk(x, F.col("_cuts"))) \
              .otherwise(equal_width).cast("int")
-    rows = rows.select("_k", seq, *payload, chunk.alias("_chunk"),
-                       F.col("_m").isNotNull().alias("_hot"))
+    rows = rows.select("_k", seq, *payload, chunk.alias("_chunk"))
     order = F.struct(*[F.col(c) for c in tie]) if tie else F.lit(0)
-    dedup = (rows.groupBy("_k", "_chunk", "_hot", seq)
+    dedup = (rows.groupBy("_k", "_chunk", seq)
              .agg(F.max_by(F.struct(*[F.col(c) for c in payload]), order).alias("_r"))
-             .select("_k", "_chunk", "_hot", seq, *[F.col(f"_r.{c}").alias(c) for c in payload]))
+             .select("_k", "_chunk", seq, *[F.col(f"_r.{c}").alias(c) for c in payload]))
 
-    wc = Window.partitionBy("_k", "_chunk", "_hot").orderBy(seq)
+    wc = Window.partitionBy("_k", "_chunk").orderBy(seq)
     tracked = F.struct(*[F.col(c) for c in track]) if track else F.lit(0)
     local = (dedup.repartition("_k", "_chunk")
              .withColumn("_t", tracked)
@@ -276,11 +266,9 @@ def _scd2_chunked(df: DataFrame, keys: list[str], seq: str, track: list[str],
              .withColumn("_nseq", F.lead(seq).over(wc))
              .withColumn("_nchg", F.lead("_lchg").over(wc)))
 
-    # per-chunk summary of hot keys (the filter on a window partition column
-    # is pushed below the windows, so only hot rows take this branch)
+    # per-chunk summary
     ws = Window.partitionBy("_k").orderBy("_chunk")
-    summary = (local.where(F.col("_hot"))
-               .groupBy("_k", "_chunk")
+    summary = (local.groupBy("_k", "_chunk")
                .agg(F.min(seq).alias("_fseq"), F.min_by("_t", F.col(seq)).alias("_ft"),
                     F.max_by("_t", F.col(seq)).alias("_lt"), F.max("_lver").alias("_n"))
                .withColumn("_fchg", F.when(F.row_number().over(ws) == 1, 1)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from histlake.operators.joins import broadcast_if_small, size_checked
+from histlake.operators.joins import broadcast_if_small
 from histlake.operators.scd import END_AT, START_AT
 from histlake.schemas import PAYROLL_KEYS, SNAPSHOT_COLUMNS
 
@@ -19,41 +19,25 @@ def latest_snapshot(bronze: DataFrame, institutions: DataFrame, statuses: DataFr
                     status_col: str = "estado", position_col: str = "cargo",
                     sequence_col: str = "fecha_consulta",
                     columns: Sequence[tuple[str, str]] = SNAPSHOT_COLUMNS,
-                    dimension_rows: int | None = None, prefilter: bool = True) -> DataFrame:
+                    dimension_rows: int | None = None) -> DataFrame:
     """Rows whose sequence date equals the latest OK source update of their
     institution **and** of their status (two equality joins), enriched with
     the translated names; the position join is a left join (Q3, Q4).
 
-    The three dimensions hold one row per name; each is broadcast after a
-    size check (``dimension_rows``: a proven upper bound the caller holds,
-    e.g. the row count of the pre-aggregate they derive from), so the fact
-    side is never shuffled.
-
-    ``prefilter``: when both dated dimensions are proven small, the dates a
-    row can match (in both of them) are few; they are added as a literal
-    ``IN`` filter on the sequence column.  It changes no result - the inner
-    joins imply it - but it reaches the Parquet scan, so on a bronze table
-    clustered by date every older row group is skipped: the snapshot reads
-    the latest data, not the whole history.
+    One lazy plan.  The three dimensions hold one row per name; they are
+    broadcast if ``dimension_rows`` (a proven upper bound the caller holds)
+    or their size in bytes says so, and the fact side is then not shuffled.
+    On bronze partitioned by the sequence date the date equality prunes
+    partitions at run time (dynamic partition pruning).
     """
-    inst, inst_small = size_checked(institutions.select(
+    inst = broadcast_if_small(institutions.select(
         F.col("institution_name_spanish").alias("_i_name"),
         F.col("last_source_update").alias("_i_date"),
         F.col("institution_name_english")), known_rows=dimension_rows)
-    stat, stat_small = size_checked(statuses.select(
+    stat = broadcast_if_small(statuses.select(
         F.col("status_name_spanish").alias("_s_name"),
         F.col("last_source_update").alias("_s_date"),
         F.col("status_name_english")), known_rows=dimension_rows)
-    if prefilter and inst_small and stat_small:
-        # the dimensions are proven small: read both date lists in one job and
-        # keep the dates present in both
-        tagged = (inst.select(F.col("_i_date").alias("d"), F.lit(1).alias("t"))
-                  .unionByName(stat.select(F.col("_s_date").alias("d"), F.lit(2).alias("t"))))
-        seen: dict = {}
-        for r in tagged.collect():
-            seen.setdefault(r["d"], set()).add(r["t"])
-        dates = {d for d, tags in seen.items() if tags == {1, 2}}
-        bronze = bronze.where(matchable(bronze, sequence_col, dates))
     pos = broadcast_if_small(positions.select(
         F.col("position_name_spanish").alias("_p_name"),
         F.col("position_name_english")), known_rows=dimension_rows)
@@ -65,21 +49,6 @@ def latest_snapshot(bronze: DataFrame, institutions: DataFrame, statuses: DataFr
     return joined.select(*[F.col(src).alias(dst) for src, dst in columns])
 
 
-MAX_IN_LIST = 1000
-
-
-def matchable(df: DataFrame, col: str, values) -> Column:
-    """Predicate ``col IN values`` for a few values, else the range they span -
-    either way a literal the Parquet scan can use to skip row groups."""
-    dtype = df.schema[col].dataType
-    vals = sorted(v for v in values if v is not None)
-    if not vals:
-        return F.lit(False)
-    if len(vals) <= MAX_IN_LIST:
-        return F.col(col).isin([F.lit(v).cast(dtype) for v in vals])
-    return F.col(col).between(F.lit(vals[0]).cast(dtype), F.lit(vals[-1]).cast(dtype))
-
-
 def per_group_latest(bronze: DataFrame, groups: Sequence[str] = ("institucion", "estado"),
                      sequence_col: str = "fecha_consulta") -> DataFrame:
     """X1 (opt-in variant, never substituted for ``latest_snapshot``): rows at
@@ -91,18 +60,11 @@ def per_group_latest(bronze: DataFrame, groups: Sequence[str] = ("institucion",
     """
     groups = list(groups)
     maxima = bronze.groupBy(*groups).agg(F.max(sequence_col).alias("_latest"))
-    maxima, small = size_checked(maxima.select(*[F.col(g).alias(f"_g_{g}") for g in groups], "_latest"))
+    maxima = maxima.select(*[F.col(g).alias(f"_g_{g}") for g in groups], "_latest")
     cond = F.col(sequence_col) == F.col("_latest")
     for g in groups:
         cond = cond & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    rows = bronze
-    if small:
-        # every kept row is at its group's maximum, so at or after the smallest
-        # maximum: a literal bound the scan can use to skip older row groups
-        lowest = maxima.agg(F.min("_latest")).first()[0]
-        if lowest is not None:
-            rows = bronze.where(F.col(sequence_col) >= F.lit(lowest).cast(bronze.schema[sequence_col].dataType))
-    return rows.join(maxima, cond, "inner").select(*bronze.columns)
+    return bronze.join(maxima, cond, "inner").select(*bronze.columns)
 
 
 def inactive(history: DataFrame, snapshot: DataFrame, detected_at: Column | str | None = None,

@@ -32,8 +32,6 @@ PRIORITY_DICTIONARY = [("1-URGENT", "URGENTE"), ("2-HIGH", "ALTA"), ("3-MEDIUM",
 EVENT_TYPE_DICTIONARY = [("click", "clic"), ("error", "error"), ("purchase", "compra"),
                          ("signup", "registro"), ("view", "vista")]
 LANGUAGE_DICTIONARY = [("de", "German"), ("en", "English"), ("fr", "French")]
-# positions missing from the OK log (so the snapshot's position join misses)
-EXCLUDED_LOG_PRIORITY = "5-LOW"
 # fixed "now" of the deterministic queries
 AS_OF_DATE = "2024-01-30"
 DETECTED_AT = "2024-02-01 00:00:00"
@@ -122,9 +120,8 @@ BRONZE_SQL = f"""bronze AS (
 
 # ----------------------------------------------------- reference tables / snapshot
 def paylog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """OK extraction log implied by the payroll rows (positions other than
-    the excluded one), in audit-log column names."""
-    p = pay(spark, sf_dir).where(F.col("cargo") != F.lit(EXCLUDED_LOG_PRIORITY))
+    """OK extraction log implied by the payroll rows, in audit-log column names."""
+    p = pay(spark, sf_dir)
     return p.select(F.col("institucion").alias("institution_name_spanish"),
                     F.col("estado").alias("status_name_spanish"),
                     F.lit("OK").alias("run_status"),
@@ -133,10 +130,10 @@ def paylog(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("cargo"))
 
 
-PAYLOG_SQL = f"""paylog AS (
+PAYLOG_SQL = """paylog AS (
   SELECT institucion AS institution_name_spanish, estado AS status_name_spanish, 'OK' AS run_status,
          fecha_consulta AS source_update, fecha_actualizacion AS checked_at, cargo
-  FROM pay WHERE cargo <> '{EXCLUDED_LOG_PRIORITY}')"""
+  FROM pay)"""
 
 
 def reference_tables(spark: SparkSession, sf_dir: str):
@@ -318,7 +315,9 @@ SHEET_LAYOUT_A = ["Nombre", "Apellido", " Cédula ", "Cargo", "Salario", "Gasto"
 SHEET_LAYOUT_B = ["Cargo", "Salario", "Nombre", "Apellido", "CEDULA", "Gasto", "Fecha de Inicio",
                   "Estado"]
 SHEETS_WITH_LAYOUT_B = ["SMALL", "STANDARD"]
-SHEET_UPDATE_TEXT = "Fecha de actualización: 05/01/2025 01:30:00 PM"
+# the sheets in workbook order, and the update text of the n-th (day n)
+SHEET_ORDER = ["STANDARD", "SMALL", "PROMO", "MEDIUM", "LARGE", "ECONOMY"]
+SHEET_UPDATE_TEXT = ("Fecha de actualización: 0", "/01/2025 01:30:00 PM")
 SITE_UPDATE = "2025-01-15 00:00:00"
 
 
@@ -339,6 +338,7 @@ def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
              .otherwise(F.array(nombre, apellido, cedula, cargo, salario, gasto, estado, fecha))
     data = p.select(F.col("p_brand").alias("file"), sheet.alias("sheet"),
                     (F.col("p_partkey") + 6).cast("long").alias("row_no"), cells.alias("cells"))
+    number = F.array_position(F.array(*[F.lit(x) for x in SHEET_ORDER]), F.col("sheet"))
     sheets = data.select("file", "sheet").distinct()
     header = sheets.select("file", "sheet", F.lit(5).cast("long").alias("row_no"),
                            F.when(F.col("sheet").isin(SHEETS_WITH_LAYOUT_B),
@@ -346,9 +346,10 @@ def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
                             .otherwise(F.array(*[F.lit(x) for x in SHEET_LAYOUT_A])).alias("cells"))
     update = sheets.select("file", "sheet", F.lit(3).cast("long").alias("row_no"),
                            F.array(F.lit(""), F.lit(""), F.lit(""), F.lit(""),
-                                   F.lit(SHEET_UPDATE_TEXT)).alias("cells"))
+                                   F.concat(F.lit(SHEET_UPDATE_TEXT[0]), number.cast("string"),
+                                            F.lit(SHEET_UPDATE_TEXT[1]))).alias("cells"))
     out = data.unionByName(header).unionByName(update)
-    return out.withColumns({"institution": F.concat(F.lit("INST "), F.col("file")),
+    return out.withColumns({"sheet_no": number, "institution": F.concat(F.lit("INST "), F.col("file")),
                             "site_update": F.lit(SITE_UPDATE).cast("timestamp")})
 
 
@@ -374,7 +375,8 @@ RAW_CELLS_SQL = f"""raw_cells AS (
       THEN {_sql_list(SHEET_LAYOUT_B)} ELSE {_sql_list(SHEET_LAYOUT_A)} END
   FROM part
   UNION ALL
-  SELECT DISTINCT p_brand, split_part(p_type, ' ', 1), 3, ['', '', '', '', '{SHEET_UPDATE_TEXT}']
+  SELECT DISTINCT p_brand, split_part(p_type, ' ', 1), 3, ['', '', '', '', '{SHEET_UPDATE_TEXT[0]}'
+    || CAST(list_position({_sql_list(SHEET_ORDER)}, split_part(p_type, ' ', 1)) AS VARCHAR) || '{SHEET_UPDATE_TEXT[1]}']
   FROM part)"""
 
 
@@ -389,7 +391,7 @@ SHEET_CLEAN_SQL = f"""sheet_headers AS (
                 ELSE lower(replace(trim(x), ' ', '_')) END) AS names
   FROM raw_cells WHERE row_no = 5),
 sheet_updates AS (
-  SELECT file, arg_min(cells[5], sheet) AS update_text FROM raw_cells WHERE row_no = 3 GROUP BY file),
+  SELECT file, arg_min(cells[5], list_position({_sql_list(SHEET_ORDER)}, sheet)) AS update_text FROM raw_cells WHERE row_no = 3 GROUP BY file),
 sheet_clean AS (
   SELECT {_cell_sql('nombre')} AS nombre, {_cell_sql('apellido')} AS apellido,
          {_cell_sql('cedula')} AS cedula, {_cell_sql('cargo')} AS cargo,

@@ -230,6 +230,18 @@ def scd2_history_point(spark, sf):
         .orderBy(F.col("valid_from").desc())
 
 
+@query("scd2_history_of_key", with_ctes(ORD_SCD, body=f"""
+SELECT o_custkey, o_orderpriority, o_orderstatus, __START_AT AS valid_from,
+       coalesce(__END_AT, TIMESTAMP '{A.DETECTED_AT}') AS valid_to
+FROM oh_h WHERE o_custkey = 7 AND o_orderpriority LIKE '%-%'"""))
+def scd2_history_of_key(spark, sf):
+    """The history of one key, chosen by column and string predicates (P5, P12,
+    C14).  They are on key columns, so Spark applies them to the orders before
+    their history is built."""
+    return scd.key_history(A.orders_history(spark, sf, hot_key_rows=None), (F.col("o_custkey") == 7) & F.col("o_orderpriority").like("%-%"),
+                           F.lit(A.DETECTED_AT).cast("timestamp_ntz"), ["o_custkey", "o_orderpriority", "o_orderstatus"])
+
+
 @query("scd2_change_type", with_ctes(ORD_SCD, body="""
 SELECT *, CASE WHEN __START_AT = min(__START_AT) OVER (PARTITION BY o_custkey, o_orderpriority)
                THEN 'INSERT' ELSE 'UPDATE' END AS change_type FROM oh_h"""))
@@ -358,16 +370,28 @@ def log_ok_ratio(spark, sf):
                     rnd("error_ratio", 6))
 
 
-@query("log_view_counters", with_ctes(LOG, LAST_RUN_SQL, body="""
+_LATER = ("institution_name_spanish, status_name_spanish, 'OK' AS run_status, source_update, checked_at + INTERVAL 365 DAYS AS checked_at, "
+          "start_at, end_at, time")
+
+
+@query("log_view_counters", with_ctes(
+    LOG.replace("log AS", "log_before AS", 1),
+    f"log AS (SELECT * FROM log_before UNION ALL SELECT {_LATER} FROM log_before WHERE run_status = 'FAIL')", LAST_RUN_SQL, body="""
 SELECT count(DISTINCT report) AS reports, CAST(sum(OK) AS BIGINT) AS files_downloaded,
        CAST(sum(ERROR) AS BIGINT) AS errors,
        max(source_update) AS last_source_update, max(checked_at) AS last_checked_at
 FROM last_run"""))
 def log_view_counters(spark, sf):
-    """The last-run view registered for SQL users (S9) and the dashboard's
-    counter widgets run on it through ``spark.sql``."""
+    """The last-run view in the catalog (S9) over a stored log; failed runs are
+    appended as repeated a year later *after* the view is made, and the
+    dashboard's counters on the view see them."""
     import uuid
-    name = audit.register_view(_last_run(spark, sf), f"v_last_run_{uuid.uuid4().hex[:8]}")
+    from histlake.session import scratch_dir
+    run = uuid.uuid4().hex[:8]
+    stored, name = f"histlake_log_{run}", f"histlake_last_run_{run}"
+    A.log(spark, sf).write.option("path", scratch_dir(spark, stored)).saveAsTable(stored)
+    audit.create_last_run_view(spark, stored, name)
+    spark.sql(f"INSERT INTO {stored} SELECT {_LATER} FROM {stored} WHERE run_status = 'FAIL'")
     return spark.sql(f"""
         SELECT count(DISTINCT report) AS reports, sum(OK) AS files_downloaded, sum(ERROR) AS errors,
                max(source_update) AS last_source_update, max(checked_at) AS last_checked_at
@@ -413,6 +437,39 @@ def audit_rows(spark, sf):
     return stored.withColumn("updates", updates)
 
 
+@query("declared_log_table", with_ctes(LOG, body=f"""
+SELECT institution_name_spanish, status_name_spanish, coalesce(run_status, 'none') AS run_status,
+       count(*) AS runs, min(checked_at) AS first_checked_at FROM (
+  SELECT institution_name_spanish, status_name_spanish, run_status, TIMESTAMP '{A.DETECTED_AT}' AS checked_at FROM log
+  UNION ALL SELECT institution_name_spanish, status_name_spanish, run_status, checked_at FROM log)
+GROUP BY 1, 2, 3"""))
+def declared_log_table(spark, sf):
+    """A table with NOT NULL and default columns (S10): one INSERT leaves the
+    check time to its default, one gives it; then read as a stream by name (S4)
+    into a table that is summarised."""
+    import uuid
+    from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
+    from histlake.session import scratch_dir
+    from histlake.sources.readers import read_stream_table
+    from histlake.sources.writers import define_table
+    from histlake.streaming.ingest import run_to_completion
+    run = uuid.uuid4().hex[:8]
+    name, out = f"histlake_declared_{run}", scratch_dir(spark, "declared_out")
+    schema = StructType([StructField("institution_name_spanish", StringType(), False), StructField("status_name_spanish", StringType(), False),
+                         StructField("run_status", StringType()), StructField("checked_at", TimestampNTZType(), False)])
+    define_table(spark, name, schema, {"checked_at": f"TIMESTAMP_NTZ '{A.DETECTED_AT}'"}, path=scratch_dir(spark, name))
+    log, some = A.log(spark, sf), ["institution_name_spanish", "status_name_spanish", "run_status"]
+    log.createOrReplaceTempView(f"{name}_in")
+    spark.sql(f"INSERT INTO {name} ({', '.join(some)}) SELECT {', '.join(some)} FROM {name}_in")
+    spark.sql(f"INSERT INTO {name} SELECT {', '.join(some)}, checked_at FROM {name}_in")
+    spark.catalog.dropTempView(f"{name}_in")
+    run_to_completion(read_stream_table(spark, name).writeStream.format("parquet").option("path", out)
+                      .option("checkpointLocation", scratch_dir(spark, "declared_ckpt")))
+    rows = spark.read.schema(schema).parquet(out)
+    return rows.groupBy("institution_name_spanish", "status_name_spanish", F.coalesce("run_status", F.lit("none")).alias("run_status")) \
+        .agg(F.count("*").alias("runs"), F.min("checked_at").alias("first_checked_at"))
+
+
 # =========================================================== reference tables
 def _dict_sql(name, pairs):
     return A.dictionary_sql(name, pairs)
@@ -448,19 +505,25 @@ def reference_positions(spark, sf):
     return A.reference_tables(spark, sf)[2]  # positions
 
 
-@query("new_positions_only", with_ctes(A.PAY_SQL, A.PAYLOG_SQL, A.REFERENCE_SQL, body="""
+KNOWN_SINCE = "1992-01-02 00:00:00"
+
+
+@query("new_positions_only", with_ctes(A.PAY_SQL, A.PAYLOG_SQL, A.REFERENCE_SQL, body=f"""
 SELECT c.position_name_spanish, c.last_seen_at,
        coalesce(d.target, c.position_name_spanish) AS position_name_english
 FROM (SELECT cargo AS position_name_spanish, min(fecha_actualizacion) AS last_seen_at
       FROM pay WHERE cargo IS NOT NULL GROUP BY cargo) c
 LEFT JOIN (SELECT source, min(target) AS target FROM prio_dict GROUP BY source) d
   ON c.position_name_spanish = d.source
-WHERE NOT EXISTS (SELECT 1 FROM pos_ref p WHERE p.position_name_spanish = c.position_name_spanish)"""))
+WHERE c.last_seen_at >= TIMESTAMP '{KNOWN_SINCE}'"""))
 def new_positions_only(spark, sf):
-    existing = A.reference_tables(spark, sf)[2]
-    return reference.position_reference(A.pay(spark, sf), A.dictionary(spark, A.PRIORITY_DICTIONARY),
-                                        existing=existing,
-                                        dictionary_rows=len(A.PRIORITY_DICTIONARY))
+    """Positions of all payroll rows that a reference table made on the data's
+    first day does not have yet."""
+    words = A.dictionary(spark, A.PRIORITY_DICTIONARY)
+    pay = A.pay(spark, sf)
+    existing = reference.position_reference(pay.where(F.col("fecha_actualizacion") < F.lit(KNOWN_SINCE).cast("timestamp_ntz")), words,
+                                            dictionary_rows=len(A.PRIORITY_DICTIONARY))
+    return reference.position_reference(pay, words, existing=existing, dictionary_rows=len(A.PRIORITY_DICTIONARY))
 
 
 @query("translate_lookup_udf", with_ctes(_dict_sql("lang_dict", A.LANGUAGE_DICTIONARY), body="""
@@ -506,6 +569,20 @@ def html_list_items(spark, sf):
     return list_items(A.table(spark, sf, "pages"), "html", "page_id")
 
 
+@query("drop_down_options", """
+WITH o AS (SELECT c_custkey, unnest([c_mktsegment || ' ó ñ', 'Región & ' || c_name]) AS option FROM customer)
+SELECT c_custkey, option, replace(url_encode(option), '%2F', '/') AS quoted FROM o""")
+def drop_down_options(spark, sf):
+    """Options of a page's drop-down (T3): the placeholder is left out (F19),
+    named and numeric references are decoded, names quoted for a URL (F17)."""
+    from histlake.functions.text import select_options, url_quote
+    c = A.table(spark, sf, "customer")
+    html = F.concat(F.lit('<form><select id="otra"><option>no</option></select><select class="c" id="lista">'
+                          '<option value="">Seleccione una</option><option> </option><option value="1">'), F.col("c_mktsegment"),
+                    F.lit(" &oacute; &#241;</option><option>Regi&#xF3;n &amp; "), F.col("c_name"), F.lit("</option></select></form>"))
+    return c.select("c_custkey", F.explode(select_options(html, "lista")).alias("option")).withColumn("quoted", url_quote(F.col("option")))
+
+
 PAGE_TEXT_PREFIX = "Fecha de actualización de los datos: "
 
 
@@ -548,14 +625,15 @@ def sheet_clean(spark, sf):
 @query("sheet_clean_staged", ORACLES["sheet_clean"])
 def sheet_clean_staged(spark, sf):
     """Cleaned sheet rows written as staging Parquet - partitioned by status,
-    clustered by institution - and read back with the declared schema."""
+    clustered by institution, timestamps as INT96 - and read back with the
+    declared schema."""
     from histlake.functions.text import clean_sheets
     from histlake.schemas import STAGING_SCHEMA
     from histlake.session import scratch_dir
     from histlake.sources.readers import read_batch
     from histlake.sources.writers import write_clustered
     path = write_clustered(clean_sheets(A.raw_cells(spark, sf)), scratch_dir(spark, "staging"),
-                           cluster_by=["institucion", "cedula"], partition_by=["estado"])
+                           cluster_by=["institucion", "cedula"], partition_by=["estado"], timestamp_type="INT96")
     return read_batch(spark, path, STAGING_SCHEMA)
 
 

@@ -35,7 +35,7 @@ PAYROLL_TRACKED = ["salario", "gasto", "fecha_de_inicio"]
 PAYROLL_KEY_PARTS = ["nombre", "apellido", "institucion", "cargo", "cedula"]
 
 # Audit log of extraction attempts.  NOT NULL is declared but not enforced by
-# Parquet, hence ``operators.quality.not_null_violations``.
+# Parquet, hence ``operators.profile.not_null_violations``.
 AUDIT_LOG_SCHEMA = StructType([
     StructField("institution_name_spanish", StringType(), False),
     StructField("status_name_spanish", StringType(), False),
@@ -51,8 +51,7 @@ AUDIT_LOG_NOT_NULL = ["institution_name_spanish", "status_name_spanish", "run_st
 RUN_STATUSES = ["OK", "FAIL", "No Update"]
 
 # Bronze -> silver snapshot projection (source column, output column), in the
-# output order of the 17-column snapshot.  ``None`` as source marks columns
-# that come from the reference (dimension) tables.
+# output order of the 17-column snapshot.
 SNAPSHOT_COLUMNS = [
     ("composite_key", "composite_key"),
     ("nombre", "first_name"),

@@ -46,6 +46,16 @@ def read_stream(spark: SparkSession, path: str, schema: StructType,
     return reader.parquet(path)
 
 
+def read_stream_table(spark: SparkSession, name: str,
+                      max_files_per_trigger: int | None = None) -> DataFrame:
+    """Incremental scan of a catalog table by name (S4): what was appended since
+    the query's checkpoint."""
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.table(name)
+
+
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     """One row per staged file (path, size, modification time) without
     reading the file contents - replaces a driver-side directory listing

@@ -2,39 +2,68 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def replace_folder(spark: SparkSession, new: str, path: str) -> str:
+    """Put the finished folder ``new`` in the place of ``path``.
+
+    Two renames: until the first the old table is there, after the second the
+    new one.  A job that fails while it writes ``new`` leaves ``path`` as it is;
+    a crash between the renames leaves the old table beside it as ``.old``."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path
+    target, old = at(path), at(path.rstrip("/") + ".old")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(old):
+        fs.delete(old, True)
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(at(new), target):
+        raise OSError(f"cannot move {new} to {path}")
+    fs.delete(old, True)
+    return path
+
+
 def materialize(df: DataFrame, path: str, comment: str | None = None,
-                cluster_by: Sequence[str] | None = None) -> str:
+                cluster_by: Sequence[str] | None = None, table: str | None = None) -> str:
     """Full recompute-and-replace of a derived table (materialised view, S7).
 
-    ``cluster_by`` lays the files out by those columns (S8) so Parquet
-    min/max statistics let later filters skip row groups.
+    The result is written beside ``path`` and then takes its place, so a failed
+    run leaves the former table readable.  ``cluster_by`` lays the files out by
+    those columns (S8) so Parquet min/max statistics let later filters skip row
+    groups.  ``table`` registers the folder in the catalog; ``comment`` becomes
+    that table's comment and needs one.
     """
-    writer_df = df
-    if cluster_by:
-        writer_df = cluster(df, cluster_by)
-    w = writer_df.write.mode("overwrite")
-    if comment:
-        w = w.option("comment", comment)
-    w.parquet(path)
+    if comment and not table:
+        raise ValueError("a comment belongs to a catalog table: give its name")
+    spark = df.sparkSession
+    new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}"
+    (cluster(df, cluster_by) if cluster_by else df).write.parquet(new)
+    replace_folder(spark, new, path)
+    if table:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # external: the files stay
+        spark.catalog.createTable(table, path=path, source="parquet", description=comment)
     return path
 
 
 def cluster(df: DataFrame, cols: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Range-partition then sort within partitions by ``cols``.
+    """Range-partition, then sort within partitions, by ``cols``.
 
-    Range partitioning splits a hot value across several files (unlike hash
-    partitioning), and the in-file sort gives tight per-row-group min/max
-    ranges for data skipping.
+    Equal values would share a partition, so a hash of the row is the last
+    range column: a hot value spreads over several partitions, each still a
+    narrow range of ``cols``.  The in-file sort gives tight per-row-group
+    min/max ranges for data skipping.
     """
     cols = list(cols)
-    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    spread = F.xxhash64(*[f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
+    by = [F.col(c) for c in cols] + [spread]
+    ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
     return ranged.sortWithinPartitions(*cols)
 
 
@@ -43,10 +72,12 @@ def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str],
                     mode: str = "overwrite", partitions: int | None = None,
                     timestamp_type: str | None = None) -> str:
     """Clustered Parquet write (S8, S12).  ``partition_by`` adds directory
-    partitioning on low-cardinality columns (e.g. a status);
-    ``timestamp_type`` (``INT96``, ``TIMESTAMP_MICROS``, ``TIMESTAMP_MILLIS``)
-    pins the physical timestamp encoding for this write only."""
-    w = cluster(df, cluster_by, partitions).write.mode(mode)
+    partitioning on low-cardinality columns (e.g. a status); rows are then
+    ordered by those first, as the writer needs them, and by ``cluster_by``
+    inside each file.  ``timestamp_type`` (``INT96``, ``TIMESTAMP_MICROS``,
+    ``TIMESTAMP_MILLIS``) pins the physical timestamp encoding for this write
+    only."""
+    w = cluster(df, [*(partition_by or []), *cluster_by], partitions).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if timestamp_type:
@@ -69,7 +100,8 @@ def append_typed(df: DataFrame, path: str, schema: StructType,
 
     Columns are cast to the declared types (no string-typed inserts), and
     ``defaults`` fills NULLs of columns that declare a default, e.g.
-    ``{"checked_at": F.current_timestamp()}``.
+    ``{"checked_at": F.current_timestamp()}``.  A NULL that is left in a column
+    declared NOT NULL fails the write.
     """
     defaults = defaults or {}
     cols = []
@@ -77,7 +109,10 @@ def append_typed(df: DataFrame, path: str, schema: StructType,
         c = F.col(field.name) if field.name in df.columns else F.lit(None)
         if field.name in defaults:
             c = F.coalesce(c, defaults[field.name])
-        cols.append(c.cast(field.dataType).alias(field.name))
+        c = c.cast(field.dataType)
+        if not field.nullable:
+            c = F.coalesce(c, F.raise_error(F.lit(f"{field.name} is NOT NULL")).cast(field.dataType))
+        cols.append(c.alias(field.name))
     df.select(*cols).write.mode("append").parquet(path)
     return path
 
@@ -101,3 +136,17 @@ def write_bucketed(df: DataFrame, table: str, bucket_by: Sequence[str], buckets:
         w = w.option("path", path)
     w.saveAsTable(table)
     return table
+
+
+def define_table(spark: SparkSession, name: str, schema: StructType, defaults: dict[str, str] | None = None,
+                 path: str | None = None, comment: str | None = None) -> str:
+    """Create the catalog table ``name`` (S10): declared types, NOT NULL where the
+    schema says so, and SQL default expressions (``{"checked_at":
+    "current_timestamp()"}``) for columns an INSERT leaves out."""
+    defaults = defaults or {}
+    cols = [f"`{f.name}` {f.dataType.simpleString()}" + ("" if f.nullable else " NOT NULL")
+            + (f" DEFAULT {defaults[f.name]}" if f.name in defaults else "") for f in schema.fields]
+    quote = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    spark.sql(f"CREATE TABLE {name} ({', '.join(cols)}) USING parquet"
+              + (f" LOCATION {quote(path)}" if path else "") + (f" COMMENT {quote(comment)}" if comment else ""))
+    return name

@@ -58,16 +58,15 @@ def new_keys_stream(spark: SparkSession, src: DataFrame, key_col: str, seen_col:
                     target: str, checkpoint: str,
                     enrich: Callable[[DataFrame], DataFrame] | None = None) -> str:
     """Only-new-keys maintenance (ST4, J5): per micro-batch, the batch's
-    distinct keys (earliest ``seen_col``) minus keys already in the target,
-    enriched, appended.  A replayed batch finds its keys present and adds
+    distinct keys (earliest ``seen_col``) minus keys already in the target;
+    what is left is enriched and appended, so a known key costs no enrichment.  A replayed batch finds its keys present and adds
     nothing, so the sink stays exactly-once without transactions."""
     def write(batch: DataFrame, epoch: int) -> None:
         keys = (batch.where(F.col(key_col).isNotNull())
                 .groupBy(key_col).agg(F.min(seen_col).alias(seen_col)))
-        out = enrich(keys) if enrich else keys
-        existing = _read_or_empty(spark, target, out.schema)
-        new = new_keys_only(out, existing, [key_col])
-        new.write.mode("append").parquet(target)
+        new = new_keys_only(keys, _read_or_empty(spark, target, keys.schema), [key_col])
+        out = enrich(new) if enrich else new
+        out.write.mode("append").parquet(target)
 
     run_to_completion(src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
     return target

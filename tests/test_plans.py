@@ -1,5 +1,7 @@
 """Plan-shape checks: the physical plans we want at scale."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from histlake.plans import analogs as A
@@ -8,6 +10,18 @@ from histlake.plans.registry import QUERIES
 SF = "/root/testdata/sf0.001"
 
 
+@contextmanager
+def jobs(spark):
+    """Gives a function that tells how many jobs ran inside."""
+    import uuid
+    sc, group = spark.sparkContext, uuid.uuid4().hex
+    sc.setJobGroup(group, "counted")
+    try:
+        yield lambda: len(sc.statusTracker().getJobIdsForGroup(group))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -68,41 +82,55 @@ def test_scd2_over_bucketed_bronze_needs_no_exchange(spark):
     assert rows(h) == rows(scd.scd2(orders, A.ORDERS_KEYS, "o_orderdate", **kw))
 
 
-def test_snapshot_date_filter_reaches_the_bronze_scan(spark):
-    """On a stored bronze table the latest-date filter is pushed to Parquet,
-    so older row groups are skipped instead of joined and dropped."""
+def test_snapshot_prunes_partitions_at_run_time(spark):
+    """On bronze stored by snapshot date, the dates of the broadcast dimensions
+    prune its partitions; no job runs while the plan is built."""
     from histlake.operators.snapshot import latest_snapshot
     from histlake.session import scratch_dir
     from histlake.sources.writers import write_clustered
-    path = write_clustered(A.bronze(spark, SF), scratch_dir(spark, "bronze"),
-                           cluster_by=["fecha_consulta"])
-    stored = spark.read.parquet(path)
-    inst, stat, pos, bound = A.reference_tables(spark, SF)
-    snap = latest_snapshot(stored, inst, stat, pos, dimension_rows=bound)
-    formatted = spark._jvm.PythonSQLUtils.explainString(snap._jdf.queryExecution(), "formatted")
-    pushed = [line for line in formatted.split("\n") if line.startswith("PushedFilters")]
-    # one allowed date becomes an equality, several an IN list
-    assert any("EqualTo(fecha_consulta" in line or "In(fecha_consulta" in line for line in pushed), pushed
+    from histlake.operators.reference import reference_names
+    path = write_clustered(A.bronze(spark, SF), scratch_dir(spark, "bronze"), cluster_by=["cedula"],
+                           partition_by=["fecha_consulta"])
+    stored = spark.read.schema(A.bronze(spark, SF).schema).parquet(path)
+    A.paylog(spark, SF).write.parquet(kept := scratch_dir(spark, "paylog"))
+    log = spark.read.parquet(kept)
+    words = A.dictionary(spark, A.SEGMENT_DICTIONARY)
+    inst = reference_names(log, "institution_name_spanish", "institution_name_english", words)
+    stat = reference_names(log, "status_name_spanish", "status_name_english", words)
+    pos = A.reference_tables(spark, SF)[2]
+    with jobs(spark) as ran:
+        snap = latest_snapshot(stored, inst, stat, pos, dimension_rows=100)
+    assert ran() == 0
+    assert "dynamicpruning" in snap._jdf.queryExecution().executedPlan().toString()
     assert snap.count() == A.snapshot(spark, SF).count()
 
 
+def test_no_job_while_plans_are_built(spark):
+    from histlake.operators import audit
+    from histlake.operators.snapshot import per_group_latest
+    log, bronze = A.log(spark, SF), A.bronze(spark, SF)
+    with jobs(spark) as ran:
+        audit.last_run(log)
+        per_group_latest(bronze)
+        audit.work_list(log.select(audit.INST), log.select(audit.STAT), log, F.lit("2024-01-01").cast("timestamp_ntz"))
+    assert ran() == 0
+
+
 def test_broadcast_only_within_the_bound(spark):
     """Over the bound there is no hint, and (with Spark's own size-based
     broadcast switched off) the join is a shuffle join; within it, a
     broadcast hash join."""
-    from histlake.operators.joins import broadcast_if_small, size_checked
+    from histlake.operators.joins import broadcast_if_small
     big = spark.range(1000).withColumnRenamed("id", "k")
     facts = spark.range(5000).withColumn("k", F.col("id") % 1000)
-    _, small = size_checked(big, max_rows=100)
-    assert not small
     key = "spark.sql.autoBroadcastJoinThreshold"
     old = spark.conf.get(key)
     spark.conf.set(key, "-1")
     try:
-        p = plan(facts.join(broadcast_if_small(big, max_rows=100), "k"))
-        assert "BroadcastHashJoin" not in p and ("SortMergeJoin" in p or "ShuffledHashJoin" in p)
-        p2 = plan(facts.join(broadcast_if_small(big, max_rows=5000), "k"))
-        assert "BroadcastHashJoin" in p2
+        for kw in (dict(known_rows=1000, max_rows=100), dict()):
+            p = plan(facts.join(broadcast_if_small(big, **kw), "k"))
+            assert "BroadcastHashJoin" not in p and ("SortMergeJoin" in p or "ShuffledHashJoin" in p)
+        assert "BroadcastHashJoin" in plan(facts.join(broadcast_if_small(big, known_rows=1000), "k"))
     finally:
         spark.conf.set(key, old)
 

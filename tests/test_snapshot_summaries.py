@@ -4,6 +4,7 @@
 import json
 
 from helpers import D, T, rows
+from pyspark.sql import functions as F
 
 from histlake.operators import scd, snapshot, summaries
 from histlake.operators.keys import with_key_and_tenure
@@ -150,11 +151,21 @@ def test_employee_summary_without_details(spark):
     assert "collect_list" not in p
 
 
-def test_matchable_dates_in_list_or_range(spark, monkeypatch):
-    df = spark.createDataFrame([(T(2025, 1, d),) for d in range(1, 11)], "ts timestamp")
-    few = snapshot.matchable(df, "ts", {T(2025, 1, 2), T(2025, 1, 5)})
-    assert rows(df.where(few)) == [(T(2025, 1, 2),), (T(2025, 1, 5),)]
-    monkeypatch.setattr(snapshot, "MAX_IN_LIST", 1)
-    span = snapshot.matchable(df, "ts", {T(2025, 1, 2), T(2025, 1, 5)})   # becomes the range
-    assert len(rows(df.where(span))) == 4
-    assert df.where(snapshot.matchable(df, "ts", set())).count() == 0
+def test_snapshot_in_the_repeated_hour(spark):
+    """The hour that a clock repeats when daylight saving ends: the instants stay apart."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        at = F.timestamp_seconds(F.lit(1730615400))  # 2024-11-03 06:30 UTC, 01:30 for the second time
+        bronze = spark.range(1).select(
+            *[F.lit(c).alias(c) for c in ("composite_key", "nombre", "apellido", "cedula", "estado", "institucion", "cargo", "archivo")],
+            F.lit(1.0).alias("salario"), F.lit(2.0).alias("gasto"), F.current_date().alias("fecha_de_inicio"),
+            at.alias("fecha_actualizacion"), at.alias("fecha_consulta"), F.lit(0.5).alias("antiguedad"))
+        dim = lambda name, value, when: spark.range(1).select(
+            F.lit(value).alias(f"{name}_name_spanish"), when.alias("last_source_update"), F.lit("x").alias(f"{name}_name_english"))
+        hour = F.expr("INTERVAL 1 HOUR")
+        pos = dim("position", "cargo", at)
+        for i, s, n in ((at, at, 1), (at - hour, at - hour, 0), (at, at - hour, 0)):
+            assert snapshot.latest_snapshot(bronze, dim("institution", "institucion", i), dim("status", "estado", s), pos).count() == n
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
