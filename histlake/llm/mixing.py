@@ -103,3 +103,30 @@ def emit(mixed: DataFrame) -> DataFrame:
     keep = [c for c in mixed.columns if not c.startswith("mix_")]
     return mixed.filter("mix_copies > 0").select(
         *keep, F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))).alias("mix_copy"))
+
+
+#: The same in SQL (DuckDB); the closed form of the level takes a running sum over sources.
+_DRAW = " + ".join(f"(strpos('0123456789abcdef', substr(h, b + {k}, 1)) - 1) * {16 ** (8 - k)}" for k in range(1, 9))
+ORACLE = rf"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS words FROM d GROUP BY source),
+r AS (SELECT *, row_number() OVER (ORDER BY CASE WHEN source IS NULL THEN 1 ELSE 0 END, source) - 1 AS rk FROM s),
+w AS (SELECT *, CAST(CASE rk % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS DOUBLE) AS weight, CAST(2 * words AS DOUBLE) AS cap FROM r),
+o AS (SELECT *, cap / weight AS full_at, sum(cap) OVER (ORDER BY cap / weight, rk ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - cap AS cap_before,
+             sum(weight) OVER () + weight - sum(weight) OVER (ORDER BY cap / weight, rk ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS left_over,
+             CAST(1.5 * sum(words) OVER () AS DOUBLE) AS total FROM w),
+f AS (SELECT *, CASE WHEN full_at <= (total - cap_before) / left_over THEN 1 ELSE 0 END AS is_full FROM o),
+l AS (SELECT (max(total) - sum(is_full * cap)) / nullif(sum((1 - is_full) * weight), 0) AS level FROM f),
+t AS (SELECT f.source, f.words, CASE WHEN l.level IS NULL THEN f.cap ELSE least(f.cap, f.weight * l.level) END AS target FROM f CROSS JOIN l),
+p AS (SELECT *, CAST(floor(CASE WHEN words > 0 THEN target / words ELSE 0 END) AS BIGINT) AS times,
+             CASE WHEN words > 0 THEN target / words - floor(target / words) ELSE 0 END AS chance FROM t),
+j AS (SELECT unnest(range({SEEDS})) AS seed),
+h AS (SELECT d.doc_id, d.source, d.size, j.seed, md5(coalesce(CAST(d.doc_id AS VARCHAR), 'null') || ':' || CAST(j.seed // 4 AS VARCHAR)) AS h,
+             j.seed % 4 * 8 AS b FROM d CROSS JOIN j),
+u AS (SELECT doc_id, source, size, seed, ({_DRAW}) / 4294967296.0 AS draw FROM h),
+e AS (SELECT p.source, u.seed, abs(sum(CASE WHEN u.draw < p.chance THEN u.size ELSE 0 END) - max(p.target - p.times * p.words)) AS off
+      FROM u JOIN p ON u.source IS NOT DISTINCT FROM p.source GROUP BY p.source, u.seed),
+b AS (SELECT source, seed, row_number() OVER (PARTITION BY source ORDER BY off, seed) AS nth FROM e)
+SELECT u.doc_id, u.size, p.words AS source_size, p.target, CAST(u.size * (p.times + CASE WHEN u.draw < p.chance THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM b JOIN u ON u.source IS NOT DISTINCT FROM b.source AND u.seed = b.seed JOIN p ON p.source IS NOT DISTINCT FROM b.source WHERE b.nth = 1
+"""

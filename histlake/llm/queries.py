@@ -104,3 +104,4 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op2_chat_format"] = chat.ORACLE
+ORACLES["op8_mixing"] = mixing.ORACLE
