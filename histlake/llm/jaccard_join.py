@@ -290,9 +290,10 @@ def similar(sets: list[np.ndarray], similarity: float) -> np.ndarray:
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
                  recall: float = RECALL) -> DataFrame:
-    """(id, key, class_id, n_links, n_text_links, n_copies) of each row.
+    """(id, key, class_key, class_id, n_links, n_text_links, n_copies) of each row.
 
-    class_id: smallest id of the documents reached by links.  n_links: other
+    class_key names the class also where ids are null or repeated; class_id is
+    the smallest id of the documents reached by links.  n_links: other
     documents of that similarity, copies included; n_text_links: other sets."""
     rows = cut(embedded(docs, id_col, text_col))
     classes = cut(rows.filter("c is not null").groupBy("c").agg(
@@ -330,10 +331,11 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     per_class = cut(per_class.withColumn("root", F.coalesce("root", "c")))
     ids = per_class.groupBy("root").agg(F.min("first").alias("class_id"))
     per_class = per_class.join(ids, "root").select(
-        "c", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        "c", F.hex("root").alias("class_key"), "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("texts", F.lit(0)).cast("long").alias("n_text_links"), F.col("copies").alias("n_copies"))
     return rows.select("id", "key", "c").join(per_class, "c", "left").select(
-        "id", "key", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        "id", "key", F.coalesce("class_key", F.concat(F.lit("row "), F.col("key").cast("string"))).alias("class_key"),
+        F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce("n_text_links", F.lit(0)).alias("n_text_links"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
 
 
@@ -353,9 +355,9 @@ def whole_sets(docs: DataFrame, members: DataFrame, n_members: int, id_col: str,
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one document of each class: the one of smallest id."""
+    """``docs`` with one document of each class: the one of smallest id, null last."""
     found = cut(jaccard_join(docs, id_col, text_col, similarity))
-    kept = found.groupBy("class_id").agg(F.min(F.struct("id", "key")).alias("first")).select("first.key")
+    kept = found.groupBy("class_key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first")).select("first.key")
     going = cut(found.select("key").distinct().join(kept, "key", "left_anti"))
     key = F.xxhash64(id_col, text_col)
     out = joined(docs.withColumn("__key", key), going.withColumnRenamed("key", "__key"), "__key", "left_anti", going.count(), 16)

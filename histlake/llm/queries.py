@@ -51,7 +51,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("key")
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("key", "class_key")
 
 
 @query
