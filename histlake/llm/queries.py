@@ -92,7 +92,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     docs = order_minhash.with_fingerprint(docs, "text", "fingerprint")
     docs = order_minhash.with_next(docs, "doc_id", {"text": "next_text", "fingerprint": "next_fingerprint"},
-                                   int(spark.conf.get("spark.sql.shuffle.partitions")))
+                                   4 * int(spark.conf.get("spark.sql.shuffle.partitions")))  # ranges a task: some
     n = F.length("text")
     cut_off = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - cut_off), F.substring("next_text", F.lit(1), cut_off))
