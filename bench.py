@@ -58,7 +58,7 @@ def main() -> None:
                                 "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="histlake-wh-")})
     spark.sparkContext.setLogLevel("ERROR")
     results, errors = {}, {}
-    for name in (only or QUERIES):
+    for name in (list(ALL) if only == ["all"] else only or QUERIES):  # the headline list, some, or all
         try:
             run_once(spark, name, sf_dir)  # warm-up (JIT, file listing, metadata)
             times = [run_once(spark, name, sf_dir) for _ in range(repeat)]

@@ -9,6 +9,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -81,7 +82,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         existing = sc.getCheckpointDir()
         if existing:
             return existing
-        if not (sc.master or "").startswith("local"):
+        if not re.match(r"local($|\[)", sc.master or ""):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) "
                                "for checkpoints and intermediate tables")
         root = tempfile.mkdtemp(prefix="histlake-ckpt-")
