@@ -208,14 +208,17 @@ def blocks(n: str, chunk: str) -> F.Column:
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root) of the connected components of (a, b): alternating stars, each
-    round a minimum per node and a join; stops when no edge changes."""
+    round a minimum per node and a join; stops when no edge changes.  The minima
+    are written first: the join is then one of two plain shuffles, which Spark
+    splits where one node has very many edges."""
     edges = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = None
     for _ in range(rounds):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("a", "low"))
+        low = cut(both.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("a", "low")))
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
-        small_low = large.groupBy("a").agg(F.min("b").alias("low"))
+        large = cut(large)
+        small_low = cut(large.groupBy("a").agg(F.min("b").alias("low")))
         small = large.join(small_low, "a").select(
             F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e")) \
             .select("e.*").filter("a <> b").distinct()

@@ -17,7 +17,7 @@ is written last.  Committing a batch id again is a no-op; what a failed attempt
 left is not read and is overwritten.  One writer at a time.
 
 Null texts count 0 tokens; null sources and languages are groups of their own;
-changes without an id are ignored.  Extra columns are ignored.
+changes without an id or with another operation are ignored.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -103,11 +103,9 @@ class Ledger:
             return False
         columns = ["text", "source", "lang"]
         order = F.struct("seq", (F.col("op") == "delete").alias("gone"), *columns)
-        # copies of an id are resolved before the texts are tokenized
-        rows = changes.select("id", "seq", "op", *columns).filter("id is not null")
-        repeated = rows.groupBy("id").agg(F.count("*").alias("n"), F.max(F.struct("seq", (F.col("op") == "delete").alias("gone"), F.xxhash64(*columns).alias("h"))).alias("top"))
-        several = repeated.filter("n > 1")
-        if several.limit(1).count():
+        rows = changes.select("id", "seq", "op", *columns).filter("id is not null and op in ('insert', 'revise', 'delete')")
+        # texts are shuffled only if an id has several changes
+        if not rows.groupBy("id").count().filter("count > 1").isEmpty():
             last = rows.groupBy("id").agg(F.max(order).alias("o"), F.max_by("op", order).alias("op"))
             rows = last.select("id", F.col("o.seq").alias("seq"), "op", "o.text", "o.source", "o.lang")
         now = count_tokens(rows.filter("op <> 'delete'").select("id", "source", "lang", "text"), "text", self.tokenizers, self.folder) \
