@@ -66,7 +66,7 @@ def unescape_html(c: Column) -> Column:
     """Decode HTML character references of element text, as an HTML parser's
     text accessor does: numeric ones (decimal and hexadecimal) and the named
     ones of ``HTML_ENTITIES``; ``&amp;`` last, so that ``&amp;lt;`` is ``&lt;``."""
-    for pattern, base in ((r"&#(\d{1,7});", 10), (r"&#[xX]([0-9A-Fa-f]{1,5});", 16)):
+    for pattern, base in ((r"&#(\d{1,7});", 10), (r"&#[xX]([0-9A-Fa-f]{1,6});", 16)):
         prefix = "&#" if base == 10 else "&#x"
         c = F.aggregate(F.array_distinct(F.regexp_extract_all(c, F.lit(pattern), 1)), F.replace(c, F.lit("&#X"), F.lit("&#x")),
                         lambda s, n: F.replace(s, F.concat(F.lit(prefix), n, F.lit(";")), _code_point(F.conv(n, base, 16))))
