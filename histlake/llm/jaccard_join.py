@@ -349,9 +349,9 @@ def whole_sets(docs: DataFrame, members: DataFrame, n_members: int, id_col: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
-        for b in batches:
-            sets = pa.array([shingle_set(t.as_py(), cache).tobytes() for t in b.column(5)], pa.binary())
-            yield pa.record_batch([*b.columns[:5], sets], names=["comp", "c", "copies", "chunks", "chunk", "s"])
+        for part in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
+            sets = pa.array([shingle_set(t.as_py(), cache).tobytes() for t in part.column(5)], pa.binary())
+            yield pa.record_batch([*part.columns[:5], sets], names=["comp", "c", "copies", "chunks", "chunk", "s"])
 
     return held.mapInArrow(run, "comp binary, c binary, copies long, chunks int, chunk int, s binary") \
         .withColumn("b", F.explode(blocks("chunks", "chunk"))).select("comp", "b.i", "b.j", "chunk", "c", "copies", "s")

@@ -118,16 +118,15 @@ class Model:
         rejected = np.ones(len(texts), bool)
         if not self.langs:
             return langs, scores, rejected
-        counts = [counts_of(t) for t in texts]
-        known = [i for i, c in enumerate(counts) if c is not None]
-        for at in range(0, len(known), 256):
-            part = known[at:at + 256]
-            near = vectors([counts[i] for i in part], self.idf) @ self.centroids.T
-            best = near.argmax(1)
-            for i, b, cosine in zip(part, best, near.max(1)):
+        for at in range(0, len(texts), 256):  # counts of this many texts at a time
+            part = [(i, c) for i, t in enumerate(texts[at:at + 256], at) if (c := counts_of(t)) is not None]
+            if not part:
+                continue
+            near = vectors([c for _, c in part], self.idf) @ self.centroids.T
+            for (i, c), b, cosine in zip(part, near.argmax(1), near.max(1)):
                 langs[i] = self.langs[b]
                 scores[i] = min(1.0, max(0.0, float(cosine)))
-                rejected[i] = cosine < self.least[b] * min(1.0, counts[i].sum() / FULL)
+                rejected[i] = cosine < self.least[b] * min(1.0, c.sum() / FULL)
         return langs, scores, rejected
 
 
