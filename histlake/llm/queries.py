@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histlake.llm import chat, decontaminate, jaccard_join, lang_id, license_scan, mixing, order_minhash, quality, token_counts, warc
-from histlake.llm.common import cut, held_out, table
+from histlake.llm.common import cut, held_out, joined, table
 from histlake.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,10 +30,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = token_counts.Ledger(spark, scratch_dir(spark, "token-ledger"))
     inserts = docs.withColumns({"seq": F.lit(0), "op": F.lit("insert")})
     ledger.commit("0001-load", inserts)
-    marked = docs.join(labels.filter("toxic = 1 or quality = 0"), "id")
-    ledger.commit("0002-corrections", marked.select(
-        "id", F.lit(1).alias("seq"), F.when(F.col("toxic") == 1, "delete").otherwise("revise").alias("op"),
-        F.regexp_replace("text", r"\s+", " ").alias("text"), "source", "lang"))
+    deletes = labels.filter("toxic = 1").select("id", F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("source"),
+                                                F.lit(None).cast("string").alias("lang"), F.lit("delete").alias("op"))
+    poor = cut(labels.filter("quality = 0 and toxic = 0").select("id"))
+    revisions = joined(docs, poor, "id", "inner", poor.count(), 32).select(
+        "id", F.regexp_replace("text", r"\s+", " ").alias("text"), "source", "lang", F.lit("revise").alias("op"))
+    ledger.commit("0002-corrections", deletes.unionByName(revisions).withColumn("seq", F.lit(1)))
     ledger.commit("0001-load", inserts)
     return ledger.totals()
 
