@@ -10,14 +10,16 @@ Long conversations are dealt in blocks of ``BLOCK`` turn numbers for the
 running hashes and in parts of ``PART`` turns for rendering, so that one huge
 conversation occupies many tasks; the parts' texts concatenate to the whole.
 
-Turns are ordered by turn (null last), role, text; rows equal in all four
-columns are one turn.  A null role is ``unknown``, a null text empty.  Rows
+Turns are ordered by turn (null last), role, and a hash of the text; rows equal
+in all four columns are one turn.  A null role is ``unknown``, a null text empty.  Rows
 without a conversation id are left out.  Extra columns are ignored.
 DataFrame functions only.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,34 +30,37 @@ BLOCK, PART = 256, 512
 START, END = "<|im_start|>", "<|im_end|>"
 
 
-def placed_turns(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
-                 text_col: str = "text") -> DataFrame:
-    """(conv, place, n_turns, role, text, h1, h2): turns with their place from 0 and
-    the rolling hash of the conversation up to and with them."""
-    rows = turns.select(F.col(id_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("unknown")).alias("role"),
+def plain(turns: DataFrame, id_col: str, turn_col: str, role_col: str, text_col: str) -> DataFrame:
+    """(conv, turn, role, text, t1, t2): t1 and t2 are hashes of the text."""
+    return turns.select(F.col(id_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("unknown")).alias("role"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter("conv is not null") \
-        .withColumn("block", F.floor(F.col("turn") / BLOCK).cast("long"))
-    order = [F.col("turn").asc_nulls_last(), F.col("role"), F.col("text")]
-    w = Window.partitionBy("conv", "block").orderBy(*order)
-    same = F.struct("turn", "role", "text")
+        .withColumns({"t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit("|"), "text")})
+
+
+def placed_turns(rows: DataFrame) -> DataFrame:
+    """(conv, turn, role, t1, t2, place, n_turns, h1, h2) of ``plain`` turns: their
+    place from 0 and the rolling hash of the conversation up to and with them.
+    The texts stay where they are; their hashes stand for them."""
+    rows = rows.select("conv", "turn", "role", "t1", "t2",
+                       F.coalesce(F.floor(F.col("turn") / BLOCK).cast("long"), F.lit((1 << 63) - 1)).alias("block"))  # null turns come last
+    w = Window.partitionBy("conv", "block").orderBy("turn", "role", "t1", "t2")
+    same = F.struct("turn", "role", "t1", "t2")
     rows = rows.withColumn("again", F.coalesce(F.lag(same).over(w).eqNullSafe(same), F.lit(False))).filter("not again").drop("again")
-    rows = rows.withColumn("nth", F.row_number().over(w) - 1)
-    block = F.coalesce(F.col("block"), F.lit((1 << 63) - 1))  # null turns come last
-    over = Window.partitionBy("conv").orderBy("block_no")
+    rows = cut(rows.withColumn("nth", F.row_number().over(w) - 1))
+    over = Window.partitionBy("conv").orderBy("block")
     before = over.rowsBetween(Window.unboundedPreceding, -1)
-    rows = cut(rows.withColumn("block_no", block).drop("block"))
-    sizes = rows.groupBy("conv", "block_no").agg(F.count("*").alias("n"))
+    sizes = rows.groupBy("conv", "block").agg(F.count("*").alias("n"))
     sizes = sizes.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))) \
         .withColumn("n_turns", F.sum("n").over(Window.partitionBy("conv"))).drop("n")
-    rows = rows.join(sizes, ["conv", "block_no"]).withColumn("place", F.col("first") + F.col("nth"))
-    rows = rows.withColumns({"a": F.xxhash64("place", "role", "text"), "b": F.xxhash64("text", F.lit("|"), "role", "place")})
-    w = Window.partitionBy("conv", "block_no").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.join(sizes, ["conv", "block"]).withColumn("place", F.col("first") + F.col("nth"))
+    rows = rows.withColumns({"a": F.xxhash64("place", "role", "t1", "t2"), "b": F.xxhash64("t2", F.lit("|"), "role", "t1", "place")})
+    w = Window.partitionBy("conv", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = cut(rows.withColumns({"a": F.bit_xor("a").over(w), "b": F.bit_xor("b").over(w)}))
-    ends = rows.groupBy("conv", "block_no").agg(F.max_by("a", "place").alias("ea"), F.max_by("b", "place").alias("eb"))
-    ends = ends.select("conv", "block_no", F.coalesce(F.bit_xor("ea").over(before), F.lit(0)).alias("pa"),
+    ends = rows.groupBy("conv", "block").agg(F.max_by("a", "place").alias("ea"), F.max_by("b", "place").alias("eb"))
+    ends = ends.select("conv", "block", F.coalesce(F.bit_xor("ea").over(before), F.lit(0)).alias("pa"),
                        F.coalesce(F.bit_xor("eb").over(before), F.lit(0)).alias("pb"))
-    return rows.join(ends, ["conv", "block_no"]).select(
-        "conv", "place", "n_turns", "role", "text", F.col("a").bitwiseXOR(F.col("pa")).alias("h1"),
+    return rows.join(ends, ["conv", "block"]).select(
+        "conv", "turn", "role", "t1", "t2", "place", "n_turns", F.col("a").bitwiseXOR(F.col("pa")).alias("h1"),
         F.col("b").bitwiseXOR(F.col("pb")).alias("h2"))
 
 
@@ -77,11 +82,16 @@ def rendered(role: Column, text: Column) -> Column:
 def format_chats(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                  text_col: str = "text") -> DataFrame:
     """(id, part, n_parts, n_turns, n_copies, text) of the maximal conversations."""
-    placed = cut(placed_turns(turns, id_col, turn_col, role_col, text_col))
-    kept = placed.join(maximal(placed), "conv")
-    parts = kept.groupBy("conv", F.floor(F.col("place") / PART).cast("long").alias("part")).agg(
+    rows = plain(turns, id_col, turn_col, role_col, text_col)
+    placed = cut(placed_turns(rows))
+    names = ["conv", "role", "t1", "t2", "turn"]
+    kept = placed.drop("h1", "h2").join(maximal(placed), "conv").withColumnsRenamed({c: f"k_{c}" for c in names})
+    # the texts meet their places turn by turn, so no conversation is a hot key here
+    same = reduce(Column.__and__, [F.col(c) == F.col(f"k_{c}") for c in names[:4]] + [F.col("turn").eqNullSafe(F.col("k_turn"))])
+    texts = rows.join(kept, same).select("conv", "place", "n_turns", "n_copies", rendered(F.col("role"), F.col("text")).alias("t"))
+    parts = texts.groupBy("conv", F.floor(F.col("place") / PART).cast("long").alias("part")).agg(
         F.first("n_turns").alias("n_turns"), F.first("n_copies").alias("n_copies"),
-        F.collect_list(F.struct("place", rendered(F.col("role"), F.col("text")).alias("t"))).alias("turns"))
+        F.collect_set(F.struct("place", "t")).alias("turns"))  # repeated rows are one turn
     return parts.select(F.col("conv").alias(id_col), "part", F.ceil(F.col("n_turns") / PART).cast("long").alias("n_parts"), "n_turns", "n_copies",
                         F.array_join(F.transform(F.array_sort("turns"), lambda x: x["t"]), "").alias("text"))
 

@@ -1,4 +1,5 @@
 import oracle_compare
+import xxhash
 from histlake.llm import chat, queries
 
 TURNS = "conv_id long, turn long, role string, text string"
@@ -8,13 +9,19 @@ def show(role, text):
     return f"<|im_start|>{role}\n{text}<|im_end|>\n"
 
 
+def order(text):
+    """Turns of equal number and role stand by their text's hash."""
+    h = xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return h - 2**64 if h >= 2**63 else h
+
+
 def brute(rows):
     """{conv: (turns, copies, text)} of the maximal conversations."""
     convs = {}
     for c, turn, role, text in set(rows):
         if c is not None:
-            convs.setdefault(c, []).append((turn is None, turn or 0, role or "unknown", text or ""))
-    seqs = {c: tuple(t[2:] for t in sorted(v)) for c, v in convs.items()}
+            convs.setdefault(c, []).append((turn is None, turn or 0, role or "unknown", order(text or ""), text or ""))
+    seqs = {c: tuple((t[2], t[4]) for t in sorted(v)) for c, v in convs.items()}
     out = {}
     for c, s in seqs.items():
         if any(len(o) > len(s) and o[:len(s)] == s for o in seqs.values()) or any(o == s and d < c for d, o in seqs.items()):
