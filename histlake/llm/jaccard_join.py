@@ -312,7 +312,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if not n_large or depth == DEPTH:
             break
         crowded = joined(level.select("node", "c"), large, "node", "left_semi", n_large, 16)
-        level = children(cut(crowded.join(classes.select("c", "mh"), "c").select("node", "c", "mh")), similarity)
+        level = cut(children(crowded.join(classes.select("c", "mh"), "c").select("node", "c", "mh"), similarity))  # read three times
     all_leaves = leaves[0]
     for more in leaves[1:]:
         all_leaves = all_leaves.union(more)
