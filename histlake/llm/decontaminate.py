@@ -1,15 +1,15 @@
 """Benchmark decontamination with SimHash windows.
 
 A document is compared with a benchmark item through windows of the item's own
-length.  Windows and items get a 64-bit SimHash of their five-word shingles,
+length; a document shorter than the item is one window, as a whole.  Windows and items get a 64-bit SimHash of their five-word shingles,
 each weighing as often as it occurs.  ``RADIUS + 1`` blocks of the fingerprint
 are indexed: two fingerprints within ``RADIUS`` bits agree in one block at
 least, so the joins on blocks find every such pair.  Candidates are verified by
 the exact weighted Jaccard similarity of their shingles.
 
 Only windows that can reach the threshold are fingerprinted: with similarity s,
-2s / (1 + s) of a window's shingles occur in an item of its length.  Shingles
-are therefore looked up first; this drops no window that could match.
+a window of w shingles has at least (w + m) s / (1 + s) of them in an item of m.
+Shingles are therefore looked up first; this drops no window that could match.
 
 Words: lower-cased runs of letters and digits.  Items and documents of fewer
 than five words have no shingle and match nothing, as do null texts.  Rows with
@@ -64,8 +64,8 @@ def masks(radius: int) -> list[int]:
 
 
 def within_radius(left: DataFrame, right: DataFrame, radius: int, right_rows: int) -> DataFrame:
-    """Pairs of rows of equal size ``m`` whose fingerprints differ in at most
-    ``radius`` bits; each pair once.  ``left(l, m, fp)``, ``right(r, m, fp)``."""
+    """Pairs of rows of equal ``m`` whose fingerprints differ in at most ``radius``
+    bits; each pair once.  ``left(l, m, fp)``, ``right(r, m, fp)``."""
     blocks = F.array(*[F.lit(m) for m in masks(radius)])
     part = lambda d, fp: d.select("*", F.posexplode(F.transform(blocks, lambda m: F.col(fp).bitwiseAND(m))).alias("block", "value"))
     met = joined(part(left, "fp"), part(right.withColumnRenamed("fp", "fp_r"), "fp_r"), ["m", "block", "value"], "inner",
@@ -86,10 +86,11 @@ def common(a: str, b: str) -> Column:
 
 def starts(places: str, m: Column, n: Column, least: Column) -> Column:
     """Starts of windows of ``m`` shingles, among ``n``, that hold at least
-    ``least`` of the sorted ``places``."""
+    ``least`` of the sorted ``places``; with fewer than ``m`` the only start is 0."""
     p = lambda i: F.get(F.col(places), i)
-    span = lambda i: F.sequence(F.greatest(p(i + least - 1) - m + 1, F.lit(0)), F.least(p(i), n - m))
-    some = F.filter(F.sequence(F.lit(0), F.size(places) - least), lambda i: F.greatest(p(i + least - 1) - m + 1, F.lit(0)) <= F.least(p(i), n - m))
+    final = F.greatest(n - m, F.lit(0))
+    span = lambda i: F.sequence(F.greatest(p(i + least - 1) - m + 1, F.lit(0)), F.least(p(i), final))
+    some = F.filter(F.sequence(F.lit(0), F.size(places) - least), lambda i: F.greatest(p(i + least - 1) - m + 1, F.lit(0)) <= F.least(p(i), final))
     return F.array_distinct(F.flatten(F.transform(some, span)))
 
 
@@ -102,31 +103,33 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
                 .withColumn("r", F.xxhash64("item", "item_shingles")))
     known = cut(marks.select(F.explode("item_shingles").alias("s"), "m").distinct())
     n_known, n_items = known.count(), marks.count()
-    least = F.ceil(F.col("m") * (2 * similarity / (1 + similarity)) - 1e-9).cast("int")
+    least = F.ceil((F.least("n", "m") + F.col("m")) * (similarity / (1 + similarity)) - 1e-9).cast("int")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key"))
     # documents' shingles that some item has, and the sizes where they are dense enough
-    seen = rows.select("key", F.posexplode(shingles(F.col("text"))).alias("place", "s"))
-    dense = joined(seen, known, "s", "inner", n_known, 48).groupBy("key", "m").agg(F.array_sort(F.collect_set("place")).alias("places")) \
-        .filter(F.size("places") >= least)
+    seen = rows.select("key", shingles(F.col("text")).alias("shingles")).select("key", F.size("shingles").alias("n"), "shingles") \
+        .select("key", "n", F.posexplode("shingles").alias("place", "s"))
+    dense = joined(seen, known, "s", "inner", n_known, 48).groupBy("key", "m").agg(
+        F.first("n").alias("n"), F.array_sort(F.collect_set("place")).alias("places")).filter(F.size("places") >= least)
     dense = cut(dense.groupBy("key").agg(F.collect_list(F.struct("m", "places")).alias("sizes")))
     size = dense.agg(F.count("*").alias("n"), F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda n, x: n + F.size(x["places"]))).alias("p")).first()
     back = joined(rows.filter("text is not null"), dense, "key", "inner", size.n + (size.p or 0) // 8, 96).dropDuplicates(["key"])
     windows = back.select("key", "id", shingles(F.col("text")).alias("shingles"), F.explode("sizes").alias("x")) \
-        .select("key", "id", "shingles", "x.m", "x.places") \
-        .withColumn("start", F.explode(starts("places", F.col("m"), F.size("shingles"), least))) \
+        .select("key", "id", "shingles", F.size("shingles").alias("n"), "x.m", "x.places") \
+        .withColumn("start", F.explode(starts("places", F.col("m"), F.col("n"), least))) \
         .withColumn("window", F.expr("slice(shingles, start + 1, m)"))
     windows = cut(windows.select("key", "id", "m", "start", "window", F.xxhash64("window").alias("l")))
-    # equal windows are fingerprinted and compared once
-    texts = windows.groupBy("l").agg(F.first("window").alias("window"), F.first("m").alias("m"))
-    prints = simhash(texts, "l", "window").join(texts.select("l", "m"), "l")
+    # equal windows are fingerprinted once and compared once with the items of a size
+    texts = windows.groupBy("l").agg(F.first("window").alias("window"), F.collect_set("m").alias("sizes"))
+    prints = simhash(texts, "l", "window").join(texts.select("l", F.explode("sizes").alias("m")), "l")
     near = within_radius(prints, simhash(marks, "r", "item_shingles").join(marks.select("r", "m"), "r"), radius, n_items)
     shared = common("window", "item_shingles")
     alike = joined(near.join(texts.select("l", "window"), "l"), marks.select("r", "item", "item_shingles"), "r", "inner", n_items, 1024) \
         .withColumn("similarity", shared / (F.size("window") + F.size("item_shingles") - shared)) \
         .filter(F.col("similarity") >= similarity).select("l", "item", "similarity", "distance")
-    best = F.min(F.struct((-F.col("similarity")).alias("unlike"), "start", "m", "distance"))
-    return windows.select("l", "key", "id", "m", "start").join(alike, "l").groupBy("key", "id", "item").agg(best.alias("b")) \
-        .select("key", "id", "item", F.col("b.start").alias("start"), (F.col("b.m") + SHINGLE - 1).alias("n_words"),
+    best = F.min(F.struct((-F.col("similarity")).alias("unlike"), "start", "size", "distance"))
+    held = windows.select("l", "key", "id", F.size("window").alias("size"), "start").distinct()
+    return held.join(alike, "l").groupBy("key", "id", "item").agg(best.alias("b")) \
+        .select("key", "id", "item", F.col("b.start").alias("start"), (F.col("b.size") + SHINGLE - 1).alias("n_words"),
                 (-F.col("b.unlike")).alias("similarity"), F.col("b.distance").alias("distance"))
 
 

@@ -77,3 +77,35 @@ def test_empty_tables(spark, make_docs):
     assert D.matches(make_docs([]), items).collect() == []
     assert D.matches(docs, items.limit(0)).collect() == []
     assert D.clean(docs, items.limit(0)).count() == 1 and D.clean(docs, items).count() == 0
+
+
+def brute_whole(docs, items):
+    """Like ``brute``; a document shorter than an item is one window."""
+    found = {}
+    for d, text in docs:
+        g = grams(text)
+        for k, item in items:
+            b = Counter(s := grams(item))
+            cut = [(a, g[a:a + len(s)]) for a in range(max(1, len(g) - len(s) + 1))] if s else []
+            best = max(((n / (len(w) + len(s) - n), -a, len(w)) for a, w in cut if (n := sum((Counter(w) & b).values()))), default=(0, 0, 0))
+            if best[0] >= 0.8:
+                found[d, k] = (round(best[0], 9), -best[1], best[2] + 4)
+    return found
+
+
+def test_documents_shorter_than_the_item(spark, make_docs):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    item = [word() for _ in range(59)]  # 55 shingles
+    again = [word() for _ in range(6)] * 8
+    items = [(1, " ".join(item)), (2, " ".join(item[:50])), (3, " ".join(item + [word()])), (4, " ".join(again)), (5, "six words are two short shingles")]
+    rows = [(n, " ".join(item[:n])) for n in range(40, 60)]  # 48 words: 44 shingles, 0.8
+    rows += [(100 + n, " ".join(item[n:])) for n in range(1, 14)]
+    rows += [(200, " ".join([*item[:30], "edited", *item[31:56]])), (201, " ".join([*item[:2], "edited", *item[3:56]])), (300, " ".join(again[:42])),
+             (301, " ".join(again[:30])), (400, "six words are two short"), (401, "words are two short shingles"), (402, "four words are few")]
+    docs = make_docs([(i, t, None, None) for i, t in rows])
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = brute_whole(rows, items)
+    assert {(48, 1), (58, 1), (101, 1), (201, 1), (300, 4), (48, 2)} <= want.keys() and not {(47, 1), (200, 1), (301, 4), (400, 5)} & want.keys()
+    assert {(r.id, r["item"]): (round(r.similarity, 9), r.start, r.n_words) for r in D.matches(docs, bench).collect()} == want
+    assert {r.doc_id for r in D.clean(docs, bench).collect()} == {i for i, _ in rows} - {i for i, _ in want}
