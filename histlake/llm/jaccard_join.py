@@ -12,7 +12,9 @@ alike) is compared in blocks, in full.
 
 Sketch matches only say which sets may be linked.  Connected groups of them are
 then compared exactly, on whole shingle sets, in blocks of bounded size; tasks
-give back sums and forests, never pairs.
+give back sums and forests, never pairs.  Blocks of what needs several are dealt
+one by one, smaller buckets and groups many together: what a task holds at a
+time does not grow with a group of near copies.
 
 Free style: numpy inside tasks; Spark deals the buckets and groups.
 
@@ -167,8 +169,8 @@ def forest(alike: np.ndarray) -> np.ndarray:
 
 def sketch_links(leaves: DataFrame, groups: int) -> DataFrame:
     """(a, b): links of a forest over the sets of each block whose sketches match.
-    ``leaves``: (node, i, j, side, c, sketch), one block for each (node, i, j); in a
-    block of two chunks all its sets are compared."""
+    ``leaves``: (node, chunks, i, j, c, sketch), one block for each (node, i, j); in
+    a block of two chunks all its sets are compared."""
     def of(part: pa.Table) -> pa.Table:
         c = part["c"].to_pylist()
         sketch = np.frombuffer(b"".join(part["sketch"].to_pylist()), np.uint8).reshape(-1, T)
@@ -196,7 +198,7 @@ def sketch_links(leaves: DataFrame, groups: int) -> DataFrame:
                 b.append(c[at[k]])
         return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
-    return leaves.withColumn("group", F.pmod(F.xxhash64("node", "i", "j"), F.lit(groups))).groupBy("group") \
+    return leaves.withColumn("group", dealt("node", groups)).drop("chunks").groupBy("group") \
         .applyInArrow(of, "a binary, b binary")
 
 
@@ -206,6 +208,12 @@ def blocks(n: str, chunk: str) -> F.Column:
                        lambda o: F.struct(F.least(F.col(chunk), o).alias("i"), F.greatest(F.col(chunk), o).alias("j")))
 
 
+def dealt(of: str, groups: int) -> F.Column:
+    """Group that a block's rows go to: one of its own if ``of`` has several chunks,
+    as these make k / 256 rows of each of k sets; else one of ``groups``."""
+    return F.when(F.col("chunks") > 1, F.xxhash64(of, "i", "j")).otherwise(F.pmod(F.xxhash64(of), F.lit(groups)))
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root) of the connected components of (a, b): alternating stars, each
     round a minimum per node and a join; stops when no edge changes.  The minima
@@ -236,7 +244,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 def link_counts(sets: DataFrame, similarity: float, groups: int) -> DataFrame:
     """(c, root, links, texts) of each set and block: documents and sets linked to
     it in the block, and the smallest set that it reaches there.
-    ``sets``: (comp, i, j, chunk, c, copies, s), s the whole shingle set."""
+    ``sets``: (comp, chunks, i, j, chunk, c, copies, s), s the whole shingle set."""
     def of(part: pa.Table) -> pa.Table:
         comp, c = part["comp"].to_pylist(), part["c"].to_pylist()
         i, j, chunk, copies = (part[x].to_numpy() for x in ("i", "j", "chunk", "copies"))
@@ -257,7 +265,7 @@ def link_counts(sets: DataFrame, similarity: float, groups: int) -> DataFrame:
         return pa.table([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.int64()),
                          pa.array(cols[3], pa.int64())], names=["c", "root", "links", "texts"])
 
-    return sets.withColumn("group", F.pmod(F.xxhash64("comp", "i", "j"), F.lit(groups))).groupBy("group") \
+    return sets.withColumn("group", dealt("comp", groups)).drop("chunks").groupBy("group") \
         .applyInArrow(of, "c binary, root binary, links long, texts long")
 
 
@@ -318,7 +326,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         all_leaves = all_leaves.union(more)
     all_leaves = all_leaves.withColumn("chunks", F.ceil(F.col("n") / LEAF).cast("int")) \
         .withColumn("chunk", F.pmod(F.xxhash64("c", "node"), F.col("chunks")).cast("int")) \
-        .withColumn("b", F.explode(blocks("chunks", "chunk"))).select("node", "b.i", "b.j", "c", "sketch")
+        .withColumn("b", F.explode(blocks("chunks", "chunk"))).select("node", "chunks", "b.i", "b.j", "c", "sketch")
     n_rows = classes.count()
     links = cut(sketch_links(all_leaves, max(1, n_rows // 512)).distinct())
     comps = cut(components(links)).withColumnRenamed("node", "c").withColumnRenamed("root", "comp")
@@ -343,7 +351,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def whole_sets(docs: DataFrame, members: DataFrame, n_members: int, id_col: str, text_col: str) -> DataFrame:
-    """(comp, i, j, chunk, c, copies, s): the whole set of each member, once for each block it is in."""
+    """(comp, chunks, i, j, chunk, c, copies, s): the whole set of each member, once for each block it is in."""
     rows = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
     held = joined(rows, members, "key", "inner", n_members, 96).select("comp", "c", "copies", "chunks", "chunk", "text")
 
@@ -354,7 +362,7 @@ def whole_sets(docs: DataFrame, members: DataFrame, n_members: int, id_col: str,
             yield pa.record_batch([*part.columns[:5], sets], names=["comp", "c", "copies", "chunks", "chunk", "s"])
 
     return held.mapInArrow(run, "comp binary, c binary, copies long, chunks int, chunk int, s binary") \
-        .withColumn("b", F.explode(blocks("chunks", "chunk"))).select("comp", "b.i", "b.j", "chunk", "c", "copies", "s")
+        .withColumn("b", F.explode(blocks("chunks", "chunk"))).select("comp", "chunks", "b.i", "b.j", "chunk", "c", "copies", "s")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:

@@ -105,3 +105,24 @@ def test_empty_table(make_docs):
     assert J.jaccard_join(make_docs([])).collect() == []
     assert J.one_of_each(make_docs([])).collect() == []
     assert J.one_of_each(make_docs([(1, "a b c d e f", None, None)] * 3)).count() == 1
+
+
+def test_a_task_holds_no_more_of_a_large_group(make_docs, monkeypatch):
+    from pyspark.sql import GroupedData
+    from pyspark.sql import functions as F
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    base, k = [word() for _ in range(120)], 2000
+    texts = [" ".join([*base[:p], word(), *base[p + 1:]]) for p in (rng.randrange(120) for _ in range(k))]
+    largest, apply = [], GroupedData.applyInArrow
+
+    def spy(self, func, schema):
+        largest.append(self.count().agg(F.max("count")).first()[0])
+        return apply(self, func, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInArrow", spy)
+    got = {r.id: r.n_text_links for r in J.jaccard_join(make_docs([(i, t, None, None) for i, t in enumerate(texts)])).collect()}
+    sketches, sets = largest
+    assert sketches <= 44 * 512 and sets <= 3 * J.BLOCK  # 9 trees of at most 1.25 ** 4 leaves a set, 512 sets
+    want = J.similar([J.shingle_set(t, J.WordHashes()) for t in texts], 0.8).sum(1)
+    assert 0.999 * want.sum() <= sum(got.values()) <= want.sum() and len(got) == k
