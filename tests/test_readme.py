@@ -1,13 +1,13 @@
 """The README quick start runs as written."""
 
-import os
 import re
+from pathlib import Path
 
-from conftest import ROOT
+README = Path(__file__).resolve().parents[1] / "README.md"
 
 
 def test_readme_quick_start_runs(spark):
-    text = open(os.path.join(ROOT, "README.md"), encoding="utf-8").read()
+    text = README.read_text(encoding="utf-8")
     section = text[text.index("## Quick start"):text.index("## Running")]
     code = re.search(r"```python\n(.*?)```", section, re.S).group(1)
     scope: dict = {}
