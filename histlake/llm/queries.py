@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histlake.llm import chat, decontaminate, jaccard_join, lang_id, license_scan, mixing, order_minhash, quality, token_counts, warc
+from histlake.llm import chat, decontaminate, jaccard_join, lang_id, license_scan, mixing, order_minhash, quality, token_counts, vector_codes, warc
 from histlake.llm.common import cut, held_out, joined, table
 from histlake.session import scratch_dir
 
@@ -105,5 +105,15 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         order_minhash.likeness("fingerprint", "next_fingerprint").alias("near_next"))
 
 
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = vector_codes.integers(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"), "embedding", 1024).drop("embedding")
+    books = vector_codes.fit(rows, "vec_id")
+    coded = cut(vector_codes.encode(rows, books))
+    return vector_codes.with_group_error(coded, "label").select(
+        "vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
 ORACLES["op2_chat_format"] = chat.ORACLE
 ORACLES["op8_mixing"] = mixing.ORACLE
+ORACLES["op13_vector_codes"] = vector_codes.ORACLE
