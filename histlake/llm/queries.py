@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histlake.llm import chat, decontaminate, jaccard_join, lang_id, license_scan, mixing, order_minhash, quality, token_counts, vector_codes, warc
+from histlake.llm import chat, decontaminate, hard_negatives, jaccard_join, lang_id, license_scan, mixing, order_minhash, quality, token_counts, token_files, vector_codes, warc
 from histlake.llm.common import cut, held_out, joined, table
 from histlake.session import scratch_dir
 
@@ -105,6 +105,20 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         order_minhash.likeness("fingerprint", "next_fingerprint").alias("near_next"))
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.select("vec_id", label.alias("label"), "embedding"), "vec_id", "embedding", "label", F.col("id") % 100 == 0)
+
+
+@query
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), path)
+    return token_files.documents(token_files.read(spark, path)).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = vector_codes.integers(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"), "embedding", 1024).drop("embedding")
@@ -116,4 +130,5 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op2_chat_format"] = chat.ORACLE
 ORACLES["op8_mixing"] = mixing.ORACLE
+ORACLES["op11_hard_negatives"] = hard_negatives.ORACLE
 ORACLES["op13_vector_codes"] = vector_codes.ORACLE
