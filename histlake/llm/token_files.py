@@ -6,7 +6,7 @@ order.  A task encodes its documents and closes a shard whenever it holds
 one document long.  A shard is one row of Parquet:
 
 * ``part``, ``shard``     its place in the order of all shards;
-* ``n_tokens``            ids in the shard;
+* ``n_tokens``, ``within``  ids in the shard, and in the part's shards before it;
 * ``base``                the first nonterminal: ids below it are tokens;
 * ``rules``               pairs of symbols, one pair a nonterminal;
 * ``spans``               how many ids each nonterminal expands to;
@@ -20,10 +20,10 @@ overlaps, which cannot disturb each other, and rounds go on while a pair occurs
 whole number of symbols; with the spans, any range of ids is found and decoded
 without expanding the rest.
 
-Encoding: the tokenizer's library encodes every distinct run of characters other
-than ASCII white space once, and a text is the sequence of its runs' ids.  That equals
-encoding the text as a whole for tokenizers whose tokens never cross white space
-(``parted=False`` encodes whole texts, for others).
+Encoding: a text is the sequence of its words' ids, and the tokenizer's library encodes
+every distinct word once (see ``Encoder``).  That equals encoding the text as a whole
+for a tokenizer that lower-cases, drops white space and cuts words as this one does;
+``parted=False`` encodes whole texts, for others.
 
 A null text is empty; an empty text is only its end id.  Rows with a null id come
 last.  Rows that share an id go by their text's hash, then by text.  Very long texts
@@ -32,8 +32,11 @@ are one document in one shard.  An empty table has no shards.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,17 +46,20 @@ from pyspark.sql import functions as F
 
 from histlake.llm.common import cut
 
-#: Ids after which a shard closes; least occurrences of a pair worth a rule;
-#: characters encoded at a time; distinct runs that a task remembers.
-SHARD, LEAST, CHARS, RUNS = 1 << 18, 8, 1 << 22, 1 << 18
+#: Ids after which a shard closes; least occurrences of a pair that is replaced, least
+#: replacements that are worth a rule, share of the symbols that a round has to save for
+#: another one, and bits of the hash that pairs are counted by.
+SHARD, LEAST, WORTH, GAIN, SLOT_BITS = 1 << 18, 8, 3, 0.01, 19
+#: Bytes of text encoded at a time, and distinct pieces that a task remembers.
+CHARS, PIECES = 1 << 23, 1 << 19
 
-SCHEMA = ("part int, shard int, n_tokens bigint, base int, rules binary, spans binary, symbols binary, "
+SCHEMA = ("part int, shard int, n_tokens bigint, within bigint, base int, rules binary, spans binary, symbols binary, "
           "docs array<bigint>, ends binary")
 
 
 # --- grammar -----------------------------------------------------------------
 
-def chosen(pair: np.ndarray, count: np.ndarray) -> np.ndarray:
+def chosen(count: np.ndarray) -> np.ndarray:
     """Places to replace: pairs more frequent than both neighbours; in a run of
     equally frequent ones every second."""
     n = len(count)
@@ -69,55 +75,76 @@ def chosen(pair: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, rules, spans, ends): ``ids`` by a grammar whose pairs do not cross ``ends``."""
-    seq = ids.astype(np.int64)
+    """(symbols, rules, spans, ends): ``ids`` by a grammar whose pairs do not cross ``ends``.
+
+    Pairs are counted by a hash of theirs; where two share a hash, both look as frequent
+    as both together.  What is replaced is counted exactly: a rule is used ``WORTH`` times or more."""
+    seq = ids.astype(np.uint32)
     doc_end = np.zeros(len(seq), bool)
     doc_end[ends - 1] = True
-    rules, spans = [], np.ones(base, np.int64)
-    n_rules = 0
+    rules, spans, n_rules = [], np.ones(base, np.int64), 0
     while len(seq) > 1:
-        pair = (seq[:-1] << 32) | seq[1:]
-        pair[doc_end[:-1]] = -1
-        order = np.argsort(pair)
-        ranked = pair[order]
-        new = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-        size = np.diff(np.append(new, len(ranked)))
-        size[(size < least) | (ranked[new] < 0)] = 0
-        if not size.any():
-            break
-        count = np.empty(len(pair), np.int64)
-        count[order] = np.repeat(size, np.diff(np.append(new, len(ranked))))
-        at = np.flatnonzero(chosen(pair, count))
-        kinds, which, often = np.unique(pair[at], return_inverse=True, return_counts=True)
-        worth = often >= 3  # a rule takes two symbols' room
+        a, b = seq[:-1], seq[1:]
+        slot = ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA6B))) >> np.uint32(32 - SLOT_BITS)
+        slot[doc_end[:-1]] = 1 << SLOT_BITS
+        often = np.bincount(slot, minlength=(1 << SLOT_BITS) + 1).astype(np.int32)
+        often[-1] = 0
+        often[often < least] = 0
+        at = np.flatnonzero(chosen(often[slot]))
+        kinds, which, used = np.unique((a[at].astype(np.int64) << 32) | b[at], return_inverse=True, return_counts=True)
+        worth = used >= WORTH
         if not worth.any():
             break
-        number = np.cumsum(worth) - 1 + base + n_rules
         keep = worth[which]
         at, which = at[keep], which[keep]
-        kinds = kinds[worth]
-        left, right = kinds >> 32, kinds & 0xFFFFFFFF
+        number = np.cumsum(worth) - 1 + base + n_rules
+        left, right = kinds[worth] >> 32, kinds[worth] & 0xFFFFFFFF
         rules.append(np.stack([left, right], 1))
         spans = np.concatenate([spans, spans[left] + spans[right]])
-        n_rules += len(kinds)
+        n_rules += len(left)
         seq[at] = number[which]
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
         doc_end[at] = doc_end[at + 1]
+        enough = len(at) < GAIN * len(seq)
         seq, doc_end = seq[stay], doc_end[stay]
+        if enough:
+            break
     found = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
-    return seq, found, spans[base:], np.flatnonzero(doc_end) + 1
+    return seq.astype(np.int64), found, spans[base:], np.flatnonzero(doc_end) + 1
+
 
+def places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each size, one after the other."""
+    total = int(sizes.sum())
+    kind = np.int32 if max(total, int(starts.max(initial=0))) < 1 << 30 else np.int64
+    out = np.repeat((starts - (np.cumsum(sizes) - sizes)).astype(kind), sizes)
+    out += np.arange(total, dtype=kind)
+    return out
 
-def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids that ``symbols`` stand for."""
-    while (deep := symbols >= base).any():
+
+def expand(symbols: np.ndarray, rules: np.ndarray, spans: np.ndarray, base: int) -> np.ndarray:
+    """The ids that ``symbols`` stand for: the rules they use are expanded once each, side by
+    side, then looked up."""
+    used = np.unique(symbols[symbols >= base])
+    flat = used
+    while (deep := flat >= base).any():
         at = np.cumsum(1 + deep) - 1 - deep
-        out = np.empty(len(symbols) + int(deep.sum()), np.int64)
-        pairs = rules[symbols[deep] - base]
-        out[at[~deep]], out[at[deep]], out[at[deep] + 1] = symbols[~deep], pairs[:, 0], pairs[:, 1]
-        symbols = out
-    return symbols
+        out = np.empty(len(flat) + int(deep.sum()), np.int64)
+        pairs = rules[flat[deep] - base]
+        out[at[~deep]], out[at[deep]], out[at[deep] + 1] = flat[~deep], pairs[:, 0], pairs[:, 1]
+        flat = out
+    # a table of every token by itself would be as long as the vocabulary: tokens are looked up in place
+    sizes = np.ones(len(symbols), np.int64)
+    deep = symbols >= base
+    sizes[deep] = spans[symbols[deep] - base]
+    ends = np.cumsum(spans[used - base])
+    starts = np.zeros(len(symbols), np.int64)
+    number = np.searchsorted(used, symbols[deep])
+    starts[deep] = (ends - spans[used - base])[number]
+    table = np.concatenate([flat, symbols[~deep]])
+    starts[~deep] = len(flat) + np.arange(int((~deep).sum()))
+    return table[places(starts, sizes)]
 
 
 def packed(x: np.ndarray) -> bytes:
@@ -137,10 +164,10 @@ class Shard:
         self.base, self.n_tokens, self.docs = row["base"], row["n_tokens"], row["docs"]
         self.rules = unpacked(row["rules"]).reshape(-1, 2)
         self.symbols, self.ends = unpacked(row["symbols"]), unpacked(row["ends"])
-        spans = unpacked(row["spans"])
+        self.spans = unpacked(row["spans"])
         deep = self.symbols >= self.base
         sizes = np.ones(len(self.symbols), np.int64)
-        sizes[deep] = spans[self.symbols[deep] - self.base]
+        sizes[deep] = self.spans[self.symbols[deep] - self.base]
         self.places = np.concatenate([[0], np.cumsum(sizes)])  # of each symbol's first id
 
     def tokens(self, start: int, stop: int) -> np.ndarray:
@@ -149,7 +176,7 @@ class Shard:
         if start >= stop:
             return np.zeros(0, np.int64)
         first, last = np.searchsorted(self.places, [start, stop - 1], side="right") - 1
-        ids = expand(self.symbols[first:last + 1], self.rules, self.base)
+        ids = expand(self.symbols[first:last + 1], self.rules, self.spans, self.base)
         return ids[start - self.places[first]:stop - self.places[first]]
 
     def bounds(self) -> np.ndarray:
@@ -159,49 +186,107 @@ class Shard:
 
 # --- encoding ----------------------------------------------------------------
 
+#: Characters whose tokens are known to end where their kind changes: printable ASCII and
+#: the letters of Latin-1 (one lower case each, no composition), and the runs so made.
+_OTHER = re.compile(r"[^\n!-~À-ÖØ-öø-ÿ]|<\|")
+_PIECE = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\na-z0-9ß-öø-ÿ]+")
+
+
 class Encoder:
-    """A tokenizer file, with the ids of runs it has already encoded."""
+    """A tokenizer file, with the ids of the pieces it has already encoded.
+
+    A piece is what the tokenizer itself treats as one word (``_PIECE``, after lower-casing);
+    distinct ones are encoded once, many to a text, and told apart by the mark that
+    the last token of a word carries.  Runs with other characters, or with the string
+    of a special token, are pieces as they are."""
 
     def __init__(self, file: str | None, end: int, parted: bool):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has one task a core already
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
         self.tokenizer = Tokenizer.from_file(file or default_file())
-        self.size = max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=0) + 1
-        self.end, self.parted, self.runs = end, parted, {}
-
-    def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.bare = Tokenizer(self.tokenizer.model)  # for pieces, which need no more cutting or lower-casing
+        self.bare.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.size = max(vocabulary.values(), default=0) + 1
+        mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.last = np.zeros(self.size, bool)
+        self.last[[i for t, i in vocabulary.items() if mark and t.endswith(mark)]] = True
+        self.end, self.parted, self.marked = end, parted, bool(mark)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.ids, self.at = {"\n": -1}, np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def learn(self, pieces: list[str], odd: list[str]) -> None:
+        """Encodes new pieces; ``odd`` ones by themselves."""
+        ids, _ = encoded(self.bare, [" ".join(pieces[i:i + 64]) for i in range(0, len(pieces), 64)])
+        sizes = np.diff(np.flatnonzero(self.last[ids]) + 1, prepend=0)
+        if len(sizes) != len(pieces):
+            ids, sizes = encoded(self.tokenizer, pieces)
+        odd_ids, odd_sizes = encoded(self.tokenizer, odd)
+        first = len(self.at) - 1
+        self.known.update(zip([*pieces, *odd], range(first, first + len(pieces) + len(odd))))
+        self.ids = np.concatenate([self.ids, ids, odd_ids])
+        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(np.concatenate([sizes, odd_sizes]))])
+
+    def runs(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all runs, and how many each has."""
+        joined = "\n".join(runs)
+        if self.marked and not _OTHER.search(joined):
+            plain, odd = np.ones(len(runs), bool), []
+        else:
+            plain = np.array([self.marked and not _OTHER.search(r) for r in runs], bool)
+            odd = [r for r, p in zip(runs, plain) if not p]
+            joined = "\n".join(r for r, p in zip(runs, plain) if p)
+        pieces = _PIECE.findall(joined.lower())
+        kinds = set(pieces)
+        if len(self.known) + len(kinds) + len(odd) > PIECES:
+            self.forget()
+        known = self.known
+        self.learn([k for k in kinds if k not in known], [r for r in dict.fromkeys(odd) if r not in known])
+        number = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        # the pieces of every run; odd runs are one piece
+        breaks = number < 0
+        run = np.flatnonzero(plain)[np.cumsum(breaks)[~breaks]] if plain.any() else np.zeros(0, np.int64)
+        number = number[~breaks]
+        if odd:
+            run = np.concatenate([run, np.flatnonzero(~plain)])
+            number = np.concatenate([number, np.array([known[r] for r in odd], np.int64)])
+            order = np.argsort(run, kind="stable")
+            run, number = run[order], number[order]
+        sizes = self.at[number + 1] - self.at[number]
+        return self.ids[places(self.at[number], sizes)], np.bincount(run, sizes, len(runs)).astype(np.int64)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end id, and where each text ends."""
         if not self.parted:
-            return closed(self.whole(texts.to_pylist()), self.end)
-        words = pc.ascii_split_whitespace(texts)
-        per_text = np.asarray(words.value_lengths(), dtype=np.int64)
-        coded = words.flatten().dictionary_encode()
-        known = coded.dictionary.to_pylist()
-        if len(self.runs) + len(known) > RUNS:
-            self.runs = {}
-        new = [w for w in known if w not in self.runs]
-        self.runs.update(zip(new, self.whole(new)))
-        ids = [self.runs[w] for w in known]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        table, first = np.concatenate([np.zeros(0, np.int64), *ids]), np.cumsum(sizes) - sizes
-        at = np.asarray(coded.indices, dtype=np.int64)
-        text = np.repeat(np.arange(len(per_text)), per_text)
-        per_word = sizes[at]
-        before = np.cumsum(per_word) - per_word
-        n_ids = np.bincount(text, per_word, len(per_text)).astype(np.int64) + 1
-        ends = np.cumsum(n_ids)
-        out = np.empty(int(n_ids.sum()), np.int64)
-        out[ends - 1] = self.end
-        source = np.repeat(first[at] - before, per_word) + np.arange(int(per_word.sum()))
-        out[np.arange(len(source)) + np.repeat(text, per_word)] = table[source]  # one end id before each further text
+            table, n_ids = encoded(self.tokenizer, texts.to_pylist())
+            source = np.arange(len(table))
+        else:
+            words = pc.ascii_split_whitespace(texts)
+            # leading and trailing white space leave empty runs, which have no ids
+            per_text = np.asarray(words.value_lengths(), dtype=np.int64)
+            coded = words.flatten().dictionary_encode()
+            table, sizes = self.runs(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+            at = np.asarray(coded.indices)
+            per_word = sizes[at]
+            source = places((np.cumsum(sizes) - sizes)[at], per_word)
+            upto = np.concatenate([[0], np.cumsum(per_word)])
+            text_end = np.cumsum(per_text)
+            n_ids = upto[text_end] - upto[text_end - per_text]
+        ends = np.cumsum(n_ids + 1)
+        out = np.empty(len(source) + len(texts), np.int32)
+        own = np.ones(len(out), bool)
+        own[ends - 1] = False
+        out[ends - 1], out[own] = self.end, table[source]
         return out, ends
 
 
-def closed(ids: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray]:
-    ids = [np.append(x, end) for x in ids]
-    return np.concatenate([np.zeros(0, np.int64), *ids]), np.cumsum([len(x) for x in ids], dtype=np.int64)
+def encoded(tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, and how many each has."""
+    ids = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    return np.fromiter(chain.from_iterable(ids), np.int32), np.fromiter(map(len, ids), np.int64, len(ids))
 
 
 def default_file() -> str:
@@ -220,9 +305,9 @@ def pieces(batch: pa.RecordBatch, chars: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(a, b - a)
 
 
-def shard_row(part: int, number: int, docs: list, ids: np.ndarray, ends: np.ndarray, base: int, least: int) -> dict:
+def shard_row(part: int, number: int, within: int, docs: list, ids: np.ndarray, ends: np.ndarray, base: int, least: int) -> dict:
     symbols, rules, spans, symbol_ends = compress(ids, ends, base, least)
-    return {"part": part, "shard": number, "n_tokens": len(ids), "base": base, "rules": packed(rules.ravel()), "spans": packed(spans),
+    return {"part": part, "shard": number, "n_tokens": len(ids), "within": within, "base": base, "rules": packed(rules.ravel()), "spans": packed(spans),
             "symbols": packed(symbols), "docs": docs, "ends": packed(symbol_ends)}
 
 
@@ -230,18 +315,18 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
           parted: bool = True, shard: int = SHARD, least: int = LEAST) -> None:
     """Encodes every text, with the id ``end`` after it, into shards at ``path`` (a new
     folder of the shared storage).  ``file``: the tokenizer's, on every executor."""
-    schema = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("n_tokens", pa.int64()), ("base", pa.int32()), ("rules", pa.binary()),
+    schema = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("n_tokens", pa.int64()), ("within", pa.int64()), ("base", pa.int32()), ("rules", pa.binary()),
                         ("spans", pa.binary()), ("symbols", pa.binary()), ("docs", pa.list_(pa.int64())), ("ends", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, number, encoder = TaskContext.get().partitionId(), 0, None
-        names, kept, size = [], [], 0
+        names, kept, size, within = [], [], 0, 0
 
         def close() -> pa.RecordBatch:
             ids = np.concatenate([k[0] for k in kept])
             ends = np.cumsum(np.concatenate([np.diff(k[1], prepend=0) for k in kept]))
-            return pa.RecordBatch.from_pylist([shard_row(part, number, names, ids, ends, max(encoder.size, end + 1), least)], schema)
+            return pa.RecordBatch.from_pylist([shard_row(part, number, within, names, ids, ends, max(encoder.size, end + 1), least)], schema)
 
         for batch in batches:
             for some in pieces(batch, CHARS):
@@ -257,7 +342,7 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
                     size, at, done = size + last - done, stop, last
                     if size >= shard:
                         yield close()
-                        names, kept, size, number = [], [], 0, number + 1
+                        names, kept, size, number, within = [], [], 0, number + 1, within + size
         if kept:
             yield close()
 
@@ -271,13 +356,10 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
 def read(spark, path: str) -> DataFrame:
     """The shards at ``path`` with ``before``, the ids of all shards before each."""
     shards = spark.read.schema(SCHEMA).parquet(path)
-    parts = cut(shards.groupBy("part").agg(F.sum("n_tokens").alias("n")))  # a row per range
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before_part"))
-    sizes = shards.select("part", "shard", "n_tokens")
-    within = F.coalesce(F.sum("n_tokens").over(Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    places = sizes.withColumn("within", within).join(parts, "part").select("part", "shard", (F.col("before_part") + F.col("within")).alias("before"))
-    return shards.join(places, ["part", "shard"])
+    parts = cut(shards.groupBy("part").agg(F.sum("n_tokens").alias("n")))  # a row per range of ids
+    earlier = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = parts.select("part", earlier.alias("earlier"))
+    return shards.join(F.broadcast(parts), "part").withColumn("before", F.col("earlier") + F.col("within")).drop("earlier")
 
 
 def one_by_one(batch: pa.RecordBatch) -> Iterator[dict]:

@@ -41,16 +41,24 @@ def test_runs_give_the_ids_of_whole_texts(tokenizer):
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(max_size=60), max_size=8))
 def test_runs_give_the_ids_of_whole_texts_at_random(texts):
-    encoder = _encoder()
+    encoder = _encoder(True)
     ids, ends = encoder(pa.array(texts, pa.string()))
-    whole, whole_ends = tf.closed(encoder.whole(texts), 1)
+    whole, whole_ends = _encoder(False)(pa.array(texts, pa.string()))
     assert ids.tolist() == whole.tolist() and ends.tolist() == whole_ends.tolist()
 
 
-def _encoder(made=[]):  # noqa: B006 - one tokenizer for all examples
-    if not made:
-        made.append(tf.Encoder(None, 1, True))
-    return made[0]
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("aB'sSTtLl ére<|>.,!0 9ßÿÀ×÷\n\t", max_size=40), max_size=8))
+def test_plain_pieces_give_the_ids_of_whole_texts(texts):
+    ids, ends = _encoder(True)(pa.array(texts, pa.string()))
+    whole, whole_ends = _encoder(False)(pa.array(texts, pa.string()))
+    assert ids.tolist() == whole.tolist() and ends.tolist() == whole_ends.tolist()
+
+
+def _encoder(parted, made={}):  # noqa: B006 - one tokenizer for all examples
+    if parted not in made:
+        made[parted] = tf.Encoder(None, 1, parted)
+    return made[parted]
 
 
 def test_written_and_read_back(spark, tokenizer, tmp_path):
