@@ -12,6 +12,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from histlake.functions.html import elements
+
 from histlake.operators.joins import broadcast_if_small
 
 # ---------------------------------------------------------------------------
@@ -65,14 +67,16 @@ def normalise_name(c: Column) -> Column:
 def unescape_html(c: Column) -> Column:
     """Decode HTML character references of element text, as an HTML parser's
     text accessor does: numeric ones (decimal and hexadecimal) and the named
-    ones of ``HTML_ENTITIES``; ``&amp;`` last, so that ``&amp;lt;`` is ``&lt;``."""
-    for pattern, base in ((r"&#(\d{1,7});", 10), (r"&#[xX]([0-9A-Fa-f]{1,6});", 16)):
+    ones of ``HTML_ENTITIES``; ``&amp;`` last, so that ``&amp;lt;`` is ``&lt;``.
+    Text without ``&`` is taken as it is."""
+    plain = c
+    for pattern, base in ((r"&#(0*\d{1,7});", 10), (r"&#[xX](0*[0-9A-Fa-f]{1,6});", 16)):
         prefix = "&#" if base == 10 else "&#x"
         c = F.aggregate(F.array_distinct(F.regexp_extract_all(c, F.lit(pattern), 1)), F.replace(c, F.lit("&#X"), F.lit("&#x")),
                         lambda s, n: F.replace(s, F.concat(F.lit(prefix), n, F.lit(";")), _code_point(F.conv(n, base, 16))))
     for entity, char in HTML_ENTITIES:
         c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    return F.when(F.contains(plain, F.lit("&")), c).otherwise(plain)
 
 
 def _code_point(hexadecimal: Column) -> Column:
@@ -89,11 +93,10 @@ def drop_blank_and_placeholder(items: Column, placeholder: str = PLACEHOLDER) ->
 
 
 def select_options(html: Column, select_id: str, placeholder: str = PLACEHOLDER) -> Column:
-    """Option texts of ``<select id=select_id>`` (T3) as an array; an absent
+    """Option texts of the first ``<select id=select_id>`` (T3) as an array; an absent
     element gives an empty array."""
-    block = F.regexp_extract(html, r'(?s)<select[^>]*id="' + re.escape(select_id) + r'"[^>]*>(.*?)</select>', 1)
-    items = F.regexp_extract_all(block, F.lit(r"<option[^>]*>([^<]*)</option>"), 1)
-    return drop_blank_and_placeholder(F.transform(items, unescape_html), placeholder)
+    items = F.transform(elements(html, "option", "select", select_id), lambda e: unescape_html(e["text"]))
+    return drop_blank_and_placeholder(items, placeholder)
 
 
 LIST_ITEM_PATTERN = r'<li><a href="[^"]*">([^<]*)</a></li>'

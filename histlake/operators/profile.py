@@ -2,26 +2,82 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def describe(df: DataFrame, col: str, accuracy: int = 1_000_000) -> DataFrame:
-    """Typed descriptive statistics of one column (A17): count, mean, sample
-    stddev, min, quartiles, max - one partial aggregate pass.  Quartiles use
-    the bounded-memory quantile sketch (``percentile_approx``); at the default
-    accuracy its rank error is 1e-6 of the row count, and it returns actual
-    column values."""
+#: Sketches of this accuracy (some kilobytes) bracket a quantile; up to so many rows
+#: inside a bracket are sorted to pick it.
+SKETCH_ACCURACY, PICK_ROWS = 1_000, 100_000
+
+
+def exact_quantiles(df: DataFrame, col: str, probabilities: Sequence[float], accuracy: int = SKETCH_ACCURACY,
+                    pick_rows: int = PICK_ROWS) -> list:
+    """Exact discrete quantiles of the non-null values: for each ``p`` the value
+    of rank ``ceil(p * n)`` (at least 1), whatever the number of rows; None without values.
+
+    A round sketches what is left of each quantile's range, around the rank that is sought,
+    and counts the rows below and up to the values found.  Either one of them has
+    the rank, or the rank lies strictly between two: a range of a few
+    thousandths of the rows.  Rounds go on until a range holds ``pick_rows`` rows
+    at most; those are sorted in one aggregate.  All quantiles share the passes: two
+    a round, so about five for 10^12 rows.  A sketch that misses costs a round, never the result.
+    """
     x = F.col(col)
-    q = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
-    return df.agg(
-        F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("stddev"),
-        F.min(x).alias("min"), q.alias("_q"), F.max(x).alias("max"),
-    ).select("count", "mean", "stddev", "min",
-             F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
-             F.col("_q")[2].alias("p75"), "max")
+    n = df.agg(F.count(x)).first()[0]
+    if not n:
+        return [None] * len(probabilities)
+    # per quantile: its rank in the open range (low, high), and the rows in that range
+    left = {i: [max(math.ceil(p * n - 1e-9), 1), None, None, n] for i, p in enumerate(probabilities)}
+    found: dict[int, object] = {}
+    inside = lambda low, high: x.isNotNull() & (F.lit(True) if low is None else x > F.lit(low)) & (F.lit(True) if high is None else x < F.lit(high))
+    while wide := {i: r for i, r in left.items() if r[3] > pick_rows}:
+        around = lambda k, n: [min(max(k / n + d / accuracy, 0.0), 1.0) for d in (-2, 0, 2)]
+        marks = df.agg(*[F.percentile_approx(F.when(inside(low, high), x), around(k, n), accuracy).alias(f"q{i}")
+                         for i, (k, low, high, n) in wide.items()]).first()
+        marks = {i: sorted(set(marks[f"q{i}"])) for i in wide}
+        counts = df.agg(*[F.count_if(inside(*wide[i][1:3]) & test).alias(f"{name}{i}_{j}") for i in wide for j, m in enumerate(marks[i])
+                          for name, test in (("below", x < F.lit(m)), ("upto", x <= F.lit(m)))]).first()
+        for i, (k, low, high, n) in wide.items():
+            so_far, end, rows_to_end = 0, high, n
+            for j, m in enumerate(marks[i]):
+                below, upto = counts[f"below{i}_{j}"], counts[f"upto{i}_{j}"]
+                if k <= below:
+                    end, rows_to_end = m, below
+                    break
+                if k <= upto:
+                    found[i] = m
+                    break
+                low, so_far = m, upto
+            if i in found:
+                del left[i]
+            else:
+                left[i] = [k - so_far, low, end, rows_to_end - so_far]
+    if left:
+        picked = df.agg(*[F.sort_array(F.collect_list(F.when(inside(low, high), x)))[k - 1].alias(f"p{i}")
+                          for i, (k, low, high, _) in left.items()]).first()
+        found |= {i: picked[f"p{i}"] for i in left}
+    return [found[i] for i in range(len(probabilities))]
+
+
+def describe(df: DataFrame, col: str, materialize: bool = False) -> DataFrame:
+    """Typed descriptive statistics of one column (A17): count, mean, sample
+    stddev, min, exact quartiles (``exact_quantiles``), max.
+
+    The quartiles take a few passes over the column; when ``df`` is an expensive
+    derived relation, ``materialize=True`` stores the column once (reliable checkpoint)."""
+    df = df.select(col)
+    if materialize:
+        from histlake.session import checkpoint_root
+        checkpoint_root(df.sparkSession)
+        df = df.checkpoint()
+    x, kind = F.col(col), df.schema[col].dataType
+    quartiles = exact_quantiles(df, col, [0.25, 0.5, 0.75])
+    return df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("stddev"), F.min(x).alias("min"),
+                  *[F.lit(q).cast(kind).alias(name) for name, q in zip(("p25", "p50", "p75"), quartiles)], F.max(x).alias("max"))
 
 
 def skewness_raw_and_log(df: DataFrame, col: str) -> DataFrame:
@@ -94,6 +150,48 @@ def quality_report(df: DataFrame, not_null: Sequence[str] = (), unique: Sequence
     return out
 
 
+def with_violations(df: DataFrame, not_null: Sequence[str] = (), domains: Mapping[str, Sequence[str]] | None = None,
+                    unique: Sequence[str] | None = None, casts: Mapping[str, str] | None = None,
+                    checks: Mapping[str, Column] | None = None, out: str = "violations") -> DataFrame:
+    """Adds ``out``, the names of the rules that a row breaks, in the rules' order; none: an empty array.
+
+    ``not_null:<column>``; ``domain:<column>`` (a value outside the list; null is none);
+    ``cast:<column>`` (a value that is not of the type); ``check:<name>`` (a condition that is
+    false; null passes, as in SQL); ``unique:<columns>`` (another row has the same key,
+    nulls equal; both rows break it).  Only uniqueness needs a shuffle: keys are counted
+    with a partial aggregate, and the rows are joined with the repeated keys alone."""
+    rules = [(f"not_null:{c}", F.col(c).isNull()) for c in not_null]
+    rules += [(f"domain:{c}", F.col(c).isNotNull() & ~F.col(c).isin(list(allowed))) for c, allowed in (domains or {}).items()]
+    rules += [(f"cast:{c}", F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull()) for c, kind in (casts or {}).items()]
+    rules += [(f"check:{name}", ~F.coalesce(test, F.lit(True))) for name, test in (checks or {}).items()]
+    if unique:
+        key = F.struct(*unique)
+        repeated = df.groupBy(key.alias("_key")).agg(F.count("*").alias("_n")).where("_n > 1").select("_key", F.lit(True).alias("_again"))
+        df = df.withColumn("_key", key).join(repeated, "_key", "left").drop("_key")
+        rules.append((f"unique:{','.join(unique)}", F.col("_again").isNotNull()))
+    names = [F.when(broken, F.lit(name)) for name, broken in rules]
+    found = F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
+    return df.withColumn(out, found).drop("_again")
+
+
+def set_apart(df: DataFrame, path: str, violations: str = "violations", mode: str = "append") -> tuple[DataFrame, DataFrame]:
+    """Writes rows without violations and those with some in one pass, into two folders of
+    ``path``; returns both as stored: (accepted, without ``violations``; rejected, with the reasons).
+
+    One bad row does not fail a load, and is kept with its reasons until someone looks."""
+    df.withColumn("_accepted", F.size(violations) == 0).write.mode(mode).partitionBy("_accepted").parquet(path)
+    stored = df.sparkSession.read.schema(df.schema.add("_accepted", "boolean")).parquet(path)
+    side = lambda accepted: stored.where(F.col("_accepted") == F.lit(accepted)).drop("_accepted")
+    return side(True).drop(violations), side(False)
+
+
+def violation_counts(accepted: DataFrame, rejected: DataFrame, violations: str = "violations") -> DataFrame:
+    """(rule, rows): rows that break each rule, all ``rejected`` rows and all ``accepted`` ones."""
+    by_rule = rejected.select(F.explode(violations).alias("rule")).groupBy("rule").agg(F.count("*").alias("rows"))
+    total = lambda df, name: df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("rule"), "rows")
+    return by_rule.unionByName(total(rejected, "rejected")).unionByName(total(accepted, "accepted"))
+
+
 def not_null_violations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows breaking a declared NOT NULL constraint."""
     cond = F.lit(False)

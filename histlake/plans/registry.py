@@ -117,6 +117,21 @@ FROM snapshot
 GROUP BY institution_sp, institution_en, status_sp, status_en, position_sp, position_en""")
 
 
+@query("employee_detail_parts", with_ctes(SNAP, body="""
+SELECT id_number, CAST((rn - 1) // 2 AS BIGINT) AS part, count(*) AS positions,
+       round(sum(salary) + 1e-07, 4) AS salary, CAST(min(start_date) AS VARCHAR) AS first_start
+FROM (SELECT *, row_number() OVER (PARTITION BY id_number ORDER BY first_name NULLS FIRST, last_name NULLS FIRST, status_sp NULLS FIRST,
+        institution_sp NULLS FIRST, position_sp NULLS FIRST, salary NULLS FIRST, allowance NULLS FIRST, start_date NULLS FIRST,
+        years_of_service NULLS FIRST) AS rn FROM snapshot)
+GROUP BY id_number, part"""))
+def employee_detail_parts(spark, sf):
+    """The details JSON in parts of two positions, read back from its text."""
+    parts = summaries.employee_detail_parts(A.snapshot(spark, sf), part_rows=2)
+    back = F.from_json("details_json", "array<struct<salary: double, start_date: string>>")
+    return parts.select("id_number", "part", "positions", rnd(F.aggregate(back["salary"], F.lit(0.0), lambda s, x: s + x), 4).alias("salary"),
+                        F.array_min(back["start_date"]).alias("first_start"))
+
+
 @query("employee_detail_sizes", with_ctes(SNAP, body="""
 SELECT max(n) AS max_positions, count(*) AS persons,
        CAST(sum(CASE WHEN n > 1 THEN 1 ELSE 0 END) AS BIGINT) AS persons_over_threshold
@@ -569,6 +584,20 @@ def html_list_items(spark, sf):
     return list_items(A.table(spark, sf, "pages"), "html", "page_id")
 
 
+@query("html_elements", r"""
+SELECT page_id, CAST(position AS BIGINT) AS position, href, """ + _unescape_sql("raw") + r""" AS item FROM (
+  SELECT page_id, generate_subscripts(items, 1) AS position, unnest(items) AS raw, unnest(links) AS href
+  FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1) AS items,
+               regexp_extract_all(html, '<li><a href="([^"]*)">[^<]*</a></li>', 1) AS links FROM pages))""")
+def html_elements(spark, sf):
+    """Every link of every page with its text, by the tokeniser."""
+    from histlake.functions.html import attribute, elements
+    from histlake.functions.text import unescape_html
+    found = A.table(spark, sf, "pages").select("page_id", F.posexplode(elements(F.col("html"), "a")).alias("at", "e"))
+    return found.select("page_id", (F.col("at") + 1).cast("long").alias("position"), attribute(F.col("e.tag"), "href").alias("href"),
+                        unescape_html(F.col("e.text")).alias("item"))
+
+
 @query("drop_down_options", """
 WITH o AS (SELECT c_custkey, unnest([c_mktsegment || ' ó ñ', 'Región & ' || c_name]) AS option FROM customer)
 SELECT c_custkey, option, replace(url_encode(option), '%2F', '/') AS quoted FROM o""")
@@ -656,6 +685,9 @@ def _compensation(spark, sf):
     return A.pay(spark, sf).select((F.col("salario") + F.col("gasto")).alias("total_compensation"))
 
 
+QUANTILES = [0.001, 0.01, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.99, 0.999]
+
+
 @query("profile_summary", with_ctes(A.PAY_SQL, COMP_SQL, body="""
 SELECT count(total_compensation) AS count, round((avg(total_compensation)) + 1e-09, 6) AS mean,
        round((stddev_samp(total_compensation)) + 1e-09, 6) AS stddev, min(total_compensation) AS min,
@@ -663,10 +695,19 @@ SELECT count(total_compensation) AS count, round((avg(total_compensation)) + 1e-
        quantile_disc(total_compensation, 0.75) AS p75, max(total_compensation) AS max
 FROM comp"""))
 def profile_summary(spark, sf):
-    d = profile.describe(_compensation(spark, sf), "total_compensation")
+    d = profile.describe(_compensation(spark, sf), "total_compensation", materialize=True)
     return d.select("count", rnd("mean", 6), rnd("stddev", 6), "min", "p25", "p50", "p75", "max")
 
 
+@query("profile_quantiles", "\nUNION ALL ".join(
+    f"SELECT CAST({p} AS DOUBLE) AS probability, quantile_disc(l_extendedprice, {p}) AS value FROM lineitem" for p in QUANTILES))
+def profile_quantiles(spark, sf):
+    """Exact deciles and outer quantiles of the line prices, by small sketches
+    and counts (a row per probability)."""
+    values = profile.exact_quantiles(A.table(spark, sf, "lineitem"), "l_extendedprice", QUANTILES)
+    return spark.createDataFrame(list(zip(QUANTILES, values)), "probability double, value double")
+
+
 @query("profile_skew", with_ctes(A.PAY_SQL, COMP_SQL, body="""
 SELECT round((avg(power(x - m, 3)) / power(var_pop(x), 1.5)) + 1e-09, 6) AS skew_original,
        round((avg(power(lx - lm, 3)) / power(var_pop(lx), 1.5)) + 1e-09, 6) AS skew_log
@@ -720,6 +761,30 @@ def quality_report(spark, sf):
                  "o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM"]})
 
 
+_ODD = """(SELECT *, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_custkey END AS customer,
+  CASE WHEN o_orderkey % 13 = 0 THEN 'x' || o_totalprice ELSE CAST(o_totalprice AS VARCHAR) END AS price FROM orders)"""
+_RULES = {"not_null:customer": "customer IS NULL", "domain:o_orderpriority": "o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')",
+          "cast:price": "o_orderkey % 13 = 0", "check:recent": "NOT o_orderdate >= DATE '1995-06-01'",
+          "unique:customer,o_orderdate": "n > 1"}
+
+
+@query("quality_set_apart", f"""
+WITH r AS (SELECT *, count(*) OVER (PARTITION BY customer, o_orderdate) AS n FROM {_ODD}),
+f AS (SELECT *, {" OR ".join(f"coalesce({c}, false)" for c in _RULES.values())} AS bad FROM r)
+{" UNION ALL ".join(f"SELECT '{name}' AS rule, count(*) AS rows FROM f WHERE {c} HAVING count(*) > 0" for name, c in _RULES.items())}
+UNION ALL SELECT 'rejected', count(*) FROM f WHERE bad UNION ALL SELECT 'accepted', count(*) FROM f WHERE NOT bad""")
+def quality_set_apart(spark, sf):
+    """Orders (some customers and prices made bad) loaded with constraints: one pass
+    stores good and bad rows apart, the latter with their reasons; counts per rule."""
+    o = A.table(spark, sf, "orders")
+    o = o.withColumns({"customer": F.when(F.col("o_orderkey") % 11 != 0, F.col("o_custkey")),
+                       "price": F.when(F.col("o_orderkey") % 13 == 0, F.lit("x")).otherwise(F.col("o_totalprice").cast("string"))})
+    checked = profile.with_violations(
+        o, not_null=["customer"], domains={"o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM"]}, casts={"price": "double"},
+        checks={"recent": F.col("o_orderdate") >= F.lit("1995-06-01").cast("date")}, unique=["customer", "o_orderdate"])
+    return profile.violation_counts(*profile.set_apart(checked, _scratch(spark, "orders_checked")))
+
+
 # =================================================================== layout
 @query("clustered_write_readback", "SELECT * FROM lineitem")
 def clustered_write_readback(spark, sf):
@@ -733,6 +798,16 @@ def clustered_write_readback(spark, sf):
     return spark.read.parquet(path).select(*li.columns)
 
 
+@query("curve_write_readback", "SELECT * FROM lineitem")
+def curve_write_readback(spark, sf):
+    """lineitem written along a space-filling curve over ship date, part and
+    supplier, so that filters on any of them skip row groups; then read back."""
+    from histlake.sources.writers import write_clustered
+    li = A.table(spark, sf, "lineitem")
+    path = write_clustered(li, _scratch(spark, "lineitem_curve"), ["l_shipdate", "l_partkey", "l_suppkey"], curve=True)
+    return spark.read.parquet(path).select(*li.columns)
+
+
 # ================================================================ streaming
 def _scratch(spark, name):
     from histlake.session import scratch_dir
@@ -752,11 +827,33 @@ def stream_ingest(spark, sf):
     from histlake.streaming.ingest import ingest_stream
     path, schema = _staged(spark, A.pay(spark, sf), "pay", files=4, order_by="fecha_consulta")
     sink = ingest_stream(spark, path, schema, _scratch(spark, "bronze"), _scratch(spark, "ckpt"),
-                         transform=with_key_and_tenure, max_files_per_trigger=1)
-    return spark.read.parquet(sink).select("source_row", "cedula", "composite_key",
+                         transform=with_key_and_tenure, max_files_per_trigger=1, cluster_by=["institucion", "fecha_actualizacion"])
+    return sink.read().select("source_row", "cedula", "composite_key",
                                            "fecha_consulta", "fecha_de_inicio", "antiguedad")
 
 
+@query("staged_files_unread", """
+SELECT 4 AS staged, 1 AS unread, count(*) AS rows_read FROM orders WHERE o_orderdate < DATE '1996-06-01'""")
+def staged_files_unread(spark, sf):
+    """Three files of orders arrive and are ingested, then a fourth one with all later
+    orders: the inventory of staged files against the paths that bronze's rows carry."""
+    from histlake.sources.readers import file_inventory, unread_files
+    from histlake.streaming.ingest import ingest_stream
+    orders = A.table(spark, sf, "orders")
+    staging, day = _scratch(spark, "inventory_staging"), F.col("o_orderdate")
+    arrivals = [day < "1995-06-01", (day >= "1995-06-01") & (day < "1996-01-01"), (day >= "1996-01-01") & (day < "1996-06-01"), day >= "1996-06-01"]
+    arrive = lambda some: orders.where(some).coalesce(1).write.mode("append").parquet(staging)
+    for some in arrivals[:3]:
+        arrive(some)
+    bronze = ingest_stream(spark, staging, orders.schema, _scratch(spark, "bronze"), _scratch(spark, "ckpt"), file_col="source_file").read()
+    arrive(arrivals[3])
+    files = file_inventory(spark, staging)
+    count = lambda df, name: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("what"), "n")
+    counts = count(files, "staged").unionByName(count(unread_files(files, bronze, "source_file"), "unread")).unionByName(count(bronze, "rows_read"))
+    of = lambda name: F.max(F.when(F.col("what") == name, F.col("n")))
+    return counts.agg(of("staged").cast("int").alias("staged"), of("unread").cast("int").alias("unread"), of("rows_read").alias("rows_read"))
+
+
 @query("stream_grouped_max", ORACLES["reference_statuses"])
 def stream_grouped_max(spark, sf):
     """Streaming status reference table (complete-mode aggregate + translation)."""
@@ -775,13 +872,13 @@ def stream_grouped_max(spark, sf):
 @query("stream_distinct", with_ctes(A.PAY_SQL, body="""
 SELECT DISTINCT cargo AS position_name_spanish FROM pay WHERE cargo IS NOT NULL"""))
 def stream_distinct(spark, sf):
-    """Streaming dropDuplicates on position (first row seen per key kept)."""
+    """Streaming distinct positions: each micro-batch's minus those the sink has."""
     from histlake.sources.readers import read_stream
     from histlake.streaming.reference import distinct_stream
     src_df = A.pay(spark, sf).select(F.col("cargo").alias("position_name_spanish"),
                                      F.col("fecha_actualizacion").alias("last_seen_at"))
     path, schema = _staged(spark, src_df, "positions", files=4)
-    target = distinct_stream(read_stream(spark, path, schema, max_files_per_trigger=1),
+    target = distinct_stream(spark, read_stream(spark, path, schema, max_files_per_trigger=1),
                              "position_name_spanish", _scratch(spark, "positions"),
                              _scratch(spark, "ckpt"))
     return spark.read.parquet(target).select("position_name_spanish")
@@ -814,10 +911,21 @@ def stream_scd1(spark, sf):
     from histlake.streaming.cdc import scd_stream
     log = A.log(spark, sf)
     path, schema = _staged(spark, log, "log", files=4)
-    target = scd_stream(spark, read_stream(spark, path, schema, max_files_per_trigger=1),
-                        audit.PAIR, "checked_at", _scratch(spark, "bronze"), _scratch(spark, "scd1"),
-                        _scratch(spark, "ckpt"), scd_type=1, buckets=16)
-    return spark.read.parquet(target).select(*log.columns)
+    latest = scd_stream(spark, read_stream(spark, path, schema, max_files_per_trigger=1),
+                        audit.PAIR, "checked_at", _scratch(spark, "scd1"), _scratch(spark, "ckpt"), scd_type=1)
+    return latest.select(*log.columns)
+
+
+@query("stream_scd1_state", ORACLES["scd1_latest_log"])
+def stream_scd1_state(spark, sf):
+    """SCD1 of the audit log from keyed state, over out-of-order micro-batches."""
+    from histlake.sources.readers import read_stream
+    from histlake.streaming.latest import latest_stream
+    log = A.log(spark, sf)
+    path, schema = _staged(spark, log, "log", files=4)
+    latest = latest_stream(spark, read_stream(spark, path, schema, max_files_per_trigger=2), audit.PAIR, "checked_at",
+                           _scratch(spark, "scd1_state"), _scratch(spark, "ckpt"))
+    return latest.select(*log.columns)
 
 
 @query("stream_scd2", ORACLES["scd2_history"])
@@ -828,11 +936,10 @@ def stream_scd2(spark, sf):
     from histlake.streaming.cdc import scd_stream
     orders = A.table(spark, sf, "orders")
     path, schema = _staged(spark, orders, "orders", files=4)
-    target = scd_stream(spark, read_stream(spark, path, schema, max_files_per_trigger=1),
-                        A.ORDERS_KEYS, "o_orderdate", _scratch(spark, "bronze"),
-                        _scratch(spark, "scd2"), _scratch(spark, "ckpt"), scd_type=2,
-                        track=["o_orderstatus"], tie_break=["o_orderkey"], buckets=16)
-    return spark.read.parquet(target).select(*orders.columns, "__START_AT", "__END_AT")
+    history = scd_stream(spark, read_stream(spark, path, schema, max_files_per_trigger=1),
+                         A.ORDERS_KEYS, "o_orderdate", _scratch(spark, "scd2"), _scratch(spark, "ckpt"), scd_type=2,
+                         track=["o_orderstatus"], tie_break=["o_orderkey"])
+    return history.select(*orders.columns, "__START_AT", "__END_AT")
 
 
 # ==================================================== materialised refresh
@@ -886,5 +993,5 @@ def flow_snapshot(spark, sf):
     log.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in AUDIT_LOG_SCHEMA.fields]) \
        .write.parquet(audit_log)
     paths = run_triggered_flow(spark, staging, audit_log, A.dictionary(spark, FLOW_DICTIONARY),
-                               scratch_dir(spark, "flow"), buckets=16)
+                               scratch_dir(spark, "flow"))
     return spark.read.parquet(paths["snapshot"])

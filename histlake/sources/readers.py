@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -65,3 +65,20 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
           .option("pathGlobFilter", "*.parquet")
           .load(path))
     return df.select(F.col("path"), F.col("length"), F.col("modificationTime"))
+
+
+def _plain_path(path: Column) -> Column:
+    """One spelling of a local path (``file:/x`` and ``file:///x`` are the same file)."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def with_file_path(df: DataFrame, name: str) -> DataFrame:
+    """Add the full path of every row's source file (batch or streaming file scans)."""
+    return df.select("*", _plain_path(F.col("_metadata.file_path")).alias(name))
+
+
+def unread_files(inventory: DataFrame, table: DataFrame, file_col: str) -> DataFrame:
+    """Files of the inventory (S13) that no row of ``table`` comes from: not ingested yet,
+    or without rows.  The table's paths are reduced to distinct ones before the anti join."""
+    read = table.select(F.col(file_col).alias("path")).distinct()
+    return inventory.withColumn("path", _plain_path(F.col("path"))).join(read, "path", "left_anti")

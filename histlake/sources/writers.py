@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from histlake.sources.layout import along_curve, curve_key, row_hash
+
 
 def replace_folder(spark: SparkSession, new: str, path: str) -> str:
     """Put the finished folder ``new`` in the place of ``path``.
@@ -31,20 +33,20 @@ def replace_folder(spark: SparkSession, new: str, path: str) -> str:
 
 
 def materialize(df: DataFrame, path: str, comment: str | None = None,
-                cluster_by: Sequence[str] | None = None, table: str | None = None) -> str:
+                cluster_by: Sequence[str] | None = None, table: str | None = None, curve: bool = False) -> str:
     """Full recompute-and-replace of a derived table (materialised view, S7).
 
     The result is written beside ``path`` and then takes its place, so a failed
     run leaves the former table readable.  ``cluster_by`` lays the files out by
-    those columns (S8) so Parquet min/max statistics let later filters skip row
-    groups.  ``table`` registers the folder in the catalog; ``comment`` becomes
+    those columns (S8; along a ``curve`` over them, if asked) so Parquet min/max
+    statistics let later filters skip row groups.  ``table`` registers the folder in the catalog; ``comment`` becomes
     that table's comment and needs one.
     """
     if comment and not table:
         raise ValueError("a comment belongs to a catalog table: give its name")
     spark = df.sparkSession
     new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}"
-    (cluster(df, cluster_by) if cluster_by else df).write.parquet(new)
+    (cluster(df, cluster_by, curve=curve) if cluster_by else df).write.parquet(new)
     replace_folder(spark, new, path)
     if table:
         spark.sql(f"DROP TABLE IF EXISTS {table}")  # external: the files stay
@@ -52,17 +54,22 @@ def materialize(df: DataFrame, path: str, comment: str | None = None,
     return path
 
 
-def cluster(df: DataFrame, cols: Sequence[str], partitions: int | None = None) -> DataFrame:
+def cluster(df: DataFrame, cols: Sequence[str], partitions: int | None = None, curve: bool = False) -> DataFrame:
     """Range-partition, then sort within partitions, by ``cols``.
 
+    With ``curve`` and several columns, rows follow a space-filling curve instead, so
+    that a filter on any of the columns prunes (``sources.layout``); a linear order
+    prunes by the first only.
+
     Equal values would share a partition, so a hash of the row is the last
     range column: a hot value spreads over several partitions, each still a
     narrow range of ``cols``.  The in-file sort gives tight per-row-group
     min/max ranges for data skipping.
     """
     cols = list(cols)
-    spread = F.xxhash64(*[f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
-    by = [F.col(c) for c in cols] + [spread]
+    if curve and len(cols) > 1:
+        return along_curve(df, cols, partitions)
+    by = [F.col(c) for c in cols] + [row_hash(df)]
     ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
     return ranged.sortWithinPartitions(*cols)
 
@@ -70,14 +77,20 @@ def cluster(df: DataFrame, cols: Sequence[str], partitions: int | None = None) -
 def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str],
                     partition_by: Sequence[str] | None = None,
                     mode: str = "overwrite", partitions: int | None = None,
-                    timestamp_type: str | None = None) -> str:
-    """Clustered Parquet write (S8, S12).  ``partition_by`` adds directory
+                    timestamp_type: str | None = None, curve: bool = False) -> str:
+    """Clustered Parquet write (S8, S12); ``curve`` as in ``cluster``, within each
+    partition folder.  ``partition_by`` adds directory
     partitioning on low-cardinality columns (e.g. a status); rows are then
     ordered by those first, as the writer needs them, and by ``cluster_by``
     inside each file.  ``timestamp_type`` (``INT96``, ``TIMESTAMP_MICROS``,
     ``TIMESTAMP_MILLIS``) pins the physical timestamp encoding for this write
     only."""
-    w = cluster(df, [*(partition_by or []), *cluster_by], partitions).write.mode(mode)
+    if curve and partition_by:
+        z = curve_key(df, cluster_by)
+        rows = cluster(df.withColumn("_z", z), [*partition_by, "_z"], partitions).drop("_z")
+    else:
+        rows = cluster(df, [*(partition_by or []), *cluster_by], partitions, curve)
+    w = rows.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if timestamp_type:

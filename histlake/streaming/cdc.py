@@ -1,19 +1,9 @@
 """SCD1 / SCD2 maintained from a stream (SC1, SC2, ST5, D3).
 
-Parquet has no MERGE, and a late row can split an already closed version,
-so the target is *recomputed* - but only for the key buckets a micro-batch
-touches:
-
-1. the batch is appended to a bronze store partitioned by
-   ``bucket = pmod(xxhash64(keys), buckets)``;
-2. the touched bucket ids (at most ``buckets`` values) select bronze
-   partitions by partition pruning;
-3. the batch SCD operator runs on those partitions and dynamic partition
-   overwrite replaces exactly those target buckets.
-
-The result is a deterministic function of bronze, and bronze duplicates
-collapse in the per-(keys, sequence) dedup, so a replayed micro-batch
-(after a failure between write and commit) leaves the same target.
+Each micro-batch writes what it changes and nothing else: SCD2 by interval merge
+(``streaming.history``), SCD1 by comparing the batch's latest rows with the stored rows
+of the same keys.  Both targets are ``KeyedTable`` s: a commit names the micro-batch it
+holds, so a replay after a failure between write and checkpoint is a no-op.
 """
 
 from __future__ import annotations
@@ -23,56 +13,48 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histlake.operators.scd import scd1, scd2
+from histlake.operators.joins import broadcast_if_small
+from histlake.operators.scd import scd1
+from histlake.session import checkpoint_root
+from histlake.sources.keyed import KeyedTable, key_struct
+from histlake.streaming.history import History
 from histlake.streaming.ingest import run_to_completion
 
-BUCKET = "_bucket"
 
+def apply_latest(table: KeyedTable, batch: DataFrame, sequence_by: str, tie_break: Sequence[str] | None = None,
+                 source: str | None = None, epoch: int | None = None) -> None:
+    """Folds a batch into the latest rows; stored rows that stay the latest are not written."""
+    if source is not None and table.seen(source, epoch):
+        return
+    checkpoint_root(batch.sparkSession)
+    latest = scd1(batch, table.ids, sequence_by, tie_break).checkpoint()
+    if table.log.state() is not None:
+        keyed = lambda df: df.withColumn("_k", key_struct(table.ids))
+        keys = broadcast_if_small(keyed(latest).select("_k"), known_rows=latest.count())
+        stored = keyed(table.read()).join(keys, "_k", "left_semi").drop("_k").checkpoint()
+        both = scd1(latest.unionByName(stored), table.ids, sequence_by, tie_break)
+        whole = lambda df, name: keyed(df).select("_k", F.struct(*latest.columns).alias(name))
+        both = whole(both, "_new").join(whole(stored, "_old"), "_k", "left")
+        latest = both.where(~F.col("_new").eqNullSafe(F.col("_old"))).select("_new.*")
+    table.upsert(latest, source, epoch)
+    table.compact()
 
-def key_bucket(keys: Sequence[str], buckets: int):
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
-
-def apply_batch(spark: SparkSession, batch: DataFrame, keys: Sequence[str], sequence_by: str,
-                bronze_store: str, target: str, scd_type: int = 2,
-                track: Sequence[str] | None = None, tie_break: Sequence[str] | None = None,
-                buckets: int = 64) -> list[int]:
-    """Fold one micro-batch into the target; returns the touched buckets.
-    Safe to run twice for the same batch (a replay after a failure between
-    the write and the checkpoint commit): the target comes out the same."""
-    keys = list(keys)
-    columns = list(batch.columns)
-    staged = batch.withColumn(BUCKET, key_bucket(keys, buckets))
-    staged.write.mode("append").partitionBy(BUCKET).parquet(bronze_store)
-    touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())  # <= buckets ints
-    if not touched:
-        return touched
-    # declared schema: no footer reads for inference; the bucket filter
-    # prunes bronze down to the touched partition folders
-    rows = (spark.read.schema(staged.schema).parquet(bronze_store)
-            .where(F.col(BUCKET).isin(touched))
-            .select(*columns))
+def scd_stream(spark: SparkSession, src: DataFrame, keys: Sequence[str], sequence_by: str,
+               target: str, checkpoint: str, scd_type: int = 2,
+               track: Sequence[str] | None = None, tie_break: Sequence[str] | None = None) -> DataFrame:
+    """Run the SCD maintenance over every file of ``src`` available now; returns
+    the table as of the last commit (a ``FileNotFoundError`` before the first)."""
     if scd_type == 1:
-        out = scd1(rows, keys, sequence_by, tie_break)
-    else:
-        out = scd2(rows, keys, sequence_by, track=track, tie_break=tie_break)
-    # sorted by key inside each bucket file: point lookups on the history
-    # (e.g. one id's versions) skip row groups by their min/max statistics
-    (out.withColumn(BUCKET, key_bucket(keys, buckets))
-     .sortWithinPartitions(BUCKET, *keys)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET).parquet(target))
-    return touched
+        table = KeyedTable(spark, target, keys)
 
+        def write(batch: DataFrame, epoch: int) -> None:
+            apply_latest(table, batch, sequence_by, tie_break, checkpoint, epoch)
+    else:
+        table = History(spark, target, keys, sequence_by, track, tie_break)
 
-def scd_stream(spark: SparkSession, src: DataFrame, keys: Sequence[str], sequence_by: str,
-               bronze_store: str, target: str, checkpoint: str, scd_type: int = 2,
-               track: Sequence[str] | None = None, tie_break: Sequence[str] | None = None,
-               buckets: int = 64) -> str:
-    """Run the SCD maintenance over every file of ``src`` available now."""
-    def write(batch: DataFrame, epoch: int) -> None:
-        apply_batch(spark, batch, keys, sequence_by, bronze_store, target, scd_type,
-                    track, tie_break, buckets)
+        def write(batch: DataFrame, epoch: int) -> None:
+            table.apply(batch, checkpoint, epoch)
 
     run_to_completion(src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
-    return target
+    return table.read()

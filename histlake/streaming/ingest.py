@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from histlake.sources.readers import read_stream
+from histlake.sources.append import AppendTable
+from histlake.sources.readers import read_stream, with_file_path
 
 
 def stage_files(df: DataFrame, path: str, files: int, order_by: str | None = None) -> str:
@@ -30,14 +31,25 @@ def run_to_completion(writer) -> None:
         raise RuntimeError(str(err))
 
 
-def ingest_stream(spark: SparkSession, staging: str, schema: StructType, sink: str,
-                  checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None,
-                  max_files_per_trigger: int | None = None) -> str:
-    """Incremental staging -> append-only Parquet table with a stateless
-    transform (bronze ingest).  The checkpoint records processed files, so
-    re-running adds nothing and a restarted job resumes exactly."""
+def ingest_stream(spark: SparkSession, staging: str, schema: StructType, sink: str, checkpoint: str,
+                  transform: Callable[[DataFrame], DataFrame] | None = None, max_files_per_trigger: int | None = None,
+                  cluster_by: Sequence[str] = (), file_col: str | None = None, also: Sequence[Callable[[DataFrame, int], None]] = ()) -> AppendTable:
+    """Incremental staging -> append-only table with a stateless transform (bronze
+    ingest), laid out by ``cluster_by`` and compacted as it grows.
+
+    The checkpoint records processed files and each commit the micro-batch it holds, so
+    re-running adds nothing and a restarted job resumes exactly.  ``also``: further
+    sinks that take the same micro-batch (rows, epoch), so that none is ever ahead of
+    the others by more than a batch; each has to take a replay as a no-op.  ``file_col``
+    keeps every row's file, so that ``unread_files`` can tell what has not arrived."""
+    table = AppendTable(spark, sink, cluster_by)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        rows = table.append(transform(batch) if transform else batch, checkpoint, epoch)
+        for take in also:
+            take(rows, epoch)
+
     src = read_stream(spark, staging, schema, max_files_per_trigger=max_files_per_trigger)
-    out = transform(src) if transform else src
-    run_to_completion(out.writeStream.format("parquet").outputMode("append")
-                      .option("checkpointLocation", checkpoint).option("path", sink))
-    return sink
+    src = with_file_path(src, file_col) if file_col else src
+    run_to_completion(src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
+    return table

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histlake.operators.reference import new_keys_only
+from histlake.sources.writers import materialize
 from histlake.streaming.ingest import run_to_completion
 
 
@@ -37,36 +38,40 @@ def grouped_max_stream(src: DataFrame, name_col: str, target: str, checkpoint: s
                 F.max("checked_at").alias("last_checked_at")))
 
     def write(batch: DataFrame, epoch: int) -> None:
-        out = enrich(batch) if enrich else batch
-        out.write.mode("overwrite").parquet(target)
+        materialize(enrich(batch) if enrich else batch, target)  # beside it, then in its place
 
     run_to_completion(agg.writeStream.outputMode("complete").foreachBatch(write)
                       .option("checkpointLocation", checkpoint))
     return target
 
 
-def distinct_stream(src: DataFrame, key_col: str, target: str, checkpoint: str) -> str:
-    """Streaming distinct by key (ST3, U3): ``dropDuplicates`` keeps the
-    first row seen per key; state holds one entry per key."""
-    out = src.where(F.col(key_col).isNotNull()).dropDuplicates([key_col])
-    run_to_completion(out.writeStream.format("parquet").outputMode("append")
-                      .option("checkpointLocation", checkpoint).option("path", target))
+def add_new_keys(spark: SparkSession, batch: DataFrame, key_col: str, seen_col: str | None, target: str,
+                 enrich: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Appends the batch's distinct keys (with the earliest ``seen_col``) that the target
+    does not have.  A known key costs no enrichment, and a replayed batch finds its keys
+    present and adds nothing, so the sink stays exactly-once without transactions."""
+    known = batch.where(F.col(key_col).isNotNull())
+    keys = known.groupBy(key_col).agg(F.min(seen_col).alias(seen_col)) if seen_col else known.select(key_col).distinct()
+    new = new_keys_only(keys, _read_or_empty(spark, target, keys.schema), [key_col])
+    (enrich(new) if enrich else new).write.mode("append").parquet(target)
+
+
+def distinct_stream(spark: SparkSession, src: DataFrame, key_col: str, target: str, checkpoint: str) -> str:
+    """Streaming distinct by key (ST3, U3) without state: what has been seen is the sink
+    itself, looked up by an anti join per micro-batch, so nothing grows but the table."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        add_new_keys(spark, batch, key_col, None, target)
+
+    run_to_completion(src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
     return target
 
 
 def new_keys_stream(spark: SparkSession, src: DataFrame, key_col: str, seen_col: str,
                     target: str, checkpoint: str,
                     enrich: Callable[[DataFrame], DataFrame] | None = None) -> str:
-    """Only-new-keys maintenance (ST4, J5): per micro-batch, the batch's
-    distinct keys (earliest ``seen_col``) minus keys already in the target;
-    what is left is enriched and appended, so a known key costs no enrichment.  A replayed batch finds its keys present and adds
-    nothing, so the sink stays exactly-once without transactions."""
+    """Only-new-keys maintenance (ST4, J5): ``add_new_keys`` per micro-batch."""
     def write(batch: DataFrame, epoch: int) -> None:
-        keys = (batch.where(F.col(key_col).isNotNull())
-                .groupBy(key_col).agg(F.min(seen_col).alias(seen_col)))
-        new = new_keys_only(keys, _read_or_empty(spark, target, keys.schema), [key_col])
-        out = enrich(new) if enrich else new
-        out.write.mode("append").parquet(target)
+        add_new_keys(spark, batch, key_col, seen_col, target, enrich)
 
     run_to_completion(src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
     return target

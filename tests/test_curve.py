@@ -1,0 +1,59 @@
+"""Layout along a space-filling curve."""
+
+import glob
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from histlake.sources import layout, writers
+
+
+def read_groups(path, col, value):
+    """Share of the row groups whose minimum and maximum admit ``value``."""
+    groups = []
+    for f in glob.glob(f"{path}/**/*.parquet", recursive=True):
+        meta = pq.ParquetFile(f).metadata
+        at = [meta.schema.column(i).name for i in range(meta.num_columns)].index(col)
+        groups += [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+    return sum(s.min <= value <= s.max for s in groups) / len(groups)
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    h = lambda n: F.pmod(F.xxhash64("id", F.lit(n)), F.lit(1000))
+    return spark.range(40_000).select("id", h(1).alias("a"), h(2).alias("b"), F.concat(F.lit("n"), h(3)).alias("name"))
+
+
+def test_every_column_of_the_curve_prunes(spark, table, tmp_path):
+    linear = writers.write_clustered(table, str(tmp_path / "linear"), ["a", "b"], partitions=64)
+    curve = writers.write_clustered(table, str(tmp_path / "curve"), ["a", "b"], partitions=64, curve=True)
+    assert read_groups(linear, "a", 500) < 0.1 and read_groups(linear, "b", 500) > 0.9
+    assert read_groups(curve, "a", 500) < 0.3 and read_groups(curve, "b", 500) < 0.3
+    assert spark.read.parquet(curve).exceptAll(table).isEmpty() and spark.read.parquet(curve).count() == 40_000
+
+
+def test_three_columns_within_partition_folders(spark, table, tmp_path):
+    rows = table.withColumn("p", F.col("id") % 2)
+    path = writers.write_clustered(rows, str(tmp_path / "t"), ["a", "b", "name"], partition_by=["p"], partitions=64, curve=True)
+    for col, value in (("a", 500), ("b", 500), ("name", "n500")):
+        assert read_groups(path, col, value) < 0.7, col
+    assert spark.read.parquet(path).select(*rows.columns).exceptAll(rows).isEmpty()
+
+
+def test_hot_values_nulls_and_empty_tables(spark, table):
+    hot = table.select("id", F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("a")).alias("a"), F.when(F.col("id") % 2 > 0, F.col("b")).alias("b"))
+    sizes = [len(p) for p in layout.along_curve(hot, ["a", "b"], 8).rdd.glom().collect()]
+    assert sum(sizes) == 40_000 and max(sizes) < 2 * 40_000 / 8
+    assert layout.along_curve(hot.limit(0), ["a", "b"], 8).count() == 0
+    assert layout.along_curve(hot.select("id", F.lit(None).cast("int").alias("a"), "b"), ["a", "b"], 2).count() == 40_000
+
+
+def test_ranks_and_bits(spark):
+    df = spark.createDataFrame([(v,) for v in [None, 0, 1, 5, 6, 99]], "v int")
+    ranks = [r[0] for r in df.select(layout.range_rank(F.col("v"), [1, 5, 6])).collect()]
+    assert ranks == [0, 0, 1, 2, 3, 3]
+    one = spark.range(1).select(layout.interleaved([F.lit(0b101), F.lit(0b011)], 3)).first()[0]
+    assert one == 0b100111
+    with pytest.raises(ValueError):
+        layout.curve_key(df, ["v"] * 9, bits=8)

@@ -2,8 +2,10 @@
 
 from helpers import D, T, rows
 
-from histlake.schemas import AUDIT_LOG_SCHEMA, STAGING_SCHEMA
+from histlake.schemas import AUDIT_LOG_SCHEMA, PAYROLL_KEYS, STAGING_SCHEMA
 from histlake.session import scratch_dir
+from histlake.sources.append import AppendTable
+from histlake.sources.keyed import KeyedTable
 from histlake.streaming.flow import run_triggered_flow
 
 
@@ -37,11 +39,11 @@ def test_triggered_flow_two_arrivals(spark):
     snap = spark.read.parquet(p["snapshot"])
     assert rows(snap, "id_number", "salary", "institution_en", "position_en") == [
         ("1-1", 100.0, "COURT", "ANALYST"), ("2-2", 250.0, "COURT", "JEFE")]
-    hist = spark.read.parquet(p["scd2"])
+    hist = KeyedTable(spark, f"{p['scd2']}/versions", [*PAYROLL_KEYS, "__START_AT"]).read()
     assert rows(hist.where("cedula = '2-2'"), "salario", "__END_AT") == [(200.0, T(2025, 2, 1)),
                                                                        (250.0, None)]
     assert spark.read.parquet(p["inactive"]).count() == 0
-    assert spark.read.parquet(p["bronze"]).count() == 4          # each file ingested once
+    assert AppendTable(spark, p["bronze"]).read().count() == 4          # each file ingested once
     assert spark.read.parquet(p["positions"]).count() == 2
-    latest = spark.read.parquet(p["log_latest"]).drop("_bucket")
+    latest = KeyedTable(spark, p["log_latest"], ["institution_name_spanish", "status_name_spanish"]).read()
     assert rows(latest, "institution_name_spanish", "checked_at") == [("TRIBUNAL", T(2025, 2, 1))]

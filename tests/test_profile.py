@@ -1,6 +1,10 @@
 """Profiling and quality report."""
 
+import math
+import random
+
 from helpers import rows
+from pyspark.sql import functions as F
 
 from histlake.operators import profile
 
@@ -18,6 +22,31 @@ def test_describe_skew_histogram(spark):
     assert rows(profile.histogram(const, "x", bins=10), "bin", "count") == [(0, 2)]
 
 
+def test_exact_quantiles_beyond_any_sketch(spark):
+    """Coarse sketches and tiny ranges, so that every round is taken; values
+    bunched, tied and negative."""
+    r = random.Random(4)
+    makers = [lambda: r.gauss(0, 1), lambda: float(r.randrange(4)), lambda: 2.0 ** r.randrange(-40, 40), lambda: r.choice([-1.0, 7.5] + [0.0] * 20)]
+    probabilities = [0.0, 0.001, 0.25, 0.5, 0.75, 0.9, 0.999, 1.0]
+    for make in makers:
+        values = [make() for _ in range(3000)]
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)] * 50, "x double").repartition(5)
+        ordered = sorted(values)
+        want = [ordered[max(math.ceil(p * 3000), 1) - 1] for p in probabilities]
+        assert profile.exact_quantiles(df, "x", probabilities, accuracy=10, pick_rows=20) == want
+        assert profile.exact_quantiles(df, "x", probabilities) == want
+    assert profile.exact_quantiles(df.limit(0), "x", [0.5]) == [None]
+    empty = profile.describe(df.limit(0), "x").first()
+    assert empty["count"] == 0 and empty["p50"] is None
+
+
+def test_exact_quantiles_of_dates_and_decimals(spark):
+    df = spark.range(1, 1001).select(F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("d"),
+                                     (F.col("id") / 100).cast("decimal(10,2)").alias("x"))
+    assert str(profile.exact_quantiles(df, "d", [0.5], accuracy=10, pick_rows=5)[0]) == "2021-05-15"
+    assert str(profile.exact_quantiles(df, "x", [0.25], accuracy=10, pick_rows=5)[0]) == "2.50"
+
+
 def test_quality_report(spark):
     df = spark.createDataFrame([("a", "OK", 1), ("a", "BAD", None), (None, "FAIL", 3)],
                                "k string, status string, n int")

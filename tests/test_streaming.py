@@ -1,10 +1,13 @@
 """Streaming replay: results equal the batch operators; re-runs add nothing."""
 
+import os
+
 from helpers import D, T, rows
 
 from histlake.operators import scd
 from histlake.operators.keys import with_key_and_tenure
-from histlake.session import scratch_dir
+from histlake.session import local_path, scratch_dir
+from histlake.sources.append import AppendTable
 from histlake.sources.readers import read_stream
 from histlake.streaming import cdc, ingest, reference
 
@@ -24,17 +27,16 @@ def test_stream_scd2_equals_batch_and_replay_is_idempotent(spark):
     staging = scratch_dir(spark, "t_stage")
     stage_each(spark, EVENTS[:4], staging)
     schema = spark.createDataFrame([], SCHEMA).schema
-    bronze, target, ckpt = (scratch_dir(spark, n) for n in ("t_bronze", "t_target", "t_ckpt"))
+    target, ckpt = (scratch_dir(spark, n) for n in ("t_target", "t_ckpt"))
 
     def run():
         return cdc.scd_stream(spark, read_stream(spark, staging, schema, max_files_per_trigger=1),
-                              ["k"], "seq", bronze, target, ckpt, scd_type=2, track=["v"],
-                              tie_break=["note"], buckets=4)
+                              ["k"], "seq", target, ckpt, scd_type=2, track=["v"], tie_break=["note"])
     run()
     stage_each(spark, EVENTS[4:], staging)   # more files arrive later
     run()
-    run()                                     # nothing new: no change
-    got = rows(spark.read.parquet(target).drop("_bucket"), "k", "v", "note", "__START_AT", "__END_AT")
+    got = rows(run(), "k",  # nothing new: no change
+                "v", "note", "__START_AT", "__END_AT")
     expect = rows(scd.scd2(spark.createDataFrame(EVENTS, SCHEMA), ["k"], "seq", track=["v"],
                            tie_break=["note"]), "k", "v", "note", "__START_AT", "__END_AT")
     assert got == expect
@@ -44,10 +46,8 @@ def test_stream_scd1_equals_batch(spark):
     staging = scratch_dir(spark, "t_stage")
     stage_each(spark, list(reversed(EVENTS)), staging)
     schema = spark.createDataFrame([], SCHEMA).schema
-    target = cdc.scd_stream(spark, read_stream(spark, staging, schema, max_files_per_trigger=2),
-                            ["k"], "seq", scratch_dir(spark, "b"), scratch_dir(spark, "t"),
-                            scratch_dir(spark, "c"), scd_type=1, tie_break=["note"], buckets=4)
-    got = rows(spark.read.parquet(target).drop("_bucket"))
+    got = rows(cdc.scd_stream(spark, read_stream(spark, staging, schema, max_files_per_trigger=2),
+                              ["k"], "seq", scratch_dir(spark, "t"), scratch_dir(spark, "c"), scd_type=1, tie_break=["note"]))
     expect = rows(scd.scd1(spark.createDataFrame(EVENTS, SCHEMA), ["k"], "seq", tie_break=["note"]))
     assert got == expect
 
@@ -61,7 +61,7 @@ def test_ingest_rerun_adds_nothing(spark):
     sink, ck = scratch_dir(spark, "t_sink"), scratch_dir(spark, "t_ck")
     ingest.ingest_stream(spark, staging, STAGING_SCHEMA, sink, ck, transform=with_key_and_tenure)
     ingest.ingest_stream(spark, staging, STAGING_SCHEMA, sink, ck, transform=with_key_and_tenure)
-    out = spark.read.parquet(sink)
+    out = AppendTable(spark, sink).read()
     assert out.count() == 2 and rows(out, "composite_key")[0] == ("A-12",)
 
 
@@ -96,23 +96,35 @@ def test_distinct_stream(spark):
     spark.createDataFrame([("A", T(2025, 1, 1)), ("A", T(2025, 1, 2)), ("B", T(2025, 1, 1)),
                            (None, T(2025, 1, 1))], schema).write.parquet(staging)
     st = spark.createDataFrame([], schema).schema
-    out = reference.distinct_stream(read_stream(spark, staging, st), "position_name_spanish",
+    out = reference.distinct_stream(spark, read_stream(spark, staging, st), "position_name_spanish",
                                     scratch_dir(spark, "t_d"), scratch_dir(spark, "ck"))
     assert rows(spark.read.parquet(out), "position_name_spanish") == [("A",), ("B",)]
 
 
-def test_replayed_micro_batch_leaves_same_target(spark):
-    """A micro-batch applied twice (failure after the write, before the
-    checkpoint commit) gives the same SCD2 target as applying it once."""
-    bronze, target = scratch_dir(spark, "r_bronze"), scratch_dir(spark, "r_target")
-    first = spark.createDataFrame(EVENTS[:5], SCHEMA)
-    second = spark.createDataFrame(EVENTS[5:], SCHEMA)
-    kw = dict(scd_type=2, track=["v"], tie_break=["note"], buckets=4)
-    cdc.apply_batch(spark, first, ["k"], "seq", bronze, target, **kw)
-    cdc.apply_batch(spark, second, ["k"], "seq", bronze, target, **kw)
-    once = rows(spark.read.parquet(target).drop("_bucket"))
-    cdc.apply_batch(spark, second, ["k"], "seq", bronze, target, **kw)   # replay
-    assert rows(spark.read.parquet(target).drop("_bucket")) == once
-    expect = rows(scd.scd2(spark.createDataFrame(EVENTS, SCHEMA), ["k"], "seq", track=["v"],
-                           tie_break=["note"]))
-    assert once == expect
+def test_bronze_keeps_few_folders_and_every_row_once(spark, tmp_path):
+    table = AppendTable(spark, str(tmp_path / "b"), ["inst", "day"])
+    make = lambda i: spark.createDataFrame([(f"i{(7 * i + k) % 5}", D(2025, 1, 1 + (i + k) % 28), i) for k in range(10)], "inst string, day date, n int").coalesce(1)
+    most = 0
+    for i in range(50):
+        table.append(make(i), "s", i)
+        if i % 9 == 0:
+            table.append(make(i), "s", i)  # a replay
+        most = max(most, len(table.log.state()["folders"]))
+    out = table.read()
+    assert out.count() == 500 and out.groupBy("n").count().where("count != 10").isEmpty()
+    assert most <= 3 * 5  # under FAN of a size class, classes up to 4^4 batches' rows
+    files = len(out.inputFiles())
+    table.vacuum(keep=1)
+    assert table.read().count() == 500 and len(list((tmp_path / "b" / "data").iterdir())) == len(table.log.state()["folders"])
+    assert files <= 2 * most
+
+
+def test_distinct_stream_keeps_no_state(spark):
+    staging, target, checkpoint = (scratch_dir(spark, n) for n in ("d_stage", "d_target", "d_ckpt"))
+    for i in range(20):
+        spark.createDataFrame([(f"k{i}",), (f"k{i // 2}",), (None,)], "k string").coalesce(1).write.mode("append").parquet(staging)
+    schema = spark.createDataFrame([], "k string").schema
+    for _ in range(2):
+        reference.distinct_stream(spark, read_stream(spark, staging, schema, max_files_per_trigger=1), "k", target, checkpoint)
+    assert rows(spark.read.parquet(target), "k") == sorted((f"k{i}",) for i in range(20))
+    assert not os.path.exists(f"{local_path(checkpoint)}/state")
