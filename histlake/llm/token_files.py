@@ -51,7 +51,7 @@ from histlake.llm.common import cut
 #: another one, and bits of the hash that pairs are counted by.
 SHARD, LEAST, WORTH, GAIN, SLOT_BITS = 1 << 18, 8, 3, 0.01, 19
 #: Bytes of text encoded at a time, and distinct pieces that a task remembers.
-CHARS, PIECES = 1 << 23, 1 << 19
+CHARS, PIECES = 1 << 24, 1 << 19
 
 SCHEMA = ("part int, shard int, n_tokens bigint, within bigint, base int, rules binary, spans binary, symbols binary, "
           "docs array<bigint>, ends binary")
