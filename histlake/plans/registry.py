@@ -128,7 +128,7 @@ def employee_detail_parts(spark, sf):
     """The details JSON in parts of two positions, read back from its text."""
     parts = summaries.employee_detail_parts(A.snapshot(spark, sf), part_rows=2)
     back = F.from_json("details_json", "array<struct<salary: double, start_date: string>>")
-    return parts.select("id_number", "part", "positions", rnd(F.aggregate(back["salary"], F.lit(0.0), lambda s, x: s + x), 4).alias("salary"),
+    return parts.select("id_number", "part", "positions", rnd(F.aggregate(back["salary"], F.lit(0.0), lambda s, x: s + x), 4, "salary"),
                         F.array_min(back["start_date"]).alias("first_start"))
 
 

@@ -78,6 +78,13 @@ def key_struct(cols: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in cols])
 
 
+def by_hash(df: DataFrame, *first: str) -> DataFrame:
+    """``df`` dealt by ranges of ``_hash`` and sorted by it (after ``first``) in each file.
+
+    The hash is uniform, so its upper bits are the ranges: no pass to sample them."""
+    return df.repartition(F.shiftright(HASH, 48)).sortWithinPartitions(*first, HASH)
+
+
 class KeyedTable:
     """Rows identified by ``ids``, the latest commit of an id winning.
 
@@ -118,7 +125,7 @@ class KeyedTable:
         path = f"{self.path}/data/{n:012d}-{uuid.uuid4().hex[:8]}"
         part = F.lit(True) if self.part_by is None else F.coalesce(self.part_by, F.lit(False)) & ~F.col(GONE)
         rows = rows.withColumns({HASH: F.xxhash64(*[F.col(c) for c in self.hash_by]), "_part": part})
-        rows.repartitionByRange(F.col("_part"), F.col(HASH)).sortWithinPartitions("_part", HASH).write.partitionBy("_part").parquet(path)
+        by_hash(rows, "_part").write.partitionBy("_part").parquet(path)
         written = self.spark.read.schema(rows.schema).parquet(path)
         return {"path": path, "rows": written.count()}  # from the files' footers
 

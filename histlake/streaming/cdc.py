@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from histlake.operators.joins import broadcast_if_small
 from histlake.operators.scd import scd1
-from histlake.session import checkpoint_root
 from histlake.sources.keyed import KeyedTable, key_struct
 from histlake.streaming.history import History
 from histlake.streaming.ingest import run_to_completion
@@ -26,17 +25,20 @@ def apply_latest(table: KeyedTable, batch: DataFrame, sequence_by: str, tie_brea
     """Folds a batch into the latest rows; stored rows that stay the latest are not written."""
     if source is not None and table.seen(source, epoch):
         return
-    checkpoint_root(batch.sparkSession)
-    latest = scd1(batch, table.ids, sequence_by, tie_break).checkpoint()
+    kept = [scd1(batch, table.ids, sequence_by, tie_break).persist()]
+    latest = kept[0]
     if table.log.state() is not None:
         keyed = lambda df: df.withColumn("_k", key_struct(table.ids))
         keys = broadcast_if_small(keyed(latest).select("_k"), known_rows=latest.count())
-        stored = keyed(table.read()).join(keys, "_k", "left_semi").drop("_k").checkpoint()
+        stored = keyed(table.read()).join(keys, "_k", "left_semi").drop("_k").persist()
+        kept.append(stored)
         both = scd1(latest.unionByName(stored), table.ids, sequence_by, tie_break)
         whole = lambda df, name: keyed(df).select("_k", F.struct(*latest.columns).alias(name))
         both = whole(both, "_new").join(whole(stored, "_old"), "_k", "left")
         latest = both.where(~F.col("_new").eqNullSafe(F.col("_old"))).select("_new.*")
     table.upsert(latest, source, epoch)
+    for df in kept:
+        df.unpersist()
     table.compact()
 
 

@@ -27,8 +27,7 @@ from pyspark.sql import functions as F
 
 from histlake.operators.joins import broadcast_if_small
 from histlake.operators.scd import DEFAULT_HOT_KEY_ROWS, END_AT, START_AT, scd2
-from histlake.session import checkpoint_root
-from histlake.sources.keyed import GONE, HASH, KeyedTable, key_struct
+from histlake.sources.keyed import GONE, HASH, KeyedTable, by_hash, key_struct
 
 #: Up to so many touched keys are looked up by literal hashes, which Parquet statistics prune by.
 LITERAL_KEYS = 500
@@ -43,6 +42,7 @@ class History:
                  track: Sequence[str] | None = None, tie_break: Sequence[str] | None = None):
         self.spark, self.path, self.keys, self.seq = spark, path.rstrip("/"), list(keys), sequence_by
         self.track, self.tie_break = track, tie_break
+        self._kept: list[DataFrame] = []
         self.table = KeyedTable(spark, f"{self.path}/versions", [*keys, START_AT], hash_by=keys, part_by=F.col(END_AT).isNull())
 
     def read(self, number: int | None = None) -> DataFrame:
@@ -57,7 +57,7 @@ class History:
     def _store_rows(self, batch: DataFrame) -> tuple[DataFrame, dict]:
         path = f"{self.path}/rows/{uuid.uuid4().hex}"
         staged = batch.where(F.col(self.seq).isNotNull()).withColumn(HASH, F.xxhash64(*[F.col(k) for k in self.keys]))
-        staged.repartitionByRange(HASH).sortWithinPartitions(HASH).write.parquet(path)
+        by_hash(staged).write.parquet(path)
         rows = self.spark.read.schema(staged.schema).parquet(path)
         return rows, {"path": path, "rows": rows.count()}
 
@@ -76,7 +76,6 @@ class History:
         """Folds a batch in.  ``source`` and ``epoch`` name a micro-batch: its replay is a no-op."""
         if epoch is not None and self.table.seen(source, epoch):
             return
-        checkpoint_root(self.spark)
         state = self.table.log.state()
         stored = state["extra"]["rows"] if state else []
         rows, folder = self._store_rows(batch)
@@ -87,8 +86,16 @@ class History:
         else:
             delta = self._changes(rows, folder["rows"], stored)
         self.table.upsert(delta, *((source, epoch) if epoch is not None else ()), extra={"rows": self._merged([*stored, folder])})
+        for df in self._kept:
+            df.unpersist()
+        self._kept.clear()
         self.table.compact()
 
+    def _keep(self, df: DataFrame) -> DataFrame:
+        """``df`` for the rest of the batch: read several times, a few steps from stored tables."""
+        self._kept.append(df.persist())
+        return self._kept[-1]
+
     def _scd2(self, rows: DataFrame, at_most: int) -> DataFrame:
         """SCD2 of at most that many rows; without enough for a hot key none is looked for."""
         hot = DEFAULT_HOT_KEY_ROWS if at_most > DEFAULT_HOT_KEY_ROWS else None
@@ -107,11 +114,11 @@ class History:
         """Versions to write, and ids to remove, for the touched keys."""
         columns = [c for c in rows.columns if c != HASH]
         new = self._with_key(rows)
-        touched = new.groupBy("_k").agg(F.min(self.seq).alias("_lo"), F.first(HASH).alias(HASH)).checkpoint()
+        touched = self._keep(new.groupBy("_k").agg(F.min(self.seq).alias("_lo"), F.first(HASH).alias(HASH)))
         n_touched = touched.count()
         only = self._hashes(touched, n_touched)
-        open_now = self._with_key(self.table.read(part=True, only=only)).join(
-            broadcast_if_small(touched.select("_k", "_lo"), known_rows=n_touched), "_k").checkpoint()
+        open_now = self._keep(self._with_key(self.table.read(part=True, only=only)).join(
+            broadcast_if_small(touched.select("_k", "_lo"), known_rows=n_touched), "_k"))
         late = open_now.where(F.col("_lo") <= F.col(self.seq)).select("_k", "_lo")
         n_late = late.count()
         seeds = open_now.where(F.col("_lo") > F.col(self.seq))
@@ -122,9 +129,9 @@ class History:
         late = late.join(touched.select("_k", HASH), "_k")
         only = self._hashes(late, n_late)
         side = broadcast_if_small(late.select("_k", "_lo"), known_rows=n_late)
-        versions = self._with_key(self.table.read(only=only)).join(side, "_k").checkpoint()
+        versions = self._keep(self._with_key(self.table.read(only=only)).join(side, "_k"))
         # versions follow one another: of those that end by the late row, the last to start
-        before = versions.groupBy("_k").agg(F.max(F.when(F.col(END_AT) <= F.col("_lo"), F.col(START_AT))).alias("_from")).checkpoint()
+        before = versions.groupBy("_k").agg(F.max(F.when(F.col(END_AT) <= F.col("_lo"), F.col(START_AT))).alias("_from"))
         since = broadcast_if_small(before, known_rows=n_late)
         old = versions.drop("_lo").join(since, "_k").where(F.col("_from").isNull() | (F.col(START_AT) >= F.col("_from"))).drop("_from")
         again = self.spark.read.schema(rows.schema).parquet(*[f["path"] for f in stored]).unionByName(rows)
@@ -132,12 +139,13 @@ class History:
             again = again.where(only)
         again = self._with_key(again).join(since, "_k").where(F.col("_from").isNull() | (F.col(self.seq) >= F.col("_from")))
         in_order = new.join(broadcast_if_small(late.select("_k"), known_rows=n_late), "_k", "left_anti")
-        fresh = self._extended(in_order, seeds, columns, n_rows + n_touched).unionByName(
-            self._scd2(again.select(*columns), n_rows + sum(f["rows"] for f in stored)))
+        fresh = self._extended(in_order.select(*columns).unionByName(again.select(*columns)), seeds, columns,
+                               n_rows + n_touched + sum(f["rows"] for f in stored))
         return self._diff(fresh, seeds.drop("_lo").unionByName(old))
 
     def _extended(self, new: DataFrame, seeds: DataFrame, columns: list[str], at_most: int) -> DataFrame:
-        """SCD2 over the open versions' last rows and the rows after them."""
+        """SCD2 over the open versions' last rows and the rows after them; keys without a
+        seed have all the rows that matter."""
         out = self._scd2(seeds.select(*columns).unionByName(new.select(*columns)), at_most)
         opened = seeds.select("_k", F.col(self.seq).alias("_seed"), F.col(START_AT).alias("_start"))
         out = self._with_key(out).join(opened, "_k", "left")
@@ -146,7 +154,7 @@ class History:
 
     def _diff(self, fresh: DataFrame, old: DataFrame) -> DataFrame:
         """``fresh`` without versions that are stored just so, and the ids of ``old`` that are gone."""
-        fresh = fresh.checkpoint()
+        fresh = self._keep(fresh)
         columns, ids = fresh.columns, [*self.keys, START_AT]
         whole = lambda df, name: df.select(key_struct(ids).alias("_id"), F.struct(*columns).alias(name))
         both = whole(fresh, "_new").join(whole(old, "_old"), "_id", "full_outer")
