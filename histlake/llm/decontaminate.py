@@ -1,8 +1,9 @@
 """Benchmark decontamination with SimHash windows.
 
 A document is compared with a benchmark item through windows of the item's own
-length; a document shorter than the item is one window, as a whole.  Windows and items get a 64-bit SimHash of their five-word shingles,
-each weighing as often as it occurs.  ``RADIUS + 1`` blocks of the fingerprint
+length; a document shorter than the item is one window, as a whole.  Windows and items
+get a 64-bit SimHash of their five-word shingles, repeated ones numbered (the weighted
+similarity stays what it is, and no shingle dominates the fingerprint).  ``RADIUS + 1`` blocks of the fingerprint
 are indexed: two fingerprints within ``RADIUS`` bits agree in one block at
 least, so the joins on blocks find every such pair.  Candidates are verified by
 the exact weighted Jaccard similarity of their shingles.
@@ -26,8 +27,9 @@ from pyspark.sql import functions as F
 from histlake.llm.common import cut, joined
 
 #: Words of a shingle, least similarity, and bits in which fingerprints may differ.
-#: At similarity 0.8 fingerprints differ in 9.7 bits, give or take 2.9.
-SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 16
+#: At similarity 0.8 fingerprints differ in 9.7 bits, give or take 2.9 (of four and five
+#: shingles in 12, give or take 3.1).
+SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 20
 
 _WORDS = r"[\p{L}\p{N}]+"
 
@@ -42,12 +44,18 @@ def shingles(text: Column) -> Column:
 
 
 def simhash(df: DataFrame, key: str, shingle_col: str) -> DataFrame:
-    """(key, fp): the SimHash of each row's shingles.
+    """(key, fp): the SimHash of each row's shingles, the j-th occurrence of one counting
+    as a shingle of its own, so that none outweighs the others.
 
     A sum counts two bits at once, 32 bits apart."""
     one = (1 << 32) + 1
     sums = [F.sum(F.shiftright("s", j).bitwiseAND(F.lit(one))).alias(f"c{j}") for j in range(32)]
-    counted = df.select(key, F.explode(shingle_col).alias("s")).groupBy(key).agg(F.count("*").alias("n"), *sums)
+    repeats = F.size(F.array_distinct(shingle_col)) < F.size(shingle_col)
+    single = lambda rows: rows.select(key, F.explode(shingle_col).alias("s"))
+    times = single(df.where(repeats)).groupBy(key, "s").agg(F.count("*").alias("times"))
+    numbered = F.transform(F.sequence(F.lit(1).cast("long"), F.col("times")), lambda j: F.when(j == 1, F.col("s")).otherwise(F.xxhash64("s", j)))
+    each = single(df.where(~repeats)).unionByName(times.select(key, F.explode(numbered).alias("s")))
+    counted = each.groupBy(key).agg(F.count("*").alias("n"), *sums)
     fp = F.lit(0).cast("long")
     for j in range(32):
         low, high = F.col(f"c{j}").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftright(f"c{j}", 32)
@@ -102,7 +110,9 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
                 .withColumn("m", F.size("item_shingles")).filter("m > 0").distinct()
                 .withColumn("r", F.xxhash64("item", "item_shingles")))
     known = cut(marks.select(F.explode("item_shingles").alias("s"), "m").distinct())
-    n_known, n_items = known.count(), marks.count()
+    n_known, sizes = known.count(), marks.agg(F.count("*").alias("n"), F.sum(F.lit(64) + 8 * F.col("m") + F.coalesce(F.octet_length(
+        F.col("item").cast("string")), F.lit(0))).alias("bytes")).first()
+    n_items = sizes.n
     least = F.ceil((F.least("n", "m") + F.col("m")) * (similarity / (1 + similarity)) - 1e-9).cast("int")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key"))
     # documents' shingles that some item has, and the sizes where they are dense enough
@@ -123,7 +133,7 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     prints = simhash(texts, "l", "window").join(texts.select("l", F.explode("sizes").alias("m")), "l")
     near = within_radius(prints, simhash(marks, "r", "item_shingles").join(marks.select("r", "m"), "r"), radius, n_items)
     shared = common("window", "item_shingles")
-    alike = joined(near.join(texts.select("l", "window"), "l"), marks.select("r", "item", "item_shingles"), "r", "inner", n_items, 1024) \
+    alike = joined(near.join(texts.select("l", "window"), "l"), marks.select("r", "item", "item_shingles"), "r", "inner", sizes.bytes or 0, 1) \
         .withColumn("similarity", shared / (F.size("window") + F.size("item_shingles") - shared)) \
         .filter(F.col("similarity") >= similarity).select("l", "item", "similarity", "distance")
     best = F.min(F.struct((-F.col("similarity")).alias("unlike"), "start", "size", "distance"))

@@ -12,19 +12,24 @@ def grams(text):
     return [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
 
 
-def brute(docs, items):
+def brute_whole(docs, items):
+    """(similarity, start, words) of the best window; a document shorter than an item is one window."""
     found = {}
     for d, text in docs:
         g = grams(text)
         for k, item in items:
             b = Counter(s := grams(item))
-            best = max(((n / (2 * len(s) - n), -a) for a in range(len(g) - len(s) + 1)
-                        if s and (n := sum((Counter(g[a:a + len(s)]) & b).values()))), default=(0, 0))
+            cut = [(a, g[a:a + len(s)]) for a in range(max(1, len(g) - len(s) + 1))] if s else []
+            best = max(((n / (len(w) + len(s) - n), -a, len(w)) for a, w in cut if (n := sum((Counter(w) & b).values()))), default=(0, 0, 0))
             if best[0] >= 0.8:
-                found[d, k] = (round(best[0], 9), -best[1])
+                found[d, k] = (round(best[0], 9), -best[1], best[2] + 4)
     return found
 
 
+def brute(docs, items):
+    return {k: v[:2] for k, v in brute_whole(docs, items).items()}
+
+
 def rows_of(df):
     return {(r.id, r["item"]): (round(r.similarity, 9), r.start) for r in df.collect()}
 
@@ -79,18 +84,31 @@ def test_empty_tables(spark, make_docs):
     assert D.clean(docs, items.limit(0)).count() == 1 and D.clean(docs, items).count() == 0
 
 
-def brute_whole(docs, items):
-    """Like ``brute``; a document shorter than an item is one window."""
-    found = {}
-    for d, text in docs:
-        g = grams(text)
-        for k, item in items:
-            b = Counter(s := grams(item))
-            cut = [(a, g[a:a + len(s)]) for a in range(max(1, len(g) - len(s) + 1))] if s else []
-            best = max(((n / (len(w) + len(s) - n), -a, len(w)) for a, w in cut if (n := sum((Counter(w) & b).values()))), default=(0, 0, 0))
-            if best[0] >= 0.8:
-                found[d, k] = (round(best[0], 9), -best[1], best[2] + 4)
-    return found
+def test_recall_near_the_threshold(spark, make_docs):
+    """Pairs at 0.8 to 0.86: short and long items, distinct and repeated words, and texts
+    whose unshared part is one repeated word."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    items, rows = [], []
+    for n in range(450):
+        size = rng.choice([9, 14, 30, 60, 200])
+        item = [word() for _ in range(size)]
+        if n % 3 == 0:                                   # phrases repeated within the item
+            item = (item[: size // 2] * 2)[:size]
+        shingles, kind = size - 4, rng.choice(["tail", "one word", "edit"])
+        keep = size - round(shingles * rng.uniform(0.09, 0.115))
+        filler = [rng.choice(["of", "the"])] * size if kind == "one word" else [word() for _ in range(size)]
+        text = item[:keep] + filler[: size - keep] if kind != "edit" else item[:-1][: max(keep, size - 2)] + filler[:1]
+        items.append((n, " ".join(item)))
+        rows.append((n, " ".join(text)))
+    want = {}
+    for (i, t), (k, item) in zip(rows, items):
+        want |= {key: v for key, v in brute_whole([(i, t)], [(k, item)]).items() if v[0] <= 0.86}
+    assert len(want) > 150
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.id, r["item"]): (round(r.similarity, 9), r.start, r.n_words) for r in D.matches(make_docs([(i, t, None, None) for i, t in rows]), bench).collect()}
+    assert all(got[k] == v for k, v in want.items() if k in got)
+    assert len(want.keys() & got.keys()) >= 0.99 * len(want)
 
 
 def test_documents_shorter_than_the_item(spark, make_docs):
