@@ -11,8 +11,8 @@ from range partitions, the level from sums, and it is broadcast only while small
 
 Null text: size 0.  A null source is a source, ordered last.  A source without
 words has target 0 and rate 0.  Rows with equal ids and sources share their
-draw, so reruns and repeated rows agree.  Own columns are prefixed ``mix_``; a
-document column of that name is replaced.
+draw, so reruns and repeated rows agree.  Document columns named as one of ``ADDED``
+are replaced, all others stay.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from histlake.llm.common import cut, joined
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Seeds tried per source; four draws come from one md5.
 SEEDS = 32
+#: Columns that ``mix`` adds.
+ADDED = ["mix_size", "mix_source_size", "mix_target", "mix_copies"]
 
 
 def size_of(text_col: str = "text") -> Column:
@@ -76,13 +78,13 @@ def targets(sources: DataFrame, weights: tuple[float, ...], share: float, most:
 def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``docs`` with mix_size, mix_source_size, mix_target and mix_copies."""
-    docs = docs.drop(*[c for c in docs.columns if c.lower().startswith("mix_")])
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in ADDED])
     source = F.col(source_col).cast("string")
     sized = cut(docs.select(F.col(id_col).alias("id"), source.alias("source"), size_of(text_col).alias("size")))
     found = targets(sized.groupBy("source").agg(F.sum("size").alias("words")), weights, share, most)
     rate = F.when(F.col("words") > 0, F.col("target") / F.col("words")).otherwise(0.0)
     found = cut(found.withColumn("times", F.floor(rate).cast("long")).withColumn("chance", rate - F.floor(rate)))
-    n, key = found.count(), ["source_key", "source_null"]
+    n, key = found.count(), ["__source_key", "__source_null"]
     keyed = lambda d, c: d.withColumns({key[0]: F.coalesce(c, F.lit("")), key[1]: c.isNull()})
     side = keyed(found, F.col("source")).drop("source")
     tried = [F.abs(F.sum(F.when(draw("id", j) < F.col("chance"), F.col("size")).otherwise(0))
@@ -90,17 +92,16 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     offs = joined(keyed(sized, F.col("source")).drop("source"), side, key, "inner", n, 200).groupBy(*key).agg(*tried)
     best = F.array_position(F.array(*[f"off{j}" for j in range(SEEDS)]), F.least(*[f"off{j}" for j in range(SEEDS)]))
     plan = cut(side.join(offs.select(*key, (best - 1).alias("seed")), key))
-    plan = plan.select(*key, F.col("words").alias("mix_source_size"), F.col("target").alias("mix_target"),
-                       F.col("times").alias("mix_times"), F.col("chance").alias("mix_chance"), F.col("seed").alias("mix_seed"))
+    plan = plan.select(*key, F.struct("words", "target", "times", "chance", "seed").alias("__plan"))
     out = joined(keyed(docs.withColumn("mix_size", size_of(text_col)), source), plan, key, "inner", n, 200)
-    extra = (draw(id_col, F.col("mix_seed")) < F.col("mix_chance")).cast("long")
-    return out.withColumn("mix_copies", F.col("mix_times") + extra) \
-        .select(*docs.columns, "mix_size", "mix_source_size", "mix_target", "mix_copies")
+    extra = (draw(id_col, F.col("__plan.seed")) < F.col("__plan.chance")).cast("long")
+    return out.select(*docs.columns, "mix_size", F.col("__plan.words").alias("mix_source_size"), F.col("__plan.target").alias("mix_target"),
+                      (F.col("__plan.times") + extra).alias("mix_copies"))
 
 
 def emit(mixed: DataFrame) -> DataFrame:
     """Every document as often as the mix takes it, ``mix_copy`` counting from 1."""
-    keep = [c for c in mixed.columns if not c.startswith("mix_")]
+    keep = [c for c in mixed.columns if c not in ADDED and c.lower() != "mix_copy"]
     return mixed.filter("mix_copies > 0").select(
         *keep, F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))).alias("mix_copy"))
 

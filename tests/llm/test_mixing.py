@@ -31,7 +31,7 @@ def test_targets_and_totals(spark, make_docs):
     sources = ["a", "b", "B", "é", "", None, "one"]
     rows = [(i, "w " * rng.randint(0, 60), None, "one" if i == 0 else rng.choice(sources[:6])) for i in range(600)]
     rows += [(600, None, None, "nothing"), (601, "", None, "nothing"), (None, "some words here", None, "a"), (5, rows[5][1], None, rows[5][3])]
-    docs = make_docs(rows, ["1 as mix_size", "'x' as rank", "0 as words", "0 as target"])
+    docs = make_docs(rows, ["1 as mix_size", "'n' as mix_notes", "'x' as rank", "0 as words", "0 as target"])
     got = M.mix(docs).collect()
     assert len(got) == len(rows)
     words, taken = {}, {}
@@ -48,7 +48,9 @@ def test_targets_and_totals(spark, make_docs):
     copies = {(r.doc_id, r.text, r.source): r.mix_copies for r in got}
     again = M.mix(docs.repartition(7)).collect()
     assert {(r.doc_id, r.text, r.source): r.mix_copies for r in again} == copies
-    assert sum(r.mix_copies for r in got) == M.emit(M.mix(docs)).count()
+    emitted = M.emit(M.mix(docs))
+    assert sum(r.mix_copies for r in got) == emitted.count()
+    assert "mix_notes" in emitted.columns and "mix_size" not in emitted.columns and {r.mix_notes for r in got} == {"n"}
 
 
 def test_rank_over_many_sources(spark):
