@@ -22,8 +22,9 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def held_out(id_col: str = "doc_id") -> Column:
-    """Rows that no model may learn from: crc32 of the id's text leaves 2 modulo 4."""
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2
+    """Rows that no model may learn from: crc32 of the id's text leaves 2 modulo 4; a null
+    id's row is none of them."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def joined(left: DataFrame, small: DataFrame, on: str | list[str], how: str, rows: int, row_bytes: int) -> DataFrame:

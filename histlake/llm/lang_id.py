@@ -24,6 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ OVERSAMPLE = 2
 LEAST, FULL = 0.5, 600
 
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # letters alone: numeric signs such as ½ or ① are none
 _GAP = re.compile(r"[\W\d_]+")
 _MULTIPLY = [np.uint32(2654435761), np.uint32(2246822519), np.uint32(3266489917)]
 

@@ -51,3 +51,7 @@ def test_nothing_to_learn_from(make_docs):
     got = L.predict(make_docs([(1, "words", None, None)]), model).first()["lang_id"]
     assert (got.lang_pred, got.rejected) == ("und", True)
     assert L.predict(make_docs([]), model).collect() == []
+
+
+def test_numeric_signs_are_no_letters():
+    assert L._LETTER.search("½ ①² _ 12 ٣") is None and L._LETTER.search("½ é") is not None
