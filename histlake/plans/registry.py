@@ -520,22 +520,22 @@ def reference_positions(spark, sf):
     return A.reference_tables(spark, sf)[2]  # positions
 
 
-KNOWN_SINCE = "1992-01-02 00:00:00"
+KNOWN_SINCE = "1995-06-01 00:00:00"  # orders start on 1995-01-01: about half the titles come first after it
 
 
 @query("new_positions_only", with_ctes(A.PAY_SQL, A.PAYLOG_SQL, A.REFERENCE_SQL, body=f"""
 SELECT c.position_name_spanish, c.last_seen_at,
        coalesce(d.target, c.position_name_spanish) AS position_name_english
-FROM (SELECT cargo AS position_name_spanish, min(fecha_actualizacion) AS last_seen_at
-      FROM pay WHERE cargo IS NOT NULL GROUP BY cargo) c
+FROM (SELECT cargo || ' ' || cedula AS position_name_spanish, min(fecha_actualizacion) AS last_seen_at
+      FROM pay WHERE cargo || ' ' || cedula IS NOT NULL GROUP BY 1) c
 LEFT JOIN (SELECT source, min(target) AS target FROM prio_dict GROUP BY source) d
   ON c.position_name_spanish = d.source
 WHERE c.last_seen_at >= TIMESTAMP '{KNOWN_SINCE}'"""))
 def new_positions_only(spark, sf):
-    """Positions of all payroll rows that a reference table made on the data's
-    first day does not have yet."""
+    """Titles (a position with its holder) of all payroll rows that a reference table
+    made from the first months' rows does not have yet."""
     words = A.dictionary(spark, A.PRIORITY_DICTIONARY)
-    pay = A.pay(spark, sf)
+    pay = A.pay(spark, sf).withColumn("cargo", F.concat("cargo", F.lit(" "), "cedula"))
     existing = reference.position_reference(pay.where(F.col("fecha_actualizacion") < F.lit(KNOWN_SINCE).cast("timestamp_ntz")), words,
                                             dictionary_rows=len(A.PRIORITY_DICTIONARY))
     return reference.position_reference(pay, words, existing=existing, dictionary_rows=len(A.PRIORITY_DICTIONARY))

@@ -9,10 +9,12 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings applied to every session built here.  Values are only *defaults*:
@@ -32,6 +34,16 @@ DEFAULT_CONF = {
 }
 
 
+def _given() -> dict[str, str]:
+    """What was set at submit time or in the running session, which stays as it is."""
+    if running := SparkSession.getActiveSession():
+        return dict(running.sparkContext.getConf().getAll())
+    if "PYSPARK_GATEWAY_PORT" not in os.environ:  # a plain Python process: no JVM yet, nothing submitted
+        return {}
+    SparkContext._ensure_initialized()
+    return dict(SparkConf().getAll())
+
+
 def build_session(master: str | None = None, app: str = "histlake",
                   shuffle_partitions: int | None = None,
                   conf: dict | None = None) -> SparkSession:
@@ -43,11 +55,11 @@ def build_session(master: str | None = None, app: str = "histlake",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = dict(DEFAULT_CONF)
+    asked = dict(conf or {})
     if shuffle_partitions:
-        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    settings.update(conf or {})
-    for k, v in settings.items():
+        asked.setdefault("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    given = _given()
+    for k, v in ({k: v for k, v in DEFAULT_CONF.items() if k not in given} | asked).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     apply_defaults(spark)
