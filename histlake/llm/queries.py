@@ -24,16 +24,21 @@ def query(fn):
 @query
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents are inserted; then toxic ones are deleted and those of low
-    quality revised to single blanks; the first batch, sent again, changes nothing."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "source", "lang")
-    labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    quality revised to single blanks; the first batch, sent again, changes nothing.
+
+    The ledger's id is the row's: doc_id and a 128-bit hash of the rest, so that rows without
+    an id and rows that share one are counted each; an equal row again is the same document."""
+    content = ["text", "source", "lang"]
+    row = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.hex(F.xxhash64(*content)), F.hex(F.xxhash64(F.lit(1), *content)))
+    docs = table(spark, sf_dir, "documents").select("doc_id", row.alias("id"), *content)
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     ledger = token_counts.Ledger(spark, scratch_dir(spark, "token-ledger"))
-    inserts = docs.withColumns({"seq": F.lit(0), "op": F.lit("insert")})
+    inserts = docs.select("id", *content, F.lit(0).alias("seq"), F.lit("insert").alias("op"))
     ledger.commit("0001-load", inserts)
-    deletes = labels.filter("toxic = 1").select("id", F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("source"),
-                                                F.lit(None).cast("string").alias("lang"), F.lit("delete").alias("op"))
-    poor = cut(labels.filter("quality = 0 and toxic = 0").select("id"))
-    revisions = joined(docs, poor, "id", "inner", poor.count(), 32).select(
+    toxic, poor = cut(labels.filter("toxic = 1").select("doc_id")), cut(labels.filter("quality = 0 and toxic = 0").select("doc_id"))
+    none = [F.lit(None).cast("string").alias(c) for c in content]
+    deletes = joined(docs.select("doc_id", "id"), toxic, "doc_id", "inner", toxic.count(), 32).select("id", *none, F.lit("delete").alias("op"))
+    revisions = joined(docs, poor, "doc_id", "inner", poor.count(), 32).select(
         "id", F.regexp_replace("text", r"\s+", " ").alias("text"), "source", "lang", F.lit("revise").alias("op"))
     ledger.commit("0002-corrections", deletes.unionByName(revisions).withColumn("seq", F.lit(1)))
     ledger.commit("0001-load", inserts)

@@ -73,3 +73,12 @@ def test_a_failed_attempt_is_not_read(spark, ledger, tmp_path):
     assert ledger.committed() == [] and totals(ledger.totals()) == {}
     assert ledger.commit("1", spark.createDataFrame(rows, CHANGES))
     assert totals(ledger.totals()) == brute([("a few words", "s", "en")], T.TOKENIZERS[:1])
+
+
+def test_query_counts_rows_without_id_and_rows_that_share_one(spark, tmp_path):
+    rows = [(1, "one  text", "en", "s"), (1, "another text", "en", "s"), (None, "no id", "en", "s"), (None, "none either", "en", "s"), (None, None, None, None),
+            (2, "toxic", "en", "s"), (2, "toxic as well", "de", "s"), (3, "a  b", "en", "t"), (3, "a  b", "en", "t"), (4, "", "en", "t")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(2, 1, 1), (3, 0, 0), (9, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    want = [(t, s, lang) for i, t, lang, s in rows[:5]] + [("a b", "t", "en"), ("", "t", "en")]
+    assert totals(queries.op1_token_counts(spark, str(tmp_path))) == brute(want)
