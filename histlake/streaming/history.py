@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from histlake.operators.joins import broadcast_if_small
 from histlake.operators.scd import DEFAULT_HOT_KEY_ROWS, END_AT, START_AT, scd2
 from histlake.sources.keyed import GONE, HASH, KeyedTable, by_hash, key_struct
+from histlake.streaming.ingest import few_parts
 
 #: Up to so many touched keys are looked up by literal hashes, which Parquet statistics prune by.
 LITERAL_KEYS = 500
@@ -91,9 +92,10 @@ class History:
         self._kept.clear()
         self.table.compact()
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        """``df`` for the rest of the batch: read several times, a few steps from stored tables."""
-        self._kept.append(df.persist())
+    def _keep(self, df: DataFrame, at_most: int) -> DataFrame:
+        """``df``, of at most that many rows, for the rest of the batch: read several times, a
+        few steps from stored tables."""
+        self._kept.append(few_parts(df, at_most).persist())
         return self._kept[-1]
 
     def _scd2(self, rows: DataFrame, at_most: int) -> DataFrame:
@@ -114,22 +116,23 @@ class History:
         """Versions to write, and ids to remove, for the touched keys."""
         columns = [c for c in rows.columns if c != HASH]
         new = self._with_key(rows)
-        touched = self._keep(new.groupBy("_k").agg(F.min(self.seq).alias("_lo"), F.first(HASH).alias(HASH)))
+        touched = self._keep(new.groupBy("_k").agg(F.min(self.seq).alias("_lo"), F.first(HASH).alias(HASH)), n_rows)
         n_touched = touched.count()
         only = self._hashes(touched, n_touched)
         open_now = self._keep(self._with_key(self.table.read(part=True, only=only)).join(
-            broadcast_if_small(touched.select("_k", "_lo"), known_rows=n_touched), "_k"))
+            broadcast_if_small(touched.select("_k", "_lo"), known_rows=n_touched), "_k"), n_touched)
         late = open_now.where(F.col("_lo") <= F.col(self.seq)).select("_k", "_lo")
         n_late = late.count()
         seeds = open_now.where(F.col("_lo") > F.col(self.seq))
         if not n_late:
-            return self._diff(self._extended(new, seeds, columns, n_rows + n_touched), seeds.drop("_lo"))
+            return self._diff(self._extended(new, seeds, columns, n_rows + n_touched), seeds.drop("_lo"), n_rows + n_touched)
 
         # late keys: what is stored from the version before the earliest late row on
         late = late.join(touched.select("_k", HASH), "_k")
         only = self._hashes(late, n_late)
         side = broadcast_if_small(late.select("_k", "_lo"), known_rows=n_late)
-        versions = self._keep(self._with_key(self.table.read(only=only)).join(side, "_k"))
+        n_stored = sum(f["rows"] for f in stored)  # as many versions at most
+        versions = self._keep(self._with_key(self.table.read(only=only)).join(side, "_k"), n_stored)
         # versions follow one another: of those that end by the late row, the last to start
         before = versions.groupBy("_k").agg(F.max(F.when(F.col(END_AT) <= F.col("_lo"), F.col(START_AT))).alias("_from"))
         since = broadcast_if_small(before, known_rows=n_late)
@@ -139,9 +142,9 @@ class History:
             again = again.where(only)
         again = self._with_key(again).join(since, "_k").where(F.col("_from").isNull() | (F.col(self.seq) >= F.col("_from")))
         in_order = new.join(broadcast_if_small(late.select("_k"), known_rows=n_late), "_k", "left_anti")
-        fresh = self._extended(in_order.select(*columns).unionByName(again.select(*columns)), seeds, columns,
-                               n_rows + n_touched + sum(f["rows"] for f in stored))
-        return self._diff(fresh, seeds.drop("_lo").unionByName(old))
+        at_most = n_rows + n_touched + n_stored
+        fresh = self._extended(in_order.select(*columns).unionByName(again.select(*columns)), seeds, columns, at_most)
+        return self._diff(fresh, seeds.drop("_lo").unionByName(old), at_most)
 
     def _extended(self, new: DataFrame, seeds: DataFrame, columns: list[str], at_most: int) -> DataFrame:
         """SCD2 over the open versions' last rows and the rows after them; keys without a
@@ -152,9 +155,9 @@ class History:
         start = F.when(F.col(START_AT) == F.col("_seed"), F.col("_start")).otherwise(F.col(START_AT))
         return out.withColumn(START_AT, start).drop("_k", "_seed", "_start")
 
-    def _diff(self, fresh: DataFrame, old: DataFrame) -> DataFrame:
+    def _diff(self, fresh: DataFrame, old: DataFrame, at_most: int) -> DataFrame:
         """``fresh`` without versions that are stored just so, and the ids of ``old`` that are gone."""
-        fresh = self._keep(fresh)
+        fresh = self._keep(fresh, at_most)
         columns, ids = fresh.columns, [*self.keys, START_AT]
         whole = lambda df, name: df.select(key_struct(ids).alias("_id"), F.struct(*columns).alias(name))
         both = whole(fresh, "_new").join(whole(old, "_old"), "_id", "full_outer")

@@ -11,12 +11,25 @@ from histlake.sources.append import AppendTable
 from histlake.sources.readers import read_stream, with_file_path
 
 
+#: Bytes of a staged file's row groups: the least that Spark makes a split of.
+ROW_GROUP = 4 << 20
+#: Rows that an intermediate result's partition is worth having for.
+PART_ROWS = 100_000
+
+
+def few_parts(df: DataFrame, at_most: int = 0) -> DataFrame:
+    """``df``, of at most that many rows, without partitions that they are not worth; two a
+    core stay.  A shuffle of it may write a file for each of them and each of its own."""
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-at_most // PART_ROWS)))
+
+
 def stage_files(df: DataFrame, path: str, files: int, order_by: str | None = None) -> str:
     """Write ``df`` as ``files`` Parquet files (a staging area to replay).
     With ``order_by`` each file holds one range of that column, otherwise
-    rows are spread by hash, so files arrive out of sequence order."""
+    rows are spread by hash, so files arrive out of sequence order.  A row group is
+    never read by two tasks: small ones let a micro-batch of one file use every core."""
     staged = df.repartitionByRange(files, order_by) if order_by else df.repartition(files)
-    staged.write.mode("overwrite").parquet(path)
+    staged.write.mode("overwrite").option("parquet.block.size", ROW_GROUP).parquet(path)
     return path
 
 

@@ -156,3 +156,24 @@ def test_small_row_folders_are_merged(spark, monkeypatch):
     assert len(h.table.log.state()["extra"]["rows"]) <= 4
     h.apply(frame(spark, [("a", D(2025, 1, 3), 9, "z")]))      # late: all stored rows are still found
     assert rows(h.read()) == batch_result(spark, [*data, ("a", D(2025, 1, 3), 9, "z")])
+
+
+def test_intermediate_rows_lie_in_few_partitions(spark, monkeypatch):
+    """However many partitions a shuffle has, a small batch's kept rows are in two a core at most."""
+    kept, keep = [], History._keep
+    monkeypatch.setattr(History, "_keep", lambda h, *a: kept.append(keep(h, *a)) or kept[-1])
+    before, most = spark.conf.get("spark.sql.shuffle.partitions"), 2 * spark.sparkContext.defaultParallelism
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    data = [("a", D(2025, 1, 1), 1, "x"), ("b", D(2025, 1, 5), 1, "x"), ("a", D(2025, 1, 9), 2, "y"), ("b", D(2025, 1, 2), 3, "z")]
+    h = history(spark)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", most + 7)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for some in (data[:2], data[2:]):
+            h.apply(frame(spark, some))
+        parts = [df._jdf.queryExecution().executedPlan().execute().getNumPartitions() for df in kept]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert len(parts) == 4 and max(parts) <= most
+    assert rows(h.read()) == batch_result(spark, data)

@@ -128,3 +128,16 @@ def test_distinct_stream_keeps_no_state(spark):
         reference.distinct_stream(spark, read_stream(spark, staging, schema, max_files_per_trigger=1), "k", target, checkpoint)
     assert rows(spark.read.parquet(target), "k") == sorted((f"k{i}",) for i in range(20))
     assert not os.path.exists(f"{local_path(checkpoint)}/state")
+
+
+def test_a_staged_file_is_read_by_several_tasks(spark):
+    """Its rows lie in row groups of their own: not all of them in one."""
+    import glob
+
+    import pyarrow.parquet as pq
+    df = spark.range(900_000).selectExpr("id", "uuid() AS a", "rand(1) AS x")
+    path = ingest.stage_files(df, scratch_dir(spark, "t_groups"), 2)
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{local_path(path)}/*.parquet")]
+    assert len(files) == 2 and sum(m.num_rows for m in files) == 900_000
+    assert min(m.num_row_groups for m in files) >= 3
+    assert max(m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)) < 300_000
