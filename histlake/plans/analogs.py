@@ -42,6 +42,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt evenly over the shuffle's partitions: rows that take long lie in so few
+    bytes that one task would read them all."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def dictionary(spark: SparkSession, pairs) -> DataFrame:
     return spark.createDataFrame(pairs, "source string, target string")
 

@@ -88,3 +88,14 @@ def test_long_tags_and_references(spark):
     r = df.select(elements(F.col("h"), "a").alias("e")).first().e
     assert len(r) == 2001 and r[0].text == "t"
     assert spark.range(1).select(unescape_html(F.lit("&#x000000F1;&#X41;&lt;"))).first()[0] == "ñA<"
+
+
+def test_options_of_a_small_file_are_found_by_many_tasks(spark):
+    """The pages of a file of one row group are spread before they are taken apart."""
+    from histlake.plans import registry
+    from histlake.session import scratch_dir
+    folder = scratch_dir(spark, "one_group")
+    spark.range(500).selectExpr("id AS c_custkey", "'Customer#' || id AS c_name", "'BUILDING' AS c_mktsegment").coalesce(1).write.parquet(f"{folder}/customer.parquet")
+    found = registry.QUERIES["drop_down_options"](spark, folder)
+    parts = found.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(parts) > 1 and sum(r["count"] for r in parts) == 1000
