@@ -166,7 +166,7 @@ def latest_stream(spark: SparkSession, src: DataFrame, keys: Sequence[str], sequ
     order = [sequence_by, *_tie_cols(src, keys, sequence_by, tie_break)]
     table = KeyedTable(spark, target, keys)
     rows = combined(src.where(F.col(sequence_by).isNotNull()), keys, order)
-    rows = few_parts(combined(rows.repartition(*keys), keys, order))  # state takes a row a key, or few
+    rows = combined(rows.repartition(*keys), keys, order)  # state takes a row a key, or few
     rows = rows.withColumn("_group", F.pmod(F.xxhash64(*keys), F.lit(GROUPS)))
     changed = rows.groupBy("_group").transformWithState(LatestRow(src.schema, keys, order), src.schema, "Update", "None")
 
