@@ -50,8 +50,9 @@ from histlake.llm.common import cut
 #: replacements that are worth a rule, share of the symbols that a round has to save for
 #: another one, and bits of the hash that pairs are counted by.
 SHARD, LEAST, WORTH, GAIN, SLOT_BITS = 1 << 18, 8, 3, 0.01, 19
-#: Bytes of text encoded at a time, and distinct pieces that a task remembers.
-CHARS, PIECES = 1 << 24, 1 << 19
+#: Bytes of text encoded at a time, distinct pieces that a Python worker remembers, and
+#: characters of those that it remembers longest.
+CHARS, PIECES, SHORT = 1 << 24, 1 << 19, 64
 
 SCHEMA = ("part int, shard int, n_tokens bigint, within bigint, base int, rules binary, spans binary, symbols binary, "
           "docs array<bigint>, ends binary")
@@ -60,18 +61,16 @@ SCHEMA = ("part int, shard int, n_tokens bigint, within bigint, base int, rules
 # --- grammar -----------------------------------------------------------------
 
 def chosen(count: np.ndarray) -> np.ndarray:
-    """Places to replace: pairs more frequent than both neighbours; in a run of
+    """Places to replace, ascending: pairs more frequent than both neighbours; in a run of
     equally frequent ones every second."""
-    n = len(count)
-    new = np.ones(n, bool)
-    new[1:] = count[1:] != count[:-1]
-    first = np.flatnonzero(new)
-    run = np.cumsum(new) - 1
+    step = np.flatnonzero(count[1:] != count[:-1]) + 1
+    first = np.concatenate([[0], step]) if len(count) else step
     height = count[first]
     peak = height > 0
     peak[1:] &= height[1:] > height[:-1]
     peak[:-1] &= height[:-1] > height[1:]
-    return peak[run] & ((np.arange(n) - first[run]) % 2 == 0)
+    sizes = np.diff(first, append=len(count))
+    return places(first[peak], (sizes[peak] + 1) // 2, 2)
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -90,7 +89,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST) -
         often = np.bincount(slot, minlength=(1 << SLOT_BITS) + 1).astype(np.int32)
         often[-1] = 0
         often[often < least] = 0
-        at = np.flatnonzero(chosen(often[slot]))
+        at = chosen(often[slot])
         kinds, which, used = np.unique((a[at].astype(np.int64) << 32) | b[at], return_inverse=True, return_counts=True)
         worth = used >= WORTH
         if not worth.any():
@@ -114,19 +113,23 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST) -
     return seq.astype(np.int64), found, spans[base:], np.flatnonzero(doc_end) + 1
 
 
-def places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """start, start + 1, ... of each size, one after the other."""
+def places(starts: np.ndarray, sizes: np.ndarray, step: int = 1) -> np.ndarray:
+    """start, start + step, ... of each size, one after the other."""
     total = int(sizes.sum())
-    kind = np.int32 if max(total, int(starts.max(initial=0))) < 1 << 30 else np.int64
-    out = np.repeat((starts - (np.cumsum(sizes) - sizes)).astype(kind), sizes)
-    out += np.arange(total, dtype=kind)
+    kind = np.int32 if max(total, int(starts.max(initial=0))) < 1 << 29 else np.int64
+    out = np.repeat((starts - step * (np.cumsum(sizes) - sizes)).astype(kind), sizes)
+    out += np.arange(0, step * total, step, dtype=kind)
     return out
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, spans: np.ndarray, base: int) -> np.ndarray:
     """The ids that ``symbols`` stand for: the rules they use are expanded once each, side by
     side, then looked up."""
-    used = np.unique(symbols[symbols >= base])
+    at_rule = np.flatnonzero(symbols >= base)
+    rule = symbols[at_rule] - base
+    is_used = np.zeros(len(rules), bool)
+    is_used[rule] = True
+    used = np.flatnonzero(is_used) + base
     flat = used
     while (deep := flat >= base).any():
         at = np.cumsum(1 + deep) - 1 - deep
@@ -135,16 +138,12 @@ def expand(symbols: np.ndarray, rules: np.ndarray, spans: np.ndarray, base: int)
         out[at[~deep]], out[at[deep]], out[at[deep] + 1] = flat[~deep], pairs[:, 0], pairs[:, 1]
         flat = out
     # a table of every token by itself would be as long as the vocabulary: tokens are looked up in place
-    sizes = np.ones(len(symbols), np.int64)
-    deep = symbols >= base
-    sizes[deep] = spans[symbols[deep] - base]
     ends = np.cumsum(spans[used - base])
-    starts = np.zeros(len(symbols), np.int64)
-    number = np.searchsorted(used, symbols[deep])
-    starts[deep] = (ends - spans[used - base])[number]
-    table = np.concatenate([flat, symbols[~deep]])
-    starts[~deep] = len(flat) + np.arange(int((~deep).sum()))
-    return table[places(starts, sizes)]
+    of_rule = np.zeros(len(rules), np.int64)
+    of_rule[used - base] = ends - spans[used - base]
+    sizes, starts = np.ones(len(symbols), np.int64), len(flat) + np.arange(len(symbols))
+    sizes[at_rule], starts[at_rule] = spans[rule], of_rule[rule]
+    return np.concatenate([flat, symbols])[places(starts, sizes)]
 
 
 def packed(x: np.ndarray) -> bytes:
@@ -213,10 +212,18 @@ class Encoder:
         self.last = np.zeros(self.size, bool)
         self.last[[i for t, i in vocabulary.items() if mark and t.endswith(mark)]] = True
         self.end, self.parted, self.marked = end, parted, bool(mark)
-        self.forget()
+        self.known, self.ids, self.at, self.used, self.chars = {"\n": -1}, np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, np.int64), 1
 
     def forget(self) -> None:
-        self.known, self.ids, self.at = {"\n": -1}, np.zeros(0, np.int32), np.zeros(1, np.int64)
+        """Makes room: the short pieces that were looked up most, and more than once, stay."""
+        short = np.fromiter((len(k) <= SHORT for k in self.known), bool, len(self.known))[1:]  # in the order of their numbers
+        often = np.flatnonzero(short & (self.used > 1))
+        keep = np.sort(often[np.argsort(-self.used[often], kind="stable")[:PIECES // 2]])
+        names, sizes = list(self.known)[1:], np.diff(self.at)[keep]
+        self.ids, self.at = self.ids[places(self.at[keep], sizes)], np.concatenate([[0], np.cumsum(sizes)])
+        self.used = self.used[keep] // 2
+        self.known = {"\n": -1, **{names[k]: i for i, k in enumerate(keep.tolist())}}
+        self.chars = sum(map(len, self.known))
 
     def learn(self, pieces: list[str], odd: list[str]) -> None:
         """Encodes new pieces; ``odd`` ones by themselves."""
@@ -225,10 +232,12 @@ class Encoder:
         if len(sizes) != len(pieces):
             ids, sizes = encoded(self.tokenizer, pieces)
         odd_ids, odd_sizes = encoded(self.tokenizer, odd)
-        first = len(self.at) - 1
-        self.known.update(zip([*pieces, *odd], range(first, first + len(pieces) + len(odd))))
+        first, names = len(self.at) - 1, [*pieces, *odd]
         self.ids = np.concatenate([self.ids, ids, odd_ids])
         self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(np.concatenate([sizes, odd_sizes]))])
+        self.used = np.concatenate([self.used, np.zeros(len(names), np.int64)])
+        self.known.update(zip(names, range(first, first + len(names))))
+        self.chars += sum(map(len, names))
 
     def runs(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all runs, and how many each has."""
@@ -241,10 +250,12 @@ class Encoder:
             joined = "\n".join(r for r, p in zip(runs, plain) if p)
         pieces = _PIECE.findall(joined.lower())
         kinds = set(pieces)
-        if len(self.known) + len(kinds) + len(odd) > PIECES:
+        new = [k for k in kinds if k not in self.known]
+        if len(self.known) + len(new) + len(odd) > PIECES or self.chars > CHARS:
             self.forget()
+            new = [k for k in kinds if k not in self.known]
         known = self.known
-        self.learn([k for k in kinds if k not in known], [r for r in dict.fromkeys(odd) if r not in known])
+        self.learn(new, [r for r in dict.fromkeys(odd) if r not in known])
         number = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
         # the pieces of every run; odd runs are one piece
         breaks = number < 0
@@ -255,6 +266,7 @@ class Encoder:
             number = np.concatenate([number, np.array([known[r] for r in odd], np.int64)])
             order = np.argsort(run, kind="stable")
             run, number = run[order], number[order]
+        self.used += np.bincount(number, minlength=len(self.used))
         sizes = self.at[number + 1] - self.at[number]
         return self.ids[places(self.at[number], sizes)], np.bincount(run, sizes, len(runs)).astype(np.int64)
 
@@ -283,6 +295,20 @@ class Encoder:
         return out, ends
 
 
+_ENCODERS: dict = {}
+
+
+def worker_encoder(file: str | None, end: int, parted: bool) -> Encoder:
+    """The Python worker's encoder: the tasks that it runs one after the other load the
+    tokenizer once and share what was learnt."""
+    file = file or default_file()
+    key = (file, os.stat(file).st_mtime_ns, end, parted)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()  # one is enough for a query
+        _ENCODERS[key] = Encoder(file, end, parted)
+    return _ENCODERS[key]
+
+
 def encoded(tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, and how many each has."""
     ids = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -330,7 +356,7 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
 
         for batch in batches:
             for some in pieces(batch, CHARS):
-                encoder = encoder or Encoder(file, end, parted)
+                encoder = encoder or worker_encoder(file, end, parted)
                 ids, ends = encoder(pc.fill_null(some.column("text"), ""))
                 ids_of, at, done = some.column("id").to_pylist(), 0, 0
                 while at < len(ends):

@@ -61,6 +61,31 @@ def _encoder(parted, made={}):  # noqa: B006 - one tokenizer for all examples
     return made[parted]
 
 
+def test_a_workers_tasks_share_what_was_learnt(monkeypatch):
+    texts = pa.array(["some words are learnt once", "and some others", "日本語"])
+    first = tf.worker_encoder(None, 1, True)
+    ids, ends = first(texts)
+    asked = []
+    monkeypatch.setattr(tf, "encoded", lambda tokenizer, texts, real=tf.encoded: asked.extend(texts) or real(tokenizer, texts))
+    second = tf.worker_encoder(None, 1, True)
+    again, again_ends = second(texts)
+    assert second is first and not asked
+    assert again.tolist() == ids.tolist() and again_ends.tolist() == ends.tolist()
+
+
+def test_room_is_made_for_new_pieces(tokenizer, monkeypatch):
+    monkeypatch.setattr(tf, "PIECES", 40)
+    monkeypatch.setattr(tf, "SHORT", 12)
+    encoder = tf.Encoder(None, 1, True)
+    for i in range(30):
+        texts = [f"Often, often! often w{i}rd{'abcdefghij'[i % 10] * 3} 日本{i}", "x" * 5000 + f" x{'y' * (i + 20)}", " ".join(f"b{chr(97 + (i + j) % 26)}" for j in range(9))]
+        ids, ends = encoder(pa.array(texts))
+        for t, a, b in zip(texts, [0, *ends], ends):
+            assert ids[a:b].tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [1], t
+        assert len(encoder.known) == len(encoder.at) == len(encoder.used) + 1 <= 60
+    assert "often" in encoder.known and "x" * 5000 in encoder.known
+
+
 def test_written_and_read_back(spark, tokenizer, tmp_path):
     rows = [(i, ODD[i % len(ODD)]) for i in range(40)] + [(100, "one two three four " * 300), (101, "one two three " * 200)]
     rows += [(7, ODD[4]), (7, ODD[4]), (None, "no id"), (None, None)]
