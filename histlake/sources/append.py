@@ -22,6 +22,8 @@ from histlake.sources.writers import cluster
 
 #: Folders of a size class that are merged into one of the next class.
 FAN = 4
+#: Rows worth a file of their own while there are fewer files than cores; then 16 times as many.
+FILE_ROWS = 1 << 16
 
 
 class AppendTable:
@@ -31,9 +33,11 @@ class AppendTable:
         self.spark, self.path, self.cluster_by = spark, path.rstrip("/"), list(cluster_by)
         self.log = CommitLog(spark, f"{self.path}/_log")
 
-    def _write(self, rows: DataFrame, n: int, curve: bool) -> dict:
+    def _write(self, rows: DataFrame, n: int, curve: bool, n_rows: int) -> dict:
         path = f"{self.path}/data/{n:012d}-{uuid.uuid4().hex[:8]}"
-        (cluster(rows, self.cluster_by, curve=curve) if self.cluster_by else rows).write.parquet(path)
+        cores = self.spark.sparkContext.defaultParallelism
+        files = max(1, min(cores, n_rows // FILE_ROWS), n_rows // (16 * FILE_ROWS))
+        (cluster(rows, self.cluster_by, files, curve) if self.cluster_by else rows).write.parquet(path)
         return {"path": path, "rows": self.spark.read.schema(rows.schema).parquet(path).count()}  # from the footers
 
     def append(self, rows: DataFrame, source: str | None = None, epoch: int | None = None) -> DataFrame:
@@ -43,7 +47,7 @@ class AppendTable:
         if source is not None and state["sources"].get(source, -1) >= epoch:
             return rows
         n = state["n"] + 1
-        folder = self._write(rows, n, curve=False)
+        folder = self._write(rows, n, False, rows.count() if self.cluster_by else 0)
         sources = state["sources"] | ({source: epoch} if source is not None else {})
         self.log.commit(state | {"n": n, "folders": state["folders"] + ([folder] if folder["rows"] else []), "sources": sources})
         self.compact()
@@ -61,7 +65,7 @@ class AppendTable:
             if not full:
                 return merges
             old, n = full[0], state["n"] + 1
-            one = self._write(self._frame(state, old), n, curve=True)
+            one = self._write(self._frame(state, old), n, True, sum(f["rows"] for f in old))
             self.log.commit(state | {"n": n, "folders": [f for f in state["folders"] if f not in old] + [one]})
             merges += 1
 

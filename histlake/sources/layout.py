@@ -6,7 +6,7 @@ counts, and the ranks' bits are interleaved into one long (Z-order).  Files that
 this key cover a narrow range of *every* column, so Parquet's minima and maxima skip
 row groups whichever of the columns a filter names.
 
-The ranges' cut points come from a bounded sample (``SAMPLE_ROWS`` rows by hash); they decide
+The ranges' cut points come from a bounded sample (``SAMPLE_ROWS`` rows); they decide
 how good the layout is, never what is in it.  All of it is built-in expressions.
 """
 
@@ -16,9 +16,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 #: Rows that the cut points come from, and the most ranges of a column as a power of two.
 SAMPLE_ROWS, BITS = 8192, 8
+#: Up to so many ranges, of columns of these types, are told apart by comparisons written out one by one.
+MAX_BOUNDS, ORDERED = 64, (BooleanType, NumericType, StringType, DateType, TimestampType, TimestampNTZType)
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -26,9 +29,14 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
 
 
+def sampled(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """These columns of at most ``SAMPLE_ROWS`` rows; no other column is worked out for it."""
+    return df.select(*cols).withColumn("_h", F.rand(0)).orderBy("_h").limit(SAMPLE_ROWS).drop("_h")
+
+
 def cut_points(df: DataFrame, cols: Sequence[str], bits: int) -> list[list]:
     """Per column the distinct values that part the sampled rows evenly, ascending."""
-    some = df.select(*cols, row_hash(df).alias("_h")).orderBy("_h").limit(SAMPLE_ROWS).collect()
+    some = sampled(df, cols).collect()
     points = []
     for c in cols:
         values = sorted(v for v in (r[c] for r in some) if v is not None and v == v)
@@ -69,12 +77,46 @@ def curve_key(df: DataFrame, cols: Sequence[str], bits: int | None = None) -> Co
 def along_curve(df: DataFrame, cols: Sequence[str], partitions: int | None = None) -> DataFrame:
     """``df`` range-partitioned and sorted along the curve.  A place that many rows share is
     spread over partitions by the row's hash."""
-    placed = df.withColumn("_z", curve_key(df, cols))
-    by = [F.col("_z"), row_hash(df)]
-    ranged = placed.repartitionByRange(partitions, *by) if partitions else placed.repartitionByRange(*by)
+    z, by = curve_key(df, cols), [F.col("_z"), row_hash(df)]
+    placed = df.withColumn("_z", z)
+    ranged = dealt(placed, ["_z"], partitions, sample=sampled(df, cols).select(z.alias("_z"))) if partitions else placed.repartitionByRange(*by)
     return ranged.sortWithinPartitions("_z").drop("_z")
 
 
+def dealt(df: DataFrame, by: Sequence[str], partitions: int, spread: bool = True, sample: DataFrame | None = None) -> DataFrame:
+    """``df`` in ``partitions`` ranges of the columns ``by``, like ``repartitionByRange`` but with
+    bounds from a sample of these columns alone: ``repartitionByRange`` works out all of
+    ``df`` once more for its own.  With ``spread`` a value that fills more than a
+    partition is dealt by the row's hash over those it fills; else equal values stay together.
+    ``sample``: ``by`` of some rows, if the caller has them for less."""
+    keys = [F.col(c) for c in by]
+    kinds = {f.name: f.dataType for f in df.select(*by).schema.fields}
+    if partitions < 2:
+        return df.repartition(1)
+    if partitions > MAX_BOUNDS or not all(isinstance(k, ORDERED) for k in kinds.values()):  # no literals, or too many
+        return df.repartitionByRange(partitions, *keys, *([row_hash(df)] if spread else []))
+    some = (sampled(df, by) if sample is None else sample).orderBy(*by).collect()
+    bounds = [tuple(some[i * len(some) // partitions][c] for c in by) for i in range(1, partitions)] if some else []
+    upto: dict[tuple, int] = {}  # bounds up to each distinct one, ascending
+    for i, b in enumerate(bounds):
+        upto[b] = i + 1
+    kept, counts = list(upto), [0, *upto.values()]
+    key = F.struct(*keys)
+    literal = [F.struct(*[F.lit(v).cast(kinds[c]).alias(c) for v, c in zip(b, by)]) for b in kept]
+
+    def place(a: int, z: int) -> Column:
+        """The partition of a row that is at or after ``a`` and before more than ``z`` of the bounds."""
+        if a < z:
+            middle = (a + z + 1) // 2
+            return F.when(key < literal[middle - 1], place(a, middle - 1)).otherwise(place(middle, z))
+        first, last = counts[max(a - 1, 0)], counts[a]
+        if not spread or last - first < 2:
+            return F.lit(last)
+        return F.when(key == literal[a - 1], first + F.pmod(row_hash(df), F.lit(last - first + 1)).cast("int")).otherwise(F.lit(last))
+
+    return df.repartitionById(partitions, place(0, len(kept)))
+
+
 def ranked_within(df: DataFrame, group: str, order: Sequence[Column], out: str) -> DataFrame:
     """Adds ``out``, each row's place from 0 within its ``group``, in ``order``.
 

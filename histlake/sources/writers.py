@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from histlake.sources.layout import along_curve, curve_key, row_hash
+from histlake.sources.layout import along_curve, curve_key, dealt, row_hash
 
 
 def replace_folder(spark: SparkSession, new: str, path: str) -> str:
@@ -69,8 +69,7 @@ def cluster(df: DataFrame, cols: Sequence[str], partitions: int | None = None, c
     cols = list(cols)
     if curve and len(cols) > 1:
         return along_curve(df, cols, partitions)
-    by = [F.col(c) for c in cols] + [row_hash(df)]
-    ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    ranged = dealt(df, cols, partitions) if partitions else df.repartitionByRange(*cols, row_hash(df))
     return ranged.sortWithinPartitions(*cols)
 
 

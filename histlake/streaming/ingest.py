@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from histlake.sources.append import AppendTable
+from histlake.sources.layout import dealt
 from histlake.sources.readers import read_stream, with_file_path
 
 
@@ -28,7 +29,7 @@ def stage_files(df: DataFrame, path: str, files: int, order_by: str | None = Non
     With ``order_by`` each file holds one range of that column, otherwise
     rows are spread by hash, so files arrive out of sequence order.  A row group is
     never read by two tasks: small ones let a micro-batch of one file use every core."""
-    staged = df.repartitionByRange(files, order_by) if order_by else df.repartition(files)
+    staged = dealt(df, [order_by], files, spread=False) if order_by else df.repartition(files)
     staged.write.mode("overwrite").option("parquet.block.size", ROW_GROUP).parquet(path)
     return path
 
