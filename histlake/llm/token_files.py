@@ -50,9 +50,10 @@ from histlake.llm.common import cut
 #: replacements that are worth a rule, share of the symbols that a round has to save for
 #: another one, and bits of the hash that pairs are counted by.
 SHARD, LEAST, WORTH, GAIN, SLOT_BITS = 1 << 18, 8, 3, 0.01, 19
-#: Bytes of text encoded at a time, distinct pieces that a Python worker remembers, and
-#: characters of those that it remembers longest.
-CHARS, PIECES, SHORT = 1 << 24, 1 << 19, 64
+#: Bytes of text encoded at a time (which takes 15 to 60 times that in memory), distinct pieces
+#: that a Python worker remembers, characters of all those, and of those that it remembers
+#: longest.
+CHARS, PIECES, LETTERS, SHORT = 1 << 22, 1 << 19, 1 << 24, 64
 
 SCHEMA = ("part int, shard int, n_tokens bigint, within bigint, base int, rules binary, spans binary, symbols binary, "
           "docs array<bigint>, ends binary")
@@ -251,7 +252,7 @@ class Encoder:
         pieces = _PIECE.findall(joined.lower())
         kinds = set(pieces)
         new = [k for k in kinds if k not in self.known]
-        if len(self.known) + len(new) + len(odd) > PIECES or self.chars > CHARS:
+        if len(self.known) + len(new) + len(odd) > PIECES or self.chars > LETTERS:
             self.forget()
             new = [k for k in kinds if k not in self.known]
         known = self.known

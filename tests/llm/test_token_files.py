@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -86,6 +87,20 @@ def test_room_is_made_for_new_pieces(tokenizer, monkeypatch):
     assert "often" in encoder.known and "x" * 5000 in encoder.known
 
 
+def test_a_large_batch_is_encoded_in_little_memory():
+    words = np.array([f"w{i:x}" for i in range(2000)])
+    rng = np.random.default_rng(1)
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(words[rng.integers(0, 2000, 400)]) for _ in range(8000)]})
+    encoder = tf.Encoder(None, 1, True)
+    tracemalloc.start()
+    try:
+        n = [len(encoder(some.column("text"))[1]) for some in tf.pieces(batch, tf.CHARS)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(n) == 8000 and batch.nbytes > 14e6 and peak < 100e6
+
+
 def test_written_and_read_back(spark, tokenizer, tmp_path):
     rows = [(i, ODD[i % len(ODD)]) for i in range(40)] + [(100, "one two three four " * 300), (101, "one two three " * 200)]
     rows += [(7, ODD[4]), (7, ODD[4]), (None, "no id"), (None, None)]
