@@ -11,13 +11,13 @@ import datetime as _dt
 import decimal
 import math
 
-import duckdb
-
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def duck(sf_dir: str):
+    import duckdb  # only here: the library and its registry are imported where DuckDB is not installed
+
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
     for t in TABLES:
