@@ -36,7 +36,8 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +55,9 @@ SHARD, LEAST, WORTH, GAIN, SLOT_BITS = 1 << 18, 8, 3, 0.01, 19
 #: that a Python worker remembers, characters of all those, and of those that it remembers
 #: longest.
 CHARS, PIECES, LETTERS, SHORT = 1 << 22, 1 << 19, 1 << 24, 64
+#: Runs between white space that a Python worker remembers as a whole, and the number of a piece
+#: that it does not know.
+RUNS, MISSING = 1 << 17, -2
 
 SCHEMA = ("part int, shard int, n_tokens bigint, within bigint, base int, rules binary, spans binary, symbols binary, "
           "docs array<bigint>, ends binary")
@@ -64,14 +68,24 @@ SCHEMA = ("part int, shard int, n_tokens bigint, within bigint, base int, rules
 def chosen(count: np.ndarray) -> np.ndarray:
     """Places to replace, ascending: pairs more frequent than both neighbours; in a run of
     equally frequent ones every second."""
-    step = np.flatnonzero(count[1:] != count[:-1]) + 1
-    first = np.concatenate([[0], step]) if len(count) else step
-    height = count[first]
-    peak = height > 0
-    peak[1:] &= height[1:] > height[:-1]
-    peak[:-1] &= height[:-1] > height[1:]
-    sizes = np.diff(first, append=len(count))
-    return places(first[peak], (sizes[peak] + 1) // 2, 2)
+    above = count[1:] > count[:-1]
+    level = count[1:] == count[:-1]
+    pick = count > 0
+    pick[1:] &= above
+    pick[:-1] &= count[:-1] > count[1:]
+    level &= count[1:] > 0
+    # runs of equally frequent ones, which are few: where each starts and ends
+    inside = np.flatnonzero(level)
+    if len(inside):
+        new = np.flatnonzero(np.diff(inside, prepend=-2) > 1)
+        first, last = inside[new], inside[np.append(new[1:], len(inside)) - 1] + 1
+        peak = np.ones(len(first), bool)
+        peak[first > 0] = above[first[first > 0] - 1]
+        after = last < len(count) - 1
+        peak[after] &= count[last[after]] > count[last[after] + 1]
+        first, last = first[peak], last[peak]
+        pick[places(first, (last - first) // 2 + 1, 2)] = True
+    return np.flatnonzero(pick)
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -87,10 +101,12 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST) -
         a, b = seq[:-1], seq[1:]
         slot = ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA6B))) >> np.uint32(32 - SLOT_BITS)
         slot[doc_end[:-1]] = 1 << SLOT_BITS
-        often = np.bincount(slot, minlength=(1 << SLOT_BITS) + 1).astype(np.int32)
+        slot = slot.astype(np.intp)
+        often = np.bincount(slot, minlength=(1 << SLOT_BITS) + 1)
         often[-1] = 0
-        often[often < least] = 0
-        at = chosen(often[slot])
+        often = often.astype(np.int32)[slot]
+        often *= often >= least
+        at = chosen(often)
         kinds, which, used = np.unique((a[at].astype(np.int64) << 32) | b[at], return_inverse=True, return_counts=True)
         worth = used >= WORTH
         if not worth.any():
@@ -107,6 +123,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST) -
         stay[at + 1] = False
         doc_end[at] = doc_end[at + 1]
         enough = len(at) < GAIN * len(seq)
+        stay = np.flatnonzero(stay)
         seq, doc_end = seq[stay], doc_end[stay]
         if enough:
             break
@@ -192,6 +209,28 @@ _OTHER = re.compile(r"[^\n!-~À-ÖØ-öø-ÿ]|<\|")
 _PIECE = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\na-z0-9ß-öø-ÿ]+")
 
 
+class Runs(NamedTuple):
+    """Runs, the ids of all, how many each has and how often it was met."""
+    names: pa.Array
+    ids: np.ndarray
+    sizes: np.ndarray
+    used: np.ndarray
+
+
+NOTHING = Runs(pa.array([], pa.string()), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def most_used(names: pa.Array, ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, used: np.ndarray) -> Runs:
+    """The short runs, at most ``RUNS`` of them, those met most; if there are more, earlier ones count half."""
+    keep = np.flatnonzero(np.asarray(pc.less_equal(pc.binary_length(names), SHORT)))
+    if len(keep) > RUNS:
+        keep = np.sort(keep[np.argpartition(-used[keep], RUNS)[:RUNS]])
+        used = used // 2
+    elif len(keep) == len(names):
+        return Runs(names, ids, sizes, used)
+    return Runs(names.take(pa.array(keep)), ids[places(starts[keep], sizes[keep])], sizes[keep], used[keep])
+
+
 class Encoder:
     """A tokenizer file, with the ids of the pieces it has already encoded.
 
@@ -214,10 +253,13 @@ class Encoder:
         self.last[[i for t, i in vocabulary.items() if mark and t.endswith(mark)]] = True
         self.end, self.parted, self.marked = end, parted, bool(mark)
         self.known, self.ids, self.at, self.used, self.chars = {"\n": -1}, np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, np.int64), 1
+        self.remembered = NOTHING
 
     def forget(self) -> None:
-        """Makes room: the short pieces that were looked up most, and more than once, stay."""
-        short = np.fromiter((len(k) <= SHORT for k in self.known), bool, len(self.known))[1:]  # in the order of their numbers
+        """Makes room: the short pieces that were looked up most, and more than once, stay.  No run
+        does, so that the next look-ups show which pieces are still in use."""
+        self.remembered = NOTHING
+        short = np.fromiter(map(len, self.known), np.int64, len(self.known))[1:] <= SHORT  # in the order of their numbers
         often = np.flatnonzero(short & (self.used > 1))
         keep = np.sort(often[np.argsort(-self.used[often], kind="stable")[:PIECES // 2]])
         names, sizes = list(self.known)[1:], np.diff(self.at)[keep]
@@ -240,6 +282,11 @@ class Encoder:
         self.known.update(zip(names, range(first, first + len(names))))
         self.chars += sum(map(len, names))
 
+    def look_up(self, pieces: list[str]) -> tuple[np.ndarray, list[str]]:
+        """The number of every piece, ``MISSING`` for those not known, and these, each once."""
+        number = np.fromiter(map(self.known.get, pieces, repeat(MISSING)), np.int64, len(pieces))
+        return number, list(dict.fromkeys(pieces[i] for i in np.flatnonzero(number == MISSING).tolist()))
+
     def runs(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all runs, and how many each has."""
         joined = "\n".join(runs)
@@ -250,14 +297,15 @@ class Encoder:
             odd = [r for r, p in zip(runs, plain) if not p]
             joined = "\n".join(r for r, p in zip(runs, plain) if p)
         pieces = _PIECE.findall(joined.lower())
-        kinds = set(pieces)
-        new = [k for k in kinds if k not in self.known]
+        number, new = self.look_up(pieces)
         if len(self.known) + len(new) + len(odd) > PIECES or self.chars > LETTERS:
             self.forget()
-            new = [k for k in kinds if k not in self.known]
+            number, new = self.look_up(pieces)
         known = self.known
         self.learn(new, [r for r in dict.fromkeys(odd) if r not in known])
-        number = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        if new:
+            late = np.flatnonzero(number == MISSING)
+            number[late] = [known[pieces[i]] for i in late.tolist()]
         # the pieces of every run; odd runs are one piece
         breaks = number < 0
         run = np.flatnonzero(plain)[np.cumsum(breaks)[~breaks]] if plain.any() else np.zeros(0, np.int64)
@@ -271,28 +319,48 @@ class Encoder:
         sizes = self.at[number + 1] - self.at[number]
         return self.ids[places(self.at[number], sizes)], np.bincount(run, sizes, len(runs)).astype(np.int64)
 
+    def numbered(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of remembered and new runs, where each run's start, how many they are, and
+        which run every word is."""
+        before = self.remembered
+        known = before.names.cast(words.type)
+        at = pc.index_in(words, value_set=known)
+        new = at.is_null()
+        coded = words.filter(new).dictionary_encode()
+        at, new = np.array(at.fill_null(0)), np.asarray(new)
+        at[new] = np.asarray(coded.indices) + len(known)
+        ids, sizes = self.runs(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        names = pa.concat_arrays([known, coded.dictionary])
+        ids, sizes = np.concatenate([before.ids, ids]), np.concatenate([before.sizes, sizes])
+        starts = np.cumsum(sizes) - sizes
+        if self.remembered is before:  # else room was made
+            used = np.bincount(at, minlength=len(names))
+            used[:len(before.used)] += before.used
+            self.remembered = most_used(names, ids, starts, sizes, used)
+        return ids, starts, sizes, at
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end id, and where each text ends."""
-        if not self.parted:
-            table, n_ids = encoded(self.tokenizer, texts.to_pylist())
-            source = np.arange(len(table))
-        else:
+        if self.parted:
             words = pc.ascii_split_whitespace(texts)
             # leading and trailing white space leave empty runs, which have no ids
             per_text = np.asarray(words.value_lengths(), dtype=np.int64)
-            coded = words.flatten().dictionary_encode()
-            table, sizes = self.runs(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-            at = np.asarray(coded.indices)
-            per_word = sizes[at]
-            source = places((np.cumsum(sizes) - sizes)[at], per_word)
-            upto = np.concatenate([[0], np.cumsum(per_word)])
-            text_end = np.cumsum(per_text)
-            n_ids = upto[text_end] - upto[text_end - per_text]
+            ids, starts, sizes, at = self.numbered(words.flatten())
+            # the end id is a run of its own, after each text's
+            table, starts, sizes = np.append(ids, np.int32(self.end)), np.append(starts, len(ids)), np.append(sizes, 1)
+            text_end = np.cumsum(per_text + 1)
+            own = np.ones(len(at) + len(texts), bool)
+            own[text_end - 1] = False
+            run = np.full(len(own), len(sizes) - 1, np.int32)
+            run[own] = at
+            per_run = sizes[run]
+            return table[places(starts[run], per_run)], np.cumsum(per_run)[text_end - 1]
+        table, n_ids = encoded(self.tokenizer, texts.to_pylist())
         ends = np.cumsum(n_ids + 1)
-        out = np.empty(len(source) + len(texts), np.int32)
+        out = np.empty(len(table) + len(texts), np.int32)
         own = np.ones(len(out), bool)
         own[ends - 1] = False
-        out[ends - 1], out[own] = self.end, table[source]
+        out[ends - 1], out[own] = self.end, table
         return out, ends
 
 

@@ -87,6 +87,47 @@ def test_room_is_made_for_new_pieces(tokenizer, monkeypatch):
     assert "often" in encoder.known and "x" * 5000 in encoder.known
 
 
+def test_remembered_runs_are_not_taken_apart_again(tokenizer, monkeypatch):
+    texts = pa.array(["Often, often seen", "", " Seen!  often\n", "日本語 x" + "y" * 100])
+    encoder = tf.Encoder(None, 1, True)
+    asked = []
+    monkeypatch.setattr(encoder, "runs", lambda runs, real=encoder.runs: asked.append(runs) or real(runs))
+    first, first_ends = encoder(texts)
+    ids, ends = encoder(texts)
+    assert sorted(asked[0]) == sorted(["Often,", "often", "seen", "", "Seen!", "日本語", "x" + "y" * 100])
+    assert asked[1] == ["x" + "y" * 100]  # long ones are not remembered
+    assert ids.tolist() == first.tolist() and ends.tolist() == first_ends.tolist()
+    for t, a, b in zip(texts.to_pylist(), [0, *ends], ends):
+        assert ids[a:b].tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [1], t
+
+
+def test_few_runs_are_remembered_those_met_most(tokenizer, monkeypatch):
+    monkeypatch.setattr(tf, "RUNS", 10)
+    encoder = tf.Encoder(None, 1, True)
+    for i in range(20):
+        texts = ["one two one two one two", " ".join(f"w{i}x{j}!" for j in range(i % 14)), "日本 " * (i % 3)]
+        ids, ends = encoder(pa.array(texts))
+        for t, a, b in zip(texts, [0, *ends], ends):
+            assert ids[a:b].tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [1], t
+        names, kept, sizes, used = encoder.remembered
+        assert len(names) == len(sizes) == len(used) <= 10 and sizes.sum() == len(kept)
+        assert {"one", "two"} <= set(names.to_pylist())
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=14))
+def test_pairs_replaced_are_more_frequent_than_those_they_overlap(count):
+    want, at = [], 0
+    for n in count:  # n: the count of the pair at this place
+        if not want or n != want[-1][1]:
+            want.append((at, n))
+        at += 1
+    ends = [s for s, _ in want[1:]] + [at]
+    around = [-1, *(n for _, n in want), -1]
+    picked = [p for k, ((s, n), e) in enumerate(zip(want, ends)) if n > max(0, around[k], around[k + 2]) for p in range(s, e, 2)]
+    assert tf.chosen(np.array(count, np.int32)).tolist() == picked
+
+
 def test_a_large_batch_is_encoded_in_little_memory():
     words = np.array([f"w{i:x}" for i in range(2000)])
     rng = np.random.default_rng(1)
