@@ -236,7 +236,8 @@ def most_used(names: pa.Array, ids: np.ndarray, starts: np.ndarray, sizes: np.nd
 
 
 class Encoder:
-    """A tokenizer file, with the ids of the pieces it has already encoded.
+    """A tokenizer file, with the ids of the pieces it has already encoded, and of the runs
+    between white space that were met most, which need not be taken apart again.
 
     A piece is what the tokenizer itself treats as one word (``_PIECE``, after lower-casing);
     distinct ones are encoded once, many to a text, and told apart by the mark that
